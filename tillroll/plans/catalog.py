@@ -109,3 +109,250 @@ def q_daily_lite(spark, d):
 @query("mart_customer_ltv_lite")
 def q_ltv_lite(spark, d):
     return customer_ltv(spark, d, "lite")
+
+
+# ---- reports (R1-R9, O2) and notebook summaries (M6) ---------------------------------
+from ..operators import reports as R  # noqa: E402
+
+
+@query("monthly_summary")
+def q_monthly_summary(spark, d):
+    return M.monthly_summary(daily_sales(spark, d, "lite"))
+
+
+@query("report_monthly_trend")
+def q_r1(spark, d):
+    return R.monthly_trend(daily_sales(spark, d))
+
+
+@query("report_category_30d")
+def q_r2(spark, d):
+    return R.category_recent(daily_sales(spark, d), as_of="max")
+
+
+@query("report_top_products")
+def q_r3(spark, d):
+    return R.top_products(product_performance(spark, d))
+
+
+@query("report_ltv_segments")
+def q_r4(spark, d):
+    return R.ltv_segments(customer_ltv(spark, d))
+
+
+@query("report_tier_performance")
+def q_r5(spark, d):
+    return R.tier_performance(customer_ltv(spark, d))
+
+
+@query("report_dow_pattern")
+def q_r6(spark, d):
+    return R.dow_pattern(daily_sales(spark, d))
+
+
+@query("report_vip_customers")
+def q_r7(spark, d):
+    return R.vip_customers(customer_ltv(spark, d))
+
+
+@query("report_category_margin")
+def q_r8(spark, d):
+    return R.category_margin(daily_sales(spark, d))
+
+
+@query("report_latest_daily")
+def q_r9(spark, d):
+    return R.latest_daily(daily_sales(spark, d, "lite"))
+
+
+@query("customers_by_ltv")
+def q_o2(spark, d):
+    return R.customers_by_ltv(customer_ltv(spark, d, "lite"))
+
+
+# ---- amount reconciliation (D1, D2) and the global rank (W1) -------------------------
+from ..operators.rank import global_rank  # noqa: E402
+
+
+@query("reconcile_line_total")
+def q_d1(spark, d):
+    return M.reconcile_line_total(clean(spark, d, "order_items"))
+
+
+@query("reconcile_order_total")
+def q_d2(spark, d):
+    return M.reconcile_order_total(clean(spark, d, "order_items"), clean(spark, d, "orders"))
+
+
+@query("global_revenue_rank")
+def q_w1(spark, d):
+    """Every clean item ranked by line_total over the whole table (many ties)."""
+    items = clean(spark, d, "order_items").select("item_id", "order_id", "line_total")
+    return global_rank(items, "line_total", "revenue_rank")
+
+
+@query("ltv_segment")
+def q_m3s(spark, d):
+    ltv = customer_ltv(spark, d)
+    return ltv.select("customer_id", "lifetime_value", M.ltv_segment("lifetime_value").alias("ltv_segment"))
+
+
+# ---- cleaning primitives (N1-N8) and scalar functions (F) ------------------------------
+from .. import schemas  # noqa: E402
+from ..functions import (compare, date_parts, full_name, margin_pct,  # noqa: E402
+                         money_round, month_trunc, safe_divide, standardise_domain,
+                         try_cast_to)
+from ..operators.dedupe import dedupe_latest  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@query("dedupe_latest")
+def q_n1(spark, d):
+    return dedupe_latest(raw(spark, d, "customers"), "customer_id", "updated_at")
+
+
+@query("filter_not_null")
+def q_n2(spark, d):
+    return raw(spark, d, "customers").filter(F.col("email").isNotNull() & F.col("first_name").isNotNull())
+
+
+@query("filter_range")
+def q_n3(spark, d):
+    return raw(spark, d, "orders").filter(compare("total_amount", ">=", 0))
+
+
+@query("standardise_domain")
+def q_n4(spark, d):
+    o = raw(spark, d, "orders")
+    return o.select("order_id", F.col("status").alias("raw_status"),
+                    standardise_domain("status", C.ORDER_STATUSES, "unknown").alias("status"))
+
+
+@query("full_name")
+def q_n5(spark, d):
+    return raw(spark, d, "customers").select("customer_id", "updated_at",
+                                            full_name("first_name", "last_name").alias("full_name"))
+
+
+@query("product_margin")
+def q_n6(spark, d):
+    return raw(spark, d, "products").select("product_id", "unit_price", "cost_price",
+                                           margin_pct("unit_price", "cost_price").alias("margin_pct"))
+
+
+@query("order_date_parts")
+def q_n7(spark, d):
+    o = raw(spark, d, "orders")
+    return o.select("order_id", "order_date", *[c.alias(n) for n, c in date_parts("order_date", "order").items()])
+
+
+@query("cast_schema")
+def q_n8(spark, d):
+    """Stringly staged orders with upper-case names, cast back by name."""
+    o = raw(spark, d, "orders")
+    staged = o.select(*[F.col(c).cast("string").alias(c.upper()) for c in o.columns])
+    return try_cast_to(staged, schemas.ORDERS)
+
+
+@query("money_round")
+def q_f6(spark, d):
+    i = clean(spark, d, "order_items")
+    return i.select("item_id", money_round(F.col("line_total") / 3).alias("third_2"),
+                    money_round(F.col("line_total") / 7, 1).alias("seventh_1"))
+
+
+@query("safe_divide")
+def q_f7(spark, d):
+    o = clean(spark, d, "orders")
+    return o.select("order_id", safe_divide("total_amount", "discount_pct").alias("amount_per_pct"))
+
+
+@query("month_trunc")
+def q_f11(spark, d):
+    o = clean(spark, d, "orders")
+    return o.select("order_id", month_trunc("order_date").alias("order_month_start"))
+
+
+# ---- data quality (Q1-Q10) ---------------------------------------------------------------
+from ..operators import quality as Q  # noqa: E402
+
+CHECK_COLUMNS = ["name", "table_name", "column_name", "check_type", "passed", "severity",
+                 "message", "metric"]
+
+
+def marts(spark, d):
+    return {"daily_sales": daily_sales(spark, d),
+            "product_performance": product_performance(spark, d),
+            "customer_ltv": customer_ltv(spark, d)}
+
+
+def _checks(df):
+    return df.select(*CHECK_COLUMNS)
+
+
+@query("dq_row_count")
+def q_q1(spark, d):
+    m = marts(spark, d)
+    parts = [Q.run_suite(m["daily_sales"], Q.row_count("daily_sales", 100)),
+             Q.run_suite(m["product_performance"], Q.row_count("product_performance", 50)),
+             Q.run_suite(m["customer_ltv"], Q.row_count("customer_ltv", 500))]
+    return _checks(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("dq_no_nulls")
+def q_q2(spark, d):
+    m = marts(spark, d)
+    parts = [Q.run_suite(m["daily_sales"], Q.no_nulls("daily_sales", ["sale_date", "category", "gross_revenue"])),
+             Q.run_suite(m["product_performance"],
+                         Q.no_nulls("product_performance", ["product_id", "product_name", "total_revenue"])),
+             Q.run_suite(m["customer_ltv"], Q.no_nulls("customer_ltv", ["customer_id", "email", "lifetime_value"]))]
+    return _checks(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("dq_no_negative")
+def q_q3(spark, d):
+    m = marts(spark, d)
+    a = Q.run_suite(m["daily_sales"], Q.no_negative("daily_sales", "gross_revenue")
+                    + Q.no_negative("daily_sales", "gross_profit"))
+    b = Q.run_suite(m["product_performance"], Q.no_negative("product_performance", "total_revenue"))
+    return _checks(a.unionByName(b))
+
+
+@query("dq_unique")
+def q_q4(spark, d):
+    m = marts(spark, d)
+    a = Q.run_suite(m["product_performance"], Q.unique("product_performance", "product_id"))
+    b = Q.run_suite(m["customer_ltv"], Q.unique("customer_ltv", "customer_id"))
+    return _checks(a.unionByName(b))
+
+
+@query("dq_value_set")
+def q_q5(spark, d):
+    ltv = customer_ltv(spark, d)
+    return _checks(Q.run_suite(ltv, Q.value_set("customer_ltv", "ltv_segment", C.LTV_SEGMENTS)))
+
+
+@query("dq_suite_daily_sales")
+def q_q6(spark, d):
+    return _checks(Q.run_suite(daily_sales(spark, d), Q.daily_sales_suite()))
+
+
+@query("dq_suite_product_performance")
+def q_q7(spark, d):
+    return _checks(Q.run_suite(product_performance(spark, d), Q.product_performance_suite()))
+
+
+@query("dq_suite_customer_ltv")
+def q_q8(spark, d):
+    return _checks(Q.run_suite(customer_ltv(spark, d), Q.customer_ltv_suite()))
+
+
+@query("dq_gate_summary")
+def q_q9(spark, d):
+    return Q.summary(Q.run_all(marts(spark, d)))
+
+
+@query("dq_referential_integrity")
+def q_q10(spark, d):
+    cl = {t: clean(spark, d, t) for t in ("customers", "products", "orders", "order_items")}
+    return _checks(Q.referential_integrity(cl["customers"], cl["products"], cl["orders"], cl["order_items"]))

@@ -284,3 +284,219 @@ register("mart_product_performance", "SELECT * FROM product_perf")
 register("mart_customer_ltv", "SELECT * FROM customer_ltv")
 register("mart_daily_sales_lite", "SELECT * FROM daily_sales_lite")
 register("mart_customer_ltv_lite", "SELECT * FROM customer_ltv_lite")
+
+
+# ---- registrations: reports, summaries, reconciliation, rank -----------------
+register("monthly_summary", f"""
+SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month,
+       {mr('sum(gross_revenue)')} AS monthly_revenue,
+       CAST(sum(num_orders) AS BIGINT) AS monthly_orders
+FROM daily_sales_lite GROUP BY 1""")
+
+register("report_monthly_trend", f"""
+SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month,
+       {mr('sum(gross_revenue)')} AS total_revenue, {mr('sum(gross_profit)')} AS total_profit,
+       {mr('avg(margin_pct)')} AS avg_margin_pct,
+       CAST(sum(num_orders) AS BIGINT) AS total_orders, CAST(sum(units_sold) AS BIGINT) AS units_sold
+FROM daily_sales GROUP BY 1""")
+
+register("report_category_30d", f"""
+SELECT category, {mr('sum(gross_revenue)')} AS revenue, {mr('sum(gross_profit)')} AS profit,
+       {mr('avg(margin_pct)')} AS avg_margin_pct, CAST(sum(num_orders) AS BIGINT) AS orders
+FROM daily_sales
+WHERE sale_date >= (SELECT max(sale_date) FROM daily_sales) - INTERVAL 30 DAY
+GROUP BY category""")
+
+register("report_top_products", f"""
+SELECT revenue_rank, product_name, category, brand, total_units_sold,
+       {mr('total_revenue')} AS total_revenue, {mr('avg_selling_price')} AS avg_price,
+       {mr('avg_discount_pct')} AS avg_discount_pct, unique_customers
+FROM product_perf ORDER BY revenue_rank, product_id LIMIT 20""")
+
+register("report_ltv_segments", f"""
+SELECT ltv_segment, CAST(count(*) AS BIGINT) AS customer_count,
+       {mr('avg(lifetime_value)')} AS avg_ltv, {mr('sum(lifetime_value)')} AS total_ltv,
+       {mr('avg(total_orders)')} AS avg_orders, {mr('avg(avg_order_value)')} AS avg_order_value
+FROM customer_ltv GROUP BY ltv_segment""")
+
+register("report_tier_performance", f"""
+SELECT customer_tier, CAST(count(*) AS BIGINT) AS customers,
+       {mr('avg(lifetime_value)')} AS avg_ltv, {mr('avg(total_orders)', 1)} AS avg_orders
+FROM customer_ltv GROUP BY customer_tier""")
+
+register("report_dow_pattern", f"""
+SELECT left(dayname(sale_date), 3) AS day_name, CAST(dayofweek(sale_date) AS INTEGER) AS dow_num,
+       {mr('avg(gross_revenue)')} AS avg_daily_revenue, {mr('avg(num_orders)', 1)} AS avg_orders
+FROM daily_sales GROUP BY 1, 2""")
+
+register("report_vip_customers", f"""
+SELECT full_name, email, customer_tier, country, total_orders,
+       {mr('lifetime_value')} AS lifetime_value, {mr('avg_order_value')} AS avg_order_value,
+       CAST(first_order_date AS DATE) AS first_order, CAST(last_order_date AS DATE) AS last_order
+FROM customer_ltv WHERE ltv_segment = 'VIP'
+ORDER BY customer_ltv.lifetime_value DESC NULLS LAST, customer_id LIMIT 50""")
+
+register("report_category_margin", f"""
+SELECT category, {mr('sum(gross_revenue)')} AS total_revenue, {mr('sum(gross_profit)')} AS total_profit,
+       {mr('sum(gross_profit) / NULLIF(sum(gross_revenue), 0) * 100')} AS overall_margin_pct
+FROM daily_sales GROUP BY category""")
+
+register("report_latest_daily", """
+SELECT * FROM daily_sales_lite ORDER BY sale_date DESC, category LIMIT 20""")
+
+register("customers_by_ltv", """
+SELECT customer_id, full_name, customer_tier, lifetime_value, ltv_segment FROM customer_ltv_lite""")
+
+register("reconcile_line_total", f"""
+SELECT item_id, order_id, line_total, expected_line_total,
+       {mr('line_total - expected_line_total')} AS diff,
+       abs({mr('line_total - expected_line_total')}) > 0.01 AS mismatch
+FROM (SELECT item_id, order_id, line_total,
+             {mr('quantity * unit_price * (1 - discount_pct / 100)')} AS expected_line_total
+      FROM clean_order_items) x""")
+
+register("reconcile_order_total", f"""
+SELECT order_id, total_amount, items_total, expected_total,
+       {mr('total_amount - expected_total')} AS diff,
+       abs({mr('total_amount - expected_total')}) > 0.01 AS mismatch
+FROM (SELECT o.order_id, o.total_amount, {mr('s.lines')} AS items_total,
+             {mr('s.lines * (1 - o.discount_pct / 100)')} AS expected_total
+      FROM clean_orders o
+      JOIN (SELECT order_id, sum(line_total) AS lines FROM clean_order_items GROUP BY order_id) s
+        ON o.order_id = s.order_id) x""")
+
+register("global_revenue_rank", """
+SELECT item_id, order_id, line_total,
+       CAST(rank() OVER (ORDER BY line_total DESC NULLS LAST) AS INTEGER) AS revenue_rank
+FROM clean_order_items""")
+
+register("ltv_segment", f"""
+SELECT customer_id, lifetime_value, {LTV_SEGMENT_SQL} AS ltv_segment FROM customer_ltv""")
+
+
+# ---- registrations: primitives and scalar functions ---------------------------
+register("dedupe_latest", "SELECT * FROM dd_customers")
+register("filter_not_null", "SELECT * FROM src_customers WHERE email IS NOT NULL AND first_name IS NOT NULL")
+register("filter_range", "SELECT * FROM src_orders WHERE total_amount >= 0")
+register("standardise_domain", f"SELECT order_id, status AS raw_status, {STATUS_SQL} AS status FROM src_orders")
+register("full_name", "SELECT customer_id, updated_at, concat_ws(' ', first_name, last_name) AS full_name "
+                      "FROM src_customers")
+register("product_margin", f"SELECT product_id, unit_price, cost_price, {MARGIN_SQL} AS margin_pct FROM src_products")
+register("order_date_parts", """
+SELECT order_id, order_date, CAST(year(order_date) AS INTEGER) AS order_year,
+       CAST(month(order_date) AS INTEGER) AS order_month, CAST(day(order_date) AS INTEGER) AS order_day,
+       CAST(dayofweek(order_date) + 1 AS INTEGER) AS order_dow
+FROM src_orders""")
+register("cast_schema", "SELECT * FROM src_orders")
+register("money_round", f"""
+SELECT item_id, {mr('line_total / 3')} AS third_2, {mr('line_total / 7', 1)} AS seventh_1
+FROM clean_order_items""")
+register("safe_divide", "SELECT order_id, total_amount / NULLIF(discount_pct, 0) AS amount_per_pct FROM clean_orders")
+register("month_trunc", """
+SELECT order_id, CAST(date_trunc('month', order_date) AS DATE) AS order_month_start FROM clean_orders""")
+
+
+# ---- registrations: data quality -----------------------------------------------
+DOUBLE_COLUMNS = {"gross_revenue", "gross_profit", "total_revenue", "lifetime_value", "total_amount"}
+
+
+def _check_sql(table: str, src: str, kind: str, column: str | None, severity: str,
+               minimum: int | None = None, values: tuple = ()) -> str:
+    """One result row of a check, in plain SQL."""
+    col = column or ""
+    if kind == "row_count":
+        metric = "count(*)"
+        name, passed = f"{table}_min_row_count", f"m >= {minimum}"
+        message = f"'Expected >= {minimum} rows, got ' || CAST(m AS VARCHAR)"
+    else:
+        if kind == "no_nulls":
+            bad = f"{col} IS NULL" + (f" OR isnan({col})" if col in DOUBLE_COLUMNS else "")
+            metric = f"COALESCE(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0)"
+            suffix, text = "no_nulls", f" null values in {col}"
+        elif kind == "no_negative":
+            metric = f"COALESCE(sum(CASE WHEN {col} < 0 THEN 1 ELSE 0 END), 0)"
+            suffix, text = "no_negative", f" negative values in {col}"
+        elif kind == "unique":
+            metric = (f"count(*) - (count(DISTINCT {col}) + "
+                      f"CASE WHEN count(*) > count({col}) THEN 1 ELSE 0 END)")
+            suffix, text = "unique", f" duplicate values in {col}"
+        elif kind == "value_set":
+            vals = ", ".join(f"'{v}'" for v in values)
+            metric = f"COALESCE(sum(CASE WHEN {col} IN ({vals}) THEN 0 ELSE 1 END), 0)"
+            suffix, text = "valid_values", f" rows with invalid {col} values"
+        else:
+            raise ValueError(kind)
+        name, passed = f"{table}_{col}_{suffix}", "m = 0"
+        message = f"CAST(m AS VARCHAR) || '{text}'"
+    column_sql = f"'{col}'" if column else "CAST(NULL AS VARCHAR)"
+    return (f"SELECT '{name}' AS name, '{table}' AS table_name, {column_sql} AS column_name, "
+            f"'{kind}' AS check_type, {passed} AS passed, '{severity}' AS severity, "
+            f"{message} AS message, m AS metric "
+            f"FROM (SELECT CAST({metric} AS BIGINT) AS m FROM {src}) x")
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+DS, PP, CL = "daily_sales", "product_performance", "customer_ltv"
+SEGMENTS = ("VIP", "High", "Medium", "Low")
+SUITES = {
+    DS: [(DS, "daily_sales", "row_count", None, "critical", 100),
+         *[(DS, "daily_sales", "no_nulls", c, "critical") for c in ("sale_date", "category", "gross_revenue")],
+         (DS, "daily_sales", "no_negative", "gross_revenue", "warning"),
+         (DS, "daily_sales", "no_negative", "gross_profit", "warning")],
+    PP: [(PP, "product_perf", "row_count", None, "critical", 50),
+         (PP, "product_perf", "unique", "product_id", "critical"),
+         *[(PP, "product_perf", "no_nulls", c, "critical") for c in ("product_id", "product_name", "total_revenue")],
+         (PP, "product_perf", "no_negative", "total_revenue", "warning")],
+    CL: [(CL, "customer_ltv", "row_count", None, "critical", 500),
+         (CL, "customer_ltv", "unique", "customer_id", "critical"),
+         *[(CL, "customer_ltv", "no_nulls", c, "critical") for c in ("customer_id", "email", "lifetime_value")],
+         (CL, "customer_ltv", "value_set", "ltv_segment", "warning", None, SEGMENTS)],
+}
+
+
+def _suite_sql(specs) -> str:
+    return _union([_check_sql(*s) for s in specs])
+
+
+def _pick(kind: str) -> list[tuple]:
+    return [s for suite in SUITES.values() for s in suite if s[2] == kind]
+
+
+register("dq_row_count", _suite_sql(_pick("row_count")))
+register("dq_no_nulls", _suite_sql(_pick("no_nulls")))
+register("dq_no_negative", _suite_sql(_pick("no_negative")))
+register("dq_unique", _suite_sql(_pick("unique")))
+register("dq_value_set", _suite_sql(_pick("value_set")))
+register("dq_suite_daily_sales", _suite_sql(SUITES[DS]))
+register("dq_suite_product_performance", _suite_sql(SUITES[PP]))
+register("dq_suite_customer_ltv", _suite_sql(SUITES[CL]))
+register("dq_gate_summary", f"""
+SELECT severity, passed, CAST(count(*) AS BIGINT) AS n_checks FROM (
+{_suite_sql([s for suite in SUITES.values() for s in suite])}
+) r GROUP BY severity, passed""")
+
+
+def _fk_sql(name: str, table: str, key: str, child: str, parent: str) -> str:
+    return (f"SELECT '{name}' AS name, '{table}' AS table_name, '{key}' AS column_name, "
+            f"'foreign_key' AS check_type, m = 0 AS passed, 'critical' AS severity, "
+            f"CAST(m AS VARCHAR) || ' orphan values in {key}' AS message, m AS metric FROM "
+            f"(SELECT CAST(count(*) AS BIGINT) AS m FROM {child} ch WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {parent} pa WHERE pa.{key} = ch.{key})) x")
+
+
+register("dq_referential_integrity", _union([
+    _fk_sql("orders_customer_id_fk", "orders", "customer_id", "clean_orders", "clean_customers"),
+    _fk_sql("order_items_order_id_fk", "order_items", "order_id", "clean_order_items", "clean_orders"),
+    _fk_sql("order_items_product_id_fk", "order_items", "product_id", "clean_order_items", "clean_products"),
+    _check_sql("customers", "clean_customers", "no_nulls", "email", "critical"),
+    _check_sql("customers", "clean_customers", "no_nulls", "first_name", "critical"),
+    _check_sql("customers", "clean_customers", "unique", "email", "critical"),
+    _check_sql("customers", "clean_customers", "unique", "customer_id", "critical"),
+    _check_sql("products", "clean_products", "unique", "product_id", "critical"),
+    _check_sql("orders", "clean_orders", "no_nulls", "customer_id", "critical"),
+    _check_sql("orders", "clean_orders", "unique", "order_id", "critical"),
+    _check_sql("order_items", "clean_order_items", "unique", "item_id", "critical"),
+]))
