@@ -356,3 +356,191 @@ def q_q9(spark, d):
 def q_q10(spark, d):
     cl = {t: clean(spark, d, t) for t in ("customers", "products", "orders", "order_items")}
     return _checks(Q.referential_integrity(cl["customers"], cl["products"], cl["orders"], cl["order_items"]))
+
+
+# ---- ingestion (S1-S12, S6b) ---------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import writers as K  # noqa: E402
+from ..sources import extract as S  # noqa: E402
+from ..sources.fixtures import fixture_sources  # noqa: E402
+from ..sources.raw import raw_row_counts, read_raw_all, read_union_by_name  # noqa: E402
+from ..streaming.incremental import ingest_available_now, read_sink  # noqa: E402
+from .pipeline import process, run_full  # noqa: E402
+
+# Fixed watermarks of the extract queries (inside each table's time range).
+EXTRACT_WATERMARKS = {
+    "customers": _dt.datetime(1994, 7, 1),
+    "products": _dt.datetime(1994, 7, 1),
+    "orders": _dt.datetime(1998, 1, 1),
+    "order_items": _dt.datetime(1998, 1, 1),
+    "clickstream": _dt.datetime(2024, 1, 15),
+}
+# Stored state for watermark_advance: products has no row (starts at epoch).
+ADVANCE_STATE = {t: v for t, v in EXTRACT_WATERMARKS.items() if t != "products"}
+INGEST_DAY_1 = _dt.date(2024, 2, 1)
+INGEST_DAY_2 = _dt.date(2024, 2, 2)
+
+
+def _sources(spark, d, tables=None):
+    return fixture_sources(spark, d, tables)
+
+
+for _t in S.TABLES:
+    def _extract(spark, d, _t=_t):
+        return S.extract(_sources(spark, d, ["orders", "order_items"] if _t == "order_items" else [_t]),
+                         _t, EXTRACT_WATERMARKS[_t])
+    query(f"extract_{_t}")(_extract)
+
+
+@query("watermark_advance")
+def q_s6(spark, d):
+    src = _sources(spark, d)
+    state = S.state_frame(spark, ADVANCE_STATE)
+    marks = [S.batch_high_water(src, t, S.watermark_value(state, t)) for t in S.TABLES]
+    batch_max = marks[0]
+    for m in marks[1:]:
+        batch_max = batch_max.unionByName(m)
+    return S.advance(state, batch_max)
+
+
+def _land_in_two(spark, df, base, table, ts_col, split):
+    first = df.filter(F.col(ts_col) <= F.lit(split).cast("timestamp_ntz"))
+    second = df.filter(F.col(ts_col) > F.lit(split).cast("timestamp_ntz"))
+    K.land_raw(first, base, table, INGEST_DAY_1, ts_col)
+    K.land_raw(second, base, table, INGEST_DAY_2, ts_col)
+
+
+@query("extract_stream_available_now")
+def q_s6b(spark, d):
+    """Two landed batches, streamed once (and a second run that finds nothing)."""
+    root = scratch_path(spark, "stream")
+    clicks = raw(spark, d, "clickstream")
+    _land_in_two(spark, clicks, f"{root}/raw", "clickstream", "event_timestamp",
+                 EXTRACT_WATERMARKS["clickstream"])
+    for _ in range(2):
+        ingest_available_now(spark, f"{root}/raw/clickstream", schemas.CLICKSTREAM,
+                             f"{root}/sink", f"{root}/checkpoint")
+    return read_sink(spark, f"{root}/sink", schemas.CLICKSTREAM)
+
+
+@query("raw_read_all")
+def q_s7(spark, d):
+    root = scratch_path(spark, "raw")
+    _land_in_two(spark, raw(spark, d, "orders"), root, "orders", "updated_at",
+                 EXTRACT_WATERMARKS["orders"])
+    return read_raw_all(spark, root, "orders", schemas.ORDERS).drop("ingest_date")
+
+
+@query("raw_row_counts")
+def q_s9(spark, d):
+    root = scratch_path(spark, "raw")
+    frames = {}
+    for t in ("customers", "products", "orders", "order_items"):
+        K.land_raw(raw(spark, d, t), root, t, INGEST_DAY_1, S.TS_COLUMNS[t])
+        frames[t] = read_raw_all(spark, root, t, schemas.SOURCES[t])
+    return raw_row_counts(frames)
+
+
+@query("union_by_name_read")
+def q_s11(spark, d):
+    """Old batches lack payment_method; the merged read fills NULLs by name."""
+    root = scratch_path(spark, "union")
+    o = raw(spark, d, "orders")
+    split = F.lit(EXTRACT_WATERMARKS["orders"]).cast("timestamp_ntz")
+    o.filter(F.col("updated_at") <= split).drop("payment_method").write.parquet(f"{root}/batch=old")
+    o.filter(F.col("updated_at") > split).write.parquet(f"{root}/batch=new")
+    return read_union_by_name(spark, root).select(*schemas.ORDERS.fieldNames())
+
+
+@query("extract_manifest")
+def q_s12(spark, d):
+    root = scratch_path(spark, "extract")
+    manifest = S.run_extract(spark, _sources(spark, d), f"{root}/raw", f"{root}/state",
+                             ingest_date=INGEST_DAY_1)
+    return manifest.select("table_name", "rows", "status")
+
+
+# ---- sinks (K1-K9) ----------------------------------------------------------------------------
+@query("land_raw")
+def q_k1(spark, d):
+    root = scratch_path(spark, "land")
+    K.land_raw(raw(spark, d, "clickstream"), root, "clickstream", INGEST_DAY_1, "event_timestamp")
+    return spark.read.parquet(f"{root}/clickstream")
+
+
+@query("write_layer")
+def q_k2(spark, d):
+    path = scratch_path(spark, "layer")
+    K.write_layer(clean(spark, d, "products"), path)
+    return spark.read.parquet(path).drop("_processed_at")
+
+
+@query("write_orders_partitioned")
+def q_k3(spark, d):
+    path = scratch_path(spark, "orders")
+    K.write_orders_partitioned(clean(spark, d, "orders"), path)
+    return spark.read.parquet(path).drop("_processed_at")
+
+
+@query("load_mart_full_refresh")
+def q_k4(spark, d):
+    root = scratch_path(spark, "load")
+    K.write_layer(daily_sales(spark, d), f"{root}/marts/daily_sales")
+    table = K.load_full_refresh(spark, f"{root}/marts/daily_sales", "tillroll_daily_sales",
+                                f"{root}/warehouse/daily_sales", schemas.DAILY_SALES)
+    return table
+
+
+@query("load_by_name_permissive")
+def q_k5(spark, d):
+    """Staged text columns (upper-case names) where zero discounts read 'none'."""
+    items = clean(spark, d, "order_items")
+    staged = items.select(*[
+        (F.when(F.col("discount_pct") == 0, F.lit("none")).otherwise(F.col(c).cast("string"))
+         if c == "discount_pct" else F.col(c).cast("string")).alias(c.upper())
+        for c in items.columns])
+    accepted, _rejected = K.load_by_name_permissive(staged, schemas.ORDER_ITEMS)
+    return accepted
+
+
+@query("mart_schema_conform")
+def q_k6(spark, d):
+    daily = daily_sales(spark, d)
+    messy = daily.select(*[F.col(c).alias(c.upper()) for c in reversed(daily.columns)],
+                         F.lit("x").alias("EXTRA_NOTE"))
+    return K.conform(messy, schemas.DAILY_SALES)
+
+
+@query("publish_layers")
+def q_k7(spark, d):
+    lake = scratch_path(spark, "lake")
+    datasets = {("processed", "orders"): clean(spark, d, "orders"),
+                ("processed", "order_items"): clean(spark, d, "order_items"),
+                ("marts", "daily_sales"): daily_sales(spark, d),
+                ("marts", "customer_ltv"): customer_ltv(spark, d)}
+    manifest = K.publish(datasets, lake)
+    return spark.createDataFrame([(m["layer"], m["dataset"], m["rows"]) for m in manifest],
+                                 "layer string, dataset string, rows long")
+
+
+@query("register_mart_tables")
+def q_k9(spark, d):
+    root = scratch_path(spark, "catalog")
+    tables = K.register_tables(spark, {"daily_sales": daily_sales(spark, d, "lite"),
+                                       "customer_ltv": customer_ltv(spark, d, "lite")},
+                               "tillroll_marts", root)
+    return tables["daily_sales"]
+
+
+# ---- pipelines (P1, P2) -----------------------------------------------------------------------
+@query("pipeline_process")
+def q_p1(spark, d):
+    src = _sources(spark, d, ["customers", "products", "orders", "order_items"])
+    return process(spark, src, scratch_path(spark, "process"))
+
+
+@query("pipeline_full")
+def q_p2(spark, d):
+    return run_full(spark, _sources(spark, d), scratch_path(spark, "full"), ingest_date=INGEST_DAY_1)
