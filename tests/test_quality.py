@@ -1,0 +1,68 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.operators import quality as Q
+
+
+def _by_name(df):
+    return {r["name"]: r for r in df.collect()}
+
+
+def test_nan_counts_as_null_and_missing_column_fails(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "gross_revenue double")
+    out = _by_name(Q.run_suite(df, Q.no_nulls("daily_sales", ["gross_revenue", "category"])))
+    assert out["daily_sales_gross_revenue_no_nulls"]["metric"] == 2
+    missing = out["daily_sales_category_exists"]
+    assert missing["passed"] is False and missing["message"] == "Column 'category' not found in daily_sales"
+
+
+def test_negative_and_value_set_semantics(spark):
+    df = spark.createDataFrame([(-1.0, "VIP"), (float("nan"), None), (None, "Gold"), (3.0, "Low")],
+                               "x double, seg string")
+    out = _by_name(Q.run_suite(df, Q.no_negative("t", "x") + Q.value_set("t", "seg", ["VIP", "Low"])
+                               + Q.no_negative("t", "absent")))
+    assert out["t_x_no_negative"]["metric"] == 1
+    assert out["t_seg_valid_values"]["metric"] == 2  # NULL is invalid
+    assert out["t_absent_no_negative"]["passed"] is True
+
+
+def test_unique_treats_nulls_as_equal(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "k long")
+    r = Q.run_suite(df, Q.unique("t", "k")).first()
+    assert r["metric"] == 2 and r["message"] == "2 duplicate values in k"
+
+
+def test_empty_mart_semantics(spark, tmp_path):
+    empty = Q.read_mart(spark, str(tmp_path / "nothing"))
+    out = Q.run_all({"daily_sales": empty, "product_performance": empty, "customer_ltv": empty})
+    rows = out.collect()
+    assert len(rows) == 18
+    failed = {r["check_type"] for r in rows if not r["passed"]}
+    passed = {r["check_type"] for r in rows if r["passed"]}
+    assert failed == {"row_count", "no_nulls", "unique"}
+    assert passed == {"no_negative", "value_set"}
+
+
+def test_gate_raises_on_critical_and_lists_names(spark):
+    df = spark.createDataFrame([(1, "VIP")], "customer_id long, ltv_segment string")
+    res = Q.run_suite(df, Q.customer_ltv_suite(min_rows=5))
+    with pytest.raises(Q.QualityGateError) as e:
+        Q.gate(res)
+    assert "customer_ltv_min_row_count" in str(e.value)
+    assert "customer_ltv_email_exists" in str(e.value)
+
+
+def test_gate_passes_with_only_warnings(spark):
+    df = spark.createDataFrame([(1.0, -2.0)], "gross_revenue double, gross_profit double") \
+        .withColumn("sale_date", F.current_date()).withColumn("category", F.lit("c"))
+    res = Q.run_suite(df, Q.daily_sales_suite(min_rows=1))
+    assert Q.gate(res) == ["daily_sales_gross_profit_no_negative"]
+
+
+def test_suite_is_one_aggregation_pass(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("gross_revenue"),
+                                 F.lit("c").alias("category"), F.current_date().alias("sale_date"),
+                                 F.lit(1.0).alias("gross_profit"))
+    out = Q.run_suite(df, Q.daily_sales_suite())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money_round, pct
+from ..session import materialize
 from .rank import global_rank
 
 # Fixed LTV segment thresholds (first match wins, on the rounded value).
@@ -82,9 +83,10 @@ def product_performance(enriched: DataFrame, pin: bool = True) -> DataFrame:
                  money_round(F.sum("disc_sum") / F.sum("disc_n")).alias("avg_discount_pct"),
                  F.count_distinct("customer_id").alias("unique_customers")))
     if pin:
-        # The mart is read twice by the rank (values, then join back): pin it.
-        perf = perf.checkpoint(eager=True)
-    return global_rank(perf, "total_revenue", "revenue_rank")
+        # The mart is read twice by the rank (values, then join back): write
+        # it once instead of running the join + aggregate twice.
+        perf = materialize(perf, "product_performance")
+    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int")
 
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full") -> DataFrame:

@@ -5,9 +5,10 @@ partition: one task sorts the whole table.  Instead:
 
 1. ``counts``: one row per distinct value with its multiplicity (hash
    aggregate with map-side combine, so a value shared by a third of the
-   rows costs one row per input partition).  Checkpointed, which pins it.
-2. If the number of distinct values is within ``single_task_limit`` (known
-   from the checkpoint, not estimated), prefix sums over that bounded table
+   rows costs one row per input partition).  Written once to the shared
+   folder, which pins it and cuts the lineage.
+2. If the number of distinct values is within ``single_task_limit`` (counted
+   on the written table, not estimated), prefix sums over that bounded table
    run in one window and the result is broadcast -- its size is proven.
 3. Otherwise the distinct values are range-partitioned, each partition
    computes local prefix sums, and a prefix over the per-partition totals
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialize
 
 SINGLE_TASK_LIMIT = 100_000
 
@@ -35,22 +36,20 @@ def _order(col: str, descending: bool) -> Column:
 
 def rank_table(df: DataFrame, col: str, rank_col: str = "rank", descending: bool = True,
                single_task_limit: int = SINGLE_TASK_LIMIT,
-               num_ranges: int | None = None) -> tuple[DataFrame, bool]:
+               num_ranges: int | None = None, rank_type: str = "long") -> tuple[DataFrame, bool]:
     """(value, rank) for every distinct value of ``col``; also returns
     whether the table is small enough (checked) to broadcast."""
     spark = df.sparkSession
-    shared_dir(spark)  # make sure a reliable checkpoint folder exists
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
+    counts = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("__n")), "rank_counts")
     n_distinct = counts.count()
     before = Window.orderBy(_order(col, descending)).rowsBetween(Window.unboundedPreceding, -1)
     if n_distinct <= single_task_limit:
         ranks = counts.select(
-            col, (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).cast("int").alias(rank_col))
+            col, (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).cast(rank_type).alias(rank_col))
         return ranks, True
     parts = num_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    ranged = (counts.repartitionByRange(parts, _order(col, descending))
-                    .withColumn("__part", F.spark_partition_id())
-                    .checkpoint(eager=True))
+    ranged = materialize(counts.repartitionByRange(parts, _order(col, descending))
+                               .withColumn("__part", F.spark_partition_id()), "rank_ranges")
     local_before = (Window.partitionBy("__part").orderBy(_order(col, descending))
                     .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumn("__before", F.coalesce(F.sum("__n").over(local_before), F.lit(0)))
@@ -59,15 +58,19 @@ def rank_table(df: DataFrame, col: str, rank_col: str = "rank", descending: bool
     part_before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__part", F.coalesce(F.sum("__total").over(part_before), F.lit(0)).alias("__offset"))
     ranks = (local.join(F.broadcast(offsets), "__part")
-                  .select(col, (F.col("__offset") + F.col("__before") + 1).cast("int").alias(rank_col)))
+                  .select(col, (F.col("__offset") + F.col("__before") + 1).cast(rank_type).alias(rank_col)))
     return ranks, False
 
 
 def global_rank(df: DataFrame, col: str, rank_col: str = "rank", descending: bool = True,
                 single_task_limit: int = SINGLE_TASK_LIMIT,
-                num_ranges: int | None = None) -> DataFrame:
-    """``df`` with ``rank_col`` = SQL rank() over the whole frame by ``col``."""
-    ranks, small = rank_table(df, col, "__rank", descending, single_task_limit, num_ranges)
+                num_ranges: int | None = None, rank_type: str = "long") -> DataFrame:
+    """``df`` with ``rank_col`` = SQL rank() over the whole frame by ``col``.
+
+    ``rank_type`` is LONG by default: row-level ranks at scale exceed INT.
+    """
+    ranks, small = rank_table(df, col, "__rank", descending, single_task_limit, num_ranges,
+                              rank_type)
     ranks = ranks.withColumnRenamed(col, "__value")
     if small:
         ranks = F.broadcast(ranks)

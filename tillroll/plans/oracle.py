@@ -367,7 +367,7 @@ FROM (SELECT o.order_id, o.total_amount, {mr('s.lines')} AS items_total,
 
 register("global_revenue_rank", """
 SELECT item_id, order_id, line_total,
-       CAST(rank() OVER (ORDER BY line_total DESC NULLS LAST) AS INTEGER) AS revenue_rank
+       CAST(rank() OVER (ORDER BY line_total DESC NULLS LAST) AS BIGINT) AS revenue_rank
 FROM clean_order_items""")
 
 register("ltv_segment", f"""

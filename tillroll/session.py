@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -87,3 +88,17 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once to the shared folder and return the read-back frame.
+
+    Cuts the lineage in one pass (``checkpoint()`` computes its input twice
+    unless it is cached first) and survives executor loss: later stages
+    re-read files instead of recomputing the plan.  Row order inside the
+    files is fixed, so anything sampled from the result is reproducible.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
