@@ -31,14 +31,28 @@ def ltv_segment(value, thresholds=LTV_THRESHOLDS, default: str = LTV_DEFAULT):
     return expr.otherwise(default)
 
 
+def _items(items: DataFrame) -> DataFrame:
+    return items.select("item_id", "order_id", "product_id", "quantity", "unit_price",
+                        F.col("discount_pct").alias("item_discount_pct"), "line_total")
+
+
+def _orders(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", "customer_id", "order_date", "status",
+                         F.col("discount_pct").alias("order_discount_pct"))
+
+
+PRODUCT_ATTRS = ["product_id", "product_name", "category", "subcategory", "brand"]
+
+
 def enriched_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Items joined to their order and product (inner, USING-style)."""
-    i = items.select("item_id", "order_id", "product_id", "quantity", "unit_price",
-                     F.col("discount_pct").alias("item_discount_pct"), "line_total")
-    o = orders.select("order_id", "customer_id", "order_date", "status",
-                      F.col("discount_pct").alias("order_discount_pct"))
-    p = products.select("product_id", "product_name", "category", "subcategory", "brand", "cost_price")
-    return i.join(o, "order_id").join(p, "product_id")
+    """Items joined to their product and order (inner, USING-style).
+
+    Products are joined first and orders last, so the result is hash
+    partitioned by ``order_id`` -- which already satisfies the first level of
+    every per-order aggregate downstream (no extra item-level shuffle).
+    """
+    p = products.select(*PRODUCT_ATTRS, "cost_price")
+    return _items(items).join(p, "product_id").join(_orders(orders), "order_id")
 
 
 def not_cancelled(df: DataFrame) -> DataFrame:
@@ -61,27 +75,33 @@ def daily_sales(enriched: DataFrame) -> DataFrame:
                        "total_cost", "gross_profit", "margin_pct", "avg_discount_pct"))
 
 
-def product_performance(enriched: DataFrame, pin: bool = True) -> DataFrame:
+def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame,
+                        pin: bool = True) -> DataFrame:
     """M2: per-product totals plus a global revenue rank (ties share, gaps).
 
-    The two distinct counts are computed by pre-aggregating to one row per
-    (product, order) first -- an order has one customer -- so the per-product
-    step needs only plain sums and one distinct over customers.
+    Items are joined to orders (drop cancelled) and reduced to one row per
+    (product, order) -- an order has one customer -- before anything else,
+    so both distinct counts come from plain sums plus one distinct over
+    customers.  Product attributes are joined to the per-product totals, a
+    join over #products rows rather than #items rows; the inner join keeps
+    the semantics of joining products first (unknown products vanish).
     """
-    keys = ["product_id", "product_name", "category", "subcategory", "brand"]
-    per_order = (not_cancelled(enriched)
-                 .groupBy(*keys, "order_id", "customer_id")
-                 .agg(F.sum("quantity").alias("q"), F.sum("line_total").alias("rev"),
-                      F.sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
-                      F.sum("item_discount_pct").alias("disc_sum"),
-                      F.count("item_discount_pct").alias("disc_n")))
-    perf = (per_order.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("num_orders"),
-                 F.sum("q").cast("long").alias("total_units_sold"),
-                 money_round(F.sum("rev")).alias("total_revenue"),
-                 money_round(F.sum("price_sum") / F.sum("price_n")).alias("avg_selling_price"),
-                 money_round(F.sum("disc_sum") / F.sum("disc_n")).alias("avg_discount_pct"),
-                 F.count_distinct("customer_id").alias("unique_customers")))
+    io = _items(items).join(not_cancelled(_orders(orders)), "order_id")
+    per_order = (io.groupBy("product_id", "order_id", "customer_id")
+                   .agg(F.sum("quantity").alias("q"), F.sum("line_total").alias("rev"),
+                        F.sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
+                        F.sum("item_discount_pct").alias("disc_sum"),
+                        F.count("item_discount_pct").alias("disc_n")))
+    per_product = (per_order.groupBy("product_id")
+                   .agg(F.count(F.lit(1)).alias("num_orders"),
+                        F.sum("q").cast("long").alias("total_units_sold"),
+                        money_round(F.sum("rev")).alias("total_revenue"),
+                        money_round(F.sum("price_sum") / F.sum("price_n")).alias("avg_selling_price"),
+                        money_round(F.sum("disc_sum") / F.sum("disc_n")).alias("avg_discount_pct"),
+                        F.count_distinct("customer_id").alias("unique_customers")))
+    perf = per_product.join(products.select(*PRODUCT_ATTRS), "product_id").select(
+        *PRODUCT_ATTRS, "num_orders", "total_units_sold", "total_revenue", "avg_selling_price",
+        "avg_discount_pct", "unique_customers")
     if pin:
         # The mart is read twice by the rank (values, then join back): write
         # it once instead of running the join + aggregate twice.

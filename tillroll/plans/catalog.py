@@ -64,7 +64,8 @@ def daily_sales(spark, sf_dir, profile="full"):
 
 
 def product_performance(spark, sf_dir):
-    return M.product_performance(enriched(spark, sf_dir))
+    return M.product_performance(clean(spark, sf_dir, "order_items"), clean(spark, sf_dir, "orders"),
+                                 clean(spark, sf_dir, "products"))
 
 
 def customer_ltv(spark, sf_dir, profile="full"):

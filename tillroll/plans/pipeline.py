@@ -42,7 +42,7 @@ def process(spark: SparkSession, raw: dict[str, DataFrame], base: str) -> DataFr
     enriched = M.enriched_items(p["order_items"], p["orders"], p["products"])
     built = {
         "daily_sales": M.daily_sales(enriched),
-        "product_performance": M.product_performance(enriched),
+        "product_performance": M.product_performance(p["order_items"], p["orders"], p["products"]),
         "customer_ltv": M.customer_ltv(p["orders"], p["customers"]),
     }
     for name in MART_NAMES:
