@@ -79,12 +79,23 @@ def test_num_orders_per_day_and_category_double_counts(spark):
 
 
 def test_product_rank_ties_share_and_gap(spark):
+    from tillroll import schemas
     ts = dt.datetime(2000, 1, 1)
-    df = _enriched(spark, [_row(1, 1, 1, 1, 50.0, 1, ts), _row(2, 2, 2, 1, 50.0, 2, ts),
-                           _row(3, 3, 3, 1, 10.0, 1, ts), _row(4, 4, 3, 1, 10.0, 1, ts)])
-    out = {r["product_id"]: r for r in product_performance(df).collect()}
+    items = spark.createDataFrame(
+        [(1, 1, 1, 1, 50.0, 0.0, 50.0, ts), (2, 2, 2, 1, 50.0, 0.0, 50.0, ts),
+         (3, 3, 3, 1, 10.0, 0.0, 10.0, ts), (4, 4, 3, 1, 10.0, 10.0, 10.0, ts),
+         (5, 5, 3, 1, 99.0, 0.0, 99.0, ts), (6, 1, 9, 1, 99.0, 0.0, 99.0, ts)], schemas.ORDER_ITEMS)
+    orders = spark.createDataFrame(
+        [(o, c, ts, s, "upi", None, None, 0.0, 1.0, ts, ts)
+         for o, c, s in [(1, 1, "delivered"), (2, 2, "delivered"), (3, 1, "pending"),
+                         (4, 1, "shipped"), (5, 3, "cancelled")]], schemas.ORDERS)
+    products = spark.createDataFrame(
+        [(p, f"p{p}", "c", "s", "b", 5.0, 1.0, 1, True, ts, ts) for p in (1, 2, 3)], schemas.PRODUCTS)
+    out = {r["product_id"]: r for r in product_performance(items, orders, products).collect()}
+    assert set(out) == {1, 2, 3}  # product 9 is unknown, order 5 is cancelled
     assert [out[p]["revenue_rank"] for p in (1, 2, 3)] == [1, 1, 3]
     assert out[3]["num_orders"] == 2 and out[3]["unique_customers"] == 1
+    assert out[3]["avg_discount_pct"] == 5.0 and out[3]["total_revenue"] == 20.0
 
 
 @pytest.mark.parametrize("value,segment", [(199.99, "Low"), (200.0, "Medium"), (999.99, "Medium"),

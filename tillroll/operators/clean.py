@@ -23,56 +23,55 @@ LTV_SEGMENTS = ("VIP", "High", "Medium", "Low")
 
 def clean_customers(raw: DataFrame, profile: str = "full") -> DataFrame:
     df = dedupe_latest(raw, "customer_id", "updated_at").filter(F.col("email").isNotNull())
-    if profile == "lite":
-        return (df.withColumn("full_name", full_name("first_name", "last_name"))
-                  .withColumn("customer_tier", standardise_domain("customer_tier", TIERS, "standard")))
-    return (df.filter(F.col("first_name").isNotNull())
-              .withColumn("customer_tier", standardise_domain("customer_tier", TIERS, "standard"))
-              .withColumn("full_name", full_name("first_name", "last_name"))
-              .withColumn("customer_id", F.col("customer_id").cast("long"))
-              .withColumn("signup_date", F.col("signup_date").cast("date"))
-              .withColumn("created_at", F.col("created_at").cast("timestamp_ntz")))
+    if profile != "lite":
+        df = df.filter(F.col("first_name").isNotNull())
+    derived = {
+        "customer_tier": standardise_domain("customer_tier", TIERS, "standard"),
+        "full_name": full_name("first_name", "last_name"),
+    }
+    if profile != "lite":
+        derived.update({
+            "customer_id": F.col("customer_id").cast("long"),
+            "signup_date": F.col("signup_date").cast("date"),
+            "created_at": F.col("created_at").cast("timestamp_ntz"),
+        })
+    return df.withColumns(derived)
 
 
 def clean_products(raw: DataFrame, profile: str = "full") -> DataFrame:
     df = dedupe_latest(raw, "product_id", "updated_at")
     if profile == "lite":
-        return (df.filter(F.col("unit_price") > 0)
-                  .withColumn("margin_pct", margin_pct("unit_price", "cost_price")))
-    return (df.filter(F.col("product_name").isNotNull())
-              .filter(F.col("unit_price") > 0)
-              .filter(F.col("cost_price") > 0)
-              .withColumn("margin_pct", margin_pct("unit_price", "cost_price"))
-              .withColumn("product_id", F.col("product_id").cast("long"))
-              .withColumn("unit_price", F.col("unit_price").cast("double"))
-              .withColumn("cost_price", F.col("cost_price").cast("double"))
-              .withColumn("is_active", F.col("is_active").cast("boolean")))
+        df = df.filter(F.col("unit_price") > 0)
+        return df.withColumns({"margin_pct": margin_pct("unit_price", "cost_price")})
+    df = df.filter(F.col("product_name").isNotNull() & (F.col("unit_price") > 0) & (F.col("cost_price") > 0))
+    return df.withColumns({
+        "margin_pct": margin_pct("unit_price", "cost_price"),
+        "product_id": F.col("product_id").cast("long"),
+        "unit_price": F.col("unit_price").cast("double"),
+        "cost_price": F.col("cost_price").cast("double"),
+        "is_active": F.col("is_active").cast("boolean"),
+    })
 
 
 def clean_orders(raw: DataFrame, profile: str = "full") -> DataFrame:
     df = dedupe_latest(raw, "order_id", "updated_at")
+    order_date = F.col("order_date").cast("timestamp_ntz")
     if profile == "lite":
-        df = (df.filter(F.col("total_amount") >= 0)
-                .withColumn("order_date", F.col("order_date").cast("timestamp_ntz")))
-        return df.withColumns(date_parts("order_date", "order", with_day=False))
-    df = (df.filter(F.col("order_id").isNotNull())
-            .filter(F.col("customer_id").isNotNull())
-            .filter(F.col("total_amount") >= 0)
-            .withColumn("status", standardise_domain("status", ORDER_STATUSES, "unknown"))
-            .withColumn("order_date", F.col("order_date").cast("timestamp_ntz")))
-    return df.withColumns(date_parts("order_date", "order"))
+        df = df.filter(F.col("total_amount") >= 0)
+        return df.withColumns({"order_date": order_date,
+                               **date_parts(order_date, "order", with_day=False)})
+    df = df.filter(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
+                   & (F.col("total_amount") >= 0))
+    return df.withColumns({"status": standardise_domain("status", ORDER_STATUSES, "unknown"),
+                           "order_date": order_date, **date_parts(order_date, "order")})
 
 
 def clean_order_items(raw: DataFrame) -> DataFrame:
-    return (dedupe_latest(raw, "item_id", "created_at")
-            .filter(F.col("quantity") > 0)
-            .filter(F.col("line_total") >= 0)
-            .withColumn("item_id", F.col("item_id").cast("long"))
-            .withColumn("order_id", F.col("order_id").cast("long"))
-            .withColumn("product_id", F.col("product_id").cast("long"))
-            .withColumn("quantity", F.col("quantity").cast("int"))
-            .withColumn("unit_price", F.col("unit_price").cast("double"))
-            .withColumn("line_total", F.col("line_total").cast("double")))
+    df = (dedupe_latest(raw, "item_id", "created_at")
+          .filter((F.col("quantity") > 0) & (F.col("line_total") >= 0)))
+    casts = {"item_id": "long", "order_id": "long", "product_id": "long", "quantity": "int",
+             "unit_price": "double", "line_total": "double"}
+    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
 
 
 def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -22,11 +22,11 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
                   order_by: Sequence[str] | str = ()) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    columns = df.columns
+    rest = [c for c in columns if c not in keys and c not in order_by]
     ranked = order_by + rest
     if not ranked:
         return df.select(*keys).distinct()
-    packed = F.struct(*[F.col(f"`{c}`") for c in ranked])
-    best = df.groupBy(*keys).agg(F.max(packed).alias("__best"))
-    return best.select(*[F.col(f"`{c}`") if c in keys else F.col("__best")[c].alias(c)
-                         for c in df.columns])
+    packed = "max(struct({})) AS __best".format(", ".join(f"`{c}`" for c in ranked))
+    best = df.groupBy(*keys).agg(F.expr(packed))
+    return best.selectExpr(*[f"`{c}`" if c in keys else f"__best.`{c}` AS `{c}`" for c in columns])

@@ -18,12 +18,36 @@ from ..sources.fixtures import fixture_source
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Building blocks shared by one query are built once per query call (a
+# DataFrame is an immutable plan, so reusing it is safe); the cache lives
+# only for the duration of that call.
+_memo: dict | None = None
+
+
+def memo(*key):
+    def deco(build):
+        def cached(spark, sf_dir, *args):
+            if _memo is None:
+                return build(spark, sf_dir, *args)
+            k = (build.__name__, id(spark), sf_dir, *args)
+            if k not in _memo:
+                _memo[k] = build(spark, sf_dir, *args)
+            return _memo[k]
+        cached.__name__ = build.__name__
+        return cached
+    return deco
+
 
 def query(key: str):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            global _memo
             apply_required_conf(spark)
-            return fn(spark, sf_dir)
+            outer, _memo = _memo, {}
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _memo = outer
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
@@ -32,10 +56,12 @@ def query(key: str):
 
 
 # ---- shared building blocks -------------------------------------------------
+@memo()
 def raw(spark, sf_dir, table):
     return fixture_source(spark, sf_dir, table)
 
 
+@memo()
 def clean(spark, sf_dir, table, profile="full"):
     r = raw(spark, sf_dir, table)
     if table == "customers":
@@ -49,6 +75,7 @@ def clean(spark, sf_dir, table, profile="full"):
     raise KeyError(table)
 
 
+@memo()
 def enriched(spark, sf_dir, profile="full"):
     if profile == "lite":
         return M.enriched_items(raw(spark, sf_dir, "order_items"),
@@ -59,15 +86,18 @@ def enriched(spark, sf_dir, profile="full"):
                             clean(spark, sf_dir, "products"))
 
 
+@memo()
 def daily_sales(spark, sf_dir, profile="full"):
     return M.daily_sales(enriched(spark, sf_dir, profile))
 
 
+@memo()
 def product_performance(spark, sf_dir):
     return M.product_performance(clean(spark, sf_dir, "order_items"), clean(spark, sf_dir, "orders"),
                                  clean(spark, sf_dir, "products"))
 
 
+@memo()
 def customer_ltv(spark, sf_dir, profile="full"):
     return M.customer_ltv(clean(spark, sf_dir, "orders", profile),
                           clean(spark, sf_dir, "customers", profile), profile)
