@@ -6,9 +6,10 @@ into the Parquet scan / JDBC query.  Watermark state is a small table
 (table_name, last_extracted), one row per source table: bounded by the
 number of tables, so reading one value to the driver is fine.
 
-Commit protocol (at-least-once, made exact by dedupe): land the batch, then
-write the new state.  A crash in between re-extracts the same rows next
-time; ``dedupe_latest`` in cleaning absorbs the replay.
+Commit protocol (at-least-once, made exact by dedupe): land the batches,
+then append the new state version (the commit point).  A crash in between
+re-extracts the same rows next time; ``dedupe_latest`` in cleaning absorbs
+the replay.
 """
 
 from __future__ import annotations
@@ -95,13 +96,35 @@ def watermark_value(state: DataFrame, table: str) -> _dt.datetime:
     return row["last_extracted"]
 
 
+STATE_VERSIONS = "table_name string, last_extracted timestamp_ntz, version int"
+
+
+def ensure_state(spark: SparkSession, path: str) -> None:
+    """Create the state table if absent (appending zero rows is idempotent)."""
+    spark.createDataFrame([], STATE_VERSIONS).write.mode("append").partitionBy("version").parquet(path)
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(schemas.WATERMARK_STATE).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            return state_frame(spark, {})
-        raise
+    """Newest committed version of the watermark state (empty if none).
+
+    The state is append-only: every run writes a new ``version=<n>`` folder;
+    a version exists only once its write committed, so a crashed run leaves
+    the previous version in force.
+    """
+    ensure_state(spark, path)
+    versions = spark.read.schema(STATE_VERSIONS).parquet(path)
+    newest = versions.select(F.max("version")).scalar()
+    return versions.filter(F.col("version") == newest).select("table_name", "last_extracted")
+
+
+def commit_state(spark: SparkSession, path: str, state: DataFrame) -> int:
+    """Append ``state`` as the next version; returns the version number."""
+    ensure_state(spark, path)
+    current = spark.read.schema(STATE_VERSIONS).parquet(path).agg(F.max("version")).first()[0] or 0
+    version = int(current) + 1
+    (state.withColumn("version", F.lit(version)).coalesce(1)
+          .write.mode("append").partitionBy("version").parquet(path))
+    return version
 
 
 def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: str,
@@ -139,9 +162,7 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
                              or traceback.format_exc()[:1000]))
     batch_max = spark.createDataFrame(list(new_marks.items()), "table_name string, batch_max timestamp_ntz")
     new_state = advance(state, batch_max, sorted(set(TABLES) | set(tables)))
-    new_state.write.mode("overwrite").parquet(state_path + ".next")
-    committed = spark.read.parquet(state_path + ".next")
-    committed.write.mode("overwrite").parquet(state_path)
+    commit_state(spark, state_path, new_state)
     state.unpersist()
     return spark.createDataFrame(
         manifest, "table_name string, rows long, status string, path string, error string")
