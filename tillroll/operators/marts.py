@@ -106,7 +106,7 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
         # The mart is read twice by the rank (values, then join back): write
         # it once instead of running the join + aggregate twice.
         perf = materialize(perf, "product_performance")
-    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int")
+    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int", input_is_stored=pin)
 
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full") -> DataFrame:
