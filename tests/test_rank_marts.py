@@ -104,3 +104,25 @@ def test_product_rank_ties_share_and_gap(spark):
 def test_ltv_segment_thresholds(spark, value, segment):
     df = spark.createDataFrame([(value,)], "v double")
     assert df.select(ltv_segment("v")).first()[0] == segment
+
+
+def test_mart_units_reconcile_with_enriched_items(spark):
+    from conftest import SF_SMALL
+    from tillroll.plans import catalog
+    enriched = catalog.QUERIES["enriched_items"](spark, SF_SMALL)
+    mart = catalog.QUERIES["mart_daily_sales"](spark, SF_SMALL)
+    want = enriched.filter("status <> 'cancelled'").agg(F.sum("quantity")).first()[0]
+    assert mart.agg(F.sum("units_sold")).first()[0] == want
+
+
+def test_ordered_write_layout(spark):
+    from tillroll.session import scratch_path
+    from tillroll.sinks.writers import ordered_for_write
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
+    path = scratch_path(spark, "t_ordered")
+    ordered_for_write(df.repartition(5), "k").write.parquet(path)
+    import pyarrow.parquet as pq
+    import glob
+    files = sorted(glob.glob(path.replace("file:", "") + "/part-*.parquet"))
+    keys = [k for f in files for k in pq.read_table(f)["k"].to_pylist()]
+    assert keys == sorted(keys) and len(keys) == 5000

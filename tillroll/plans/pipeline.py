@@ -17,7 +17,8 @@ from .. import schemas
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..sinks.writers import register_tables, write_layer, write_orders_partitioned
+from ..sinks.writers import (ordered_for_write, register_tables, write_layer,
+                             write_orders_partitioned)
 from ..sources.extract import run_extract
 from ..sources.raw import read_raw_all
 
@@ -41,7 +42,7 @@ def process(spark: SparkSession, raw: dict[str, DataFrame], base: str) -> DataFr
     p = {name: spark.read.parquet(f"{base}/processed/{name}").drop("_processed_at") for name in PROCESSED}
     enriched = M.enriched_items(p["order_items"], p["orders"], p["products"])
     built = {
-        "daily_sales": M.daily_sales(enriched),
+        "daily_sales": ordered_for_write(M.daily_sales(enriched), "sale_date", "category"),
         "product_performance": M.product_performance(p["order_items"], p["orders"], p["products"]),
         "customer_ltv": M.customer_ltv(p["orders"], p["customers"]),
     }

@@ -42,6 +42,16 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return write_observed(df, path, "overwrite", partition_by)["rows"]
 
 
+def ordered_for_write(df: DataFrame, *cols: str) -> DataFrame:
+    """O1: files laid out in (cols) order without a single-task sort.
+
+    Range partitioning gives each task a contiguous key range and the
+    per-partition sort orders it, so reading the part files in name order
+    yields the full order.
+    """
+    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+
+
 def write_orders_partitioned(orders: DataFrame, path: str) -> int:
     """K3: clean orders partitioned by order_year / order_month.
 
