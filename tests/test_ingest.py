@@ -102,4 +102,16 @@ def test_drifting_raw_batches_read_with_declared_schema(spark):
     spark.createDataFrame([(3, None)], "item_id long, order_id string").write.parquet(f"{root}/order_items/b=2")
     with pytest.raises(Exception):
         spark.read.parquet(f"{root}/order_items").collect()
-    assert S.TS_COLUMNS["order_items"] == "created_at"
+
+
+def test_extract_lands_declared_types(spark, sources):
+    root = scratch_path(spark, "t_declared")
+    drifting = dict(sources)
+    # A source whose quantity arrives as BIGINT: landed as the declared INT.
+    drifting["order_items"] = sources["order_items"].withColumn("quantity", F.col("quantity").cast("long"))
+    S.run_extract(spark, drifting, f"{root}/raw", f"{root}/state", tables=["orders", "order_items"],
+                  fail_on_error=True)
+    import glob
+    import pyarrow.parquet as pq
+    files = glob.glob(root.replace("file:", "") + "/raw/order_items/*/*.parquet")
+    assert files and all(str(pq.read_schema(f).field("quantity").type) == "int32" for f in files)

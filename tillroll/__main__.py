@@ -9,9 +9,10 @@
 
 ``--sf-dir`` points at the driver-style base tables (read through the fixture
 adapter).  ``--lake`` is any Hadoop URI shared by the cluster; it defaults to
-a folder under ``spark.checkpoint.dir``.  On a cluster, submit with
-``spark-submit -m tillroll`` style launchers; the session comes from the
-platform (``--master`` only matters locally).
+a folder under ``spark.checkpoint.dir``.  On a cluster, ship the package
+(``--py-files tillroll.zip``) and run ``spark-submit submit.py <command>``;
+the session then comes from the platform (``--master`` here only matters for
+local runs).
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sinks.writers import land_raw
+from ..sinks.writers import conform, land_raw
 
 EPOCH = _dt.datetime(1970, 1, 1)
 
@@ -144,7 +144,9 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
     for table in tables:
         try:
             wm = watermark_value(state, table)
-            batch = extract(sources, table, wm)
+            # Land with the declared schema so raw types cannot drift between
+            # batches (an unsafe cast fails here instead of at read time).
+            batch = conform(extract(sources, table, wm), schemas.SOURCES[table])
             ts_col = TS_COLUMNS[table]
             info = land_raw(batch, raw_base, table, ingest_date, ts_col)
             if info["rows"] == 0:
