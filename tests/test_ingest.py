@@ -115,3 +115,25 @@ def test_extract_lands_declared_types(spark, sources):
     import pyarrow.parquet as pq
     files = glob.glob(root.replace("file:", "") + "/raw/order_items/*/*.parquet")
     assert files and all(str(pq.read_schema(f).field("quantity").type) == "int32" for f in files)
+
+
+def test_backlog_is_consumed_in_bounded_batches(spark, sources):
+    root = scratch_path(spark, "t_batches")
+    clicks = sources["clickstream"]
+    for day in range(3):
+        K.land_raw(clicks.filter(F.col("event_id") % 3 == day), f"{root}/raw", "clickstream",
+                   f"2024-02-0{day + 1}")
+    rows = ingest_available_now(spark, f"{root}/raw/clickstream", schemas.CLICKSTREAM,
+                                f"{root}/sink", f"{root}/ckpt", max_files_per_batch=1)
+    assert rows == clicks.count()
+    import glob
+    batches = glob.glob(root.replace("file:", "") + "/sink/batch_id=*")
+    assert len(batches) >= 3
+
+
+def test_parent_policy_advances_on_order_stamp(spark, sources):
+    wm = dt.datetime(1998, 1, 1)
+    hw = S.batch_high_water(sources, "order_items", wm, "parent").first()["batch_max"]
+    want = (sources["orders"].join(sources["order_items"].select("order_id"), "order_id", "left_semi")
+            .filter(F.col("updated_at") > F.lit(wm).cast("timestamp_ntz")).agg(F.max("updated_at")).first()[0])
+    assert hw == want

@@ -59,8 +59,8 @@ def batch_high_water(sources: dict[str, DataFrame], table: str, watermark,
     if table == "order_items" and ts_policy == "parent":
         wm = F.lit(watermark).cast("timestamp_ntz")
         changed = sources["orders"].filter(F.col("updated_at") > wm)
-        items = sources["order_items"].select("order_id").distinct()
-        hw = changed.join(items, "order_id", "left_semi").agg(F.max("updated_at").alias("batch_max"))
+        with_items = changed.join(sources["order_items"].select("order_id"), "order_id", "left_semi")
+        hw = with_items.agg(F.max("updated_at").alias("batch_max"))
     else:
         hw = extract(sources, table, watermark).agg(F.max(TS_COLUMNS[table]).alias("batch_max"))
     return hw.select(F.lit(table).alias("table_name"), "batch_max")

@@ -15,26 +15,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.dedupe import dedupe_latest
+from ..sinks.writers import write_observed
+
 
 def ingest_available_now(spark: SparkSession, source_dir: str, schema: StructType,
                          sink_dir: str, checkpoint_dir: str, dedupe_key: str | None = None,
-                         order_col: str | None = None) -> int:
-    """Process every file not yet seen, then stop.  Returns rows written."""
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+                         order_col: str | None = None, max_files_per_batch: int = 1000) -> int:
+    """Process every file not yet seen, then stop.  Returns rows written.
+
+    A large backlog is consumed in micro-batches of at most
+    ``max_files_per_batch`` files (``availableNow`` honours the limit), so no
+    single batch has to hold the whole backlog.
+    """
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_batch)
+              .parquet(source_dir))
+
+    written: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch
         if dedupe_key:
-            from ..operators.dedupe import dedupe_latest
             out = dedupe_latest(batch, dedupe_key, order_col or ())
-        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        # Rows counted during the write itself (the progress log keeps only
+        # the most recent batches).
+        written.append(write_observed(out, f"{sink_dir}/batch_id={batch_id}", "overwrite")["rows"])
 
     query = (stream.writeStream.trigger(availableNow=True)
              .option("checkpointLocation", checkpoint_dir)
              .foreachBatch(write_batch).start())
     query.awaitTermination()
-    progress = query.recentProgress
-    return int(sum(p["numInputRows"] for p in progress)) if progress else 0
+    return int(sum(written))
 
 
 def read_sink(spark: SparkSession, sink_dir: str, schema: StructType) -> DataFrame:
