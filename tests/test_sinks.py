@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll import schemas
+from tillroll.session import scratch_path
+from tillroll.sinks import writers as K
+
+
+def _daily(spark):
+    return spark.createDataFrame(
+        [("2000-01-01", "A", 1, 2, 10.0, 6.0, 4.0, 40.0, 5.0)],
+        "sale_date string, category string, num_orders long, units_sold long, gross_revenue double, "
+        "total_cost double, gross_profit double, margin_pct double, avg_discount_pct double",
+    ).withColumn("sale_date", F.to_date("sale_date"))
+
+
+def test_full_refresh_skips_missing_or_empty_folder(spark):
+    root = scratch_path(spark, "t_k4")
+    assert K.load_full_refresh(spark, f"{root}/nothing", "t_k4_missing", f"{root}/wh",
+                               schemas.DAILY_SALES) is None
+
+
+def test_full_refresh_replaces_and_upper_cases(spark):
+    root = scratch_path(spark, "t_k4b")
+    K.write_layer(_daily(spark), f"{root}/mart")
+    K.write_layer(_daily(spark).withColumn("category", F.lit("B")), f"{root}/mart")  # overwrite
+    out = K.load_full_refresh(spark, f"{root}/mart", "t_k4_daily", f"{root}/wh", schemas.DAILY_SALES)
+    assert out.columns == [f.name.upper() for f in schemas.DAILY_SALES.fields]
+    assert [r["CATEGORY"] for r in out.collect()] == ["B"]
+
+
+def test_conform_reorders_matches_case_and_drops_extras(spark):
+    messy = _daily(spark).select(*[F.col(c).alias(c.upper()) for c in reversed(_daily(spark).columns)],
+                                 F.lit(1).alias("EXTRA"))
+    out = K.conform(messy, schemas.DAILY_SALES)
+    assert out.schema == schemas.DAILY_SALES
+
+
+def test_conform_rejects_unsafe_cast(spark):
+    bad = _daily(spark).withColumn("num_orders", F.lit("many"))
+    with pytest.raises(Exception):
+        K.conform(bad, schemas.DAILY_SALES).collect()
+
+
+def test_publish_manifest_counts_rows(spark):
+    lake = scratch_path(spark, "t_k7")
+    manifest = K.publish({("marts", "daily_sales"): _daily(spark),
+                          ("processed", "x"): spark.range(7)}, lake)
+    assert [(m["layer"], m["dataset"], m["rows"]) for m in manifest] == [
+        ("marts", "daily_sales", 1), ("processed", "x", 7)]
+    assert spark.read.parquet(f"{lake}/processed/x").count() == 7
+
+
+def test_register_tables_reads_back(spark):
+    root = scratch_path(spark, "t_k9")
+    tables = K.register_tables(spark, {"daily_sales": _daily(spark)}, "t_k9_db", root)
+    assert spark.table("t_k9_db.daily_sales").count() == 1 == tables["daily_sales"].count()
+
+
+def test_write_observed_counts_without_second_job(spark):
+    path = scratch_path(spark, "t_obs")
+    info = K.write_observed(spark.range(123).withColumn("ts", F.current_timestamp()), path, max_col="id")
+    assert info == {"rows": 123, "max": 122}
