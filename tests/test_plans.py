@@ -27,3 +27,31 @@ def test_scan_reads_only_needed_columns(spark):
     df = catalog.QUERIES["report_category_margin"](spark, SF_SMALL)
     plan = _plan(df)
     assert "l_returnflag" not in plan and "l_tax" not in plan
+
+
+def test_bucketed_items_join_shuffles_only_orders(spark):
+    import re
+    from pyspark.sql import functions as F
+    from tillroll.operators import clean as C
+    from tillroll.operators.marts import daily_sales, enriched_items
+    from tillroll.session import scratch_path
+    from tillroll.sinks.writers import write_bucketed
+    src = fixture_sources(spark, SF_SMALL, ["products", "orders", "order_items"])
+    base = scratch_path(spark, "t_bucket")
+    write_bucketed(C.clean_order_items(src["order_items"]), "t_bucket_items", f"{base}/items", "order_id", 8)
+    items = spark.table("t_bucket_items")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        products = F.broadcast(C.clean_products(src["products"]))
+        df = daily_sales(enriched_items(items, C.clean_orders(src["orders"]), products))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", plan)
+    # orders: dedupe shuffle (already on order_id, reused by the join); products:
+    # dedupe; final (day, category) aggregate.  No exchange re-keys the items.
+    assert exchanges.count("item_id") == 0 and exchanges.count("order_id") == 1
