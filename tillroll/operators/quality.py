@@ -186,23 +186,43 @@ def gate(results: DataFrame) -> list[str]:
     return [r["name"] for r in failed]
 
 
+# The constraints declared by the source schema.
+SOURCE_NOT_NULL = {
+    "customers": ["first_name", "last_name", "email", "signup_date"],
+    "products": ["product_name", "category", "unit_price", "cost_price"],
+    "orders": ["order_date", "status"],
+    "order_items": ["quantity", "unit_price"],
+}
+SOURCE_PRIMARY_KEYS = {"customers": "customer_id", "products": "product_id",
+                       "orders": "order_id", "order_items": "item_id"}
+SOURCE_UNIQUE = {"customers": ["email"]}
+SOURCE_FOREIGN_KEYS = [("orders", "customer_id", "customers"),
+                       ("order_items", "order_id", "orders"),
+                       ("order_items", "product_id", "products")]
+
+
+def source_constraint_checks(table: str) -> list[Check]:
+    checks = no_nulls(table, SOURCE_NOT_NULL[table]) + unique(table, SOURCE_PRIMARY_KEYS[table])
+    for col in SOURCE_UNIQUE.get(table, []):
+        checks += unique(table, col)
+    return checks
+
+
 def referential_integrity(customers: DataFrame, products: DataFrame, orders: DataFrame,
                           items: DataFrame) -> DataFrame:
-    """Q10: source constraints (FK via anti joins, NOT NULL, UNIQUE, PK)."""
-    def orphans(name, child, parent, key):
-        n = child.select(key).join(parent.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("m"))
-        return _fk_row(n, name, key)
-
-    parts = [
-        orphans("orders_customer_id_fk", orders, customers, "customer_id"),
-        orphans("order_items_order_id_fk", items, orders, "order_id"),
-        orphans("order_items_product_id_fk", items, products, "product_id"),
-        run_suite(customers, [*no_nulls("customers", ["email", "first_name"]),
-                              *unique("customers", "email"), *unique("customers", "customer_id")]),
-        run_suite(products, unique("products", "product_id")),
-        run_suite(orders, [*no_nulls("orders", ["customer_id"]), *unique("orders", "order_id")]),
-        run_suite(items, unique("order_items", "item_id")),
-    ]
+    """Q10: the source schema's constraints, checked on the clean tables.
+
+    NOT NULL / PRIMARY KEY / UNIQUE are one aggregation pass per table;
+    each FOREIGN KEY is one left-anti join (child keys without a parent).
+    """
+    frames = {"customers": customers, "products": products, "orders": orders, "order_items": items}
+    parts = []
+    for child, key, parent in SOURCE_FOREIGN_KEYS:
+        orphans = (frames[child].select(key).join(frames[parent].select(key), key, "left_anti")
+                   .agg(F.count(F.lit(1)).alias("m")))
+        parts.append(_fk_row(orphans, f"{child}_{key}_fk", key))
+    for table, df in frames.items():
+        parts.append(run_suite(df, source_constraint_checks(table)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -397,7 +397,8 @@ SELECT order_id, CAST(date_trunc('month', order_date) AS DATE) AS order_month_st
 
 
 # ---- registrations: data quality -----------------------------------------------
-DOUBLE_COLUMNS = {"gross_revenue", "gross_profit", "total_revenue", "lifetime_value", "total_amount"}
+DOUBLE_COLUMNS = {"gross_revenue", "gross_profit", "total_revenue", "lifetime_value", "total_amount",
+                  "unit_price", "cost_price"}
 
 
 def _check_sql(table: str, src: str, kind: str, column: str | None, severity: str,
@@ -487,120 +488,18 @@ def _fk_sql(name: str, table: str, key: str, child: str, parent: str) -> str:
             f"(SELECT 1 FROM {parent} pa WHERE pa.{key} = ch.{key})) x")
 
 
-register("dq_referential_integrity", _union([
+_SRC_NOT_NULL = {"customers": ["first_name", "last_name", "email", "signup_date"],
+                 "products": ["product_name", "category", "unit_price", "cost_price"],
+                 "orders": ["order_date", "status"], "order_items": ["quantity", "unit_price"]}
+_SRC_PK = {"customers": "customer_id", "products": "product_id", "orders": "order_id",
+           "order_items": "item_id"}
+_ri = [
     _fk_sql("orders_customer_id_fk", "orders", "customer_id", "clean_orders", "clean_customers"),
     _fk_sql("order_items_order_id_fk", "order_items", "order_id", "clean_order_items", "clean_orders"),
     _fk_sql("order_items_product_id_fk", "order_items", "product_id", "clean_order_items", "clean_products"),
-    _check_sql("customers", "clean_customers", "no_nulls", "email", "critical"),
-    _check_sql("customers", "clean_customers", "no_nulls", "first_name", "critical"),
-    _check_sql("customers", "clean_customers", "unique", "email", "critical"),
-    _check_sql("customers", "clean_customers", "unique", "customer_id", "critical"),
-    _check_sql("products", "clean_products", "unique", "product_id", "critical"),
-    _check_sql("orders", "clean_orders", "no_nulls", "customer_id", "critical"),
-    _check_sql("orders", "clean_orders", "unique", "order_id", "critical"),
-    _check_sql("order_items", "clean_order_items", "unique", "item_id", "critical"),
-]))
-
-
-# ---- registrations: ingestion --------------------------------------------------
-WM = {"customers": "1994-07-01", "products": "1994-07-01", "orders": "1998-01-01",
-      "order_items": "1998-01-01", "clickstream": "2024-01-15"}
-
-
-def _ts(v: str) -> str:
-    return f"TIMESTAMP '{v}'"
-
-
-register("extract_customers", f"SELECT * FROM src_customers WHERE updated_at > {_ts(WM['customers'])}")
-register("extract_products", f"SELECT * FROM src_products WHERE updated_at > {_ts(WM['products'])}")
-register("extract_orders", f"SELECT * FROM src_orders WHERE updated_at > {_ts(WM['orders'])}")
-register("extract_order_items", f"""
-SELECT i.* FROM src_order_items i JOIN src_orders o ON i.order_id = o.order_id
-WHERE o.updated_at > {_ts(WM['order_items'])}""")
-register("extract_clickstream", f"SELECT * FROM src_clickstream WHERE event_timestamp > {_ts(WM['clickstream'])}")
-
-_OLD = {t: v for t, v in WM.items() if t != "products"}
-_old_rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, {_ts(v)} AS last_extracted"
-                               for t, v in _OLD.items())
-_all_tables = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in WM)
-_EPOCH = "TIMESTAMP '1970-01-01'"
-
-
-def _batch_max(table: str) -> str:
-    old = _ts(_OLD[table]) if table in _OLD else _EPOCH
-    if table == "order_items":
-        return (f"SELECT max(i.created_at) FROM src_order_items i JOIN src_orders o "
-                f"ON i.order_id = o.order_id WHERE o.updated_at > {old}")
-    ts = {"customers": "updated_at", "products": "updated_at", "orders": "updated_at",
-          "clickstream": "event_timestamp"}[table]
-    return f"SELECT max({ts}) FROM src_{table} WHERE {ts} > {old}"
-
-
-_bm_rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, ({_batch_max(t)}) AS batch_max" for t in WM)
-
-register("watermark_advance", f"""
-SELECT a.table_name,
-       CASE WHEN b.batch_max IS NULL THEN a.last_extracted
-            ELSE greatest(a.last_extracted, b.batch_max) END AS last_extracted
-FROM (SELECT t.table_name, COALESCE(o.last_extracted, {_EPOCH}) AS last_extracted
-      FROM ({_all_tables}) t LEFT JOIN ({_old_rows}) o ON t.table_name = o.table_name) a
-LEFT JOIN ({_bm_rows}) b ON a.table_name = b.table_name""")
-
-register("extract_stream_available_now", "SELECT * FROM src_clickstream")
-register("raw_read_all", "SELECT * FROM src_orders")
-register("raw_row_counts", """
-SELECT 'customers' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM src_customers
-UNION ALL SELECT 'products', CAST(count(*) AS BIGINT) FROM src_products
-UNION ALL SELECT 'orders', CAST(count(*) AS BIGINT) FROM src_orders
-UNION ALL SELECT 'order_items', CAST(count(*) AS BIGINT) FROM src_order_items""")
-register("union_by_name_read", f"""
-SELECT order_id, customer_id, order_date, status, CAST(NULL AS VARCHAR) AS payment_method, shipping_city,
-       shipping_country, discount_pct, total_amount, created_at, updated_at
-FROM src_orders WHERE updated_at <= {_ts(WM['orders'])}
-UNION ALL
-SELECT {', '.join(ORD_COLS)} FROM src_orders WHERE updated_at > {_ts(WM['orders'])}""")
-register("extract_manifest", """
-SELECT 'customers' AS table_name, CAST(count(*) AS BIGINT) AS rows, 'success' AS status FROM src_customers
-UNION ALL SELECT 'products', CAST(count(*) AS BIGINT), 'success' FROM src_products
-UNION ALL SELECT 'orders', CAST(count(*) AS BIGINT), 'success' FROM src_orders
-UNION ALL SELECT 'order_items', CAST(count(*) AS BIGINT), 'success'
-          FROM src_order_items i WHERE EXISTS (SELECT 1 FROM src_orders o WHERE o.order_id = i.order_id)
-UNION ALL SELECT 'clickstream', CAST(count(*) AS BIGINT), 'success' FROM src_clickstream""")
-
-
-# ---- registrations: sinks ---------------------------------------------------------
-register("land_raw", "SELECT *, DATE '2024-02-01' AS ingest_date FROM src_clickstream")
-register("write_layer", "SELECT * FROM clean_products")
-register("write_orders_partitioned", "SELECT * FROM clean_orders")
-register("load_mart_full_refresh", """
-SELECT sale_date AS SALE_DATE, category AS CATEGORY, num_orders AS NUM_ORDERS, units_sold AS UNITS_SOLD,
-       gross_revenue AS GROSS_REVENUE, total_cost AS TOTAL_COST, gross_profit AS GROSS_PROFIT,
-       margin_pct AS MARGIN_PCT, avg_discount_pct AS AVG_DISCOUNT_PCT
-FROM daily_sales""")
-register("load_by_name_permissive", "SELECT * FROM clean_order_items WHERE discount_pct <> 0")
-register("mart_schema_conform", "SELECT * FROM daily_sales")
-register("publish_layers", """
-SELECT 'processed' AS layer, 'orders' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM clean_orders
-UNION ALL SELECT 'processed', 'order_items', CAST(count(*) AS BIGINT) FROM clean_order_items
-UNION ALL SELECT 'marts', 'daily_sales', CAST(count(*) AS BIGINT) FROM daily_sales
-UNION ALL SELECT 'marts', 'customer_ltv', CAST(count(*) AS BIGINT) FROM customer_ltv""")
-register("register_mart_tables", "SELECT * FROM daily_sales_lite")
-
-
-# ---- registrations: pipelines ------------------------------------------------------
-_PROCESS_COUNTS = """
-SELECT 'processed' AS layer, 'customers' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM clean_customers
-UNION ALL SELECT 'processed', 'products', CAST(count(*) AS BIGINT) FROM clean_products
-UNION ALL SELECT 'processed', 'orders', CAST(count(*) AS BIGINT) FROM clean_orders
-UNION ALL SELECT 'processed', 'order_items', CAST(count(*) AS BIGINT) FROM clean_order_items
-UNION ALL SELECT 'marts', 'daily_sales', CAST(count(*) AS BIGINT) FROM daily_sales
-UNION ALL SELECT 'marts', 'product_performance', CAST(count(*) AS BIGINT) FROM product_perf
-UNION ALL SELECT 'marts', 'customer_ltv', CAST(count(*) AS BIGINT) FROM customer_ltv"""
-register("pipeline_process", _PROCESS_COUNTS)
-register("pipeline_full", f"""
-SELECT 'extract' AS stage, table_name AS dataset, rows, status FROM ({ORACLE['extract_manifest'].replace('WITH ', 'WITH ', 1)}) e
-UNION ALL SELECT 'process', dataset, rows, 'success' FROM ({_PROCESS_COUNTS}) p
-UNION ALL SELECT 'quality', 'checks', CAST(18 AS BIGINT), 'success'
-UNION ALL SELECT 'publish', 'daily_sales', CAST(count(*) AS BIGINT), 'success' FROM daily_sales
-UNION ALL SELECT 'publish', 'product_performance', CAST(count(*) AS BIGINT), 'success' FROM product_perf
-UNION ALL SELECT 'publish', 'customer_ltv', CAST(count(*) AS BIGINT), 'success' FROM customer_ltv""")
+]
+for _t, _cols in _SRC_NOT_NULL.items():
+    _ri += [_check_sql(_t, f"clean_{_t}", "no_nulls", c, "critical") for c in _cols]
+    _ri.append(_check_sql(_t, f"clean_{_t}", "unique", _SRC_PK[_t], "critical"))
+_ri.append(_check_sql("customers", "clean_customers", "unique", "email", "critical"))
+register("dq_referential_integrity", _union(_ri))
