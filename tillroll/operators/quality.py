@@ -15,6 +15,7 @@ Semantics kept from the pandas originals:
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from .clean import LTV_SEGMENTS
 
+log = logging.getLogger("tillroll")
+
 
 @dataclass(frozen=True)
 class Check:
@@ -180,6 +183,10 @@ def gate(results: DataFrame) -> list[str]:
     failed = (results.filter(~F.col("passed")).select("name", "severity")
                      .orderBy("severity", "name").collect())
     critical = [r["name"] for r in failed if r["severity"] == "critical"]
+    warnings = [r["name"] for r in failed if r["severity"] != "critical"]
+    if warnings:
+        log.warning("%d warning-level checks failed (pipeline continues): %s",
+                    len(warnings), ", ".join(warnings))
     if critical:
         raise QualityGateError(
             f"DATA QUALITY FAILURE: {len(critical)} critical checks failed: " + ", ".join(critical))

@@ -8,6 +8,7 @@ Hadoop URIs (local, HDFS, ``s3a://`` ...): the same code publishes to a lake.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +17,8 @@ from pyspark.sql.types import StructType
 
 from ..functions import try_cast_to
 
+log = logging.getLogger("tillroll")
+
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_by: list[str] | None = None, max_col: str | None = None,
@@ -118,9 +121,11 @@ def load_full_refresh(spark: SparkSession, source_path: str, table: str, target_
         mart = spark.read.parquet(source_path)
     except Exception as e:  # noqa: BLE001 -- missing folder: skip with a warning
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            log.warning("%s not found -- skipping load of %s", source_path, table)
             return None
         raise
     if not mart.inputFiles():
+        log.warning("no Parquet files in %s -- skipping load of %s", source_path, table)
         return None
     out = conform(mart, schema)
     if upper:
