@@ -102,11 +102,13 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
     perf = per_product.join(products.select(*PRODUCT_ATTRS), "product_id").select(
         *PRODUCT_ATTRS, "num_orders", "total_units_sold", "total_revenue", "avg_selling_price",
         "avg_discount_pct", "unique_customers")
+    rows = None
     if pin:
         # The mart is read twice by the rank (values, then join back): write
         # it once instead of running the join + aggregate twice.
-        perf = materialize(perf, "product_performance")
-    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int", input_is_stored=pin)
+        perf, rows = materialize(perf, "product_performance", with_rows=True)
+    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int",
+                       input_is_stored=pin, input_rows=rows)
 
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full") -> DataFrame:

@@ -37,18 +37,24 @@ def _order(col: str, descending: bool) -> Column:
 def rank_table(df: DataFrame, col: str, rank_col: str = "rank", descending: bool = True,
                single_task_limit: int = SINGLE_TASK_LIMIT,
                num_ranges: int | None = None, rank_type: str = "long",
-               input_is_stored: bool = False) -> tuple[DataFrame, bool]:
+               input_is_stored: bool = False,
+               input_rows: int | None = None) -> tuple[DataFrame, bool]:
     """(value, rank) for every distinct value of ``col``; also returns
     whether the table is small enough (checked) to broadcast.
 
     ``input_is_stored``: ``df`` is a plain scan of written files, so the
     counts are cheap to recompute and are not written to a stage table.
+    ``input_rows``: a known row count of ``df`` (an upper bound on its
+    distinct values), which saves the counting job when it is small.
     """
     spark = df.sparkSession
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
     if not input_is_stored:
         counts = materialize(counts, "rank_counts")
-    n_distinct = counts.count()
+    if input_rows is not None and input_rows <= single_task_limit:
+        n_distinct = input_rows
+    else:
+        n_distinct = counts.count()
     before = Window.orderBy(_order(col, descending)).rowsBetween(Window.unboundedPreceding, -1)
     if n_distinct <= single_task_limit:
         ranks = counts.select(
@@ -72,13 +78,13 @@ def rank_table(df: DataFrame, col: str, rank_col: str = "rank", descending: bool
 def global_rank(df: DataFrame, col: str, rank_col: str = "rank", descending: bool = True,
                 single_task_limit: int = SINGLE_TASK_LIMIT,
                 num_ranges: int | None = None, rank_type: str = "long",
-                input_is_stored: bool = False) -> DataFrame:
+                input_is_stored: bool = False, input_rows: int | None = None) -> DataFrame:
     """``df`` with ``rank_col`` = SQL rank() over the whole frame by ``col``.
 
     ``rank_type`` is LONG by default: row-level ranks at scale exceed INT.
     """
     ranks, small = rank_table(df, col, "__rank", descending, single_task_limit, num_ranges,
-                              rank_type, input_is_stored)
+                              rank_type, input_is_stored, input_rows)
     ranks = ranks.withColumnRenamed(col, "__value")
     if small:
         ranks = F.broadcast(ranks)

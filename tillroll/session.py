@@ -90,15 +90,21 @@ def ensure_parent(path: str) -> None:
         os.makedirs(path.replace("file:", ""), exist_ok=True)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", with_rows: bool = False):
     """Write ``df`` once to the shared folder and return the read-back frame.
 
     Cuts the lineage in one pass (``checkpoint()`` computes its input twice
     unless it is cached first) and survives executor loss: later stages
     re-read files instead of recomputing the plan.  Row order inside the
     files is fixed, so anything sampled from the result is reproducible.
+    With ``with_rows`` also returns the row count, observed during the write.
     """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    return (out, int(obs.get["rows"])) if with_rows else out
