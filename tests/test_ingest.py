@@ -137,3 +137,13 @@ def test_parent_policy_advances_on_order_stamp(spark, sources):
     want = (sources["orders"].join(sources["order_items"].select("order_id"), "order_id", "left_semi")
             .filter(F.col("updated_at") > F.lit(wm).cast("timestamp_ntz")).agg(F.max("updated_at")).first()[0])
     assert hw == want
+
+
+def test_stream_batches_can_dedupe_keyed_tables(spark, sources):
+    root = scratch_path(spark, "t_stream_dd")
+    orders = sources["orders"]
+    K.land_raw(orders, f"{root}/raw", "orders", "2024-02-01")
+    K.land_raw(orders.filter("order_id % 2 = 0"), f"{root}/raw", "orders", "2024-02-02")  # replayed rows
+    n = ingest_available_now(spark, f"{root}/raw/orders", schemas.ORDERS, f"{root}/sink", f"{root}/ckpt",
+                             dedupe_key="order_id", order_col="updated_at", max_files_per_batch=100)
+    assert n == orders.count()

@@ -1,0 +1,54 @@
+"""Property tests: custom operators equal their plain-Spark definitions."""
+import decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tillroll.functions import money_round
+from tillroll.operators.dedupe import dedupe_latest
+from tillroll.operators.rank import global_rank
+
+SETTINGS = settings(max_examples=12, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+values = st.one_of(st.none(), st.integers(-5, 5).map(float), st.sampled_from([0.5, 1e9, -0.25]))
+
+
+@SETTINGS
+@given(st.lists(values, min_size=1, max_size=60), st.booleans(), st.integers(0, 1))
+def test_global_rank_equals_window_rank(spark, vals, desc, small):
+    df = spark.createDataFrame(list(enumerate(vals)), "id long, v double")
+    got = {r["id"]: r["rk"] for r in global_rank(
+        df, "v", "rk", descending=desc, single_task_limit=10_000 if small else 0,
+        num_ranges=3).collect()}
+    order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
+    want = {r["id"]: r["rk"] for r in df.select("id", F.rank().over(Window.orderBy(order)).alias("rk")).collect()}
+    assert got == want
+
+
+rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3),
+                          st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), st.integers(-2, 2)),
+                min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows)
+def test_dedupe_equals_row_number_definition(spark, data):
+    df = spark.createDataFrame(data, "k long, ts long, s string, x long")
+    got = sorted(dedupe_latest(df, "k", "ts").collect(), key=repr)
+    w = Window.partitionBy("k").orderBy(*[F.col(c).desc_nulls_last() for c in ("ts", "s", "x")])
+    want = sorted(df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn").collect(), key=repr)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.decimals(min_value=-10**6, max_value=10**6, places=6, allow_nan=False),
+                min_size=1, max_size=30))
+def test_money_round_is_half_up_of_six_decimals(spark, nums):
+    df = spark.createDataFrame([(float(n),) for n in nums], "x double")
+    got = [r[0] for r in df.select(money_round("x")).collect()]
+    for n, g in zip(nums, got):
+        six = decimal.Decimal(repr(float(n))).quantize(decimal.Decimal("0.000001"), decimal.ROUND_HALF_UP)
+        assert g == float(six.quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP))
