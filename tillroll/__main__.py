@@ -1,7 +1,7 @@
 """Command line: the daily run paths as Spark jobs.
 
     python -m tillroll extract --sf-dir D --lake L     # incremental extract -> raw
-    python -m tillroll process --lake L                # raw -> processed -> marts
+    python -m tillroll process --lake L [--incremental] # raw -> processed -> marts
     python -m tillroll quality --lake L                # audit marts (raises on critical)
     python -m tillroll publish --lake L                # register marts as tables
     python -m tillroll full    --sf-dir D --lake L     # extract -> process -> audit -> publish
@@ -58,6 +58,8 @@ def main(argv=None) -> int:
     ap.add_argument("--shuffle-partitions", type=int, default=8)
     ap.add_argument("--show", type=int, default=20)
     ap.add_argument("--floors", default=None, help='JSON, e.g. {"customer_ltv": 100}')
+    ap.add_argument("--incremental", action="store_true",
+                    help="process from per-key latest tables instead of the whole raw history")
     args = ap.parse_args(argv)
 
     spark = _session(args)
@@ -68,9 +70,12 @@ def main(argv=None) -> int:
         _print(run_extract(spark, fixture_sources(spark, args.sf_dir), f"{lake}/raw",
                            f"{lake}/state/watermarks"), args.show)
     elif args.command == "process":
-        raw = {t: read_raw_all(spark, f"{lake}/raw", t, schemas.SOURCES[t]).drop("ingest_date")
-               for t in pipeline.PROCESSED}
-        _print(pipeline.process(spark, raw, lake), args.show)
+        if args.incremental:
+            raw = pipeline.refresh_latest(spark, lake)
+        else:
+            raw = {t: read_raw_all(spark, f"{lake}/raw", t, schemas.SOURCES[t]).drop("ingest_date")
+                   for t in pipeline.PROCESSED}
+        _print(pipeline.process(spark, raw, lake, deduped=args.incremental), args.show)
     elif args.command == "quality":
         marts = {m: Q.read_mart(spark, f"{lake}/marts/{m}") for m in pipeline.MART_NAMES}
         marts = {m: (df.drop("_processed_at") if "_processed_at" in df.columns else df)
@@ -85,7 +90,7 @@ def main(argv=None) -> int:
         print(json.dumps({name: f"{args.database}.{name}" for name in tables}))
     elif args.command == "full":
         _print(pipeline.run_full(spark, fixture_sources(spark, args.sf_dir), lake, floors,
-                                 args.database), 100)
+                                 args.database, incremental=args.incremental), 100)
     elif args.command == "query":
         if args.key not in catalog.QUERIES:
             print(f"unknown query {args.key!r}; known: {', '.join(sorted(catalog.QUERIES))}")

@@ -3,6 +3,8 @@
 Step order is part of the semantics: dedupe runs first, filters after, so a
 newest version that fails a filter removes the key entirely.  ``profile=
 "lite"`` gives the notebook variants (fewer filters, no casts).
+``deduped=True`` skips step 1 for input that is already one newest row per
+key (the incrementally maintained latest tables).
 """
 
 from __future__ import annotations
@@ -21,8 +23,12 @@ DEVICE_TYPES = ("desktop", "mobile", "tablet")
 LTV_SEGMENTS = ("VIP", "High", "Medium", "Low")
 
 
-def clean_customers(raw: DataFrame, profile: str = "full") -> DataFrame:
-    df = dedupe_latest(raw, "customer_id", "updated_at").filter(F.col("email").isNotNull())
+def _latest(raw: DataFrame, key: str, ts: str, deduped: bool) -> DataFrame:
+    return raw if deduped else dedupe_latest(raw, key, ts)
+
+
+def clean_customers(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
+    df = _latest(raw, "customer_id", "updated_at", deduped).filter(F.col("email").isNotNull())
     if profile != "lite":
         df = df.filter(F.col("first_name").isNotNull())
     derived = {
@@ -38,8 +44,8 @@ def clean_customers(raw: DataFrame, profile: str = "full") -> DataFrame:
     return df.withColumns(derived)
 
 
-def clean_products(raw: DataFrame, profile: str = "full") -> DataFrame:
-    df = dedupe_latest(raw, "product_id", "updated_at")
+def clean_products(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
+    df = _latest(raw, "product_id", "updated_at", deduped)
     if profile == "lite":
         df = df.filter(F.col("unit_price") > 0)
         return df.withColumns({"margin_pct": margin_pct("unit_price", "cost_price")})
@@ -53,8 +59,8 @@ def clean_products(raw: DataFrame, profile: str = "full") -> DataFrame:
     })
 
 
-def clean_orders(raw: DataFrame, profile: str = "full") -> DataFrame:
-    df = dedupe_latest(raw, "order_id", "updated_at")
+def clean_orders(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
+    df = _latest(raw, "order_id", "updated_at", deduped)
     order_date = F.col("order_date").cast("timestamp_ntz")
     if profile == "lite":
         df = df.filter(F.col("total_amount") >= 0)
@@ -66,18 +72,18 @@ def clean_orders(raw: DataFrame, profile: str = "full") -> DataFrame:
                            "order_date": order_date, **date_parts(order_date, "order")})
 
 
-def clean_order_items(raw: DataFrame) -> DataFrame:
-    df = (dedupe_latest(raw, "item_id", "created_at")
+def clean_order_items(raw: DataFrame, deduped: bool = False) -> DataFrame:
+    df = (_latest(raw, "item_id", "created_at", deduped)
           .filter((F.col("quantity") > 0) & (F.col("line_total") >= 0)))
     casts = {"item_id": "long", "order_id": "long", "product_id": "long", "quantity": "int",
              "unit_price": "double", "line_total": "double"}
     return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
 
 
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def clean_all(raw: dict[str, DataFrame], deduped: bool = False) -> dict[str, DataFrame]:
     return {
-        "customers": clean_customers(raw["customers"]),
-        "products": clean_products(raw["products"]),
-        "orders": clean_orders(raw["orders"]),
-        "order_items": clean_order_items(raw["order_items"]),
+        "customers": clean_customers(raw["customers"], deduped=deduped),
+        "products": clean_products(raw["products"], deduped=deduped),
+        "orders": clean_orders(raw["orders"], deduped=deduped),
+        "order_items": clean_order_items(raw["order_items"], deduped=deduped),
     }

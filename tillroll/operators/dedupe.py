@@ -30,3 +30,18 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
     packed = "max(struct({})) AS __best".format(", ".join(f"`{c}`" for c in ranked))
     best = df.groupBy(*keys).agg(F.expr(packed))
     return best.selectExpr(*[f"`{c}`" if c in keys else f"__best.`{c}` AS `{c}`" for c in columns])
+
+
+def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[str] | str,
+                 order_by: Sequence[str] | str = ()) -> DataFrame:
+    """Newest version per key of ``previous`` (already one row per key) plus
+    ``batch``.
+
+    The survivor is a max under a total order, and max is associative, so
+    folding batches in one at a time gives exactly ``dedupe_latest`` over the
+    whole history -- late rows with older timestamps included -- while each
+    run reads only the latest table and the new rows.  ``previous`` must be
+    kept before any filter (a filtered-out newest version must still win).
+    """
+    both = batch if previous is None else previous.unionByName(batch.select(*previous.columns))
+    return dedupe_latest(both, keys, order_by)

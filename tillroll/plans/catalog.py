@@ -26,7 +26,7 @@ from ..sinks import writers as K
 from ..sources import extract as S
 from ..sources.fixtures import fixture_source, fixture_sources
 from ..sources.raw import raw_row_counts, read_raw_all, read_union_by_name
-from ..streaming.incremental import ingest_available_now, read_sink
+from ..streaming.incremental import ingest_available_now, maintain_latest, read_latest, read_sink
 from .pipeline import process, run_full
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -480,6 +480,22 @@ def q_s11(spark, d):
     return read_union_by_name(spark, root).select(*schemas.ORDERS.fieldNames())
 
 
+@query("dedupe_incremental")
+def q_n1_incremental(spark, d):
+    """N1 folded in batch by batch: first versions, then newer versions, then a
+    late replay of older versions; equals deduplicating everything at once."""
+    root = scratch_path(spark, "latest")
+    c = raw(spark, d, "customers")
+    first = c.filter(F.col("updated_at") == F.col("created_at"))
+    batches = [first, c.filter(F.col("updated_at") > F.col("created_at")),
+               first.filter(F.col("customer_id") % 10 == 0)]
+    for day, batch in enumerate(batches, start=1):
+        K.land_raw(batch, f"{root}/raw", "customers", f"2024-02-0{day}")
+        maintain_latest(spark, f"{root}/raw/customers", schemas.CUSTOMERS, "customer_id", "updated_at",
+                        f"{root}/latest", f"{root}/checkpoint")
+    return read_latest(spark, f"{root}/latest", schemas.CUSTOMERS)
+
+
 @query("extract_manifest")
 def q_s12(spark, d):
     root = scratch_path(spark, "extract")
