@@ -181,3 +181,17 @@ def test_incremental_pipeline_matches_full_history(spark):
     inc = run_full(spark, fixture_sources(spark, SF_SMALL), scratch_path(spark, "t_full_b"), floors,
                    incremental=True)
     assert sorted(full.collect()) == sorted(inc.collect())
+
+
+def test_latest_survives_lost_checkpoint_and_keeps_two_copies(spark, sources):
+    import glob
+    from tillroll.streaming.incremental import maintain_latest, read_latest
+    root = scratch_path(spark, "t_latest_ckpt")
+    orders = sources["orders"]
+    K.land_raw(orders, f"{root}/raw", "orders", "2024-02-01")
+    args = (spark, f"{root}/raw/orders", schemas.ORDERS, "order_id", "updated_at", f"{root}/latest")
+    for ckpt in ("a", "a", "b", "c"):  # a second run, then two fresh checkpoints re-reading everything
+        maintain_latest(*args, f"{root}/{ckpt}")
+    latest = read_latest(spark, f"{root}/latest", schemas.ORDERS)
+    assert sorted(latest.collect()) == sorted(orders.collect())
+    assert len(glob.glob(root.replace("file:", "") + "/latest/slot=*")) == 2

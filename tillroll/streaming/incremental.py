@@ -54,18 +54,18 @@ def read_sink(spark: SparkSession, sink_dir: str, schema: StructType) -> DataFra
 
 
 def _versioned(schema: StructType) -> StructType:
-    """``schema`` plus the version partition column (a new object)."""
+    """``schema`` plus the version column (a new object)."""
     return StructType(list(schema.fields) + [StructField("v", LongType(), True)])
 
 
-def _latest_version_before(spark: SparkSession, latest_dir: str, schema: StructType,
-                           batch_id: int) -> DataFrame | None:
-    """The newest committed version of the latest table older than ``batch_id``."""
+def _newest_version(spark: SparkSession, latest_dir: str, schema: StructType) -> int | None:
     versions = spark.read.schema(_versioned(schema)).parquet(latest_dir)
-    prev = versions.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
-    if prev is None:
-        return None
-    return versions.filter(F.col("v") == prev).drop("v")
+    return versions.agg(F.max("v")).first()[0]
+
+
+def _read_version(spark: SparkSession, latest_dir: str, schema: StructType, v: int) -> DataFrame:
+    return (spark.read.schema(_versioned(schema)).parquet(f"{latest_dir}/slot={v % 2}")
+            .filter(F.col("v") == v).drop("v"))
 
 
 def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key: str,
@@ -73,21 +73,29 @@ def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key:
                     max_files_per_batch: int = 1000) -> int:
     """Keep ``latest_dir`` = newest version per key of every raw file landed.
 
-    Each micro-batch of new raw files is merged into the previous version of
-    the table (``merge_latest``) and written as version ``v=<batch id>``; a
-    replayed batch rewrites its own version from the same predecessor, so the
-    result is exactly-once.  Daily cost is |latest| + |new rows|, not the
-    whole raw history.  Returns the number of rows in the newest version.
+    Each micro-batch of new raw files is merged into the newest version of
+    the table (``merge_latest``) and written as version ``newest + 1``.
+    Versions alternate between two slots (``slot = v % 2``, every row carries
+    its ``v``): a batch reads the newest version from one slot and overwrites
+    the other, so at most two copies exist and a crash mid-write leaves the
+    newest version readable.  Merging is associative and idempotent, so a
+    replayed batch (or a lost stream checkpoint that re-reads old files)
+    leaves the same table.  Daily cost is |latest| + |new rows|, not the
+    whole raw history.  Returns the row count of the newest version.
     """
     fields = [f.name for f in schema.fields]
-    spark.createDataFrame([], _versioned(schema)) \
-        .write.mode("append").partitionBy("v").parquet(latest_dir)   # create if absent
+    for slot in (0, 1):  # create both slots if absent (appending zero rows)
+        spark.createDataFrame([], _versioned(schema)).write.mode("append") \
+            .parquet(f"{latest_dir}/slot={slot}")
     sizes: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        previous = _latest_version_before(spark, latest_dir, schema, batch_id)
+        newest = _newest_version(spark, latest_dir, schema)
+        previous = None if newest is None else _read_version(spark, latest_dir, schema, newest)
+        v = 0 if newest is None else newest + 1
         merged = merge_latest(previous, batch.select(*fields), key, order_col)
-        sizes.append(write_observed(merged, f"{latest_dir}/v={batch_id}", "overwrite")["rows"])
+        out = merged.withColumn("v", F.lit(v).cast("long"))
+        sizes.append(write_observed(out, f"{latest_dir}/slot={v % 2}", "overwrite")["rows"])
 
     query = (spark.readStream.schema(schema)
              .option("maxFilesPerTrigger", max_files_per_batch).parquet(raw_dir)
@@ -100,6 +108,7 @@ def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key:
 
 def read_latest(spark: SparkSession, latest_dir: str, schema: StructType) -> DataFrame:
     """The newest version of a table kept by ``maintain_latest``."""
-    versions = spark.read.schema(_versioned(schema)).parquet(latest_dir)
-    newest = versions.select(F.max("v")).scalar()
-    return versions.filter(F.col("v") == newest).drop("v")
+    newest = _newest_version(spark, latest_dir, schema)
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return _read_version(spark, latest_dir, schema, newest)
