@@ -164,11 +164,19 @@ def publish(datasets: dict[tuple[str, str], DataFrame], lake_uri: str) -> list[d
 
 
 def register_tables(spark: SparkSession, marts: dict[str, DataFrame], database: str,
-                    location: str) -> dict[str, DataFrame]:
-    """K9: create the database and (re)register each mart as a table."""
+                    location: str, row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """K9: create the database and (re)register each mart as a table.
+
+    If ``row_counts`` is given it receives the rows written per table,
+    observed during the write.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     out = {}
     for name, df in marts.items():
-        df.write.mode("overwrite").option("path", f"{location}/{name}").saveAsTable(f"{database}.{name}")
+        obs = Observation(f"t_{uuid.uuid4().hex[:8]}")
+        (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+           .option("path", f"{location}/{name}").saveAsTable(f"{database}.{name}"))
+        if row_counts is not None:
+            row_counts[name] = int(obs.get["rows"])
         out[name] = spark.table(f"{database}.{name}")
     return out
