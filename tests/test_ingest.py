@@ -195,3 +195,11 @@ def test_latest_survives_lost_checkpoint_and_keeps_two_copies(spark, sources):
     latest = read_latest(spark, f"{root}/latest", schemas.ORDERS)
     assert sorted(latest.collect()) == sorted(orders.collect())
     assert len(glob.glob(root.replace("file:", "") + "/latest/slot=*")) == 2
+
+
+def test_bucketed_processing_gives_the_same_marts(spark, sources):
+    from tillroll.plans.pipeline import process
+    raw = {t: sources[t] for t in ("customers", "products", "orders", "order_items")}
+    plain = process(spark, raw, scratch_path(spark, "t_plain"))
+    bucketed = process(spark, raw, scratch_path(spark, "t_bucketed"), bucket_items=True, buckets=4)
+    assert sorted(plain.collect()) == sorted(bucketed.collect())

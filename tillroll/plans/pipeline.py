@@ -45,32 +45,36 @@ def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str
 
 
 def process(spark: SparkSession, raw: dict[str, DataFrame], base: str,
-            buckets: int | None = None, database: str = "tillroll_processed",
-            deduped: bool = False) -> DataFrame:
+            bucket_items: bool = False, buckets: int | None = None,
+            database: str = "tillroll_processed", deduped: bool = False) -> DataFrame:
     """Four cleans, then three marts.  Manifest (layer, dataset, rows).
 
-    Processed items -- the largest table, joined to orders by every item
-    mart -- are stored as a table bucketed on ``order_id`` (``buckets``
-    defaults to the shuffle partition count), so those joins shuffle only
-    the orders side.  The other datasets are plain Parquet folders.
+    ``bucket_items``: store processed items as a table bucketed on
+    ``order_id`` (``buckets`` defaults to the shuffle partition count), so
+    the item marts' joins shuffle only the orders side.  Off by default:
+    bucketing pins each key to one bucket, read by one task with no shuffle
+    AQE could split, so an order holding a large share of all items would
+    land in a single task; the default shuffle path lets AQE split it.
     ``deduped``: ``raw`` already holds one newest row per key (latest tables).
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if bucket_items:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     rows = []
     cleaned = C.clean_all(raw, deduped=deduped)
     for name in PROCESSED:
         path = f"{base}/processed/{name}"
         if name == "orders":
             n = write_orders_partitioned(cleaned[name], path)
-        elif name == "order_items":
+        elif name == "order_items" and bucket_items:
             n = write_bucketed(cleaned[name], f"{database}.{name}", path, "order_id", buckets)
         else:
             n = write_layer(cleaned[name], path)
         rows.append(("processed", name, n))
     p = {name: spark.read.parquet(f"{base}/processed/{name}").drop("_processed_at")
-         for name in PROCESSED if name != "order_items"}
-    p["order_items"] = spark.table(f"{database}.order_items").drop("_processed_at")
+         for name in PROCESSED}
+    if bucket_items:
+        p["order_items"] = spark.table(f"{database}.order_items").drop("_processed_at")
     enriched = M.enriched_items(p["order_items"], p["orders"], p["products"])
     built = {
         "daily_sales": ordered_for_write(M.daily_sales(enriched), "sale_date", "category"),
