@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dow_sunday0, money_round, month_trunc, pct
+from ..session import materialize
 
 
 def monthly_trend(daily: DataFrame) -> DataFrame:
@@ -34,12 +35,15 @@ def category_recent(daily: DataFrame, as_of: _dt.date | str | None = None,
     """R2: per category over ``sale_date >= as_of - days`` (inclusive).
 
     ``as_of`` defaults to today; ``"max"`` uses the newest sale date in the
-    mart (a scalar subquery, evaluated once, no join).
+    mart.  The mart is then stored once and both the anchor (one value) and
+    the report read the stored rows, so the mart is not computed twice.
     """
     if as_of is None:
         anchor = F.current_date()
     elif isinstance(as_of, str) and as_of == "max":
-        anchor = daily.select(F.max("sale_date")).scalar()
+        daily = materialize(daily, "daily_sales")
+        newest = daily.agg(F.max("sale_date")).first()[0]
+        anchor = F.lit(newest).cast("date")
     else:
         anchor = F.lit(as_of).cast("date")
     return (daily.filter(F.col("sale_date") >= F.date_sub(anchor, days))
