@@ -23,6 +23,10 @@ def test_cli_runs_the_daily_paths(spark, capsys):
     capsys.readouterr()
     assert main(["quality", *common, "--floors", '{"customer_ltv": 100}']) == 0
     assert '"critical_failures": 0' in capsys.readouterr().out
+    assert main(["publish", *common, "--database", "t_cli_marts"]) == 0
+    published = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert published["t_cli_marts.daily_sales"] == processed["daily_sales"]
+    assert spark.table("t_cli_marts.customer_ltv").count() == processed["customer_ltv"]
 
 
 def test_cli_query_unknown_key(spark, capsys):

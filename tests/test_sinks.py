@@ -61,3 +61,15 @@ def test_write_observed_counts_without_second_job(spark):
     path = scratch_path(spark, "t_obs")
     info = K.write_observed(spark.range(123).withColumn("ts", F.current_timestamp()), path, max_col="id")
     assert info == {"rows": 123, "max": 122}
+
+
+def test_setup_mart_tables_is_idempotent_and_declared(spark):
+    from tillroll.schemas import DAILY_SALES, with_stamp
+    root = scratch_path(spark, "t_ddl")
+    first = K.setup_mart_tables(spark, "t_ddl_db", root)
+    assert sorted(first) == ["t_ddl_db.customer_ltv", "t_ddl_db.daily_sales", "t_ddl_db.product_performance"]
+    assert K.setup_mart_tables(spark, "t_ddl_db", root) == []
+    t = spark.table("t_ddl_db.daily_sales")
+    assert t.count() == 0
+    assert [(f.name, f.dataType) for f in t.schema.fields] == \
+        [(f.name, f.dataType) for f in with_stamp(DAILY_SALES).fields]

@@ -27,7 +27,7 @@ from . import schemas
 from .operators import quality as Q
 from .plans import catalog, pipeline
 from .session import apply_required_conf, local_session, scratch_path
-from .sinks.writers import register_tables
+from .sinks.writers import publish_marts
 from .sources.extract import run_extract
 from .sources.fixtures import fixture_sources
 from .sources.raw import read_raw_all
@@ -85,9 +85,9 @@ def main(argv=None) -> int:
         warnings = Q.gate(results)
         print(json.dumps({"critical_failures": 0, "warning_failures": warnings}))
     elif args.command == "publish":
-        tables = register_tables(spark, pipeline.read_marts(spark, lake), args.database,
-                                 f"{lake}/warehouse")
-        print(json.dumps({name: f"{args.database}.{name}" for name in tables}))
+        written = publish_marts(spark, pipeline.read_marts(spark, lake), args.database,
+                                f"{lake}/warehouse")
+        print(json.dumps({f"{args.database}.{name}": rows for name, rows in written.items()}))
     elif args.command == "full":
         _print(pipeline.run_full(spark, fixture_sources(spark, args.sf_dir), lake, floors,
                                  args.database, incremental=args.incremental), 100)

@@ -17,7 +17,7 @@ from .. import schemas
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..sinks.writers import (ordered_for_write, register_tables, write_bucketed, write_layer,
+from ..sinks.writers import (ordered_for_write, publish_marts, write_bucketed, write_layer,
                              write_orders_partitioned)
 from ..sources.extract import TS_COLUMNS, run_extract
 from ..sources.raw import read_raw_all
@@ -121,8 +121,7 @@ def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     checks = results.count()
     Q.gate(results)
     out.append(("quality", "checks", checks, "success"))
-    written: dict[str, int] = {}
-    register_tables(spark, marts, database, f"{base}/warehouse", written)
+    written = publish_marts(spark, marts, database, f"{base}/warehouse")
     for name in MART_NAMES:
         out.append(("publish", name, written[name], "success"))
     return spark.createDataFrame(out, _MANIFEST)

@@ -163,6 +163,39 @@ def publish(datasets: dict[tuple[str, str], DataFrame], lake_uri: str) -> list[d
     return manifest
 
 
+def setup_mart_tables(spark: SparkSession, database: str, location: str,
+                      marts: dict[str, StructType] | None = None) -> list[str]:
+    """K6 setup: create the database and each mart table with its declared
+    schema (plus ``_processed_at``) if it does not exist yet.  Idempotent."""
+    from ..schemas import MARTS, with_stamp
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    created = []
+    for name, schema in (marts or MARTS).items():
+        table = f"{database}.{name}"
+        if not spark.catalog.tableExists(table):
+            spark.catalog.createTable(table, path=f"{location}/{name}", source="parquet",
+                                      schema=with_stamp(schema))
+            created.append(table)
+    return created
+
+
+def publish_marts(spark: SparkSession, marts: dict[str, DataFrame], database: str,
+                  location: str) -> dict[str, int]:
+    """K4 + K6 for the pipeline: ensure the contract tables exist, then
+    replace each table's rows (truncate-and-load) with the mart conformed to
+    its declared schema.  Returns rows written per table (observed)."""
+    from ..schemas import MARTS, with_stamp
+    setup_mart_tables(spark, database, location)
+    written = {}
+    for name, df in marts.items():
+        obs = Observation(f"p_{uuid.uuid4().hex[:8]}")
+        conformed = conform(df, with_stamp(MARTS[name]))
+        conformed.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(
+            f"{database}.{name}", overwrite=True)
+        written[name] = int(obs.get["rows"])
+    return written
+
+
 def register_tables(spark: SparkSession, marts: dict[str, DataFrame], database: str,
                     location: str, row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """K9: create the database and (re)register each mart as a table.
