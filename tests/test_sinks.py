@@ -73,3 +73,20 @@ def test_setup_mart_tables_is_idempotent_and_declared(spark):
     assert t.count() == 0
     assert [(f.name, f.dataType) for f in t.schema.fields] == \
         [(f.name, f.dataType) for f in with_stamp(DAILY_SALES).fields]
+
+
+def test_publish_refuses_a_table_with_another_schema(spark):
+    root = scratch_path(spark, "t_pub")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_pub_db LOCATION '{root}'")
+    spark.range(3).write.option("path", f"{root}/daily_sales").saveAsTable("t_pub_db.daily_sales")
+    with pytest.raises(ValueError, match="mart contract"):
+        K.publish_marts(spark, {"daily_sales": _daily(spark).withColumn("_processed_at", F.current_timestamp())},
+                        "t_pub_db", root)
+
+
+def test_publish_replaces_rows_of_contract_tables(spark):
+    root = scratch_path(spark, "t_pub2")
+    daily = _daily(spark).withColumn("_processed_at", F.current_timestamp())
+    assert K.publish_marts(spark, {"daily_sales": daily}, "t_pub2_db", root) == {"daily_sales": 1}
+    assert K.publish_marts(spark, {"daily_sales": daily.union(daily)}, "t_pub2_db", root) == {"daily_sales": 2}
+    assert spark.table("t_pub2_db.daily_sales").count() == 2

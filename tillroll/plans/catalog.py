@@ -581,7 +581,7 @@ def q_k9(spark, d):
     root = scratch_path(spark, "catalog")
     tables = K.register_tables(spark, {"daily_sales": daily_sales(spark, d, "lite"),
                                        "customer_ltv": customer_ltv(spark, d, "lite")},
-                               "tillroll_marts", root)
+                               "tillroll_notebook_marts", root)
     return tables["daily_sales"]
 
 

@@ -195,8 +195,14 @@ def publish_marts(spark: SparkSession, marts: dict[str, DataFrame], database: st
     setup_mart_tables(spark, database, location)
     written = {}
     for name, df in marts.items():
+        contract = with_stamp(MARTS[name])
+        existing = spark.table(f"{database}.{name}").schema
+        if [(f.name.lower(), f.dataType) for f in existing.fields] != \
+                [(f.name.lower(), f.dataType) for f in contract.fields]:
+            raise ValueError(f"{database}.{name} exists with a schema other than the mart contract; "
+                             "publish to another database or drop the table first")
         obs = Observation(f"p_{uuid.uuid4().hex[:8]}")
-        conformed = conform(df, with_stamp(MARTS[name]))
+        conformed = conform(df, contract)
         conformed.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(
             f"{database}.{name}", overwrite=True)
         written[name] = int(obs.get["rows"])
