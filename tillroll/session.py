@@ -56,28 +56,37 @@ def apply_required_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Base folder on storage every executor can reach.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the checkpoint folder
     already set on the context).  Only when neither is set -- local tests --
     do we create one of our own and register it as the checkpoint folder.
+    Works on sessions without a ``SparkContext`` handle (Spark Connect).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        _ensure_checkpoint_dir(spark, configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    current = context.getCheckpointDir() if context is not None else None
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if id(spark) not in _LOCAL_DIRS:
+        local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        if context is not None:
+            context.setCheckpointDir(local)
+        _LOCAL_DIRS[id(spark)] = local
+    return _LOCAL_DIRS[id(spark)]
 
 
-def _ensure_checkpoint_dir(spark: SparkSession, path: str) -> None:
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no context handle (Spark Connect)
+        return None
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
@@ -109,6 +118,7 @@ def materialize(df, name: str = "stage", with_rows: bool = False):
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name)
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+       .option("compression", "zstd").parquet(path))
     out = spark.read.parquet(path)
     return (out, int(obs.get["rows"])) if with_rows else out
