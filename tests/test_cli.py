@@ -27,6 +27,9 @@ def test_cli_runs_the_daily_paths(spark, capsys):
     published = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert published["t_cli_marts.daily_sales"] == processed["daily_sales"]
     assert spark.table("t_cli_marts.customer_ltv").count() == processed["customer_ltv"]
+    assert main(["report", "ltv_segments", *common, "--database", "t_cli_marts"]) == 0
+    segments = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert sum(r["customer_count"] for r in segments) == processed["customer_ltv"]
 
 
 def test_cli_query_unknown_key(spark, capsys):

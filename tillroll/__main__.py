@@ -6,6 +6,7 @@
     python -m tillroll publish --lake L                # register marts as tables
     python -m tillroll full    --sf-dir D --lake L     # extract -> process -> audit -> publish
     python -m tillroll query KEY --sf-dir D [--show N] # any registered query
+    python -m tillroll report NAME [--database DB]      # SQL report on published marts
 
 ``--sf-dir`` points at the driver-style base tables (read through the fixture
 adapter).  ``--lake`` is any Hadoop URI shared by the cluster; it defaults to
@@ -25,6 +26,7 @@ from pyspark.sql import SparkSession
 
 from . import schemas
 from .operators import quality as Q
+from .operators import reports_sql
 from .plans import catalog, pipeline
 from .session import apply_required_conf, local_session, scratch_path
 from .sinks.writers import publish_marts
@@ -49,7 +51,8 @@ def _print(df, n: int) -> None:
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tillroll")
-    ap.add_argument("command", choices=["extract", "process", "quality", "publish", "full", "query"])
+    ap.add_argument("command", choices=["extract", "process", "quality", "publish", "full", "query",
+                                        "report"])
     ap.add_argument("key", nargs="?")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     ap.add_argument("--lake")
@@ -91,6 +94,11 @@ def main(argv=None) -> int:
     elif args.command == "full":
         _print(pipeline.run_full(spark, fixture_sources(spark, args.sf_dir), lake, floors,
                                  args.database, incremental=args.incremental), 100)
+    elif args.command == "report":
+        if args.key not in reports_sql.REPORTS:
+            print(f"unknown report {args.key!r}; known: {', '.join(sorted(reports_sql.REPORTS))}")
+            return 2
+        _print(reports_sql.run_report(spark, args.key, database=args.database), args.show)
     elif args.command == "query":
         if args.key not in catalog.QUERIES:
             print(f"unknown query {args.key!r}; known: {', '.join(sorted(catalog.QUERIES))}")

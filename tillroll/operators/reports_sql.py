@@ -1,0 +1,96 @@
+"""The business reports as Spark SQL text.
+
+The same reports as ``reports.py``, for users who run SQL against the
+published mart tables.  ``{daily_sales}``, ``{product_performance}`` and
+``{customer_ltv}`` are filled with DataFrames by ``spark.sql`` (so a report
+runs on a table via ``spark.table(...)`` or on a mart built in the same job);
+report 2 takes ``:as_of`` as a named parameter.  Rounding follows the
+library rule (DECIMAL(38,6), then half-up).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _r(x: str, scale: int = 2) -> str:
+    return f"CAST(round(CAST(({x}) AS DECIMAL(38,6)), {scale}) AS DOUBLE)"
+
+
+REPORTS: dict[str, str] = {
+    "monthly_trend": f"""
+        SELECT trunc(sale_date, 'MM') AS month,
+               {_r('sum(gross_revenue)')} AS total_revenue,
+               {_r('sum(gross_profit)')} AS total_profit,
+               {_r('avg(margin_pct)')} AS avg_margin_pct,
+               CAST(sum(num_orders) AS BIGINT) AS total_orders,
+               CAST(sum(units_sold) AS BIGINT) AS units_sold
+        FROM {{daily_sales}} GROUP BY 1 ORDER BY 1 DESC""",
+    "category_recent": f"""
+        SELECT category,
+               {_r('sum(gross_revenue)')} AS revenue,
+               {_r('sum(gross_profit)')} AS profit,
+               {_r('avg(margin_pct)')} AS avg_margin_pct,
+               CAST(sum(num_orders) AS BIGINT) AS orders
+        FROM {{daily_sales}}
+        WHERE sale_date >= date_sub(:as_of, 30)
+        GROUP BY category ORDER BY revenue DESC NULLS LAST, category""",
+    "top_products": f"""
+        SELECT revenue_rank, product_name, category, brand, total_units_sold,
+               {_r('total_revenue')} AS total_revenue,
+               {_r('avg_selling_price')} AS avg_price,
+               {_r('avg_discount_pct')} AS avg_discount_pct,
+               unique_customers
+        FROM {{product_performance}} ORDER BY revenue_rank, product_id LIMIT 20""",
+    "ltv_segments": f"""
+        SELECT ltv_segment, count(*) AS customer_count,
+               {_r('avg(lifetime_value)')} AS avg_ltv,
+               {_r('sum(lifetime_value)')} AS total_ltv,
+               {_r('avg(total_orders)')} AS avg_orders,
+               {_r('avg(avg_order_value)')} AS avg_order_value
+        FROM {{customer_ltv}} GROUP BY ltv_segment ORDER BY avg_ltv DESC NULLS LAST""",
+    "tier_performance": f"""
+        SELECT customer_tier, count(*) AS customers,
+               {_r('avg(lifetime_value)')} AS avg_ltv,
+               {_r('avg(total_orders)', 1)} AS avg_orders
+        FROM {{customer_ltv}} GROUP BY customer_tier ORDER BY avg_ltv DESC NULLS LAST""",
+    "dow_pattern": f"""
+        SELECT dayname(sale_date) AS day_name, dayofweek(sale_date) - 1 AS dow_num,
+               {_r('avg(gross_revenue)')} AS avg_daily_revenue,
+               {_r('avg(num_orders)', 1)} AS avg_orders
+        FROM {{daily_sales}} GROUP BY 1, 2 ORDER BY 2""",
+    "vip_customers": f"""
+        SELECT full_name, email, customer_tier, country, total_orders,
+               {_r('lifetime_value')} AS lifetime_value,
+               {_r('avg_order_value')} AS avg_order_value,
+               CAST(first_order_date AS DATE) AS first_order,
+               CAST(last_order_date AS DATE) AS last_order
+        FROM {{customer_ltv}} WHERE ltv_segment = 'VIP'
+        ORDER BY lifetime_value DESC NULLS LAST, customer_id LIMIT 50""",
+    "category_margin": f"""
+        SELECT category,
+               {_r('sum(gross_revenue)')} AS total_revenue,
+               {_r('sum(gross_profit)')} AS total_profit,
+               {_r('try_divide(sum(gross_profit), sum(gross_revenue)) * 100')} AS overall_margin_pct
+        FROM {{daily_sales}} GROUP BY category ORDER BY overall_margin_pct DESC NULLS LAST, category""",
+}
+
+# Which mart(s) each report reads.
+SOURCES = {
+    "monthly_trend": ("daily_sales",), "category_recent": ("daily_sales",),
+    "top_products": ("product_performance",), "ltv_segments": ("customer_ltv",),
+    "tier_performance": ("customer_ltv",), "dow_pattern": ("daily_sales",),
+    "vip_customers": ("customer_ltv",), "category_margin": ("daily_sales",),
+}
+
+
+def run_report(spark: SparkSession, name: str, marts: dict[str, DataFrame] | None = None,
+               database: str | None = None, as_of: _dt.date | None = None) -> DataFrame:
+    """Run report ``name`` over mart DataFrames or the tables of ``database``."""
+    frames = {}
+    for mart in SOURCES[name]:
+        frames[mart] = marts[mart] if marts and mart in marts else spark.table(f"{database}.{mart}")
+    args = {"as_of": as_of or _dt.date.today()} if name == "category_recent" else None
+    return spark.sql(REPORTS[name], args=args, **frames)
