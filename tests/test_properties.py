@@ -52,3 +52,28 @@ def test_money_round_is_half_up_of_six_decimals(spark, nums):
     for n, g in zip(nums, got):
         six = decimal.Decimal(repr(float(n))).quantize(decimal.Decimal("0.000001"), decimal.ROUND_HALF_UP)
         assert g == float(six.quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP))
+
+
+cells = st.one_of(st.none(), st.sampled_from([float("nan"), -1.5, 0.0, 2.0, 2.0]))
+labels = st.one_of(st.none(), st.sampled_from(["VIP", "High", "Gold", "Low"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cells, labels, st.one_of(st.none(), st.integers(0, 3))), min_size=0, max_size=30))
+def test_quality_metrics_follow_pandas_rules(spark, data):
+    import pandas as pd
+    from tillroll.operators import quality as Q
+    df = spark.createDataFrame(data, "x double, seg string, k long")
+    checks = (Q.no_nulls("t", ["x", "seg"]) + Q.no_negative("t", "x") + Q.unique("t", "k")
+              + Q.value_set("t", "seg", ["VIP", "High", "Low"]) + Q.row_count("t", 5))
+    got = {r["name"]: r["metric"] for r in Q.run_suite(df, checks).collect()}
+    pdf = pd.DataFrame(data, columns=["x", "seg", "k"])
+    want = {
+        "t_x_no_nulls": int(pdf["x"].isna().sum()),
+        "t_seg_no_nulls": int(pdf["seg"].isna().sum()),
+        "t_x_no_negative": int((pdf["x"] < 0).sum()),
+        "t_k_unique": int(pdf["k"].duplicated().sum()),
+        "t_seg_valid_values": int((~pdf["seg"].isin({"VIP", "High", "Low"})).sum()),
+        "t_min_row_count": len(pdf),
+    }
+    assert got == want
