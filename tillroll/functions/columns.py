@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .money import money_round, safe_divide
+from .money import dow_sunday1, money_round, safe_divide
 
 
 def _col(c: Column | str) -> Column:
@@ -39,14 +39,15 @@ def all_not_null(*cols: str) -> Column:
     return cond
 
 
+_OPS = {
+    ">": lambda c, b: c > b, ">=": lambda c, b: c >= b, "<": lambda c, b: c < b,
+    "<=": lambda c, b: c <= b, "=": lambda c, b: c == b, "!=": lambda c, b: c != b,
+}
+
+
 def compare(c: Column | str, op: str, bound) -> Column:
     """Range predicate; NULL input drops the row when used in ``filter``."""
-    col = _col(c)
-    ops = {
-        ">": col > bound, ">=": col >= bound, "<": col < bound,
-        "<=": col <= bound, "=": col == bound, "!=": col != bound,
-    }
-    return ops[op]
+    return _OPS[op](_col(c), bound)
 
 
 def date_parts(ts: Column | str, prefix: str, with_day: bool = True) -> dict[str, Column]:
@@ -55,7 +56,7 @@ def date_parts(ts: Column | str, prefix: str, with_day: bool = True) -> dict[str
     parts = {f"{prefix}_year": F.year(t), f"{prefix}_month": F.month(t)}
     if with_day:
         parts[f"{prefix}_day"] = F.dayofmonth(t)
-    parts[f"{prefix}_dow"] = F.dayofweek(t)
+    parts[f"{prefix}_dow"] = dow_sunday1(t)
     return parts
 
 

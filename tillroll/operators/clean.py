@@ -18,8 +18,6 @@ from .dedupe import dedupe_latest
 # Fixed value domains of the source schema.
 TIERS = ("standard", "silver", "gold")
 ORDER_STATUSES = ("pending", "processing", "shipped", "delivered", "cancelled")
-EVENT_TYPES = ("page_view", "add_to_cart", "remove_from_cart", "purchase")
-DEVICE_TYPES = ("desktop", "mobile", "tablet")
 LTV_SEGMENTS = ("VIP", "High", "Medium", "Low")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..schemas import CHECK_RESULT
 from .clean import LTV_SEGMENTS
 
 log = logging.getLogger("tillroll")
@@ -147,7 +148,7 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
         if present else df.sparkSession.range(1)
     idx = {id(ck): i for i, ck in enumerate(present)}
     structs = [_result(ck, F.col(f"m{idx[id(ck)]}") if id(ck) in idx else None) for ck in checks]
-    return metrics.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    return metrics.select(F.explode(F.array(*structs)).alias("r")).select("r.*").to(CHECK_RESULT)
 
 
 def run_all(marts: dict[str, DataFrame], floors: dict[str, int] | None = None) -> DataFrame:
@@ -245,7 +246,7 @@ def _fk_row(metric_df: DataFrame, name: str, key: str) -> DataFrame:
         F.lit("critical").alias("severity"),
         F.concat(m.cast("string"), F.lit(f" orphan values in {key}")).alias("message"),
         m.cast("long").alias("metric"),
-        F.create_map(F.lit("orphan_count"), m.cast("string")).alias("details"))
+        F.create_map(F.lit("orphan_count"), m.cast("string")).alias("details")).to(CHECK_RESULT)
 
 
 def read_mart(spark, path: str) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import (compare, date_parts, full_name, margin_pct, money_round, month_trunc,
-                         safe_divide, standardise_domain, try_cast_to)
+from ..functions import (all_not_null, compare, date_parts, full_name, margin_pct, money_round,
+                         month_trunc, safe_divide, standardise_domain, try_cast_to)
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
@@ -250,7 +250,7 @@ def q_n1(spark, d):
 
 @query("filter_not_null")
 def q_n2(spark, d):
-    return raw(spark, d, "customers").filter(F.col("email").isNotNull() & F.col("first_name").isNotNull())
+    return raw(spark, d, "customers").filter(all_not_null("email", "first_name"))
 
 
 @query("filter_range")

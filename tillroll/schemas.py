@@ -94,17 +94,11 @@ MARTS = {
     "customer_ltv": CUSTOMER_LTV,
 }
 
-CHECK_RESULT = StructType([
-    StructField("name", S, False),
-    StructField("table_name", S, False),
-    StructField("column_name", S, True),
-    StructField("check_type", S, False),
-    StructField("passed", B, False),
-    StructField("severity", S, False),
-    StructField("message", S, True),
-    StructField("metric", L, True),
-    StructField("details", MapType(S, S), True),
-])
+# One row per data-quality check result.
+CHECK_RESULT = _s(
+    ("name", S), ("table_name", S), ("column_name", S), ("check_type", S), ("passed", B),
+    ("severity", S), ("message", S), ("metric", L), ("details", MapType(S, S)),
+)
 
 
 def with_stamp(schema: StructType) -> StructType:

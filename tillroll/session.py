@@ -7,7 +7,6 @@ tests, the bench and the smoke entry point.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,15 +93,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tillroll", *parts, uuid.uuid4().hex[:12]])
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def materialize(df, name: str = "stage", with_rows: bool = False):
     """Write ``df`` once to the shared folder and return the read-back frame.
 
