@@ -90,3 +90,9 @@ def test_publish_replaces_rows_of_contract_tables(spark):
     assert K.publish_marts(spark, {"daily_sales": daily}, "t_pub2_db", root) == {"daily_sales": 1}
     assert K.publish_marts(spark, {"daily_sales": daily.union(daily)}, "t_pub2_db", root) == {"daily_sales": 2}
     assert spark.table("t_pub2_db.daily_sales").count() == 2
+
+
+def test_conform_fills_missing_contract_columns_with_null(spark):
+    df = spark.createDataFrame([(1, "x")], "product_id long, PRODUCT_NAME string")
+    row = K.conform(df, schemas.PRODUCT_PERFORMANCE).first()
+    assert row["product_name"] == "x" and row["revenue_rank"] is None and row["total_revenue"] is None

@@ -107,7 +107,11 @@ def land_raw(df: DataFrame, raw_base: str, table: str, ingest_date: _dt.date | s
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """K6: reorder / select to a declared schema, matching names case-insensitively."""
+    """K6: reorder / select to a declared schema, matching names case-insensitively.
+
+    Extra columns are dropped, a contract column the frame lacks comes out as
+    NULL (as in a by-name load), and a type that cannot be cast safely fails.
+    """
     by_lower = {c.lower(): c for c in df.columns}
     renamed = df.select(*[F.col(f"`{by_lower[f.name.lower()]}`").alias(f.name)
                           for f in schema.fields if f.name.lower() in by_lower])
