@@ -15,7 +15,6 @@ the replay.
 from __future__ import annotations
 
 import datetime as _dt
-import traceback
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,8 +159,7 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
         except Exception as e:  # noqa: BLE001
             if fail_on_error:
                 raise
-            manifest.append((table, 0, "error", None, f"{type(e).__name__}: {e}"[:1000]
-                             or traceback.format_exc()[:1000]))
+            manifest.append((table, 0, "error", None, f"{type(e).__name__}: {e}"[:1000]))
     batch_max = spark.createDataFrame(list(new_marks.items()), "table_name string, batch_max timestamp_ntz")
     new_state = advance(state, batch_max, sorted(set(TABLES) | set(tables)))
     commit_state(spark, state_path, new_state)
