@@ -63,6 +63,8 @@ def main(argv=None) -> int:
     ap.add_argument("--floors", default=None, help='JSON, e.g. {"customer_ltv": 100}')
     ap.add_argument("--incremental", action="store_true",
                     help="process from per-key latest tables instead of the whole raw history")
+    ap.add_argument("--bucket-items", action="store_true",
+                    help="store processed items bucketed on order_id (only if order_id is not skewed)")
     args = ap.parse_args(argv)
 
     spark = _session(args)
@@ -78,7 +80,8 @@ def main(argv=None) -> int:
         else:
             raw = {t: read_raw_all(spark, f"{lake}/raw", t, schemas.SOURCES[t]).drop("ingest_date")
                    for t in pipeline.PROCESSED}
-        _print(pipeline.process(spark, raw, lake, deduped=args.incremental), args.show)
+        _print(pipeline.process(spark, raw, lake, bucket_items=args.bucket_items,
+                                deduped=args.incremental), args.show)
     elif args.command == "quality":
         marts = {m: Q.read_mart(spark, f"{lake}/marts/{m}") for m in pipeline.MART_NAMES}
         marts = {m: (df.drop("_processed_at") if "_processed_at" in df.columns else df)
