@@ -59,7 +59,7 @@ def process(spark: SparkSession, raw: dict[str, DataFrame], base: str,
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if bucket_items:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/catalog'")
     rows = []
     cleaned = C.clean_all(raw, deduped=deduped)
     for name in PROCESSED:
