@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +45,49 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
             .join(keys.select(F.col("key").alias("_key")).distinct(), "_key")
             .dropDuplicates(["_key"]).drop("_key"))
     return kept.toDF(*names)
+
+
+class ChunkTable:
+    """Ids of texts whose chunks encode independently; each distinct chunk is encoded once.
+
+    ``split`` cuts a text into chunks, ``encode_many`` gives the ids of a list of
+    chunks.  Chunks met recently are kept: once ``rows`` are held they become the
+    old generation, from which those still in use are taken over, so memory stays
+    bounded and frequent chunks stay.  Chunks over ``LONG`` characters are not kept.
+    """
+
+    LONG = 200
+
+    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[list[int]]],
+                 rows: int = 200_000):
+        self.split, self.encode_many, self.rows = split, encode_many, rows
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        split = [self.split(t) for t in texts]
+        known = self.young
+        new = {c for parts in split for c in parts if c not in known}
+        for chunk in new & self.old.keys():
+            known[chunk] = self.old[chunk]
+        todo = [c for c in new if c not in known]
+        known.update(zip(todo, self.encode_many(todo), strict=True))
+        out = [list(chain.from_iterable([known[c] for c in parts])) for parts in split]
+        for chunk in todo:
+            if len(chunk) > self.LONG:
+                del known[chunk]
+        if len(known) > self.rows:
+            self.old, self.young = known, {}
+        return out
+
+
+def per_worker(key: tuple, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps between its tasks (models, chunk tables).
+
+    Functions travel by value, so module globals are new in every task; a module
+    entry of the process is not.  Losing a worker only loses the cache.
+    """
+    kept = sys.modules.setdefault("tillroll_worker_state", types.ModuleType("tillroll_worker_state")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -6,18 +6,36 @@ table.  ``ORACLE`` holds DuckDB SQL where SQL can express the result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.llm import sentencepiece_codec
 from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
+from tillroll.llm.packing import pack
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    texts = sentencepiece_codec.decode(sentencepiece_codec.encode(table(spark, sf_dir, "documents"), model), model)
+    return texts.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
+    "op4_sentencepiece": op4_sentencepiece,
 }
 
 ORACLE = {
