@@ -105,3 +105,9 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block_hash=F.xx
     return ids.join(groups, ["level", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("keep.rid")).alias("kept"), "text_sha256")
+
+
+def kept_keys(docs: DataFrame) -> DataFrame:
+    """Keys (see ``row_key``) of the rows that stay."""
+    return exact_dedup(docs).filter("kept").select(
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_sha256").alias("key"))

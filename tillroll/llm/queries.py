@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import sentencepiece_codec
-from tillroll.llm.common import table
+from tillroll.llm import sentencepiece_codec, toxicity
+from tillroll.llm.common import pick, table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.packing import pack
+from tillroll.llm.simhash import simhash_components
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +33,25 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(pick(docs, "doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score",
+                         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_simhash": op7_simhash,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE = {
