@@ -15,6 +15,8 @@ from tillroll.llm.common import pick, table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.packing import pack
 from tillroll.llm.simhash import simhash_components
+from tillroll.llm.sharding import shard_documents
+from tillroll.llm.topk import search
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +35,21 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors.filter(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -50,11 +62,27 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_sharding": op5_sharding,
     "op7_simhash": op7_simhash,
+    "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
 }
 
 ORACLE = {
+    "op8_topk": """
+        WITH usable AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE) OR abs(x::DOUBLE) >= 1048576]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.vec_id IS DISTINCT FROM c.vec_id
+            WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST))::INT AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op2_exact_dedup": """
         SELECT doc_id,
                first(doc_id) OVER same AS keep_id,
