@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
+from array import array
 from collections.abc import Callable
-from itertools import chain
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +52,10 @@ class ChunkTable:
     """Ids of texts whose chunks encode independently; each distinct chunk is encoded once.
 
     ``split`` cuts a text into chunks, ``encode_many`` gives the ids of a list of
-    chunks.  Chunks met recently are kept: once ``rows`` are held they become the
-    old generation, from which those still in use are taken over, so memory stays
-    bounded and frequent chunks stay.  Chunks over ``LONG`` characters are not kept.
+    chunks.  Chunks met recently are kept, as the bytes of their ids: once ``rows``
+    are held they become the old generation, from which those still in use are
+    taken over, so memory stays bounded and frequent chunks stay.  Chunks over
+    ``LONG`` characters are not kept.
     """
 
     LONG = 200
@@ -61,18 +63,20 @@ class ChunkTable:
     def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[list[int]]],
                  rows: int = 200_000):
         self.split, self.encode_many, self.rows = split, encode_many, rows
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def ids(self, texts: list[str], end: bytes = b"") -> list[np.ndarray]:
+        """Ids of each text as 32-bit integers, with those of ``end`` after them."""
         split = [self.split(t) for t in texts]
         known = self.young
         new = {c for parts in split for c in parts if c not in known}
         for chunk in new & self.old.keys():
             known[chunk] = self.old[chunk]
         todo = [c for c in new if c not in known]
-        known.update(zip(todo, self.encode_many(todo), strict=True))
-        out = [list(chain.from_iterable([known[c] for c in parts])) for parts in split]
+        for chunk, ids in zip(todo, self.encode_many(todo), strict=True):
+            known[chunk] = array("I", ids).tobytes()
+        out = [np.frombuffer(b"".join([known[c] for c in parts]) + end, "<u4") for parts in split]
         for chunk in todo:
             if len(chunk) > self.LONG:
                 del known[chunk]

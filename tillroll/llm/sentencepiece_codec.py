@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -52,8 +53,10 @@ class ChunkEncoder:
         mark = [self.sp.piece_to_id(MARK)]
         return [ids or mark for ids in self.sp.encode([c[1:] for c in chunks], num_threads=1)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.table.ids(texts) if self.by_chunk else self.sp.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.by_chunk:
+            return self.table.ids(texts)
+        return [np.array(ids, "<u4") for ids in self.sp.encode(texts, num_threads=1)]
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -61,12 +64,13 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("chunks", model), lambda: ChunkEncoder(model))
-        kind = pa.list_(pa.int32())
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
                 ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(ids, kind)], ["doc_id", "ids"])
+                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(offsets, np.concatenate(ids).view(np.int32))
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), lists], ["doc_id", "ids"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
