@@ -10,13 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import sentencepiece_codec, toxicity
+from tillroll.llm import chat, sentencepiece_codec, toxicity, url_filter, warc
 from tillroll.llm.common import pick, table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.packing import pack
 from tillroll.llm.simhash import simhash_components
 from tillroll.llm.sharding import shard_documents
 from tillroll.llm.topk import search
+from tillroll.session import materialize, scratch_path
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filter.rules("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +46,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -58,17 +70,44 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = materialize(chat.windows(turns, public_tokenizers.path("byte_bpe_50k.json")), "chat_windows")
+    return chat.digests(formatted)
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
+    "op10_chat": op10_chat,
 }
 
 ORACLE = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+        hexed AS (
+            SELECT page_id, octet_length(encode(t)) AS payload_bytes, sha1(t) AS h,
+                   row_number() OVER same AS n, first(page_id) OVER same AS target
+            FROM p WINDOW same AS (PARTITION BY t ORDER BY page_id NULLS LAST))
+        SELECT page_id, payload_bytes,
+               list_reduce(list_prepend('', [
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          (((instr('0123456789abcdef', h[(5 * i) // 4 + 1]) - 1) * 16
+                            + (CASE WHEN (5 * i) // 4 + 2 <= 40 THEN instr('0123456789abcdef', h[(5 * i) // 4 + 2]) - 1 ELSE 0 END))
+                           >> (3 - (5 * i) % 4)) % 32 + 1, 1)
+                   FOR i IN range(0, 32)]), lambda a, b: a || b) AS payload_digest,
+               CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN n = 1 THEN NULL ELSE target END AS refers_to
+        FROM hexed""",
     "op8_topk": """
         WITH usable AS (
             SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v
