@@ -283,3 +283,11 @@ def _spans(text: str, p: np.ndarray) -> list[dict]:
     if len(at) != len(p):
         at = [m.span() for m in re.finditer(r"\w+", text.lower())]
     return [{"start": a, "end": b} for (a, b), q in zip(at, p, strict=True) if q >= 0.5]
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below 0.5, the model being fitted on them."""
+    names = docs.columns
+    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    scored = score(plain, train(docs, labels), f"_{names.index('text')}", "_toxicity")
+    return scored.filter("_toxicity.score < 0.5").drop("_toxicity").toDF(*names)
