@@ -20,12 +20,17 @@ def test_cli_runs_the_daily_paths(spark, capsys):
         raise AssertionError("gate should fail at this scale")
     except ValueError as e:
         assert "customer_ltv_min_row_count" in str(e)
+    try:
+        main(["publish", *common, "--database", "t_cli_marts"])
+        raise AssertionError("results that did not pass must not be published")
+    except ValueError:
+        pass
     capsys.readouterr()
     assert main(["quality", *common, "--floors", '{"customer_ltv": 100}']) == 0
     assert '"critical_failures": 0' in capsys.readouterr().out
     assert main(["publish", *common, "--database", "t_cli_marts"]) == 0
     published = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert published["t_cli_marts.daily_sales"] == processed["daily_sales"]
+    assert published["marts/daily_sales"] == processed["daily_sales"] and published["raw/orders"] > 0
     assert spark.table("t_cli_marts.customer_ltv").count() == processed["customer_ltv"]
     assert main(["report", "ltv_segments", *common, "--database", "t_cli_marts"]) == 0
     segments = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
@@ -34,3 +39,9 @@ def test_cli_runs_the_daily_paths(spark, capsys):
 
 def test_cli_query_unknown_key(spark, capsys):
     assert main(["query", "nope", "--master", "local[2]"]) == 2
+
+
+def test_cli_needs_a_lake(capsys):
+    import pytest
+    with pytest.raises(SystemExit):
+        main(["extract", "--master", "local[2]", "--sf-dir", SF_SMALL])

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tillroll.operators import clean as C
-from tillroll.operators.marts import affected_sale_dates, daily_sales, enriched_items, refresh_daily_sales
+from tillroll.operators.marts import (affected_sale_dates, customer_ltv, daily_sales, product_performance,
+                                      refresh_customer_ltv, refresh_daily_sales, refresh_product_performance)
 from tillroll.sources.fixtures import fixture_sources
 
 
@@ -33,7 +34,7 @@ def states(spark):
 
 
 def _mart(state):
-    return daily_sales(enriched_items(state["order_items"], state["orders"], state["products"]))
+    return daily_sales(state["order_items"], state["orders"], state["products"])
 
 
 def test_refresh_equals_full_rebuild(spark, states):
@@ -55,3 +56,27 @@ def test_no_changes_keep_the_mart(spark, states):
     none = {k: v.limit(0) for k, v in changed.items()}
     previous = _mart(before)
     assert sorted(refresh_daily_sales(previous, before, before, none).collect()) == sorted(previous.collect())
+
+
+def test_refreshed_products_and_customers_equal_full_rebuilds(spark, states):
+    before, after, changed = states
+    src = fixture_sources(spark, SF_SMALL, ["customers"])
+    c = src["customers"]
+    moved = c.withColumn("city", F.when(F.col("customer_id") % 19 == 3, F.lit("elsewhere")).otherwise(F.col("city")))
+    was, now = before | {"customers": C.clean_customers(c)}, after | {"customers": C.clean_customers(moved)}
+    keys = changed | {"customers": c.filter(F.col("customer_id") % 19 == 3).select("customer_id").distinct()}
+    perf = product_performance(was["order_items"], was["orders"], was["products"])
+    got = refresh_product_performance(perf, was, now, keys)
+    assert sorted(got.collect()) == sorted(product_performance(now["order_items"], now["orders"], now["products"]).collect())
+    got = refresh_customer_ltv(customer_ltv(was["orders"], was["customers"]), was, now, keys)
+    assert sorted(got.collect()) == sorted(customer_ltv(now["orders"], now["customers"]).collect())
+
+
+def test_order_that_gets_a_date_leaves_the_row_without_one(spark, states):
+    before, _, changed = states
+    hit = F.col("order_id") % 31 == 1
+    was = before | {"orders": before["orders"].withColumn(
+        "order_date", F.when(hit, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("order_date")))}
+    none = {k: v.limit(0) for k, v in changed.items()} | {"orders": before["orders"].filter(hit).select("order_id")}
+    got = refresh_daily_sales(_mart(was), was, before, none)
+    assert sorted(got.collect()) == sorted(_mart(before).collect())

@@ -31,7 +31,7 @@ def test_second_extract_run_finds_nothing(spark, sources):
 def test_incremental_batches_union_to_full_load(spark, sources):
     orders = sources["orders"]
     wm = dt.datetime(1998, 1, 1)
-    old = orders.filter(F.col("updated_at") <= F.lit(wm).cast("timestamp_ntz"))
+    old = orders.filter(F.col("updated_at") <= S.ntz(wm))
     new = S.extract(sources, "orders", wm)
     assert sorted(old.unionByName(new).collect()) == sorted(orders.collect())
 
@@ -135,20 +135,10 @@ def test_parent_policy_advances_on_order_stamp(spark, sources):
     wm = dt.datetime(1998, 1, 1)
     hw = S.batch_high_water(sources, "order_items", wm, "parent").first()["batch_max"]
     want = (sources["orders"].join(sources["order_items"].select("order_id"), "order_id", "left_semi")
-            .filter(F.col("updated_at") > F.lit(wm).cast("timestamp_ntz")).agg(F.max("updated_at")).first()[0])
+            .filter(F.col("updated_at") > S.ntz(wm)).agg(F.max("updated_at")).first()[0])
     assert hw == want
 
 
-def test_stream_batches_can_dedupe_keyed_tables(spark, sources):
-    root = scratch_path(spark, "t_stream_dd")
-    orders = sources["orders"]
-    K.land_raw(orders, f"{root}/raw", "orders", "2024-02-01")
-    K.land_raw(orders.filter("order_id % 2 = 0"), f"{root}/raw", "orders", "2024-02-02")  # replayed rows
-    n = ingest_available_now(spark, f"{root}/raw/orders", schemas.ORDERS, f"{root}/sink", f"{root}/ckpt",
-                             dedupe_key="order_id", order_col="updated_at", max_files_per_batch=100)
-    assert n == orders.count()
-
-
 def test_incremental_latest_keeps_filtered_newest_versions(spark):
     from tillroll.operators.clean import clean_customers
     from tillroll.streaming.incremental import maintain_latest, read_latest
@@ -177,9 +167,10 @@ def test_incremental_latest_keeps_filtered_newest_versions(spark):
 def test_incremental_pipeline_matches_full_history(spark):
     from tillroll.plans.pipeline import run_full
     floors = {"customer_ltv": 100}
-    full = run_full(spark, fixture_sources(spark, SF_SMALL), scratch_path(spark, "t_full_a"), floors)
+    full = run_full(spark, fixture_sources(spark, SF_SMALL), scratch_path(spark, "t_full_a"), floors,
+                    database="t_full_a")
     inc = run_full(spark, fixture_sources(spark, SF_SMALL), scratch_path(spark, "t_full_b"), floors,
-                   incremental=True)
+                   database="t_full_b", incremental=True)
     assert sorted(full.collect()) == sorted(inc.collect())
 
 
@@ -197,14 +188,6 @@ def test_latest_survives_lost_checkpoint_and_keeps_two_copies(spark, sources):
     assert len(glob.glob(root.replace("file:", "") + "/latest/slot=*")) == 2
 
 
-def test_bucketed_processing_gives_the_same_marts(spark, sources):
-    from tillroll.plans.pipeline import process
-    raw = {t: sources[t] for t in ("customers", "products", "orders", "order_items")}
-    plain = process(spark, raw, scratch_path(spark, "t_plain"))
-    bucketed = process(spark, raw, scratch_path(spark, "t_bucketed"), bucket_items=True, buckets=4)
-    assert sorted(plain.collect()) == sorted(bucketed.collect())
-
-
 def test_incremental_pipeline_over_two_days_matches_full_rebuild(spark):
     import datetime as dt2
     from tillroll.plans.pipeline import MART_NAMES, read_marts, run_full
@@ -215,17 +198,106 @@ def test_incremental_pipeline_over_two_days_matches_full_rebuild(spark):
     hit = F.col("order_id") % 7 == 0
     day2["orders"] = (day1["orders"]
                       .withColumn("status", F.when(hit, F.lit("cancelled")).otherwise(F.col("status")))
-                      .withColumn("updated_at", F.when(hit, F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+                      .withColumn("updated_at", F.when(hit, F.col("updated_at") + F.expr("INTERVAL 40 DAYS"))
                                   .otherwise(F.col("updated_at"))))
     inc = scratch_path(spark, "t_two_days")
     run_full(spark, day1, inc, floors, database="t_inc_a", ingest_date=dt2.date(2024, 3, 1), incremental=True)
     manifest = {(r["stage"], r["dataset"]): r["rows"] for r in run_full(
         spark, day2, inc, floors, database="t_inc_a", ingest_date=dt2.date(2024, 3, 2), incremental=True).collect()}
-    assert manifest[("extract", "orders")] == day1["orders"].filter(hit).count()
+    top = day1["orders"].agg(F.max("updated_at")).first()[0]
+    assert manifest[("extract", "orders")] == day2["orders"].filter(hit & (F.col("updated_at") > S.ntz(top))).count() > 0
     full = scratch_path(spark, "t_two_days_full")
-    run_full(spark, day2, full, floors, database="t_inc_b")
+    # what the second day's stamps let through, on top of the first day
+    seen = dict(day1)
+    late = day2["orders"].filter(hit & (F.col("updated_at") > S.ntz(top)))
+    seen["orders"] = day1["orders"].join(late, "order_id", "left_anti").unionByName(late)
+    run_full(spark, seen, full, floors, database="t_inc_b")
     got, want = read_marts(spark, inc), read_marts(spark, full)
     for name in MART_NAMES:
         a = sorted(got[name].drop("_processed_at").collect())
         b = sorted(want[name].drop("_processed_at").collect())
         assert a == b, name
+
+
+def test_items_of_every_order_are_landed_over_two_runs(spark, sources):
+    """Items are found by their order's stamp, and the watermark follows that stamp."""
+    split = S.ntz("1998-01-01")
+    early = dict(sources)
+    early["orders"] = sources["orders"].filter(F.col("updated_at") <= split)
+    landed = {}
+    for policy in ("parent", "reference"):
+        root = scratch_path(spark, f"t_two_{policy}")
+        for day, src in (("2024-03-01", early), ("2024-03-02", sources)):
+            S.run_extract(spark, src, f"{root}/raw", f"{root}/state", ["orders", "order_items"],
+                          dt.date.fromisoformat(day), policy, fail_on_error=True)
+        landed[policy] = read_raw_all(spark, f"{root}/raw", "order_items", schemas.ORDER_ITEMS).select("item_id").distinct().count()
+    assert landed["parent"] == (sources["order_items"].join(sources["orders"], "order_id", "left_semi")
+                                .select("item_id").distinct().count())
+    assert landed["reference"] < landed["parent"]  # why it is not the default
+
+
+def test_watermark_literal_does_not_depend_on_the_hosts_zone(spark, monkeypatch):
+    import time
+    rows = spark.createDataFrame([("1998-01-01 03:00:00",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("updated_at"))
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        assert S.extract({"orders": rows}, "orders", dt.datetime(1998, 1, 1)).count() == 1
+        assert S.extract({"orders": rows}, "orders", dt.datetime(1998, 1, 1, 3)).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_failed_extract_stops_a_full_run_and_keeps_the_whole_message(spark, sources):
+    from tillroll.plans.pipeline import run_full
+    root = scratch_path(spark, "t_fail")
+    broken = dict(sources)
+    broken["products"] = sources["products"].withColumn("updated_at", F.raise_error(F.lit("x" * 3000)).cast("timestamp_ntz"))
+    with pytest.raises(S.ExtractError):
+        run_full(spark, broken, root, {"customer_ltv": 100}, "t_fail_db")
+    rows = S.run_extract(spark, broken, f"{root}/raw", f"{root}/other_state").collect()
+    assert max(len(r["error"] or "") for r in rows) > 3000
+
+
+def test_partial_version_is_never_read(spark, sources):
+    """Rows that a broken fold left behind are of a version that was not committed."""
+    from tillroll.streaming.incremental import committed_version, maintain_latest, read_latest
+    root = scratch_path(spark, "t_partial")
+    orders = sources["orders"]
+    K.land_raw(orders, f"{root}/raw", "orders", "2024-02-01")
+    args = (spark, f"{root}/raw/orders", schemas.ORDERS, "order_id", "updated_at", f"{root}/latest", f"{root}/ckpt")
+    v = maintain_latest(*args)
+    orders.limit(3).withColumn("v", F.lit(v + 1).cast("long")).write.mode("append").parquet(f"{root}/latest/slot={(v + 1) % 2}")
+    assert committed_version(spark, f"{root}/latest") == v
+    K.land_raw(orders.limit(5), f"{root}/raw", "orders", "2024-02-02")
+    assert maintain_latest(*args) == v + 1
+    assert sorted(read_latest(spark, f"{root}/latest", schemas.ORDERS).collect()) == sorted(orders.collect())
+
+
+def test_failed_gate_leaves_the_marts_of_the_last_run(spark, sources):
+    from tillroll.operators.quality import QualityGateError
+    from tillroll.plans.pipeline import read_marts, run_full
+    root = scratch_path(spark, "t_gate")
+    run_full(spark, sources, root, {"customer_ltv": 100}, "t_gate_db")
+    before = {m: sorted(df.drop("_processed_at").collect()) for m, df in read_marts(spark, root).items()}
+    with pytest.raises(QualityGateError):
+        run_full(spark, sources, root, {"customer_ltv": 10 ** 6}, "t_gate_db")
+    assert {m: sorted(df.drop("_processed_at").collect()) for m, df in read_marts(spark, root).items()} == before
+    assert spark.table("t_gate_db.daily_sales").count() == len(before["daily_sales"])
+
+
+def test_runs_leave_no_stage_tables(spark, sources):
+    from tillroll import session
+    from tillroll.plans.pipeline import process
+    held = len(session._STAGES)
+    process(spark, {t: sources[t] for t in ("customers", "products", "orders", "order_items")}, scratch_path(spark, "t_stages"))
+    assert len(session._STAGES) == held
+
+
+def test_union_by_name_of_an_empty_folder_is_an_empty_frame(spark, tmp_path):
+    from tillroll.sources.raw import read_union_by_name
+    (tmp_path / "none").mkdir()
+    for name in ("none", "missing"):
+        df = read_union_by_name(spark, str(tmp_path / name))
+        assert df.columns == [] and df.count() == 0

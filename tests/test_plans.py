@@ -29,70 +29,38 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_returnflag" not in plan and "l_tax" not in plan
 
 
-def test_bucketed_items_join_shuffles_only_orders(spark):
-    import re
+def test_hot_order_is_reduced_before_its_join(spark):
+    """One order holding a third of all items is one row per category and task after the map side."""
     from pyspark.sql import functions as F
-    from tillroll.operators import clean as C
-    from tillroll.operators.marts import daily_sales, enriched_items
-    from tillroll.session import scratch_path
-    from tillroll.sinks.writers import write_bucketed
-    src = fixture_sources(spark, SF_SMALL, ["products", "orders", "order_items"])
-    base = scratch_path(spark, "t_bucket")
-    write_bucketed(C.clean_order_items(src["order_items"]), "t_bucket_items", f"{base}/items", "order_id", 8)
-    items = spark.table("t_bucket_items")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        products = F.broadcast(C.clean_products(src["products"]))
-        df = daily_sales(enriched_items(items, C.clean_orders(src["orders"]), products))
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", plan)
-    # orders: dedupe shuffle (already on order_id, reused by the join); products:
-    # dedupe; final (day, category) aggregate.  No exchange re-keys the items.
-    assert exchanges.count("item_id") == 0 and exchanges.count("order_id") == 1
-
-
-def test_hot_order_id_is_split_across_tasks(spark):
-    """One order holding a third of all items: AQE splits its join partition."""
-    from pyspark.sql import functions as F
-    from tillroll.operators.marts import daily_sales, enriched_items
-    overrides = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                 "spark.sql.shuffle.partitions": "64",
-                 "spark.sql.adaptive.coalescePartitions.enabled": "false",
-                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
-    saved = {k: spark.conf.get(k, None) for k in overrides}
-    for k, v in overrides.items():
-        spark.conf.set(k, v)
-    try:
-        n = 300000
-        items = spark.range(n).select(
-            F.col("id").alias("item_id"),
-            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50000).alias("order_id"),
-            (F.col("id") % 100).alias("product_id"), F.lit(1).alias("quantity"),
-            F.lit(2.0).alias("unit_price"), F.lit(0.0).alias("discount_pct"), F.lit(2.0).alias("line_total"))
-        orders = spark.range(50000).select(
-            F.col("id").alias("order_id"), (F.col("id") % 900).alias("customer_id"),
-            F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("order_date"),
-            F.lit("delivered").alias("status"), F.lit(0.0).alias("discount_pct"))
-        products = spark.range(100).select(
-            F.col("id").alias("product_id"), F.lit("p").alias("product_name"),
-            (F.col("id") % 5).cast("string").alias("category"), F.lit("s").alias("subcategory"),
-            F.lit("b").alias("brand"), F.lit(1.0).alias("cost_price"))
-        df = daily_sales(enriched_items(items, orders, products))
-        rows = df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    assert "SortMergeJoin(skew=true)" in plan
+    from tillroll.operators.marts import daily_sales
+    n = 300000
+    items = spark.range(n).select(
+        F.col("id").alias("item_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50000).alias("order_id"),
+        (F.col("id") % 100).alias("product_id"), F.lit(1).alias("quantity"),
+        F.lit(2.0).alias("unit_price"), F.lit(0.0).alias("discount_pct"), F.lit(2.0).alias("line_total"))
+    orders = spark.range(50000).select(
+        F.col("id").alias("order_id"), (F.col("id") % 900).alias("customer_id"),
+        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("order_date"),
+        F.lit("delivered").alias("status"), F.lit(0.0).alias("discount_pct"))
+    products = spark.range(100).select(
+        F.col("id").alias("product_id"), F.lit("p").alias("product_name"),
+        (F.col("id") % 5).cast("string").alias("category"), F.lit("s").alias("subcategory"),
+        F.lit("b").alias("brand"), F.lit(1.0).alias("cost_price"))
+    df = daily_sales(items, orders, products)
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert sum(r["units_sold"] for r in rows) == n
     # each order falls in one category (id % 5 is constant per order) except the
     # hot order 7, whose extra items span all five categories
     assert sum(r["num_orders"] for r in rows) == 50000 + 4
+    # partial and final sums per (order, category) and per (day, category); no distinct aggregate
+    assert "partial_sum" in plan and "distinct" not in plan.lower()
+
+
+def test_product_mart_has_no_single_partition_over_rows(spark):
+    df = catalog.QUERIES["mart_product_performance"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange SinglePartition") == 1  # the prefix over one row per range
+    assert "__total" in plan[plan.find("Exchange SinglePartition") - 400:plan.find("Exchange SinglePartition")]

@@ -17,12 +17,11 @@ values = st.one_of(st.none(), st.integers(-5, 5).map(float), st.sampled_from([0.
 
 
 @SETTINGS
-@given(st.lists(values, min_size=1, max_size=60), st.booleans(), st.integers(0, 1))
-def test_global_rank_equals_window_rank(spark, vals, desc, small):
+@given(st.lists(values, min_size=1, max_size=60), st.booleans())
+def test_global_rank_equals_window_rank(spark, vals, desc):
     df = spark.createDataFrame(list(enumerate(vals)), "id long, v double")
     got = {r["id"]: r["rk"] for r in global_rank(
-        df, "v", "rk", descending=desc, single_task_limit=10_000 if small else 0,
-        num_ranges=3).collect()}
+        df, "v", "rk", descending=desc, num_ranges=3).collect()}
     order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
     want = {r["id"]: r["rk"] for r in df.select("id", F.rank().over(Window.orderBy(order)).alias("rk")).collect()}
     assert got == want

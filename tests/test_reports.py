@@ -68,40 +68,3 @@ def test_vip_list_filters_segment_and_casts_dates(spark):
     assert [r["full_name"] for r in out] == ["n2", "n1"]
     assert out[0]["first_order"] == dt.date(2001, 5, 6)
     assert R.vip_customers(ltv).schema["first_order"].dataType.typeName() == "date"
-
-
-def test_sql_reports_equal_dataframe_reports(spark):
-    from conftest import SF_SMALL
-    from tillroll.operators import reports_sql as RS
-    from tillroll.plans import catalog
-    marts = {"daily_sales": catalog.QUERIES["mart_daily_sales"](spark, SF_SMALL),
-             "product_performance": catalog.QUERIES["mart_product_performance"](spark, SF_SMALL),
-             "customer_ltv": catalog.QUERIES["mart_customer_ltv"](spark, SF_SMALL)}
-    newest = marts["daily_sales"].agg({"sale_date": "max"}).first()[0]
-    frame_reports = {
-        "monthly_trend": R.monthly_trend(marts["daily_sales"]),
-        "category_recent": R.category_recent(marts["daily_sales"], as_of=newest),
-        "top_products": R.top_products(marts["product_performance"]),
-        "ltv_segments": R.ltv_segments(marts["customer_ltv"]),
-        "tier_performance": R.tier_performance(marts["customer_ltv"]),
-        "dow_pattern": R.dow_pattern(marts["daily_sales"]),
-        "vip_customers": R.vip_customers(marts["customer_ltv"]),
-        "category_margin": R.category_margin(marts["daily_sales"]),
-    }
-    assert set(frame_reports) == set(RS.REPORTS)
-    for name, want in frame_reports.items():
-        got = RS.run_report(spark, name, marts, as_of=newest)
-        assert got.columns == want.columns, name
-        assert got.collect() == want.collect(), name
-
-
-def test_sql_report_over_published_tables(spark):
-    from conftest import SF_SMALL
-    from tillroll.operators import reports_sql as RS
-    from tillroll.plans import catalog
-    from tillroll.session import scratch_path
-    from tillroll.sinks.writers import register_tables
-    daily = catalog.QUERIES["mart_daily_sales"](spark, SF_SMALL)
-    register_tables(spark, {"daily_sales": daily}, "t_sql_reports", scratch_path(spark, "t_sql"))
-    got = RS.run_report(spark, "category_margin", database="t_sql_reports").collect()
-    assert got == R.category_margin(daily).collect()

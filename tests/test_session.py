@@ -27,3 +27,33 @@ def test_required_settings_are_applied(spark):
     apply_required_conf(spark)
     for key, value in REQUIRED_CONF.items():
         assert spark.conf.get(key) == value
+
+
+def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    import pytest
+    from tillroll import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+
+
+def test_stage_scope_deletes_what_was_written_inside(spark):
+    from tillroll.session import stage_scope
+    import os
+    with stage_scope(spark):
+        path = materialize(spark.range(5), "t_scope").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

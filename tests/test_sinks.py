@@ -96,3 +96,26 @@ def test_conform_fills_missing_contract_columns_with_null(spark):
     df = spark.createDataFrame([(1, "x")], "product_id long, PRODUCT_NAME string")
     row = K.conform(df, schemas.PRODUCT_PERFORMANCE).first()
     assert row["product_name"] == "x" and row["revenue_rank"] is None and row["total_revenue"] is None
+
+
+def test_second_lake_with_the_same_database_is_refused(spark):
+    first, second = scratch_path(spark, "t_loc_a"), scratch_path(spark, "t_loc_b")
+    K.setup_mart_tables(spark, "t_loc_db", first)
+    with pytest.raises(K.LocationError):
+        K.setup_mart_tables(spark, "t_loc_db", second)
+
+
+def test_publish_keeps_partitions(spark):
+    lake = scratch_path(spark, "t_parts")
+    df = spark.range(10).select("id", (F.col("id") % 2).cast("int").alias("d"))
+    K.publish({("raw", "x"): df}, lake, {("raw", "x"): ["d"]})
+    K.publish({("raw", "x"): df.filter("d = 1").limit(2)}, lake, {("raw", "x"): ["d"]})  # that partition only
+    assert spark.read.parquet(f"{lake}/raw/x").groupBy("d").count().orderBy("d").collect() == [(0, 5), (1, 2)]
+
+
+def test_permissive_load_appends_and_keeps_rejects(spark):
+    root = scratch_path(spark, "t_k5")
+    df = spark.createDataFrame([("1", "2"), ("x", "3")], "ITEM_ID string, Quantity string")
+    for _ in range(2):
+        assert K.load_permissive(df, schemas.ORDER_ITEMS, f"{root}/t", f"{root}/r") == {"accepted": 1, "rejected": 1}
+    assert spark.read.parquet(f"{root}/t").count() == 2 == spark.read.parquet(f"{root}/r").count()

@@ -1,10 +1,11 @@
 from .columns import (all_not_null, compare, date_parts, full_name, margin_pct,
                       standardise_domain, try_cast_to)
-from .money import (dow_sunday0, dow_sunday1, money_round, month_trunc, pct,
-                    safe_divide)
+from .money import (dow_sunday0, dow_sunday1, exact, exact_avg, exact_sum, money_round,
+                    month_trunc, pct, safe_divide)
 
 __all__ = [
     "all_not_null", "compare", "date_parts", "dow_sunday0", "dow_sunday1",
+    "exact", "exact_avg", "exact_sum",
     "full_name", "margin_pct", "money_round", "month_trunc", "pct",
     "safe_divide", "standardise_domain", "try_cast_to",
 ]

@@ -1,9 +1,10 @@
 """Scalar helpers shared by every operator.
 
 All rounding goes through DECIMAL so that results do not depend on the
-engine's double rounding rule or on the order in which partial sums were
-combined: the value is first fixed to 6 decimals, then rounded half-up.
-DECIMAL(38,6) holds sums up to 10^32, enough for any mart at 100 TB.
+engine's double rounding rule: the value is first fixed to 6 decimals, then
+rounded half-up.  Sums add DECIMAL values (``exact_sum``), so the order in which
+partial sums are combined does not matter.  DECIMAL(38,6) holds sums up to
+10^32, enough for any mart at 100 TB.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY_DECIMAL = "decimal(38,6)"
+# One value: up to 10^12; their sum is DECIMAL(28,6), a sum of sums DECIMAL(38,6).
+VALUE_DECIMAL = "decimal(18,6)"
 
 
 def _col(c: Column | str) -> Column:
@@ -23,6 +26,21 @@ def money_round(c: Column | str, scale: int = 2) -> Column:
     return F.round(_col(c).cast(MONEY_DECIMAL), scale).cast("double")
 
 
+def exact(c: Column | str) -> Column:
+    """The value fixed to six decimals, so that sums do not depend on their order."""
+    return _col(c).cast(VALUE_DECIMAL)
+
+
+def exact_sum(c: Column | str) -> Column:
+    """sum() over exact values."""
+    return F.sum(exact(c))
+
+
+def exact_avg(c: Column | str) -> Column:
+    """avg() as the exact sum, then one division."""
+    return F.try_divide(F.sum(exact(c)).cast("double"), F.count(_col(c)))
+
+
 def safe_divide(num: Column | str, den: Column | str) -> Column:
     """num / den, NULL when den is 0 or NULL (never an ANSI error)."""
     return F.try_divide(_col(num), _col(den))

@@ -35,9 +35,9 @@ def clean_customers(raw: DataFrame, profile: str = "full", deduped: bool = False
     }
     if profile != "lite":
         derived.update({
-            "customer_id": F.col("customer_id").cast("long"),
-            "signup_date": F.col("signup_date").cast("date"),
-            "created_at": F.col("created_at").cast("timestamp_ntz"),
+            "customer_id": F.col("customer_id").try_cast("long"),
+            "signup_date": F.col("signup_date").try_cast("date"),
+            "created_at": F.col("created_at").try_cast("timestamp_ntz"),
         })
     return df.withColumns(derived)
 
@@ -50,16 +50,16 @@ def clean_products(raw: DataFrame, profile: str = "full", deduped: bool = False)
     df = df.filter(F.col("product_name").isNotNull() & (F.col("unit_price") > 0) & (F.col("cost_price") > 0))
     return df.withColumns({
         "margin_pct": margin_pct("unit_price", "cost_price"),
-        "product_id": F.col("product_id").cast("long"),
-        "unit_price": F.col("unit_price").cast("double"),
-        "cost_price": F.col("cost_price").cast("double"),
-        "is_active": F.col("is_active").cast("boolean"),
+        "product_id": F.col("product_id").try_cast("long"),
+        "unit_price": F.col("unit_price").try_cast("double"),
+        "cost_price": F.col("cost_price").try_cast("double"),
+        "is_active": F.col("is_active").try_cast("boolean"),
     })
 
 
 def clean_orders(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
     df = _latest(raw, "order_id", "updated_at", deduped)
-    order_date = F.col("order_date").cast("timestamp_ntz")
+    order_date = F.col("order_date").try_cast("timestamp_ntz")
     if profile == "lite":
         df = df.filter(F.col("total_amount") >= 0)
         return df.withColumns({"order_date": order_date,
@@ -75,7 +75,7 @@ def clean_order_items(raw: DataFrame, deduped: bool = False) -> DataFrame:
           .filter((F.col("quantity") > 0) & (F.col("line_total") >= 0)))
     casts = {"item_id": "long", "order_id": "long", "product_id": "long", "quantity": "int",
              "unit_price": "double", "line_total": "double"}
-    return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})
 
 
 def clean_all(raw: dict[str, DataFrame], deduped: bool = False) -> dict[str, DataFrame]:

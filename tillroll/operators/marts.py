@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import money_round, pct
-from ..session import materialize
+from ..functions import exact, exact_avg, exact_sum, money_round, pct
 from .rank import global_rank
 
 # Fixed LTV segment thresholds (first match wins, on the rounded value).
@@ -59,15 +58,29 @@ def not_cancelled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") != "cancelled")
 
 
-def daily_sales(enriched: DataFrame) -> DataFrame:
-    """M1 / M4: revenue, cost and profit per (day, category)."""
-    agg = (not_cancelled(enriched)
-           .groupBy(F.to_date("order_date").alias("sale_date"), "category")
-           .agg(F.count_distinct("order_id").alias("num_orders"),
-                F.sum("quantity").cast("long").alias("units_sold"),
-                money_round(F.sum("line_total")).alias("gross_revenue"),
-                money_round(F.sum(F.col("quantity") * F.col("cost_price"))).alias("total_cost"),
-                money_round(F.avg("order_discount_pct")).alias("avg_discount_pct")))
+def daily_sales(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """M1 / M4: revenue, cost and profit per (day, category).
+
+    An order has one date, so items are reduced to one row per (order, category)
+    before orders are joined: that join and the final aggregate see reduced rows,
+    distinct orders become a plain count and the mean a weighted one.
+    """
+    lines = _items(items).join(products.select("product_id", "category", "cost_price"), "product_id")
+    per_order = lines.groupBy("order_id", "category").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units"),
+        exact_sum("line_total").alias("revenue"),
+        exact_sum(F.col("quantity") * F.col("cost_price")).alias("cost"))
+    dated = not_cancelled(_orders(orders)).select(
+        "order_id", F.to_date("order_date").alias("sale_date"), "order_discount_pct")
+    discounted = F.when(F.col("order_discount_pct").isNotNull(), F.col("lines"))
+    agg = (per_order.join(dated, "order_id").groupBy("sale_date", "category")
+           .agg(F.count(F.lit(1)).alias("num_orders"),
+                F.sum("units").cast("long").alias("units_sold"),
+                money_round(F.sum("revenue")).alias("gross_revenue"),
+                money_round(F.sum("cost")).alias("total_cost"),
+                money_round(F.try_divide(
+                    F.sum(exact("order_discount_pct") * F.col("lines").cast("decimal(18,0)")).cast("double"),
+                    F.sum(discounted))).alias("avg_discount_pct")))
     profit = money_round(F.col("gross_revenue") - F.col("total_cost"))
     return (agg.withColumn("gross_profit", profit)
                .withColumn("margin_pct", pct("gross_profit", "gross_revenue"))
@@ -75,9 +88,8 @@ def daily_sales(enriched: DataFrame) -> DataFrame:
                        "total_cost", "gross_profit", "margin_pct", "avg_discount_pct"))
 
 
-def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame,
-                        pin: bool = True) -> DataFrame:
-    """M2: per-product totals plus a global revenue rank (ties share, gaps).
+def product_totals(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """M2 without the rank: per-product totals.
 
     Items are joined to orders (drop cancelled) and reduced to one row per
     (product, order) -- an order has one customer -- before anything else,
@@ -88,34 +100,36 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
     """
     io = _items(items).join(not_cancelled(_orders(orders)), "order_id")
     per_order = (io.groupBy("product_id", "order_id", "customer_id")
-                   .agg(F.sum("quantity").alias("q"), F.sum("line_total").alias("rev"),
-                        F.sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
-                        F.sum("item_discount_pct").alias("disc_sum"),
+                   .agg(F.sum("quantity").alias("q"), exact_sum("line_total").alias("rev"),
+                        exact_sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
+                        exact_sum("item_discount_pct").alias("disc_sum"),
                         F.count("item_discount_pct").alias("disc_n")))
+
+    def mean(total: str, n: str):
+        return F.try_divide(F.sum(total).cast("double"), F.sum(n))
+
     per_product = (per_order.groupBy("product_id")
                    .agg(F.count(F.lit(1)).alias("num_orders"),
                         F.sum("q").cast("long").alias("total_units_sold"),
                         money_round(F.sum("rev")).alias("total_revenue"),
-                        money_round(F.sum("price_sum") / F.sum("price_n")).alias("avg_selling_price"),
-                        money_round(F.sum("disc_sum") / F.sum("disc_n")).alias("avg_discount_pct"),
+                        money_round(mean("price_sum", "price_n")).alias("avg_selling_price"),
+                        money_round(mean("disc_sum", "disc_n")).alias("avg_discount_pct"),
                         F.count_distinct("customer_id").alias("unique_customers")))
-    perf = per_product.join(products.select(*PRODUCT_ATTRS), "product_id").select(
+    return per_product.join(products.select(*PRODUCT_ATTRS), "product_id").select(
         *PRODUCT_ATTRS, "num_orders", "total_units_sold", "total_revenue", "avg_selling_price",
         "avg_discount_pct", "unique_customers")
-    rows = None
-    if pin:
-        # The mart is read twice by the rank (values, then join back): write
-        # it once instead of running the join + aggregate twice.
-        perf, rows = materialize(perf, "product_performance", with_rows=True)
-    return global_rank(perf, "total_revenue", "revenue_rank", rank_type="int",
-                       input_is_stored=pin, input_rows=rows)
+
+
+def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """M2: per-product totals plus a global revenue rank (ties share, gaps)."""
+    return global_rank(product_totals(items, orders, products), "total_revenue", "revenue_rank", rank_type="int")
 
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full") -> DataFrame:
     """M3 / M5: aggregate orders per customer first, then join customers."""
     aggs = [F.count("order_id").alias("total_orders"),
-            money_round(F.sum("total_amount")).alias("lifetime_value"),
-            money_round(F.avg("total_amount")).alias("avg_order_value"),
+            money_round(exact_sum("total_amount")).alias("lifetime_value"),
+            money_round(exact_avg("total_amount")).alias("avg_order_value"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date")]
     if profile != "lite":
@@ -133,7 +147,7 @@ def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full")
 def monthly_summary(daily: DataFrame) -> DataFrame:
     """M6: month of the daily mart -> revenue and orders."""
     return (daily.groupBy(F.trunc("sale_date", "month").alias("month"))
-                 .agg(money_round(F.sum("gross_revenue")).alias("monthly_revenue"),
+                 .agg(money_round(exact_sum("gross_revenue")).alias("monthly_revenue"),
                       F.sum("num_orders").cast("long").alias("monthly_orders")))
 
 
@@ -146,10 +160,14 @@ def reconcile_line_total(items: DataFrame, tolerance: float = 0.01) -> DataFrame
 
 
 def reconcile_order_total(items: DataFrame, orders: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """total_amount vs round(sum(line_total) * (1 - order disc/100), 2)."""
-    per_order = items.groupBy("order_id").agg(F.sum("line_total").alias("__lines"))
+    """total_amount vs round(sum(line_total) * (1 - order disc/100), 2).
+
+    An order without items is compared with 0.
+    """
+    per_order = items.groupBy("order_id").agg(exact_sum("line_total").cast("double").alias("__sum"))
     expected = money_round(F.col("__lines") * (1 - F.col("discount_pct") / 100))
-    return (orders.select("order_id", "total_amount", "discount_pct").join(per_order, "order_id")
+    return (orders.select("order_id", "total_amount", "discount_pct").join(per_order, "order_id", "left")
+                  .withColumn("__lines", F.coalesce("__sum", F.lit(0.0)))
                   .select("order_id", "total_amount",
                           money_round("__lines").alias("items_total"),
                           expected.alias("expected_total"))
@@ -193,11 +211,44 @@ def refresh_daily_sales(previous: DataFrame, before: dict[str, DataFrame],
     """M1 maintained incrementally: rows of unaffected dates are kept, rows of
     affected dates are recomputed from the current state.  Equal to
     rebuilding the whole mart from ``after``.  Only orders on affected dates
-    (and their items) are joined and aggregated.
+    (and their items) are joined and aggregated.  Orders without a date are a
+    date like any other, so dates are compared NULL-safely.
     """
-    affected = affected_sale_dates(before, after, changed)
-    orders_on = (after["orders"]
-                 .join(affected, F.to_date(after["orders"]["order_date"]) == affected["sale_date"], "left_semi"))
-    recomputed = daily_sales(enriched_items(after["order_items"], orders_on, after["products"]))
-    kept = previous.join(affected, "sale_date", "left_anti")
+    affected = affected_sale_dates(before, after, changed).withColumnRenamed("sale_date", "__date")
+    orders_on = after["orders"].join(
+        affected, F.to_date(after["orders"]["order_date"]).eqNullSafe(affected["__date"]), "left_semi")
+    recomputed = daily_sales(after["order_items"], orders_on, after["products"])
+    kept = previous.join(affected, previous["sale_date"].eqNullSafe(affected["__date"]), "left_anti")
     return kept.unionByName(recomputed)
+
+
+def refresh_product_performance(previous: DataFrame, before: dict[str, DataFrame],
+                                after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
+    """M2 maintained incrementally: totals of the products touched by changed orders,
+    items or products are recomputed, the others kept; ranks are assigned anew.
+    Equal to rebuilding the whole mart from ``after``.
+    """
+    touched = changed["products"].select("product_id")
+    for state in (before, after):
+        for key, of in (("order_id", "orders"), ("item_id", "order_items")):
+            touched = touched.unionByName(state["order_items"].join(changed[of].select(key), key, "left_semi").select("product_id"))
+    touched = touched.filter("product_id IS NOT NULL").distinct()
+    recomputed = product_totals(after["order_items"].join(touched, "product_id", "left_semi"), after["orders"],
+                                after["products"].join(touched, "product_id", "left_semi"))
+    kept = previous.drop("revenue_rank").join(touched, "product_id", "left_anti")
+    return global_rank(kept.unionByName(recomputed), "total_revenue", "revenue_rank", rank_type="int")
+
+
+def refresh_customer_ltv(previous: DataFrame, before: dict[str, DataFrame],
+                         after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
+    """M3 maintained incrementally: rows of the customers that changed or whose orders
+    did, in the old or the new state, are recomputed.  Equal to a full rebuild.
+    """
+    touched = changed["customers"].select("customer_id")
+    for state in (before, after):
+        touched = touched.unionByName(
+            state["orders"].join(changed["orders"].select("order_id"), "order_id", "left_semi").select("customer_id"))
+    touched = touched.filter("customer_id IS NOT NULL").distinct()
+    recomputed = customer_ltv(after["orders"].join(touched, "customer_id", "left_semi"),
+                              after["customers"].join(touched, "customer_id", "left_semi"))
+    return previous.join(touched, "customer_id", "left_anti").unionByName(recomputed)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from ..sources import extract as S
 from ..sources.fixtures import fixture_source, fixture_sources
 from ..sources.raw import raw_row_counts, read_raw_all, read_union_by_name
 from ..streaming.incremental import ingest_available_now, maintain_latest, read_latest, read_sink
-from .pipeline import process, run_full
+from .pipeline import PROCESSED, build_marts, process, publish_all, read_marts, run_full
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +64,7 @@ def query(key: str):
             finally:
                 _local.memo = outer
         run.__name__ = fn.__name__
+        run.__wrapped__ = fn
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
         return run
@@ -102,7 +104,11 @@ def enriched(spark, sf_dir, profile="full"):
 
 @memo
 def daily_sales(spark, sf_dir, profile="full"):
-    return M.daily_sales(enriched(spark, sf_dir, profile))
+    if profile == "lite":
+        return M.daily_sales(raw(spark, sf_dir, "order_items"), clean(spark, sf_dir, "orders", "lite"),
+                             clean(spark, sf_dir, "products", "lite"))
+    return M.daily_sales(clean(spark, sf_dir, "order_items"), clean(spark, sf_dir, "orders"),
+                         clean(spark, sf_dir, "products"))
 
 
 @memo
@@ -326,9 +332,7 @@ def stored_clean(spark, sf_dir, table):
 def marts(spark, d):
     """The three marts built from stored clean tables (shared by all three)."""
     c = {t: stored_clean(spark, d, t) for t in ("customers", "products", "orders", "order_items")}
-    return {"daily_sales": M.daily_sales(M.enriched_items(c["order_items"], c["orders"], c["products"])),
-            "product_performance": M.product_performance(c["order_items"], c["orders"], c["products"]),
-            "customer_ltv": M.customer_ltv(c["orders"], c["customers"])}
+    return build_marts(c)
 
 
 def _checks(df):
@@ -399,8 +403,9 @@ def q_q9(spark, d):
 
 @query("dq_referential_integrity")
 def q_q10(spark, d):
-    cl = {t: stored_clean(spark, d, t) for t in ("customers", "products", "orders", "order_items")}
-    return _checks(Q.referential_integrity(cl["customers"], cl["products"], cl["orders"], cl["order_items"]))
+    src = {t: materialize(dedupe_latest(raw(spark, d, t), schemas.SOURCE_KEYS[t], S.TS_COLUMNS[t]), f"source_{t}")
+           for t in PROCESSED}
+    return _checks(Q.referential_integrity(src["customers"], src["products"], src["orders"], src["order_items"]))
 
 
 # ---- ingestion (S1-S12, S6b) ---------------------------------------------------------------
@@ -432,19 +437,32 @@ for _t in S.TABLES:
 
 
 @query("watermark_advance")
-def q_s6(spark, d):
+def q_s6(spark, d, ts_policy="parent"):
     src = _sources(spark, d)
     state = S.state_frame(spark, ADVANCE_STATE)
-    marks = [S.batch_high_water(src, t, S.watermark_value(state, t)) for t in S.TABLES]
+    marks = [S.batch_high_water(src, t, S.watermark_value(state, t), ts_policy) for t in S.TABLES]
     batch_max = marks[0]
     for m in marks[1:]:
         batch_max = batch_max.unionByName(m)
     return S.advance(state, batch_max)
 
 
+query("watermark_advance_reference")(lambda spark, d: q_s6.__wrapped__(spark, d, "reference"))
+
+
+@query("extract_two_runs")
+def q_two_runs(spark, d):
+    """Items landed by two runs, the first of which saw orders up to a date only."""
+    root, src = scratch_path(spark, "two_runs"), _sources(spark, d)
+    early = src | {"orders": src["orders"].filter(F.col("updated_at") <= S.ntz(EXTRACT_WATERMARKS["orders"]))}
+    for sources, day in ((early, INGEST_DAY_1), (src, INGEST_DAY_2)):
+        S.run_extract(spark, sources, f"{root}/raw", f"{root}/state", ["orders", "order_items"], day, fail_on_error=True)
+    return read_raw_all(spark, f"{root}/raw", "order_items", schemas.ORDER_ITEMS).drop("ingest_date").distinct()
+
+
 def _land_in_two(spark, df, base, table, ts_col, split):
-    first = df.filter(F.col(ts_col) <= F.lit(split).cast("timestamp_ntz"))
-    second = df.filter(F.col(ts_col) > F.lit(split).cast("timestamp_ntz"))
+    first = df.filter(F.col(ts_col) <= S.ntz(split))
+    second = df.filter(F.col(ts_col) > S.ntz(split))
     K.land_raw(first, base, table, INGEST_DAY_1, ts_col)
     K.land_raw(second, base, table, INGEST_DAY_2, ts_col)
 
@@ -470,6 +488,16 @@ def q_s7(spark, d):
     return read_raw_all(spark, root, "orders", schemas.ORDERS).drop("ingest_date")
 
 
+@query("raw_read_nested")
+def q_s8(spark, d):
+    """Two batches below YYYY/MM/DD folders, read by recursive listing."""
+    root, orders = scratch_path(spark, "nested"), raw(spark, d, "orders")
+    split = S.ntz(EXTRACT_WATERMARKS["orders"])
+    orders.filter(F.col("updated_at") <= split).write.parquet(f"{root}/orders/2024/02/01")
+    orders.filter(F.col("updated_at") > split).write.parquet(f"{root}/orders/2024/02/02")
+    return read_raw_all(spark, root, "orders", schemas.ORDERS, layout="nested")
+
+
 @query("raw_row_counts")
 def q_s9(spark, d):
     root = scratch_path(spark, "raw")
@@ -485,7 +513,7 @@ def q_s11(spark, d):
     """Old batches lack payment_method; the merged read fills NULLs by name."""
     root = scratch_path(spark, "union")
     o = raw(spark, d, "orders")
-    split = F.lit(EXTRACT_WATERMARKS["orders"]).cast("timestamp_ntz")
+    split = S.ntz(EXTRACT_WATERMARKS["orders"])
     o.filter(F.col("updated_at") <= split).drop("payment_method").write.parquet(f"{root}/batch=old")
     o.filter(F.col("updated_at") > split).write.parquet(f"{root}/batch=new")
     return read_union_by_name(spark, root).select(*schemas.ORDERS.fieldNames())
@@ -537,54 +565,99 @@ def q_k3(spark, d):
     return spark.read.parquet(path).drop("_processed_at")
 
 
-@query("load_mart_full_refresh")
-def q_k4(spark, d):
+MART_BUILDERS = {"daily_sales": daily_sales, "product_performance": product_performance,
+                 "customer_ltv": customer_ltv}
+
+
+def _full_refresh(spark, d, mart):
     root = scratch_path(spark, "load")
-    K.write_layer(daily_sales(spark, d), f"{root}/marts/daily_sales")
-    table = K.load_full_refresh(spark, f"{root}/marts/daily_sales", "tillroll_daily_sales",
-                                f"{root}/warehouse/daily_sales", schemas.DAILY_SALES)
-    return table
+    K.write_layer(MART_BUILDERS[mart](spark, d), f"{root}/marts/{mart}")
+    return K.load_full_refresh(spark, f"{root}/marts/{mart}", f"tillroll_{mart}",
+                               f"{root}/warehouse/{mart}", schemas.MARTS[mart])
 
 
-@query("load_by_name_permissive")
-def q_k5(spark, d):
+def _conformed(spark, d, mart):
+    df = MART_BUILDERS[mart](spark, d)
+    messy = df.select(*[F.col(c).alias(c.upper()) for c in reversed(df.columns)],
+                      F.lit("x").alias("EXTRA_NOTE"))
+    return K.conform(messy, schemas.MARTS[mart])
+
+
+for _m, _key in (("daily_sales", "mart"), ("product_performance", "product_performance"), ("customer_ltv", "customer_ltv")):
+    query(f"load_{_key}_full_refresh")(lambda spark, d, _m=_m: _full_refresh(spark, d, _m))
+    query(f"{_key}_schema_conform")(lambda spark, d, _m=_m: _conformed(spark, d, _m))
+
+
+def _permissive(spark, d):
     """Staged text columns (upper-case names) where zero discounts read 'none'."""
-    items = clean(spark, d, "order_items")
+    root, items = scratch_path(spark, "permissive"), clean(spark, d, "order_items")
     staged = items.select(*[
         (F.when(F.col("discount_pct") == 0, F.lit("none")).otherwise(F.col(c).cast("string"))
          if c == "discount_pct" else F.col(c).cast("string")).alias(c.upper())
         for c in items.columns])
-    accepted, _rejected = K.load_by_name_permissive(staged, schemas.ORDER_ITEMS)
-    return accepted
+    counts = K.load_permissive(staged, schemas.ORDER_ITEMS, f"{root}/items", f"{root}/rejects")
+    return root, counts
 
 
-@query("mart_schema_conform")
-def q_k6(spark, d):
-    daily = daily_sales(spark, d)
-    messy = daily.select(*[F.col(c).alias(c.upper()) for c in reversed(daily.columns)],
-                         F.lit("x").alias("EXTRA_NOTE"))
-    return K.conform(messy, schemas.DAILY_SALES)
+@query("load_by_name_permissive")
+def q_k5(spark, d):
+    return spark.read.schema(schemas.ORDER_ITEMS).parquet(f"{_permissive(spark, d)[0]}/items")
+
+
+@query("load_by_name_rejects")
+def q_k5_rejects(spark, d):
+    """The stored rejects, with the counts of the load beside each."""
+    root, counts = _permissive(spark, d)
+    rejects = spark.read.parquet(f"{root}/rejects")
+    return rejects.select(F.col("ITEM_ID").cast("long").alias("item_id"), F.col("DISCOUNT_PCT").alias("discount_pct"),
+                          *[F.lit(n).cast("long").alias(k) for k, n in counts.items()])
 
 
 @query("publish_layers")
 def q_k7(spark, d):
+    """Raw, processed and marts published from a landed and processed lake."""
     lake = scratch_path(spark, "lake")
-    datasets = {("processed", "orders"): clean(spark, d, "orders"),
-                ("processed", "order_items"): clean(spark, d, "order_items"),
-                ("marts", "daily_sales"): daily_sales(spark, d),
-                ("marts", "customer_ltv"): customer_ltv(spark, d)}
-    manifest = K.publish(datasets, lake)
-    return spark.createDataFrame([(m["layer"], m["dataset"], m["rows"]) for m in manifest],
-                                 "layer string, dataset string, rows long")
-
-
-@query("register_mart_tables")
-def q_k9(spark, d):
+    S.run_extract(spark, _sources(spark, d), f"{lake}/raw", f"{lake}/state", ingest_date=INGEST_DAY_1, fail_on_error=True)
+    landed = {t: read_raw_all(spark, f"{lake}/raw", t, schemas.SOURCES[t]).drop("ingest_date") for t in PROCESSED}
+    process(spark, landed, lake)
+    manifest = publish_all(spark, lake, read_marts(spark, lake), f"tillroll_{uuid.uuid4().hex[:8]}")
+    counts = [spark.read.parquet(m["path"]).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(m["layer"]).alias("layer"), F.lit(m["dataset"]).alias("dataset"), "rows") for m in manifest]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def _registered(spark, d, mart):
     root = scratch_path(spark, "catalog")
     tables = K.register_tables(spark, {"daily_sales": daily_sales(spark, d, "lite"),
                                        "customer_ltv": customer_ltv(spark, d, "lite")},
-                               "tillroll_notebook_marts", root)
-    return tables["daily_sales"]
+                               f"tillroll_notebook_{uuid.uuid4().hex[:8]}", root)
+    return tables[mart]
+
+
+query("register_mart_tables")(lambda spark, d: _registered(spark, d, "daily_sales"))
+query("register_mart_tables_ltv")(lambda spark, d: _registered(spark, d, "customer_ltv"))
+
+
+# ---- incremental marts: refreshed from the state before a date to the whole ----------------
+def _refreshed(spark, d, mart):
+    split = {t: S.ntz(EXTRACT_WATERMARKS[t]) for t in PROCESSED}
+    src = {t: raw(spark, d, t) for t in PROCESSED}
+    stamps = {t: F.col("created_at" if t == "order_items" else "updated_at") for t in PROCESSED}
+    before = {t: materialize(C.clean_all({**src, t: src[t].filter(stamps[t] <= split[t])})[t], t) for t in PROCESSED}
+    after = {t: stored_clean(spark, d, t) for t in PROCESSED}
+    changed = {t: materialize(src[t].filter(stamps[t] > split[t]).select(schemas.SOURCE_KEYS[t]).distinct(), f"changed_{t}")
+               for t in PROCESSED}
+    previous = materialize(build_marts(before)[mart], mart)
+    refresh = {"daily_sales": M.refresh_daily_sales, "product_performance": M.refresh_product_performance,
+               "customer_ltv": M.refresh_customer_ltv}[mart]
+    return refresh(previous, before, after, changed)
+
+
+for _m in MART_BUILDERS:
+    query(f"refresh_{_m}")(lambda spark, d, _m=_m: _refreshed(spark, d, _m))
 
 
 # ---- pipelines (P1, P2) -----------------------------------------------------------------------
@@ -594,6 +667,28 @@ def q_p1(spark, d):
     return process(spark, src, scratch_path(spark, "process"))
 
 
+def _full(spark, d, floors=None, incremental=False):
+    base, database = scratch_path(spark, "full"), f"tillroll_{uuid.uuid4().hex[:8]}"
+    manifest = run_full(spark, _sources(spark, d), base, floors, database, INGEST_DAY_1, incremental)
+    return manifest, database
+
+
 @query("pipeline_full")
 def q_p2(spark, d):
-    return run_full(spark, _sources(spark, d), scratch_path(spark, "full"), ingest_date=INGEST_DAY_1)
+    return _full(spark, d)[0]
+
+
+for _m in MART_BUILDERS:
+    query(f"pipeline_full_{_m}")(lambda spark, d, _m=_m: spark.table(
+        f"{_full(spark, d, {'customer_ltv': 50})[1]}.{_m}").drop("_processed_at"))
+
+
+@query("pipeline_incremental_daily_sales")
+def q_p2_incremental(spark, d):
+    """Two incremental runs, the first of which saw rows up to a date only; the daily mart after the second."""
+    base, database = scratch_path(spark, "incremental"), f"tillroll_{uuid.uuid4().hex[:8]}"
+    src, split = _sources(spark, d), S.ntz(EXTRACT_WATERMARKS["orders"])
+    early = src | {"orders": src["orders"].filter(F.col("updated_at") <= split)}
+    for sources, day in ((early, INGEST_DAY_1), (src, INGEST_DAY_2)):
+        run_full(spark, sources, base, {"customer_ltv": 50}, database, day, incremental=True)
+    return spark.table(f"{database}.daily_sales").drop("_processed_at")

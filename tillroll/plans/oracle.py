@@ -18,6 +18,15 @@ def mr(x: str, scale: int = 2) -> str:
     return f"CAST(round(CAST(({x}) AS DECIMAL(38,6)), {scale}) AS DOUBLE)"
 
 
+def xsum(x: str) -> str:
+    """Sum of values fixed to six decimals: independent of the order of rows."""
+    return f"sum(CAST({x} AS DECIMAL(18,6)))"
+
+
+def xavg(x: str) -> str:
+    return f"CAST({xsum(x)} AS DOUBLE) / NULLIF(count({x}), 0)"
+
+
 def _cols(schema) -> list[str]:
     return [f.name for f in schema.fields]
 
@@ -185,9 +194,9 @@ FROM (
   SELECT CAST(order_date AS DATE) AS sale_date, category,
          CAST(count(DISTINCT order_id) AS BIGINT) AS num_orders,
          CAST(sum(quantity) AS BIGINT) AS units_sold,
-         {mr('sum(line_total)')} AS gross_revenue,
-         {mr('sum(quantity * cost_price)')} AS total_cost,
-         {mr('avg(order_discount_pct)')} AS avg_discount_pct
+         {mr(xsum('line_total'))} AS gross_revenue,
+         {mr(xsum('quantity * cost_price'))} AS total_cost,
+         {mr(xavg('order_discount_pct'))} AS avg_discount_pct
   FROM {{src}} WHERE status <> 'cancelled'
   GROUP BY CAST(order_date AS DATE), category
 ) a"""
@@ -203,9 +212,9 @@ FROM (
   SELECT product_id, product_name, category, subcategory, brand,
          CAST(count(DISTINCT order_id) AS BIGINT) AS num_orders,
          CAST(sum(quantity) AS BIGINT) AS total_units_sold,
-         {mr('sum(line_total)')} AS total_revenue,
-         {mr('avg(unit_price)')} AS avg_selling_price,
-         {mr('avg(item_discount_pct)')} AS avg_discount_pct,
+         {mr(xsum('line_total'))} AS total_revenue,
+         {mr(xavg('unit_price'))} AS avg_selling_price,
+         {mr(xavg('item_discount_pct'))} AS avg_discount_pct,
          CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers
   FROM enriched WHERE status <> 'cancelled'
   GROUP BY product_id, product_name, category, subcategory, brand
@@ -220,8 +229,8 @@ SELECT a.customer_id, c.full_name, c.email, c.customer_tier, c.city, c.country,
        a.active_days, {LTV_SEGMENT_SQL} AS ltv_segment
 FROM (
   SELECT customer_id, CAST(count(order_id) AS BIGINT) AS total_orders,
-         {mr('sum(total_amount)')} AS lifetime_value,
-         {mr('avg(total_amount)')} AS avg_order_value,
+         {mr(xsum('total_amount'))} AS lifetime_value,
+         {mr(xavg('total_amount'))} AS avg_order_value,
          min(order_date) AS first_order_date, max(order_date) AS last_order_date,
          CAST(count(DISTINCT CAST(order_date AS DATE)) AS BIGINT) AS active_days
   FROM clean_orders WHERE status <> 'cancelled' GROUP BY customer_id
@@ -234,8 +243,8 @@ SELECT a.customer_id, a.total_orders, a.lifetime_value, a.avg_order_value, a.fir
        {LTV_SEGMENT_SQL} AS ltv_segment
 FROM (
   SELECT customer_id, CAST(count(order_id) AS BIGINT) AS total_orders,
-         {mr('sum(total_amount)')} AS lifetime_value,
-         {mr('avg(total_amount)')} AS avg_order_value,
+         {mr(xsum('total_amount'))} AS lifetime_value,
+         {mr(xavg('total_amount'))} AS avg_order_value,
          min(order_date) AS first_order_date, max(order_date) AS last_order_date
   FROM lite_orders WHERE status <> 'cancelled' GROUP BY customer_id
 ) a JOIN lite_customers c ON a.customer_id = c.customer_id"""
@@ -289,20 +298,20 @@ register("mart_customer_ltv_lite", "SELECT * FROM customer_ltv_lite")
 # ---- registrations: reports, summaries, reconciliation, rank -----------------
 register("monthly_summary", f"""
 SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month,
-       {mr('sum(gross_revenue)')} AS monthly_revenue,
+       {mr(xsum('gross_revenue'))} AS monthly_revenue,
        CAST(sum(num_orders) AS BIGINT) AS monthly_orders
 FROM daily_sales_lite GROUP BY 1""")
 
 register("report_monthly_trend", f"""
 SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month,
-       {mr('sum(gross_revenue)')} AS total_revenue, {mr('sum(gross_profit)')} AS total_profit,
-       {mr('avg(margin_pct)')} AS avg_margin_pct,
+       {mr(xsum('gross_revenue'))} AS total_revenue, {mr(xsum('gross_profit'))} AS total_profit,
+       {mr(xavg('margin_pct'))} AS avg_margin_pct,
        CAST(sum(num_orders) AS BIGINT) AS total_orders, CAST(sum(units_sold) AS BIGINT) AS units_sold
 FROM daily_sales GROUP BY 1""")
 
 register("report_category_30d", f"""
-SELECT category, {mr('sum(gross_revenue)')} AS revenue, {mr('sum(gross_profit)')} AS profit,
-       {mr('avg(margin_pct)')} AS avg_margin_pct, CAST(sum(num_orders) AS BIGINT) AS orders
+SELECT category, {mr(xsum('gross_revenue'))} AS revenue, {mr(xsum('gross_profit'))} AS profit,
+       {mr(xavg('margin_pct'))} AS avg_margin_pct, CAST(sum(num_orders) AS BIGINT) AS orders
 FROM daily_sales
 WHERE sale_date >= (SELECT max(sale_date) FROM daily_sales) - INTERVAL 30 DAY
 GROUP BY category""")
@@ -315,18 +324,18 @@ FROM product_perf ORDER BY revenue_rank, product_id LIMIT 20""")
 
 register("report_ltv_segments", f"""
 SELECT ltv_segment, CAST(count(*) AS BIGINT) AS customer_count,
-       {mr('avg(lifetime_value)')} AS avg_ltv, {mr('sum(lifetime_value)')} AS total_ltv,
-       {mr('avg(total_orders)')} AS avg_orders, {mr('avg(avg_order_value)')} AS avg_order_value
+       {mr(xavg('lifetime_value'))} AS avg_ltv, {mr(xsum('lifetime_value'))} AS total_ltv,
+       {mr('avg(total_orders)')} AS avg_orders, {mr(xavg('avg_order_value'))} AS avg_order_value
 FROM customer_ltv GROUP BY ltv_segment""")
 
 register("report_tier_performance", f"""
 SELECT customer_tier, CAST(count(*) AS BIGINT) AS customers,
-       {mr('avg(lifetime_value)')} AS avg_ltv, {mr('avg(total_orders)', 1)} AS avg_orders
+       {mr(xavg('lifetime_value'))} AS avg_ltv, {mr('avg(total_orders)', 1)} AS avg_orders
 FROM customer_ltv GROUP BY customer_tier""")
 
 register("report_dow_pattern", f"""
 SELECT left(dayname(sale_date), 3) AS day_name, CAST(dayofweek(sale_date) AS INTEGER) AS dow_num,
-       {mr('avg(gross_revenue)')} AS avg_daily_revenue, {mr('avg(num_orders)', 1)} AS avg_orders
+       {mr(xavg('gross_revenue'))} AS avg_daily_revenue, {mr('avg(num_orders)', 1)} AS avg_orders
 FROM daily_sales GROUP BY 1, 2""")
 
 register("report_vip_customers", f"""
@@ -337,8 +346,8 @@ FROM customer_ltv WHERE ltv_segment = 'VIP'
 ORDER BY customer_ltv.lifetime_value DESC NULLS LAST, customer_id LIMIT 50""")
 
 register("report_category_margin", f"""
-SELECT category, {mr('sum(gross_revenue)')} AS total_revenue, {mr('sum(gross_profit)')} AS total_profit,
-       {mr('sum(gross_profit) / NULLIF(sum(gross_revenue), 0) * 100')} AS overall_margin_pct
+SELECT category, {mr(xsum('gross_revenue'))} AS total_revenue, {mr(xsum('gross_profit'))} AS total_profit,
+       {mr(f"CAST({xsum('gross_profit')} AS DOUBLE) / NULLIF(CAST({xsum('gross_revenue')} AS DOUBLE), 0) * 100")} AS overall_margin_pct
 FROM daily_sales GROUP BY category""")
 
 register("report_latest_daily", """
@@ -359,10 +368,10 @@ register("reconcile_order_total", f"""
 SELECT order_id, total_amount, items_total, expected_total,
        {mr('total_amount - expected_total')} AS diff,
        abs({mr('total_amount - expected_total')}) > 0.01 AS mismatch
-FROM (SELECT o.order_id, o.total_amount, {mr('s.lines')} AS items_total,
-             {mr('s.lines * (1 - o.discount_pct / 100)')} AS expected_total
+FROM (SELECT o.order_id, o.total_amount, {mr('coalesce(s.lines, 0)')} AS items_total,
+             {mr('coalesce(s.lines, 0) * (1 - o.discount_pct / 100)')} AS expected_total
       FROM clean_orders o
-      JOIN (SELECT order_id, sum(line_total) AS lines FROM clean_order_items GROUP BY order_id) s
+      LEFT JOIN (SELECT order_id, CAST({xsum('line_total')} AS DOUBLE) AS lines FROM clean_order_items GROUP BY order_id) s
         ON o.order_id = s.order_id) x""")
 
 register("global_revenue_rank", """
@@ -485,7 +494,7 @@ def _fk_sql(name: str, table: str, key: str, child: str, parent: str) -> str:
     return (f"SELECT '{name}' AS name, '{table}' AS table_name, '{key}' AS column_name, "
             f"'foreign_key' AS check_type, m = 0 AS passed, 'critical' AS severity, "
             f"CAST(m AS VARCHAR) || ' orphan values in {key}' AS message, m AS metric FROM "
-            f"(SELECT CAST(count(*) AS BIGINT) AS m FROM {child} ch WHERE NOT EXISTS "
+            f"(SELECT CAST(count(*) AS BIGINT) AS m FROM {child} ch WHERE ch.{key} IS NOT NULL AND NOT EXISTS "
             f"(SELECT 1 FROM {parent} pa WHERE pa.{key} = ch.{key})) x")
 
 
@@ -495,14 +504,14 @@ _SRC_NOT_NULL = {"customers": ["first_name", "last_name", "email", "signup_date"
 _SRC_PK = {"customers": "customer_id", "products": "product_id", "orders": "order_id",
            "order_items": "item_id"}
 _ri = [
-    _fk_sql("orders_customer_id_fk", "orders", "customer_id", "clean_orders", "clean_customers"),
-    _fk_sql("order_items_order_id_fk", "order_items", "order_id", "clean_order_items", "clean_orders"),
-    _fk_sql("order_items_product_id_fk", "order_items", "product_id", "clean_order_items", "clean_products"),
+    _fk_sql("orders_customer_id_fk", "orders", "customer_id", "dd_orders", "dd_customers"),
+    _fk_sql("order_items_order_id_fk", "order_items", "order_id", "dd_order_items", "dd_orders"),
+    _fk_sql("order_items_product_id_fk", "order_items", "product_id", "dd_order_items", "dd_products"),
 ]
 for _t, _cols in _SRC_NOT_NULL.items():
-    _ri += [_check_sql(_t, f"clean_{_t}", "no_nulls", c, "critical") for c in _cols]
-    _ri.append(_check_sql(_t, f"clean_{_t}", "unique", _SRC_PK[_t], "critical"))
-_ri.append(_check_sql("customers", "clean_customers", "unique", "email", "critical"))
+    _ri += [_check_sql(_t, f"dd_{_t}", "no_nulls", c, "critical") for c in _cols]
+    _ri.append(_check_sql(_t, f"dd_{_t}", "unique", _SRC_PK[_t], "critical"))
+_ri.append(_check_sql("customers", "dd_customers", "unique", "email", "critical"))
 register("dq_referential_integrity", _union(_ri))
 
 
@@ -530,19 +539,19 @@ _all_tables = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in WM)
 _EPOCH = "TIMESTAMP '1970-01-01'"
 
 
-def _batch_max(table: str) -> str:
+def _batch_max(table: str, items: str) -> str:
     old = _ts(_OLD[table]) if table in _OLD else _EPOCH
     if table == "order_items":
-        return (f"SELECT max(i.created_at) FROM src_order_items i JOIN src_orders o "
+        return (f"SELECT max({items}) FROM src_order_items i JOIN src_orders o "
                 f"ON i.order_id = o.order_id WHERE o.updated_at > {old}")
     ts = {"customers": "updated_at", "products": "updated_at", "orders": "updated_at",
           "clickstream": "event_timestamp"}[table]
     return f"SELECT max({ts}) FROM src_{table} WHERE {ts} > {old}"
 
 
-_bm_rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, ({_batch_max(t)}) AS batch_max" for t in WM)
-
-register("watermark_advance", f"""
+for _key, _items in (("watermark_advance", "o.updated_at"), ("watermark_advance_reference", "i.created_at")):
+    _bm_rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, ({_batch_max(t, _items)}) AS batch_max" for t in WM)
+    register(_key, f"""
 SELECT a.table_name,
        CASE WHEN b.batch_max IS NULL THEN a.last_extracted
             ELSE greatest(a.last_extracted, b.batch_max) END AS last_extracted
@@ -550,6 +559,10 @@ FROM (SELECT t.table_name, COALESCE(o.last_extracted, {_EPOCH}) AS last_extracte
       FROM ({_all_tables}) t LEFT JOIN ({_old_rows}) o ON t.table_name = o.table_name) a
 LEFT JOIN ({_bm_rows}) b ON a.table_name = b.table_name""")
 
+# All that two runs must land: every item that has an order.
+register("extract_two_runs", """
+SELECT DISTINCT i.* FROM src_order_items i WHERE EXISTS (SELECT 1 FROM src_orders o WHERE o.order_id = i.order_id)""")
+register("raw_read_nested", "SELECT * FROM src_orders")
 register("extract_stream_available_now", "SELECT * FROM src_clickstream")
 register("raw_read_all", "SELECT * FROM src_orders")
 register("raw_row_counts", """
@@ -583,12 +596,21 @@ SELECT sale_date AS SALE_DATE, category AS CATEGORY, num_orders AS NUM_ORDERS, u
 FROM daily_sales""")
 register("load_by_name_permissive", "SELECT * FROM clean_order_items WHERE discount_pct <> 0")
 register("mart_schema_conform", "SELECT * FROM daily_sales")
-register("publish_layers", """
-SELECT 'processed' AS layer, 'orders' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM clean_orders
-UNION ALL SELECT 'processed', 'order_items', CAST(count(*) AS BIGINT) FROM clean_order_items
-UNION ALL SELECT 'marts', 'daily_sales', CAST(count(*) AS BIGINT) FROM daily_sales
-UNION ALL SELECT 'marts', 'customer_ltv', CAST(count(*) AS BIGINT) FROM customer_ltv""")
+register("load_by_name_rejects", """
+SELECT item_id, 'none' AS discount_pct,
+       (SELECT CAST(count(*) AS BIGINT) FROM clean_order_items WHERE discount_pct <> 0) AS accepted,
+       (SELECT CAST(count(*) AS BIGINT) FROM clean_order_items WHERE discount_pct = 0) AS rejected
+FROM clean_order_items WHERE discount_pct = 0""")
+for _m, _src in (("product_performance", "product_perf"), ("customer_ltv", "customer_ltv")):
+    register(f"load_{_m}_full_refresh", "SELECT " + ", ".join(f"{f.name} AS {f.name.upper()}" for f in schemas.MARTS[_m].fields)
+             + f" FROM {_src}")
+    register(f"{_m}_schema_conform", f"SELECT * FROM {_src}")
 register("register_mart_tables", "SELECT * FROM daily_sales_lite")
+register("register_mart_tables_ltv", "SELECT * FROM customer_ltv_lite")
+for _m, _src in (("daily_sales", "daily_sales"), ("product_performance", "product_perf"), ("customer_ltv", "customer_ltv")):
+    register(f"refresh_{_m}", f"SELECT * FROM {_src}")
+    register(f"pipeline_full_{_m}", f"SELECT * FROM {_src}")
+register("pipeline_incremental_daily_sales", "SELECT * FROM daily_sales")
 
 
 # ---- registrations: pipelines ------------------------------------------------------
@@ -601,10 +623,12 @@ UNION ALL SELECT 'marts', 'daily_sales', CAST(count(*) AS BIGINT) FROM daily_sal
 UNION ALL SELECT 'marts', 'product_performance', CAST(count(*) AS BIGINT) FROM product_perf
 UNION ALL SELECT 'marts', 'customer_ltv', CAST(count(*) AS BIGINT) FROM customer_ltv"""
 register("pipeline_process", _PROCESS_COUNTS)
+_EXTRACTED = ORACLE["extract_manifest"]
+_PUBLISHED = f"""SELECT 'raw' AS layer, table_name AS dataset, rows FROM ({_EXTRACTED}) e
+UNION ALL SELECT layer, dataset, rows FROM ({_PROCESS_COUNTS}) q"""
+register("publish_layers", _PUBLISHED)
 register("pipeline_full", f"""
-SELECT 'extract' AS stage, table_name AS dataset, rows, status FROM ({ORACLE['extract_manifest'].replace('WITH ', 'WITH ', 1)}) e
+SELECT 'extract' AS stage, table_name AS dataset, rows, status FROM ({_EXTRACTED}) e
 UNION ALL SELECT 'process', dataset, rows, 'success' FROM ({_PROCESS_COUNTS}) p
 UNION ALL SELECT 'quality', 'checks', CAST(18 AS BIGINT), 'success'
-UNION ALL SELECT 'publish', 'daily_sales', CAST(count(*) AS BIGINT), 'success' FROM daily_sales
-UNION ALL SELECT 'publish', 'product_performance', CAST(count(*) AS BIGINT), 'success' FROM product_perf
-UNION ALL SELECT 'publish', 'customer_ltv', CAST(count(*) AS BIGINT), 'success' FROM customer_ltv""")
+UNION ALL SELECT 'publish', layer || '/' || dataset, rows, 'success' FROM ({_PUBLISHED}) u""")

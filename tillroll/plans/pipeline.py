@@ -3,30 +3,37 @@
 Stages talk through Parquet written to shared storage: each mart is built
 from the processed layer read back from disk, so a lost executor costs a
 re-read of one stage, never a recomputation from the sources.  Order is
-write -> audit -> publish: marts reach the catalog only after the quality
-gate passed.
+write -> audit -> publish: a run's marts are written to a folder of the run and
+reach the lake and the catalog only after the quality gate passed, so a failed
+run leaves the marts of the last good one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..sinks.writers import (ordered_for_write, publish_marts, write_bucketed, write_layer,
+from ..session import delete_path, stage_scope
+from ..sinks.writers import (ordered_for_write, publish, publish_marts, write_layer,
                              write_orders_partitioned)
 from ..sources.extract import TS_COLUMNS, run_extract
-from ..sources.raw import read_raw_all
-from ..streaming.incremental import maintain_latest, read_latest
+from ..sources.raw import read_folder, read_raw_all
+from ..streaming.incremental import changed_keys, committed_version, maintain_latest, read_version
 
 PROCESSED = ("customers", "products", "orders", "order_items")
 MART_NAMES = ("daily_sales", "product_performance", "customer_ltv")
+PARTITIONS = {("processed", "orders"): ["order_year", "order_month"],
+              **{("raw", t): ["ingest_date"] for t in schemas.SOURCES}}
 
 _MANIFEST = "stage string, dataset string, rows long, status string"
+_VERSIONS = "dataset string, version long"
 
 
 def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str, DataFrame]:
@@ -38,51 +45,81 @@ def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str
     """
     out = {}
     for t in tables:
-        maintain_latest(spark, f"{base}/raw/{t}", schemas.SOURCES[t], schemas.SOURCE_KEYS[t],
-                        TS_COLUMNS[t], f"{base}/latest/{t}", f"{base}/state/latest_{t}")
-        out[t] = read_latest(spark, f"{base}/latest/{t}", schemas.SOURCES[t])
+        v = maintain_latest(spark, f"{base}/raw/{t}", schemas.SOURCES[t], schemas.SOURCE_KEYS[t],
+                            TS_COLUMNS[t], f"{base}/latest/{t}", f"{base}/state/latest_{t}")
+        out[t] = read_version(spark, f"{base}/latest/{t}", schemas.SOURCES[t], v)
     return out
 
 
-def process(spark: SparkSession, raw: dict[str, DataFrame], base: str,
-            bucket_items: bool = False, buckets: int | None = None,
-            database: str = "tillroll_processed", deduped: bool = False) -> DataFrame:
-    """Four cleans, then three marts.  Manifest (layer, dataset, rows).
+def latest_versions(spark: SparkSession, base: str) -> dict[str, int | None]:
+    return {t: committed_version(spark, f"{base}/latest/{t}") for t in PROCESSED}
 
-    ``bucket_items``: store processed items as a table bucketed on
-    ``order_id`` (``buckets`` defaults to the shuffle partition count), so
-    the item marts' joins shuffle only the orders side.  Off by default:
-    bucketing pins each key to one bucket, read by one task with no shuffle
-    AQE could split, so an order holding a large share of all items would
-    land in a single task; the default shuffle path lets AQE split it.
-    ``deduped``: ``raw`` already holds one newest row per key (latest tables).
-    """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if bucket_items:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/catalog'")
+
+def _write_processed(cleaned: dict[str, DataFrame], base: str) -> list[tuple]:
     rows = []
-    cleaned = C.clean_all(raw, deduped=deduped)
     for name in PROCESSED:
         path = f"{base}/processed/{name}"
-        if name == "orders":
-            n = write_orders_partitioned(cleaned[name], path)
-        elif name == "order_items" and bucket_items:
-            n = write_bucketed(cleaned[name], f"{database}.{name}", path, "order_id", buckets)
-        else:
-            n = write_layer(cleaned[name], path)
+        n = write_orders_partitioned(cleaned[name], path) if name == "orders" else write_layer(cleaned[name], path)
         rows.append(("processed", name, n))
-    p = {name: spark.read.parquet(f"{base}/processed/{name}").drop("_processed_at")
-         for name in PROCESSED}
-    if bucket_items:
-        p["order_items"] = spark.table(f"{database}.order_items").drop("_processed_at")
-    enriched = M.enriched_items(p["order_items"], p["orders"], p["products"])
-    built = {
-        "daily_sales": ordered_for_write(M.daily_sales(enriched), "sale_date", "category"),
-        "product_performance": M.product_performance(p["order_items"], p["orders"], p["products"]),
-        "customer_ltv": M.customer_ltv(p["orders"], p["customers"]),
-    }
-    for name in MART_NAMES:
-        rows.append(("marts", name, write_layer(built[name], f"{base}/marts/{name}")))
+    return rows
+
+
+def read_processed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{base}/processed/{name}").drop("_processed_at") for name in PROCESSED}
+
+
+def build_marts(p: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three marts from the processed tables."""
+    return {"daily_sales": M.daily_sales(p["order_items"], p["orders"], p["products"]),
+            "product_performance": M.product_performance(p["order_items"], p["orders"], p["products"]),
+            "customer_ltv": M.customer_ltv(p["orders"], p["customers"])}
+
+
+def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame]) -> dict[str, DataFrame] | None:
+    """The three marts from those of the last run and the keys changed since.
+
+    None if there are no marts of the last run, or if they are not of the versions
+    just before the newest ones: then only a full build is right.
+    """
+    built_from = read_folder(spark, f"{base}/state/mart_versions")
+    if built_from is None:
+        return None
+    known = {r["dataset"]: r["version"] for r in built_from.collect()}  # one row per table
+    newest = latest_versions(spark, base)
+    before, changed = {}, {}
+    for t, v in newest.items():
+        old = known.get(t)
+        if old is None or v is None or not old <= v <= old + 1:
+            return None
+        folder, schema = f"{base}/latest/{t}", schemas.SOURCES[t]
+        before[t] = read_version(spark, folder, schema, old)
+        changed[t] = changed_keys(spark, folder, schema, schemas.SOURCE_KEYS[t], v if v > old else None)
+    previous = {m: df.drop("_processed_at") for m, df in read_marts(spark, base).items()}
+    was = C.clean_all(before, deduped=True)
+    return {"daily_sales": M.refresh_daily_sales(previous["daily_sales"], was, after, changed),
+            "product_performance": M.refresh_product_performance(previous["product_performance"], was, after, changed),
+            "customer_ltv": M.refresh_customer_ltv(previous["customer_ltv"], was, after, changed)}
+
+
+def _write_marts(built: dict[str, DataFrame], folder: str) -> list[tuple]:
+    built = built | {"daily_sales": ordered_for_write(built["daily_sales"], "sale_date", "category")}
+    return [("marts", name, write_layer(built[name], f"{folder}/{name}")) for name in MART_NAMES]
+
+
+def process(spark: SparkSession, raw: dict[str, DataFrame], base: str, deduped: bool = False,
+            mart_folder: str | None = None, incremental: bool = False) -> DataFrame:
+    """Four cleans, then three marts.  Manifest (layer, dataset, rows).
+
+    ``deduped``: ``raw`` already holds one newest row per key (latest tables).
+    ``mart_folder``: where the marts go, by default ``<base>/marts``.
+    ``incremental``: ``raw`` are the newest versions of the latest tables, and marts
+    are refreshed from the last run's where that is possible.
+    """
+    with stage_scope(spark):
+        rows = _write_processed(C.clean_all(raw, deduped=deduped), base)
+        p = read_processed(spark, base)
+        built = refresh_marts(spark, base, p) if incremental else None
+        rows += _write_marts(built or build_marts(p), mart_folder or f"{base}/marts")
     return spark.createDataFrame(rows, "layer string, dataset string, rows long")
 
 
@@ -90,21 +127,49 @@ def read_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{base}/marts/{name}") for name in MART_NAMES}
 
 
+def audit(spark: SparkSession, marts: dict[str, DataFrame], base: str, floors: dict[str, int] | None = None) -> DataFrame:
+    """The check results over marts, written to ``<base>/quality/results`` and read back."""
+    results = Q.run_all({k: v.drop("_processed_at") if "_processed_at" in v.columns else v for k, v in marts.items()}, floors)
+    results.write.mode("overwrite").parquet(f"{base}/quality/results")
+    return spark.read.parquet(f"{base}/quality/results")
+
+
+def publish_all(spark: SparkSession, base: str, marts: dict[str, DataFrame], database: str,
+                ingest_date: _dt.date | None = None) -> list[dict]:
+    """K7: raw, processed and marts to ``<base>/published`` with their partitioning, and
+    the marts as tables of ``database``.
+
+    ``ingest_date``: publish the raw batches of that day only; else all of them.
+    """
+    datasets = {("raw", t): df if ingest_date is None else df.filter(F.col("ingest_date") == F.lit(str(ingest_date)).cast("date"))
+                for t in schemas.SOURCES if (df := read_folder(spark, f"{base}/raw/{t}")) is not None}
+    datasets |= {("processed", t): spark.read.parquet(f"{base}/processed/{t}") for t in PROCESSED}
+    datasets |= {("marts", m): df for m, df in marts.items()}
+    out = publish(datasets, f"{base}/published", PARTITIONS)
+    publish_marts(spark, marts, database, f"{base}/warehouse")
+    return out
+
+
 def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
              floors: dict[str, int] | None = None, database: str = "tillroll_marts",
-             ingest_date: _dt.date | None = None, incremental: bool = False) -> DataFrame:
+             ingest_date: _dt.date | None = None, incremental: bool = False,
+             ts_policy: str = "parent", fail_on_error: bool = True) -> DataFrame:
     """Extract -> land raw -> process -> quality gate -> publish.
 
-    ``incremental``: process from the latest tables (``refresh_latest``)
-    instead of deduplicating the whole raw history again.
+    ``incremental``: process from the latest tables (``refresh_latest``) and refresh
+    the marts from the keys that changed, instead of deduplicating the whole raw
+    history and rebuilding the marts.
+    ``fail_on_error``: stop before processing if a table could not be extracted.
 
     Returns the stage manifest (stage, dataset, rows, status).  Raises
     ``QualityGateError`` (after writing the check results) when a critical
-    check fails; nothing is published in that case.
+    check fails; nothing is published in that case and ``<base>/marts`` stays.
     """
     out = []
+    ingest_date = ingest_date or _dt.date.today()
+    run = f"{base}/runs/{uuid.uuid4().hex[:12]}"
     extracted = run_extract(spark, sources, f"{base}/raw", f"{base}/state/watermarks",
-                            ingest_date=ingest_date)
+                            ingest_date=ingest_date, ts_policy=ts_policy, fail_on_error=fail_on_error)
     for r in extracted.collect():  # one row per source table
         out.append(("extract", r["table_name"], r["rows"], r["status"]))
     if incremental:
@@ -112,16 +177,22 @@ def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     else:
         raw = {t: read_raw_all(spark, f"{base}/raw", t, schemas.SOURCES[t]).drop("ingest_date")
                for t in PROCESSED}
-    for r in process(spark, raw, base, deduped=incremental).collect():  # one row per dataset
+    for r in process(spark, raw, base, deduped=incremental, mart_folder=f"{run}/marts",
+                     incremental=incremental).collect():  # one row per dataset
         out.append(("process", r["dataset"], r["rows"], "success"))
-    marts = read_marts(spark, base)
-    results = Q.run_all({k: v.drop("_processed_at") for k, v in marts.items()}, floors)
-    results.write.mode("overwrite").parquet(f"{base}/quality/results")
-    results = spark.read.parquet(f"{base}/quality/results")
+    candidates = read_marts(spark, run)
+    results = audit(spark, candidates, base, floors)
     checks = results.count()
     Q.gate(results)
     out.append(("quality", "checks", checks, "success"))
-    written = publish_marts(spark, marts, database, f"{base}/warehouse")
+    for m in publish_all(spark, base, candidates, database, ingest_date):
+        out.append(("publish", f"{m['layer']}/{m['dataset']}", m["rows"], "success"))
     for name in MART_NAMES:
-        out.append(("publish", name, written[name], "success"))
+        write_layer(candidates[name].drop("_processed_at"), f"{base}/marts/{name}")
+    if incremental:
+        versions = [(t, v) for t, v in latest_versions(spark, base).items() if v is not None]
+        spark.createDataFrame(versions, _VERSIONS).coalesce(1).write.mode("overwrite").parquet(f"{base}/state/mart_versions")
+    else:
+        delete_path(spark, f"{base}/state/mart_versions")  # these marts are of no version
+    delete_path(spark, run)
     return spark.createDataFrame(out, _MANIFEST)

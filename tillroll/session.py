@@ -7,8 +7,11 @@ tests, the bench and the smoke entry point.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +19,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     # Day boundaries of zone-less timestamps must not depend on the host.
     "spark.sql.session.timeZone": "UTC",
+    # An overflow or a bad cast must fail, not turn into NULL or wrap round.
+    "spark.sql.ansi.enabled": "true",
     # Runtime re-planning: broadcast small join sides by measured size,
     # coalesce tiny shuffle partitions, split skewed join partitions.
     "spark.sql.adaptive.enabled": "true",
@@ -62,8 +67,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Base folder on storage every executor can reach.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the checkpoint folder
-    already set on the context).  Only when neither is set -- local tests --
-    do we create one of our own and register it as the checkpoint folder.
+    already set on the context).  Only when neither is set and the master is
+    local -- tests -- do we create one of our own; on a cluster a folder of
+    one machine would lose rows, so that is an error.
     Works on sessions without a ``SparkContext`` handle (Spark Connect).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -73,10 +79,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir() if context is not None else None
     if current:
         return current.rstrip("/")
+    if context is None or not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if id(spark) not in _LOCAL_DIRS:
         local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        if context is not None:
-            context.setCheckpointDir(local)
+        context.setCheckpointDir(local)
         _LOCAL_DIRS[id(spark)] = local
     return _LOCAL_DIRS[id(spark)]
 
@@ -93,6 +100,59 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tillroll", *parts, uuid.uuid4().hex[:12]])
 
 
+# Stage tables written by this application and not deleted yet.
+_STAGES: list[str] = []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The store that ``path`` is on and the path as that store's object."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _hadoop(spark, path)
+    return store.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is on; nothing happens if it is not there."""
+    store, target = _hadoop(spark, path)
+    store.delete(target, True)
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> None:
+    """Delete the stage tables written after the first ``since`` ones.
+
+    Frames that read them are of no use afterwards.
+    """
+    while len(_STAGES) > since:
+        delete_path(spark, _STAGES.pop())
+
+
+@contextlib.contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Stage tables written inside are deleted at the end, also after an error.
+
+    For runs whose results are written tables, not for frames still to be read.
+    """
+    since = len(_STAGES)
+    try:
+        yield
+    finally:
+        drop_stages(spark, since)
+
+
+@atexit.register
+def _drop_all() -> None:
+    """What lazily read results have kept goes when the application ends."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _STAGES:
+        with contextlib.suppress(Exception):  # the JVM may have gone first
+            drop_stages(spark)
+
+
 def materialize(df, name: str = "stage", with_rows: bool = False):
     """Write ``df`` once to the shared folder and return the read-back frame.
 
@@ -110,5 +170,6 @@ def materialize(df, name: str = "stage", with_rows: bool = False):
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
        .option("compression", "zstd").parquet(path))
+    _STAGES.append(path)
     out = spark.read.parquet(path)
     return (out, int(obs.get["rows"])) if with_rows else out

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import try_cast_to
+from ..sources.raw import read_folder
 
 log = logging.getLogger("tillroll")
 
@@ -26,8 +27,11 @@ COMPRESSION = "zstd"
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_by: list[str] | None = None, max_col: str | None = None,
-                   fmt: str = "parquet") -> dict:
-    """Write ``df`` and return {"rows": n, "max": max(max_col)} from the same pass."""
+                   fmt: str = "parquet", only_partitions: bool = False) -> dict:
+    """Write ``df`` and return {"rows": n, "max": max(max_col)} from the same pass.
+
+    ``only_partitions``: an overwrite replaces the partitions that ``df`` holds, no others.
+    """
     obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if max_col:
@@ -38,6 +42,8 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
         writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if only_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
     got = obs.get
     return {"rows": int(got.get("rows", 0) or 0), "max": got.get("max")}
@@ -51,26 +57,6 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return write_observed(df, path, "overwrite", partition_by)["rows"]
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
-                   stamp: bool = True) -> int:
-    """Write ``df`` as a table bucketed (and sorted) on ``key``.
-
-    Later joins and per-key aggregates on ``key`` read the table already
-    hash-partitioned: only the other side of a join is shuffled.  Rows are
-    hash-partitioned into exactly ``buckets`` tasks first, so each bucket is
-    one file (a bucketed write without it emits tasks x buckets files).
-    """
-    if stamp:
-        df = df.withColumn("_processed_at", F.current_timestamp())
-    obs = Observation(f"b_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.repartition(buckets, key).write.mode("overwrite")
-             .option("compression", COMPRESSION)
-             .bucketBy(buckets, key).sortBy(key)
-             .option("path", path).saveAsTable(table))
-    return int(obs.get.get("rows", 0) or 0)
-
-
 def ordered_for_write(df: DataFrame, *cols: str) -> DataFrame:
     """O1: files laid out in (cols) order without a single-task sort.
 
@@ -128,15 +114,9 @@ def load_full_refresh(spark: SparkSession, source_path: str, table: str, target_
 
     Skips (returns None) when the folder is missing or holds no data files.
     """
-    try:
-        mart = spark.read.parquet(source_path)
-    except Exception as e:  # noqa: BLE001 -- missing folder: skip with a warning
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            log.warning("%s not found -- skipping load of %s", source_path, table)
-            return None
-        raise
-    if not mart.inputFiles():
-        log.warning("no Parquet files in %s -- skipping load of %s", source_path, table)
+    mart = read_folder(spark, source_path)
+    if mart is None:
+        log.warning("%s holds no Parquet files -- skipping load of %s", source_path, table)
         return None
     out = conform(mart, schema)
     if upper:
@@ -164,22 +144,57 @@ def load_by_name_permissive(df: DataFrame, schema: StructType) -> tuple[DataFram
     return accepted, rejected
 
 
-def publish(datasets: dict[tuple[str, str], DataFrame], lake_uri: str) -> list[dict]:
-    """K7: write every (layer, dataset) under ``<lake>/<layer>/<dataset>``."""
+def load_permissive(df: DataFrame, schema: StructType, target: str, rejects: str) -> dict[str, int]:
+    """K5 as a load: append the accepted rows to ``target``, the rejected ones, as they
+    came, to ``rejects``; the number of each, counted during the writes."""
+    accepted, rejected = load_by_name_permissive(df, schema)
+    return {"accepted": write_observed(accepted, target, "append")["rows"],
+            "rejected": write_observed(rejected, rejects, "append")["rows"]}
+
+
+def publish(datasets: dict[tuple[str, str], DataFrame], lake_uri: str,
+            partitions: dict[tuple[str, str], list[str]] | None = None) -> list[dict]:
+    """K7: write every (layer, dataset) under ``<lake>/<layer>/<dataset>``.
+
+    ``partitions``: the partition columns of datasets that have some, kept in the copy.
+    Of the raw layer only the partitions given are replaced, so a run can publish
+    just the batch it has landed.
+    """
     manifest = []
     for (layer, name), df in datasets.items():
         path = f"{lake_uri.rstrip('/')}/{layer}/{name}"
-        rows = write_observed(df, path, "overwrite")["rows"]
+        by = (partitions or {}).get((layer, name))
+        rows = write_observed(df, path, "overwrite", by, only_partitions=layer == "raw")["rows"]
         manifest.append({"layer": layer, "dataset": name, "rows": rows, "path": path})
     return manifest
 
 
+class LocationError(ValueError):
+    """A database or table exists at another place than the one asked for."""
+
+
+def _require_location(spark: SparkSession, what: str, location: str) -> None:
+    """``what``: ``DATABASE name`` or ``TABLE EXTENDED name``."""
+    rows = spark.sql(f"DESCRIBE {what}").collect()  # one row per column or property
+    found = next(r[1] for r in rows if r[0] == "Location")
+
+    def plain(uri: str) -> str:
+        return uri.removeprefix("file:").rstrip("/").replace("//", "/")
+
+    if plain(found) != plain(location):
+        raise LocationError(f"{what.split()[-1]} is at {found}, not at {location}")
+
+
 def setup_mart_tables(spark: SparkSession, database: str, location: str,
                       marts: dict[str, StructType] | None = None) -> list[str]:
     """K6 setup: create the database and each mart table with its declared
-    schema (plus ``_processed_at``) if it does not exist yet.  Idempotent."""
+    schema (plus ``_processed_at``) if it does not exist yet.  Idempotent.
+
+    Raises if the database or a table is at another location: rows would silently
+    go to the other lake."""
     from ..schemas import MARTS, with_stamp
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    _require_location(spark, f"DATABASE {database}", location)
     created = []
     for name, schema in (marts or MARTS).items():
         table = f"{database}.{name}"
@@ -187,6 +202,8 @@ def setup_mart_tables(spark: SparkSession, database: str, location: str,
             spark.catalog.createTable(table, path=f"{location}/{name}", source="parquet",
                                       schema=with_stamp(schema))
             created.append(table)
+        else:
+            _require_location(spark, f"TABLE EXTENDED {table}", f"{location}/{name}")
     return created
 
 

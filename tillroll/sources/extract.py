@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -24,6 +24,22 @@ from ..sinks.writers import conform, land_raw
 
 EPOCH = _dt.datetime(1970, 1, 1)
 
+
+def ntz(value: _dt.datetime | _dt.date | str) -> Column:
+    """A zone-less timestamp literal.
+
+    Built from text: a datetime object would become an instant in the host's zone
+    first, and the same state would then filter differently on another host.
+    """
+    text = value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+class ExtractError(RuntimeError):
+    """Some tables could not be extracted; the message names each with its error."""
+
+
+# The column that tells when a row of a source table changed.
 TS_COLUMNS = {
     "customers": "updated_at",
     "products": "updated_at",
@@ -40,7 +56,7 @@ def extract(sources: dict[str, DataFrame], table: str, watermark) -> DataFrame:
     order_items has no update stamp: an item is extracted when its parent
     order changed (left-semi join; the order key is unique, so semi = inner).
     """
-    wm = F.lit(watermark).cast("timestamp_ntz")
+    wm = ntz(watermark)
     if table == "order_items":
         changed = sources["orders"].filter(F.col("updated_at") > wm).select("order_id")
         return sources["order_items"].join(changed, "order_id", "left_semi")
@@ -48,15 +64,16 @@ def extract(sources: dict[str, DataFrame], table: str, watermark) -> DataFrame:
 
 
 def batch_high_water(sources: dict[str, DataFrame], table: str, watermark,
-                     ts_policy: str = "reference") -> DataFrame:
+                     ts_policy: str = "parent") -> DataFrame:
     """max timestamp of one extracted batch, as a one-row frame.
 
-    ``ts_policy="reference"`` advances order_items on the items' own
-    ``created_at``; ``"parent"`` advances on the changed orders' ``updated_at``
-    (the column the filter actually uses).
+    ``ts_policy="parent"`` advances order_items on the changed orders'
+    ``updated_at``, the column the filter uses, so no item is passed over;
+    ``"reference"`` advances on the items' own ``created_at`` as the original
+    did, which skips items of orders that change before the newest item.
     """
     if table == "order_items" and ts_policy == "parent":
-        wm = F.lit(watermark).cast("timestamp_ntz")
+        wm = ntz(watermark)
         changed = sources["orders"].filter(F.col("updated_at") > wm)
         with_items = changed.join(sources["order_items"].select("order_id"), "order_id", "left_semi")
         hw = with_items.agg(F.max("updated_at").alias("batch_max"))
@@ -77,7 +94,7 @@ def current_watermarks(state: DataFrame, tables=TABLES) -> DataFrame:
     wanted = spark.createDataFrame([(t,) for t in tables], "table_name string")
     latest = state.groupBy("table_name").agg(F.max("last_extracted").alias("last_extracted"))
     return (wanted.join(latest, "table_name", "left")
-                  .select("table_name", F.coalesce("last_extracted", F.lit(EPOCH).cast("timestamp_ntz"))
+                  .select("table_name", F.coalesce("last_extracted", ntz(EPOCH))
                           .alias("last_extracted")))
 
 
@@ -128,12 +145,13 @@ def commit_state(spark: SparkSession, path: str, state: DataFrame) -> int:
 
 def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: str,
                 state_path: str, tables=None, ingest_date: _dt.date | None = None,
-                ts_policy: str = "reference", fail_on_error: bool = False) -> DataFrame:
+                ts_policy: str = "parent", fail_on_error: bool = False) -> DataFrame:
     """Extract every table, land it, advance its watermark; manifest out.
 
-    One table failing does not stop the others (its row says ``error``)
-    unless ``fail_on_error``.  The state is written once per run, after every
-    landed batch: the write of the state is the commit point.
+    One table failing does not stop the others: its row says ``error``, and with
+    ``fail_on_error`` an ``ExtractError`` follows once the state of the others is
+    committed.  The state is written once per run, after every landed batch: the
+    write of the state is the commit point.
     """
     tables = list(tables or TABLES)
     ingest_date = ingest_date or _dt.date.today()
@@ -157,12 +175,13 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
             new_marks[table] = high
             manifest.append((table, info["rows"], "success", f"{raw_base}/{table}", None))
         except Exception as e:  # noqa: BLE001
-            if fail_on_error:
-                raise
-            manifest.append((table, 0, "error", None, f"{type(e).__name__}: {e}"[:1000]))
+            manifest.append((table, 0, "error", None, f"{type(e).__name__}: {e}"))
     batch_max = spark.createDataFrame(list(new_marks.items()), "table_name string, batch_max timestamp_ntz")
     new_state = advance(state, batch_max, sorted(set(TABLES) | set(tables)))
     commit_state(spark, state_path, new_state)
     state.unpersist()
+    failed = [f"{row[0]}: {row[4]}" for row in manifest if row[2] == "error"]
+    if failed and fail_on_error:
+        raise ExtractError("; ".join(failed))
     return spark.createDataFrame(
         manifest, "table_name string, rows long, status string, path string, error string")

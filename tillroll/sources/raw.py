@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import path_exists
+
 
 class NoRawFilesError(FileNotFoundError):
     pass
 
 
+def read_folder(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
+    """The Parquet files below ``path``; None if the folder is missing or holds none.
+
+    Without a declared schema Spark reads one footer and fails when there is no
+    file, so no list of files comes to Python.
+    """
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def read_raw_all(spark: SparkSession, base: str, table: str, schema: StructType,
                  layout: str = "hive") -> DataFrame:
     """Every batch ever landed for ``table``, read with its declared schema.
@@ -21,18 +40,10 @@ def read_raw_all(spark: SparkSession, base: str, table: str, schema: StructType,
     via recursive listing.  Raises when no data file exists.
     """
     path = f"{base.rstrip('/')}/{table}"
-    reader = spark.read.schema(schema)
-    if layout == "nested":
-        reader = reader.option("recursiveFileLookup", "true")
-    try:
-        df = reader.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            raise NoRawFilesError(f"No parquet files found for table: {table}") from e
-        raise
-    if not df.inputFiles():
-        raise NoRawFilesError(f"No parquet files found for table: {table}")
-    return df
+    options = {"recursiveFileLookup": "true"} if layout == "nested" else {}
+    if read_folder(spark, path, **options) is None:
+        raise NoRawFilesError(f"{table}: nothing has been landed below {path}")
+    return spark.read.options(**options).schema(schema).parquet(path)
 
 
 def raw_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
@@ -48,6 +59,8 @@ def raw_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 def read_union_by_name(spark: SparkSession, path: str) -> DataFrame:
     """All parquet files under ``path`` unioned by column name.
 
-    Files that lack a column contribute NULLs for it (schema merge).
+    Files that lack a column contribute NULLs for it (schema merge); a missing or
+    empty folder is a frame without columns and rows.
     """
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    df = read_folder(spark, path, mergeSchema="true")
+    return spark.createDataFrame([], StructType([])) if df is None else df

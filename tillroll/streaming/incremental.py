@@ -16,37 +16,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedupe import dedupe_latest, merge_latest
+from ..session import delete_path
 from ..sinks.writers import write_observed
+from ..sources.raw import read_folder
 
 
 def ingest_available_now(spark: SparkSession, source_dir: str, schema: StructType,
-                         sink_dir: str, checkpoint_dir: str, dedupe_key: str | None = None,
-                         order_col: str | None = None, max_files_per_batch: int = 1000) -> int:
+                         sink_dir: str, checkpoint_dir: str, max_files_per_batch: int = 1000) -> int:
     """Process every file not yet seen, then stop.  Returns rows written.
 
     A large backlog is consumed in micro-batches of at most
     ``max_files_per_batch`` files (``availableNow`` honours the limit), so no
-    single batch has to hold the whole backlog.
+    single batch has to hold the whole backlog.  Duplicates across batches are the
+    business of ``maintain_latest``.
     """
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_batch)
-              .parquet(source_dir))
-
     written: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch
-        if dedupe_key:
-            out = dedupe_latest(batch, dedupe_key, order_col or ())
         # Rows counted during the write itself (the progress log keeps only
         # the most recent batches).
-        written.append(write_observed(out, f"{sink_dir}/batch_id={batch_id}", "overwrite")["rows"])
+        written.append(write_observed(batch, f"{sink_dir}/batch_id={batch_id}", "overwrite")["rows"])
+
+    _run_available(spark, source_dir, schema, checkpoint_dir, max_files_per_batch, write_batch)
+    return int(sum(written))
 
-    query = (stream.writeStream.trigger(availableNow=True)
-             .option("checkpointLocation", checkpoint_dir)
+
+def _run_available(spark, source_dir, schema, checkpoint_dir, max_files, write_batch) -> None:
+    query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_dir)
+             .writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint_dir)
              .foreachBatch(write_batch).start())
     query.awaitTermination()
-    return int(sum(written))
 
 
 def read_sink(spark: SparkSession, sink_dir: str, schema: StructType) -> DataFrame:
@@ -58,57 +57,80 @@ def _versioned(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField("v", LongType(), True)])
 
 
-def _newest_version(spark: SparkSession, latest_dir: str, schema: StructType) -> int | None:
-    versions = spark.read.schema(_versioned(schema)).parquet(latest_dir)
-    return versions.agg(F.max("v")).first()[0]
+def committed_version(spark: SparkSession, latest_dir: str) -> int | None:
+    """The newest version whose write has ended; None before the first.
 
+    Versions count only once they are in this small table, to which a fold adds a
+    row after its files are complete.  Rows that a broken write left in a slot are
+    of a version that is not in it, so they are never read.
+    """
+    path = f"{latest_dir}/committed"
+    spark.createDataFrame([], "v long").write.mode("append").parquet(path)
+    return spark.read.schema("v long").parquet(path).agg(F.max("v")).first()[0]
 
-def _read_version(spark: SparkSession, latest_dir: str, schema: StructType, v: int) -> DataFrame:
+
+def read_version(spark: SparkSession, latest_dir: str, schema: StructType, v: int | None) -> DataFrame:
+    """A version of the table: the newest committed one or the one before it."""
+    if v is None:
+        return spark.createDataFrame([], schema)
     return (spark.read.schema(_versioned(schema)).parquet(f"{latest_dir}/slot={v % 2}")
             .filter(F.col("v") == v).drop("v"))
 
 
+def read_latest(spark: SparkSession, latest_dir: str, schema: StructType) -> DataFrame:
+    """The newest version of a table kept by ``maintain_latest``."""
+    return read_version(spark, latest_dir, schema, committed_version(spark, latest_dir))
+
+
+def changed_keys(spark: SparkSession, latest_dir: str, schema: StructType, key: str, v: int | None) -> DataFrame:
+    """Keys of the rows that were folded into version ``v`` (none for None)."""
+    kind = StructType([schema[key]])
+    if v is None:
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(f"{latest_dir}/changed/version={v}")
+
+
+def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, order_col: str) -> None:
+    """Merge the waiting batches into the next version, commit it, drop the batches.
+
+    Folding is idempotent: a crash at any point leaves the committed version and
+    the batches, and the next fold does the same again.
+    """
+    waiting = read_folder(spark, f"{latest_dir}/waiting")
+    if waiting is None:
+        return
+    batches = spark.read.schema(schema).parquet(f"{latest_dir}/waiting").select(*schema.fieldNames())
+    newest = committed_version(spark, latest_dir)
+    v = 0 if newest is None else newest + 1
+    previous = None if newest is None else read_version(spark, latest_dir, schema, newest)
+    merged = merge_latest(previous, batches, key, order_col)
+    write_observed(batches.select(key).distinct(), f"{latest_dir}/changed/version={v}", "overwrite")
+    write_observed(merged.withColumn("v", F.lit(v).cast("long")), f"{latest_dir}/slot={v % 2}", "overwrite")
+    spark.createDataFrame([(v,)], "v long").coalesce(1).write.mode("append").parquet(f"{latest_dir}/committed")
+    delete_path(spark, f"{latest_dir}/waiting")
+
+
 def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key: str,
                     order_col: str, latest_dir: str, checkpoint_dir: str,
-                    max_files_per_batch: int = 1000) -> int:
+                    max_files_per_batch: int = 1000) -> int | None:
     """Keep ``latest_dir`` = newest version per key of every raw file landed.
 
-    Each micro-batch of new raw files is merged into the newest version of
-    the table (``merge_latest``) and written as version ``newest + 1``.
-    Versions alternate between two slots (``slot = v % 2``, every row carries
-    its ``v``): a batch reads the newest version from one slot and overwrites
-    the other, so at most two copies exist and a crash mid-write leaves the
-    newest version readable.  Merging is associative and idempotent, so a
-    replayed batch (or a lost stream checkpoint that re-reads old files)
-    leaves the same table.  Daily cost is |latest| + |new rows|, not the
-    whole raw history.  Returns the row count of the newest version.
+    Each micro-batch of new raw files is deduplicated and set aside; at the end of
+    the run all of them are merged (``merge_latest``) into the newest version of
+    the table at once, so a large backlog costs one rewrite of the table, not one
+    per micro-batch.  Versions alternate between two slots (``slot = v % 2``, every
+    row carries its ``v``): a fold reads one slot and overwrites the other, so the
+    version before stays readable.  Merging is associative and idempotent, so a
+    replayed batch (or a lost stream checkpoint that re-reads old files) leaves the
+    same table.  Daily cost is |latest| + |new rows|, not the whole raw history.
+    Returns the newest committed version.
     """
-    fields = [f.name for f in schema.fields]
-    for slot in (0, 1):  # create both slots if absent (appending zero rows)
-        spark.createDataFrame([], _versioned(schema)).write.mode("append") \
-            .parquet(f"{latest_dir}/slot={slot}")
-    sizes: list[int] = []
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = _newest_version(spark, latest_dir, schema)
-        previous = None if newest is None else _read_version(spark, latest_dir, schema, newest)
-        v = 0 if newest is None else newest + 1
-        merged = merge_latest(previous, batch.select(*fields), key, order_col)
-        out = merged.withColumn("v", F.lit(v).cast("long"))
-        sizes.append(write_observed(out, f"{latest_dir}/slot={v % 2}", "overwrite")["rows"])
-
-    query = (spark.readStream.schema(schema)
-             .option("maxFilesPerTrigger", max_files_per_batch).parquet(raw_dir)
-             .writeStream.trigger(availableNow=True)
-             .option("checkpointLocation", checkpoint_dir)
-             .foreachBatch(merge).start())
-    query.awaitTermination()
-    return sizes[-1] if sizes else read_latest(spark, latest_dir, schema).count()
+    _fold(spark, latest_dir, schema, key, order_col)  # batches of a run that broke off
 
+    def set_aside(batch: DataFrame, batch_id: int) -> None:
+        newest = dedupe_latest(batch.select(*schema.fieldNames()), key, order_col)
+        write_observed(newest, f"{latest_dir}/waiting/batch_id={batch_id}", "overwrite")
 
-def read_latest(spark: SparkSession, latest_dir: str, schema: StructType) -> DataFrame:
-    """The newest version of a table kept by ``maintain_latest``."""
-    newest = _newest_version(spark, latest_dir, schema)
-    if newest is None:
-        return spark.createDataFrame([], schema)
-    return _read_version(spark, latest_dir, schema, newest)
+    _run_available(spark, raw_dir, schema, checkpoint_dir, max_files_per_batch, set_aside)
+    _fold(spark, latest_dir, schema, key, order_col)
+    return committed_version(spark, latest_dir)
