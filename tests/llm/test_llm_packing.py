@@ -1,0 +1,107 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_helpers import ODD, documents
+from tokenizers import Tokenizer
+
+from tillroll.llm.packing import Packer, PartTokenizer, pack
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def ids_of(texts):
+    return [np.array([*e.ids, 1], "<u4") for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_part_tokenizer_gives_the_librarys_ids():
+    rng = random.Random(5)
+    marks = [*" \t\n\r▁abtSJhzÿß×÷'sAéÀÞΣσİ0१́̌‍\x00\x1c\x0b\x85\xa0 　漢字😀<|>/[]!#%&()*+,-.:;=?@\\^_`{}~\"",
+             "<|endoftext|>", "'re", " the", "ing", "</s>", "Word,"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 14))) for _ in range(20000)] + ["x" * 5000 + "'"]
+    fast = PartTokenizer(PATH, 1)
+    assert fast.word is not None
+    assert [x.tolist() for x in fast.ids(texts)] == [x.tolist() for x in ids_of(texts)]
+
+
+def check(rows, got):
+    want = sorted((zlib.crc32(i.tobytes()), len(i), repr(d)) for (d, _), i in zip(rows, ids_of([t or "" for _, t in rows]), strict=True))
+    pieces, whole = {}, []
+    for r in got:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length > 0
+    for (d, n), parts in pieces.items():
+        starts = {}
+        for p in parts:
+            starts.setdefault(p.start, []).append(p)
+        copies = len(starts[0])  # repeated rows and equal (id, length) pairs
+        joined = [[] for _ in range(copies)]
+        if copies == 1:
+            joined[0] = sorted(parts, key=lambda p: p.start)
+            at = 0
+            for p in joined[0]:
+                assert p.start == at
+                at += p.length
+            assert at == n
+            whole.append((zlib.crc32(b"".join(p.ids for p in joined[0])), n, repr(d)))
+        else:
+            assert sum(p.length for p in parts) == copies * n
+    assert set(whole) <= set(want) and sum(r.length for r in got) == sum(w[1] for w in want)
+    windows = {}
+    for r in got:
+        windows.setdefault(r.sequence_id, []).append(r)
+    for w in windows.values():
+        at = 0
+        for r in sorted(w, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= w[0].window
+    return [sum(r.length for r in w) for w in windows.values()]
+
+
+@pytest.mark.parametrize("round_tokens", [1000, 2_000_000])
+def test_pieces_cover_every_document(spark, round_tokens):
+    rng = random.Random(2)
+    rows = [(100 + i, " ".join(rng.choice(["the", "of", "words", "x1"]) for _ in range(rng.randint(0, 900)))) for i in range(400)]
+    rows += ODD
+    got = pack(documents(spark, rows).repartition(3), PATH, round_tokens=round_tokens, with_ids=True).collect()
+    sizes = check(rows, got)
+    short = [n for n in sizes if n & (n - 1)]
+    assert len(short) <= 1  # three partitions are merged in one task, whose last window alone is padded
+    groups = {}
+    for r in got:
+        groups[r.step_group] = groups.get(r.step_group, 0) + r.length
+    assert len(groups) > 1
+
+
+def test_steps_hold_equal_tokens():
+    from tillroll.llm.packing import Writer
+    packer = Packer()
+    rng = random.Random(3)
+    for i in range(2000):
+        packer.add(i, np.arange(rng.randint(1, 3000), dtype="<u4"))
+    writer = Writer.__new__(Writer)
+    writer.next = writer.group = 0
+    writer.group_tokens, writer.with_ids = 64 * 2048, False
+    rows = writer.batch(packer.fill()).to_pylist()
+    loads = {}
+    for r in rows:
+        loads[r["step_group"]] = loads.get(r["step_group"], 0) + r["length"]
+    assert max(loads.values()) - min(loads.values()) <= 2048
+
+
+def test_gaps_take_whole_pieces_before_cutting():
+    packer = Packer((8, 4))
+    for i, n in enumerate((6, 2, 5, 3, 4)):
+        packer.add(i, np.arange(n, dtype="<u4"))
+    windows = packer.fill()
+    assert sorted(sorted(p[0] for p in w) for _, w in windows) == [[2, 6], [3, 5], [4]]
+    assert packer.finish() == []
+
+
+def test_empty_table_and_empty_texts(spark):
+    assert pack(documents(spark, []), PATH).count() == 0
+    got = pack(documents(spark, [(1, None), (2, "")]), PATH, with_ids=True).collect()
+    assert sorted((r.doc_id, r.length, r.doc_tokens) for r in got) == [(1, 1, 1), (2, 1, 1)]

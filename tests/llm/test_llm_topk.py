@@ -1,0 +1,74 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tillroll.llm.topk import best_of_tile, merge, search
+
+SCHEMA = "vec_id long, embedding array<float>, VEC_ID string, score string, rank string"
+
+
+def brute(rows, queries, k):
+    def vector(v):
+        if v is None or any(x is None or not math.isfinite(x) or abs(np.float32(x)) >= 2 ** 20 for x in v):
+            return None
+        return [math.floor(64 * float(np.float32(x))) for x in v]
+
+    usable = [(i, v) for i, e in rows if (v := vector(e)) is not None]
+    asked = {(i, tuple(v)) for i, e in queries if i is not None and (v := vector(e)) is not None}
+    out = []
+    for q, v in asked:
+        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), c is None, c or 0) for c, w in usable if c != q and len(w) == len(v))
+        out += [(q, r, None if none else c, -s) for r, (s, none, c) in enumerate(scores[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, queries, **kw):
+    def table(rs):
+        return spark.createDataFrame([(*r, "a", "b", "c") for r in rs], SCHEMA)
+
+    got = search(table(queries), table(rows), **kw).collect()
+    return sorted([(r.query_id, r.rank, r.vec_id, r.score) for r in got], key=repr)
+
+
+@pytest.mark.parametrize("tile,query_tile,k", [(8192, 2048, 20), (1024, 1024, 3)])
+def test_equals_brute_force_with_ties(spark, tile, query_tile, k):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 0.99]) for _ in range(4)]) for i in range(3000)]
+    rng.shuffle(rows)
+    queries = [r for r in rows if r[0] % 100 == 0]
+    assert run(spark, rows, queries, tile=tile, query_tile=query_tile, k=k) == brute(rows, queries, k)
+
+
+def test_odd_rows(spark):
+    rows = [(0, [0.1, 0.2]), (20, [0.1, 0.2]), (20, [0.1, 0.2]), (20, [-0.3, 0.4]), (1, None), (2, [0.1, None]), (3, [float("nan"), 1.0]),
+            (4, [float("inf"), 1.0]), (5, []), (40, []), (60, [0.5, 0.5, 0.5]), (7, [1e6, 1e6]), (8, [3e7, 1.0]), (None, [0.1, 0.2]), (9, [-0.001, 0.0])]
+    queries = [r for r in rows if r[0] is not None and r[0] % 20 == 0]
+    assert run(spark, rows, queries) == brute(rows, queries, 20)
+
+
+def test_large_components_are_summed_exactly():
+    rng = np.random.default_rng(2)
+    big = rng.integers(-2 ** 26, 2 ** 26, (50, 64))
+    ids, scores = best_of_tile(np.array([-1]), big[:1], np.arange(50), big, 5)
+    want = sorted((-int(sum(int(a) * int(b) for a, b in zip(big[0], w, strict=True))), i) for i, w in enumerate(big))[:5]
+    assert [(-s, i) for i, s in zip(ids[0].tolist(), scores[0].tolist(), strict=True)] == want
+
+
+def test_merge_prefers_scores_then_small_ids():
+    ids, scores = merge([np.array([[9, 4]]), np.array([[2, 7]])], [np.array([[5, 1]]), np.array([[5, -2 ** 63]])], 3)
+    assert ids.tolist() == [[2, 9, 4]] and scores.tolist() == [[5, 5, 1]]
+
+
+def test_empty_tables(spark):
+    some = [(0, [0.1]), (1, [0.2])]
+    assert run(spark, [], []) == [] == run(spark, some, []) == run(spark, [], some)
+    assert run(spark, some, some[:1]) == [(0, 1, 1, 72)]
+
+
+def test_a_common_vector(spark):
+    rows = [(i, [0.5, 0.5]) for i in range(2500)]
+    got = run(spark, rows, rows[:2], tile=1024)
+    assert [r[2] for r in got if r[0] == 0] == sorted(range(1, 21), key=lambda i: repr((0, i, i, 0)))
+    assert {r[2] for r in got if r[0] == 1} == {0, *range(2, 21)}
