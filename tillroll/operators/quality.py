@@ -112,6 +112,7 @@ def _result(ck: Check, m: Column | None) -> Column:
     s = F.lit
     if m is None:
         passed = ck.kind in ("no_negative", "value_set")
+        # Names and messages of results are compared by their readers.
         message = {"no_nulls": f"Column '{ck.column}' not found in {ck.table}",
                    "unique": f"Column {ck.column} not found"}.get(ck.kind, "Column not present")
         return F.struct(s(_name(ck, False)).alias("name"), s(ck.table).alias("table_name"),

@@ -19,6 +19,8 @@ def _s(*fields: tuple[str, object]) -> StructType:
 S, L, I, D = StringType(), LongType(), IntegerType(), DoubleType()
 DT, TS, B = DateType(), TimestampNTZType(), BooleanType()
 
+# The column names and types of sources and marts are the data model that
+# users' queries and dashboards rely on.
 CUSTOMERS = _s(
     ("customer_id", L), ("first_name", S), ("last_name", S), ("email", S),
     ("phone", S), ("city", S), ("country", S), ("signup_date", DT),
