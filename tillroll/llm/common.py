@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -52,7 +51,7 @@ class ChunkTable:
     """Ids of texts whose chunks encode independently; each distinct chunk is encoded once.
 
     ``split`` cuts a text into chunks, ``encode_many`` gives the ids of a list of
-    chunks.  Chunks met recently are kept, as the bytes of their ids: once ``rows``
+    chunks, as bytes of 32-bit integers.  Chunks met recently are kept: once ``rows``
     are held they become the old generation, from which those still in use are
     taken over, so memory stays bounded and frequent chunks stay.  Chunks over
     ``LONG`` characters are not kept.
@@ -60,7 +59,7 @@ class ChunkTable:
 
     LONG = 200
 
-    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[list[int]]],
+    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], list[bytes]],
                  rows: int = 200_000):
         self.split, self.encode_many, self.rows = split, encode_many, rows
         self.young: dict[str, bytes] = {}
@@ -74,8 +73,7 @@ class ChunkTable:
         for chunk in new & self.old.keys():
             known[chunk] = self.old[chunk]
         todo = [c for c in new if c not in known]
-        for chunk, ids in zip(todo, self.encode_many(todo), strict=True):
-            known[chunk] = array("I", ids).tobytes()
+        known.update(zip(todo, self.encode_many(todo), strict=True))
         out = [np.frombuffer(b"".join([known[c] for c in parts]) + end, "<u4") for parts in split]
         for chunk in todo:
             if len(chunk) > self.LONG:

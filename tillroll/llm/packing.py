@@ -25,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import json
 import os
@@ -47,6 +48,7 @@ ROUND_TOKENS = 2_000_000
 GROUP_TOKENS = 64 * 2048
 MERGE = 64
 BATCH_ROWS = 256
+TABLE_ROWS = 400_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "window int, step_group long, ids binary")
@@ -61,12 +63,17 @@ SPLITTER = {"type": "Split", "behavior": "Removed", "invert": True,
             "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}}
 
 
+#: Letters whose lower case is one letter and that no normalizer changes; punctuation that never joins them.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+
+
 class PartTokenizer:
     """Ids of a text by a whitespace-dropping tokenizer, each distinct part encoded once.
 
-    Most parts are Latin letters, then ASCII punctuation other than apostrophes.
-    There the tokenizer's normalizer only lower-cases and its splitter cuts between
-    the two, so both go straight to the library's merges, past the costly steps
+    Most parts are Latin letters, then perhaps ASCII punctuation other than
+    apostrophes.  Between the two the tokenizer's splitter always cuts, and all its
+    normalizer does to such letters is to lower-case them; so these words are parts
+    of their own and go straight to the library's merges, past the costly steps
     before them.  All other parts take the whole tokenizer.
     """
 
@@ -77,33 +84,39 @@ class PartTokenizer:
         self.tok, self.end_id = Tokenizer.from_file(path), end_id
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
-        norm, pre = conf["normalizer"] or {}, (conf["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-        self.plain = None
-        if norm.get("normalizers") == NORMALIZERS and pre[0] == SPLITTER and [p["type"] for p in pre[1:]] == ["ByteLevel"]:
-            self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        norm, pre, suffix = conf["normalizer"] or {}, (conf["pre_tokenizer"] or {}).get("pretokenizers", [{}]), conf["model"].get("end_of_word_suffix")
+        split = r"[^ \t\r\n]+"
+        self.word = None
+        if norm.get("normalizers") == NORMALIZERS and pre[0] == SPLITTER and [p["type"] for p in pre[1:]] == ["ByteLevel"] and suffix:
+            split = rf"[{LETTERS}]++(?=[{MARKS}]*+(?:[ \t\r\n]|\Z))|" + split
+            self.word = re.compile(f"[{LETTERS}]+").fullmatch
             self.merges = Tokenizer.from_str(json.dumps(
                 conf | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
             hidden = [b for b in range(256) if b not in shown]
-            self.byte_chars = {b: b for b in shown} | {b: 256 + n for n, b in enumerate(hidden)}
-        self.table = ChunkTable(re.compile(r"[^ \t\r\n]+").findall, self._encode)
-
-    def _encode(self, parts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(parts)
-        words, of = [], []
-        if self.plain:
-            for i, part in enumerate(parts):
-                if m := self.plain(part):
-                    out[i] = []
-                    for word in filter(None, m.groups()):
-                        words.append(word.lower().encode().decode("latin-1").translate(self.byte_chars))
-                        of.append(i)
-            for i, e in zip(of, self.merges.encode_batch_fast(words, add_special_tokens=False), strict=True):
-                out[i] = out[i] + e.ids
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, e in zip(rest, self.tok.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+            chars = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+            self.byte_chars = "".join((chars | {32: " "})[b] for b in range(256))
+            vocab = self.tok.get_vocab()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.table = ChunkTable(re.compile(split).findall, self._encode, TABLE_ROWS)
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        words = [p for p in parts if self.word(p)] if self.word else []
+        out = dict(zip(words, self._words(words), strict=True))
+        rest = [p for p in parts if p not in out]
+        for part, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[part] = np.array(e.ids, "<u4").tobytes()
+        return [out[p] for p in parts]
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of plain words, many to a call: each word's last id ends a word, and no other does."""
+        for at in range(0, len(words), 1000):
+            some = words[at:at + 1000]
+            line = codecs.charmap_decode(" ".join(some).lower().encode(), "strict", self.byte_chars)[0]
+            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            stops, raw = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), ids.tobytes()
+            yield from map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return self.table.ids(texts, np.array([self.end_id], "<u4").tobytes())

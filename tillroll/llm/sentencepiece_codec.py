@@ -23,6 +23,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ from tillroll.llm.common import ChunkTable, per_worker, pick
 
 MARK = "▁"
 BATCH_ROWS = 256
+TABLE_ROWS = 300_000
 
 
 class ChunkEncoder:
@@ -46,12 +48,12 @@ class ChunkEncoder:
         self.by_chunk = (self.sp.normalize("a") == MARK + "a" and self.sp.normalize(f"a{MARK} b") == f"{MARK}a{MARK * 2}b"
                          and not any(MARK in p.lstrip(MARK) for p in pieces))
         chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
-        self.table = ChunkTable(lambda t: chunks(self.sp.normalize(t)) if t else [], self._segment)
+        self.table = ChunkTable(lambda t: chunks(self.sp.normalize(t)) if t else [], self._segment, TABLE_ROWS)
 
-    def _segment(self, chunks: list[str]) -> list[list[int]]:
+    def _segment(self, chunks: list[str]) -> list[bytes]:
         """The library puts the first marker back, except before nothing."""
         mark = [self.sp.piece_to_id(MARK)]
-        return [ids or mark for ids in self.sp.encode([c[1:] for c in chunks], num_threads=1)]
+        return [array("I", ids or mark).tobytes() for ids in self.sp.encode([c[1:] for c in chunks], num_threads=1)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.by_chunk:
