@@ -58,7 +58,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
+    vectors = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return search(vectors.filter(F.col("vec_id") % 20 == 0), vectors, k=20)
 
 
