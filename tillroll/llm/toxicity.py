@@ -22,6 +22,7 @@ kinds every score is 0; extra columns are kept by ``score`` and ignored elsewher
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import pick
 
-SAMPLE_DOCS = 8000
+SAMPLE_DOCS = 6000
 SAMPLE_BYTES = 16_384
 CHAIN_TOKENS = 400_000
 VOCABULARY = 20_000
@@ -160,29 +161,39 @@ def _family(tokens: list[str]) -> int:
     return min(xxhash.xxh64_intdigest(" ".join(g)) for g in grams)
 
 
-def toxic_features(docs: list[list[str]], labels: list[int]) -> tuple[set[str], dict[str, int]]:
-    """Features of many toxic documents and next to no clean ones; and how many documents each has.
+def toxic_features(docs: list[list[str]], labels: list[int]) -> tuple[set[str], Counter]:
+    """Features of many toxic documents and next to no clean ones; and how many documents each
+    feature of toxic documents has.
 
     Near copies count once.
     """
-    seen, counts, n = set(), ({}, {}), [0, 0]
+    once: dict[tuple[int, int], set[str]] = {}
     for tokens, y in zip(docs, labels, strict=True):
-        if tokens and (key := (y, _family(tokens))) not in seen:
-            seen.add(key)
-            n[y] += 1
-            for f in {f for w in set(tokens) for f in features(w)}:
-                counts[y][f] = counts[y].get(f, 0) + 1
+        if tokens:
+            once.setdefault((y, _family(tokens)), set(tokens))
+    n = [sum(y == k for y, _ in once) for k in (0, 1)]
+    toxic, clean = Counter(), Counter()
+    for (y, _), found in once.items():
+        if y:
+            toxic.update({f for w in found for f in features(w)})
+    known: dict[str, list[str]] = {}  # what a word has in common with toxic documents; the rest is of no use
+    for (y, _), found in once.items():
+        if not y:
+            for w in found:
+                if w not in known:
+                    known[w] = [f for f in features(w) if f in toxic]
+            clean.update({f for w in found for f in known[w]})
     least = max(5, 0.015 * n[1])
-    flagged = {f for f, c in counts[1].items()
-               if c >= least and c / n[1] >= 50 * (counts[0].get(f, 0) + 0.5) / max(n[0], 1)}
-    for f, c in counts[1].items():
-        counts[0][f] = counts[0].get(f, 0) + c
-    return flagged, counts[0]
+    flagged = {f for f, c in toxic.items() if c >= least and c / n[1] >= 50 * (clean[f] + 0.5) / max(n[0], 1)}
+    toxic.update(clean)
+    return flagged, toxic
 
 
 def fit(texts: list[str], labels: list[int], rounds: int = 60) -> Model:
     """Fit the chain and the document score on labelled texts."""
-    docs = [words(t.lower()) for t in texts]
+    same: dict[str, str] = {}  # one object per distinct word
+    docs = [[same.setdefault(w, w) for w in words(t.lower())] for t in texts]
+    del same
     flagged, count = toxic_features(docs, labels)
     vocabulary = {f: i for i, f in enumerate(sorted(count, key=lambda f: (f not in flagged, -count[f], f))[:VOCABULARY])}
     del count
