@@ -64,6 +64,15 @@ def test_trees_learn_labelled_urls(spark):
     assert right >= 0.9 * len(test) and all(0 <= r.blocked <= 1 for r in got)
 
 
+def test_suffix_statistics_are_of_all_labelled_urls(spark):
+    """Most suffixes have no row in the sample; their labelled urls still decide."""
+    known = spark.createDataFrame([(f"https://a{n}.{c}{i:03d}.net/page", i % 2) for c in "st" for i in range(500) for n in range(10)],
+                                  "url string, blocked int")
+    asked = [f"https://b1.{c}{i:03d}.net/page" for c in "st" for i in range(500)]
+    got = url_filter.judge(pages(spark, asked), [url_filter.Rule("allow", "nowhere", "/")], known, sample=300).collect()
+    assert len(got) == 1000 and all((r.verdict == "block") == bool(r.page_id % 2) for r in got)
+
+
 @pytest.mark.parametrize("rows,verdict", [([], "allow"), ([("http://a/", 1)], "block"), ([("http://a/", 0), (None, None)], "allow")])
 def test_without_both_kinds_of_labels(spark, rows, verdict):
     known = spark.createDataFrame(rows, "url string, blocked int")

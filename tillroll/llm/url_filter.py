@@ -5,8 +5,8 @@ the longest decides; an url without one is judged by gradient-boosted trees.
 Their features are lexical (lengths, depth, digit ratio, character entropy,
 parameters, punctuation) and statistics of the host's suffix (its last two
 labels): how many urls of the whole table have it, and the share of blocked urls
-among the labelled ones.  Everything runs in DataFrame and ML operators; the
-suffix statistics are aggregated before they are joined.
+among the labelled ones, also of the whole table.  Everything runs in DataFrame
+and ML operators; the suffix statistics are aggregated before they are joined.
 
 The trees are fitted on labelled urls, here those that a rule decides.  Only the
 fit uses a sample: labelled rows whose hash falls below a threshold that lets
@@ -123,8 +123,9 @@ def judge(pages: DataFrame, chosen: list[Rule], labelled: DataFrame | None = Non
              urls.filter("ruled IS NOT NULL").withColumn("blocked", (F.col("ruled") == "block").cast("int")))
     known = known.filter(F.col("blocked").isin(0, 1)).select(
         "url", "host", "path", "blocked", *([F.col("page_id").alias("salt")] if labelled is None else [F.lit(0).alias("salt")]))
-    n = known.count()
-    share = int(min(1.0, sample / max(n, 1)) * (1 << 31))
+    taught = materialize(known.groupBy(_suffix(host).alias("suffix")).agg(F.sum("blocked").alias("b"), F.count("*").alias("n")), "taught")
+    b, n = taught.agg(F.sum("b"), F.sum("n")).first()
+    share = int(min(1.0, sample / max(n or 0, 1)) * (1 << 31))
     fitted_on = materialize(known.filter(F.pmod(F.xxhash64("url", "salt"), F.lit(1 << 31)) <= share).limit(2 * sample), "labelled_urls")
     kinds = {r[0] for r in fitted_on.select("blocked").distinct().collect()}
     if len(kinds) < 2:
@@ -132,9 +133,8 @@ def judge(pages: DataFrame, chosen: list[Rule], labelled: DataFrame | None = Non
                            F.coalesce("ruled", F.lit("block" if kinds == {1} else "allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("blocked"))
 
-    rate = fitted_on.agg(F.avg("blocked")).first()[0]
+    rate = b / n
     seen = urls.groupBy(_suffix(host).alias("suffix")).agg(F.count("*").alias("urls"))
-    taught = fitted_on.groupBy(_suffix(host).alias("suffix")).agg(F.sum("blocked").alias("b"), F.count("*").alias("n"))
     suffixes = materialize(seen.join(taught, "suffix", "full").select(
         "suffix", F.log1p(F.coalesce("urls", F.lit(0)).cast("double")).alias("f_suffix_urls"),
         ((F.coalesce("b", F.lit(0)) + 5 * rate) / (F.coalesce("n", F.lit(0)) + 5)).alias("f_suffix_blocked")), "suffixes")
