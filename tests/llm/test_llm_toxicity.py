@@ -76,6 +76,32 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     assert [r.h for r in flags] == [r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in flags]
 
 
+def test_chain_learns_from_every_toxic_document(monkeypatch):
+    """A word of toxic texts that sort last counts, however few words a step of the fit holds."""
+    rng = random.Random(3)
+    plain = ["".join(rng.choice("bcdefghijk") for _ in range(6)) for _ in range(300)]
+    text = lambda bad: " ".join([rng.choice(plain) for _ in range(60)] + bad)
+    toxic = sorted([text(["vile"]) for _ in range(120)] + ["яя " + text(["гадость"]) for _ in range(20)])
+    texts = sorted([text([]) for _ in range(300)] + ["яя " + text([]) for _ in range(40)]) + toxic
+    labels = [0] * 340 + [1] * 140
+    whole = toxicity.fit(texts, labels)
+    monkeypatch.setattr(toxicity, "CHAIN_TOKENS", 5000)
+    model = toxicity.fit(texts, labels)
+    assert model.weights["гадость$"] > 0.5 and abs(model.weights["vile$"] - model.weights["гадость$"]) < 2
+    p = model.places([toxicity.words(t) for t in ("яя bcdefg гадость", "яя bcdefg")], {})
+    assert p[0][2] >= 0.5 and p[0][0] < 0.5 and p[1].max() < 0.5
+    assert all(abs(whole.weights[f] - v) < 1e-3 for f, v in model.weights.items())
+
+
+def test_chain_takes_each_text_once():
+    texts = ["a b", "a b", "c", "", "d e", "c", *[f"n{i}" for i in range(80)]]
+    labels = [1, 1, 0, 1, 0, 1, *[0] * 80]
+    chosen = toxicity.chain_documents(texts, [toxicity.words(t) for t in texts], labels)
+    assert sorted(texts[i] for i in chosen if labels[i]) == ["a b", "c"]
+    clean = [texts[i] for i in chosen if not labels[i]]
+    assert len(clean) == len(set(clean)) == 50 and not {"a b", "c", ""} & set(clean)
+
+
 def test_odd_documents_and_labels(spark):
     rows, labels = corpus(400)
     model = toxicity.train(documents(spark, rows), spark.createDataFrame(

@@ -4,7 +4,10 @@ Document labels become token labels: a word, or the beginning of words, counts a
 toxic where it is found in many toxic training documents and in next to no clean
 ones (near copies counted once), and its places in toxic documents are labelled
 1.  On these sequences a two-state chain with a weight for each frequent word and
-word beginning and with transition weights is fitted by maximum likelihood.  A document's
+word beginning and with transition weights is fitted by maximum likelihood, on all
+distinct toxic texts of the sample and as many clean ones (those with the smallest
+hash, 50 at least); no bound of words cuts them, ``CHAIN_TOKENS`` is only how many
+words a step of the fit holds at a time.  A document's
 score is a logistic function of the largest and the summed marginal, fitted on
 the training documents; places whose marginal is 0.5 or more are its spans.
 
@@ -35,7 +38,7 @@ from tillroll.llm.common import pick
 
 SAMPLE_DOCS = 6000
 SAMPLE_BYTES = 16_384
-CHAIN_TOKENS = 400_000
+CHAIN_TOKENS = 200_000
 VOCABULARY = 20_000
 BATCH_CHARS = 2_000_000
 RESULT = "score double, spans array<struct<start: int, end: int>>"
@@ -189,36 +192,50 @@ def toxic_features(docs: list[list[str]], labels: list[int]) -> tuple[set[str],
     return flagged, toxic
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 60) -> Model:
-    """Fit the chain and the document score on labelled texts."""
+def chain_documents(texts: list[str], docs: list[list[str]], labels: list[int]) -> list[int]:
+    """Numbers of the documents the chain is fitted on: each distinct toxic text with words once,
+    and as many clean ones (50 at least), in the order of a hash of the text.
+
+    Of differing labels of one text 1 counts.
+    """
+    import xxhash
+
+    once: dict[str, int] = {}
+    for i in sorted(range(len(texts)), key=lambda i: -labels[i]):
+        if docs[i]:
+            once.setdefault(texts[i], i)
+    order = sorted(once.values(), key=lambda i: (xxhash.xxh64_intdigest(texts[i]), texts[i]))
+    toxic = [i for i in order if labels[i]]
+    return toxic + [i for i in order if not labels[i]][:max(len(toxic), 50)]
+
+
+def fit(texts: list[str], labels: list[int], rounds: int = 60, held: int | None = None) -> Model:
+    """Fit the chain and the document score on labelled texts.
+
+    ``held``: words whose marginals are held at a time, by default ``CHAIN_TOKENS``; the
+    sums over all of them are the same for any number.
+    """
     same: dict[str, str] = {}  # one object per distinct word
     docs = [[same.setdefault(w, w) for w in words(t.lower())] for t in texts]
     del same
     flagged, count = toxic_features(docs, labels)
     vocabulary = {f: i for i, f in enumerate(sorted(count, key=lambda f: (f not in flagged, -count[f], f))[:VOCABULARY])}
     del count
-    # the chain is fitted on all toxic documents and as many clean ones, up to a bound of words
-    rank, order = [0, 0], []
-    for i, y in enumerate(labels):
-        order.append((rank[y], i))
-        rank[y] += 1
-    chosen, total = [], 0
-    for r, i in sorted(order):
-        if r < max(rank[1], 50) and docs[i] and total < CHAIN_TOKENS:
-            chosen.append(i)
-            total += len(docs[i])
+    chosen = chain_documents(texts, docs, labels)
     word_ids: dict[str, int] = {}
-    x = np.array([word_ids.setdefault(w, len(word_ids)) for i in chosen for w in docs[i]], np.int64)
-    of = [(n, vocabulary[f]) for w, n in word_ids.items() for f in features(w) if f in vocabulary]
-    word, feature = np.array(of, np.int64).reshape(-1, 2).T
+    x = np.fromiter((word_ids.setdefault(w, len(word_ids)) for i in chosen for w in docs[i]), np.int32)
+    of = np.fromiter((k for w, n in word_ids.items() for f in features(w) if f in vocabulary for k in (n, vocabulary[f])), np.int64)
+    word, feature = of.reshape(-1, 2).T
     toxic = np.array([any(f in flagged for f in features(w)) for w in word_ids], bool)
-    sizes = np.array([len(docs[i]) for i in chosen])
+    sizes = np.array([len(docs[i]) for i in chosen], int)
     y = toxic[x] & np.repeat(np.array([labels[i] for i in chosen], bool), sizes)
     first = np.zeros(len(x), bool)
-    first[np.cumsum(sizes) - sizes] = True
+    starts = np.cumsum(sizes) - sizes
+    first[starts] = True
+    cuts = [*starts[np.unique(starts // (held or CHAIN_TOKENS), return_index=True)[1]].tolist(), len(x)]
     prev = np.concatenate([[False], y[:-1]])
     seen_pairs = np.array([(y & prev & ~first).sum(), (y & ~prev & ~first).sum(), (~y & prev & ~first).sum()], float)
-    seen_word = np.bincount(x, y, len(word_ids))
+    seen_word = np.bincount(x[y], minlength=len(word_ids)).astype(float)
     # parameters: feature weights, bias, log potentials of 11, 01, 10, log potential of a start in 1
     theta = np.zeros(len(vocabulary) + 5)
     theta[-5] = -3.0
@@ -226,10 +243,13 @@ def fit(texts: list[str], labels: list[int], rounds: int = 60) -> Model:
     for t in range(1, rounds + 1):
         w, (bias, k11, k01, k10, s) = theta[:-5], theta[-5:]
         unary = bias + np.bincount(word, w[feature], len(word_ids))
-        p, pairs = marginals(unary[x], first, np.exp(np.array([[0.0, k01], [k10, k11]])), float(np.exp(s)))
-        missed = seen_word - np.bincount(x, p, len(word_ids))
-        grad = np.concatenate([np.bincount(feature, missed[word], len(w)), [missed.sum()],
-                               seen_pairs - pairs.sum(0), [(y & first).sum() - p[first].sum()]]) - 0.01 * theta
+        missed, missed_pairs, missed_starts = seen_word.copy(), seen_pairs.copy(), float((y & first).sum())
+        for lo, hi in zip(cuts, cuts[1:]):
+            p, pairs = marginals(unary[x[lo:hi]], first[lo:hi], np.exp(np.array([[0.0, k01], [k10, k11]])), float(np.exp(s)))
+            missed -= np.bincount(x[lo:hi], p, len(word_ids))
+            missed_pairs -= pairs.sum(0)
+            missed_starts -= p[first[lo:hi]].sum()
+        grad = np.concatenate([np.bincount(feature, missed[word], len(w)), [missed.sum()], missed_pairs, [missed_starts]]) - 0.01 * theta
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad ** 2
         theta += 0.2 * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.99 ** t)) + 1e-8)
     w, (bias, k11, k01, k10, s) = theta[:-5], theta[-5:]
