@@ -102,6 +102,16 @@ def test_chain_takes_each_text_once():
     assert len(clean) == len(set(clean)) == 50 and not {"a b", "c", ""} & set(clean)
 
 
+def test_a_document_repeated_often_does_not_crowd_out_the_others(spark, monkeypatch):
+    rows, labels = corpus(500)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 500)
+    repeated = next(r for r in rows if zlib.crc32(str(r[0]).encode()) % 5)
+    plain = toxicity.train(documents(spark, rows, extra=False), table)
+    often = toxicity.train(documents(spark, [repeated] * 3000 + rows, extra=False), table)
+    assert often is not None and often.weights == plain.weights and often.logit.tolist() == plain.logit.tolist()
+
+
 def test_odd_documents_and_labels(spark):
     rows, labels = corpus(400)
     model = toxicity.train(documents(spark, rows), spark.createDataFrame(

@@ -18,7 +18,8 @@ shuffle; forward and backward passes run over all words of a batch at once.
 
 Defined cases: a null or empty text has no words and gets the score of a document
 without evidence; rows without a label, with a null id or repeated are scored like
-any other; of differing labels of one document 1 counts; without labels of both
+any other; of differing labels of one document 1 counts, and of differing texts of
+one id the fit takes the greatest that is not too long; without labels of both
 kinds every score is 0; extra columns are kept by ``score`` and ignored elsewhere.
 """
 
@@ -276,7 +277,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
     rows = (pick(docs, "doc_id", "text").filter(F.octet_length("text").between(1, SAMPLE_BYTES))
-            .join(F.broadcast(sample), "doc_id").select("text", "toxic").limit(SAMPLE_DOCS).toPandas())
+            .join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+            .select("text", "toxic").toPandas())  # one row per id of the sample
     rows = rows.sort_values(["toxic", "text"])  # the fit does not depend on the order of tasks
     return fit(rows.text.tolist(), rows.toxic.tolist()) if rows.toxic.nunique() == 2 else None
 
