@@ -287,6 +287,26 @@ def test_failed_gate_leaves_the_marts_of_the_last_run(spark, sources):
     assert spark.table("t_gate_db.daily_sales").count() == len(before["daily_sales"])
 
 
+def test_batches_of_a_failed_run_are_published_by_the_next(spark, sources):
+    import datetime as dt2
+
+    from tillroll.operators.quality import QualityGateError
+    from tillroll.plans.pipeline import run_full, unpublished
+    from tillroll.sources.raw import read_folder
+    root = scratch_path(spark, "t_late_publish")
+    with pytest.raises(QualityGateError):
+        run_full(spark, sources, root, {"customer_ltv": 10 ** 6}, "t_late_db", dt2.date(2024, 3, 1))
+    run_full(spark, sources, root, {"customer_ltv": 50}, "t_late_db", dt2.date(2024, 3, 2))
+    for t in schemas.SOURCES:
+        landed, published = (read_folder(spark, f"{root}/{at}/{t}") for at in ("raw", "published/raw"))
+        assert published is not None and published.count() == landed.count() > 0
+        assert landed.exceptAll(published.select(landed.columns)).isEmpty()
+        assert unpublished(spark, landed, f"{root}/published/raw/{t}").isEmpty()
+    K.land_raw(sources["orders"].limit(5), f"{root}/raw", "orders", "2024-03-01")
+    late = unpublished(spark, read_folder(spark, f"{root}/raw/orders"), f"{root}/published/raw/orders")
+    assert late.count() == sources["orders"].count() + 5
+
+
 def test_runs_leave_no_stage_tables(spark, sources):
     from tillroll import session
     from tillroll.plans.pipeline import process

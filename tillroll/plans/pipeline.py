@@ -134,14 +134,31 @@ def audit(spark: SparkSession, marts: dict[str, DataFrame], base: str, floors: d
     return spark.read.parquet(f"{base}/quality/results")
 
 
+def _by_day(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows and the sum of their hashes of each ingest_date."""
+    return df.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("rows"),
+                                         F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("sum"))
+
+
+def unpublished(spark: SparkSession, raw: DataFrame, published: str) -> DataFrame:
+    """The rows of ``raw`` whose ingest_date is not in the folder ``published``, or has other rows there."""
+    done = read_folder(spark, published)
+    if done is None or set(done.columns) != set(raw.columns):
+        return raw
+    here, there = (_by_day(df, raw.columns) for df in (raw, done))
+    days = here.join(there, ["ingest_date", "rows", "sum"], "left_anti").select("ingest_date").collect()  # one row per day
+    return raw.filter(F.col("ingest_date").isin([r[0] for r in days]))
+
+
 def publish_all(spark: SparkSession, base: str, marts: dict[str, DataFrame], database: str,
-                ingest_date: _dt.date | None = None) -> list[dict]:
+                only_new: bool = False) -> list[dict]:
     """K7: raw, processed and marts to ``<base>/published`` with their partitioning, and
     the marts as tables of ``database``.
 
-    ``ingest_date``: publish the raw batches of that day only; else all of them.
+    ``only_new``: of the raw layer publish the days that are not published as they are
+    now, those of failed runs included; else all of them.
     """
-    datasets = {("raw", t): df if ingest_date is None else df.filter(F.col("ingest_date") == F.lit(str(ingest_date)).cast("date"))
+    datasets = {("raw", t): unpublished(spark, df, f"{base}/published/raw/{t}") if only_new else df
                 for t in schemas.SOURCES if (df := read_folder(spark, f"{base}/raw/{t}")) is not None}
     datasets |= {("processed", t): spark.read.parquet(f"{base}/processed/{t}") for t in PROCESSED}
     datasets |= {("marts", m): df for m, df in marts.items()}
@@ -185,7 +202,7 @@ def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     checks = results.count()
     Q.gate(results)
     out.append(("quality", "checks", checks, "success"))
-    for m in publish_all(spark, base, candidates, database, ingest_date):
+    for m in publish_all(spark, base, candidates, database, only_new=True):
         out.append(("publish", f"{m['layer']}/{m['dataset']}", m["rows"], "success"))
     for name in MART_NAMES:
         write_layer(candidates[name].drop("_processed_at"), f"{base}/marts/{name}")
