@@ -69,3 +69,18 @@ def test_pipeline_full_gate_blocks_publish_at_tiny_scale(spark):
     from tillroll.operators.quality import QualityGateError
     with pytest.raises(QualityGateError):
         E.queries()["pipeline_full"](spark, SF_SMALL)
+
+
+def test_published_mart_keys_run_the_pipeline_in_each_call(spark, monkeypatch):
+    from tillroll.plans import catalog
+    runs = []
+
+    def full(spark, d, floors=None, incremental=False):
+        spark.range(len(runs) + 1).selectExpr("id", "1 AS _processed_at").createOrReplaceGlobalTempView("daily_sales")
+        runs.append(d)
+        return None, "global_temp"
+
+    monkeypatch.setattr(catalog, "_full", full)
+    assert [catalog._published(spark, "/t_each_call", "daily_sales").count() for _ in range(2)] == [1, 2]
+    assert runs == ["/t_each_call"] * 2
+    spark.catalog.dropGlobalTempView("daily_sales")

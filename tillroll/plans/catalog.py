@@ -678,16 +678,10 @@ def q_p2(spark, d):
     return _full(spark, d)[0]
 
 
-# The database that a full run over a folder has published, by application: the
-# three keys below read one mart each of the same run.
-_PUBLISHED: dict[tuple[str, str], str] = {}
-
-
 def _published(spark, d, mart):
-    at = (spark.sparkContext.applicationId, d)
-    if at not in _PUBLISHED:
-        _PUBLISHED[at] = _full(spark, d, {"customer_ltv": 50})[1]
-    return spark.table(f"{_PUBLISHED[at]}.{mart}").drop("_processed_at")
+    """One mart as a full run of its own has published it."""
+    database = _full(spark, d, {"customer_ltv": 50})[1]
+    return spark.table(f"{database}.{mart}").drop("_processed_at")
 
 
 for _m in MART_BUILDERS:
