@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_queries_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
 
 
 def test_conversation_digests(spark, duck):

@@ -6,11 +6,13 @@ table.  ``ORACLE`` holds DuckDB SQL where SQL can express the result.
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, sentencepiece_codec, toxicity, url_filter, warc
+from tillroll.llm import bpe_codec, chat, periodic_runs, sentencepiece_codec, toxicity, url_filter, vector_codes, warc
 from tillroll.llm.common import pick, table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.packing import pack
@@ -78,6 +80,50 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(formatted)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    length, book = vector_codes.codebooks(vectors) or (0, [])
+    numbers = ",".join(str(x) for entries in book for x in entries.ravel().tolist())
+    coded = materialize(vector_codes.encode(vectors, length, book), "vector_codes")
+    totals = coded.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
+    hexed = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return coded.join(totals, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", F.array_join(hexed, "").alias("code"), "error", "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    texts = bpe_codec.decode(bpe_codec.encode(table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return texts.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def planted(tokenised: DataFrame) -> DataFrame:
+    """The words with the contract's periods: of a tenth of the ids, from word a on word i is word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n = F.size("words")
+    a = F.when((h % 10 == 0) & (n > 0), F.floor(h / 10) % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.floor(h / 10) % 8))).cast("int")
+    repeated = F.concat(F.slice("words", 1, F.col("a")),
+                        F.transform(F.sequence(F.col("a"), n - 1), lambda i: F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return (tokenised.withColumn("a", a).withColumn("p", p)
+            .select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("words")).alias("words")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse(planted(periodic_runs.words(table(spark, sf_dir, "documents"))))
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(
+        r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,6 +135,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_bpe": op12_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {
