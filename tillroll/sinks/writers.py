@@ -27,10 +27,11 @@ COMPRESSION = "zstd"
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_by: list[str] | None = None, max_col: str | None = None,
-                   fmt: str = "parquet", only_partitions: bool = False) -> dict:
+                   fmt: str = "parquet", only_partitions: bool = False, file_prefix: str | None = None) -> dict:
     """Write ``df`` and return {"rows": n, "max": max(max_col)} from the same pass.
 
     ``only_partitions``: an overwrite replaces the partitions that ``df`` holds, no others.
+    ``file_prefix``: how the files' names begin instead of ``part``.
     """
     obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -40,6 +41,8 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite",
     writer = observed.write.mode(mode).format(fmt)
     if fmt == "parquet":
         writer = writer.option("compression", COMPRESSION)
+    if file_prefix:
+        writer = writer.option("mapreduce.output.basename", file_prefix)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if only_partitions:
@@ -80,16 +83,18 @@ def write_orders_partitioned(orders: DataFrame, path: str) -> int:
 
 
 def land_raw(df: DataFrame, raw_base: str, table: str, ingest_date: _dt.date | str,
-             ts_col: str | None = None) -> dict:
+             ts_col: str | None = None, batch: str | None = None) -> dict:
     """K1: append one extracted batch under ``<raw>/<table>/ingest_date=<d>/``.
 
     Hive-style folders keep the history prunable by ingest date; append mode
-    keeps every earlier batch.  Returns rows and max(ts_col) of the batch.
+    keeps every earlier batch.  ``batch`` names the files of this one, so that they can
+    be read by themselves (``read_batches``).  Returns rows and max(ts_col) of the batch.
     """
-    batch = df.withColumn("ingest_date", F.lit(str(ingest_date)).cast("date"))
+    rows = df.withColumn("ingest_date", F.lit(str(ingest_date)).cast("date"))
     if ts_col:
-        batch = batch.sortWithinPartitions(ts_col)
-    return write_observed(batch, f"{raw_base}/{table}", "append", ["ingest_date"], ts_col)
+        rows = rows.sortWithinPartitions(ts_col)
+    return write_observed(rows, f"{raw_base}/{table}", "append", ["ingest_date"], ts_col,
+                          file_prefix=f"batch-{batch}" if batch else None)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -173,7 +178,7 @@ class LocationError(ValueError):
     """A database or table exists at another place than the one asked for."""
 
 
-def _require_location(spark: SparkSession, what: str, location: str) -> None:
+def require_location(spark: SparkSession, what: str, location: str) -> None:
     """``what``: ``DATABASE name`` or ``TABLE EXTENDED name``."""
     rows = spark.sql(f"DESCRIBE {what}").collect()  # one row per column or property
     found = next(r[1] for r in rows if r[0] == "Location")
@@ -194,7 +199,7 @@ def setup_mart_tables(spark: SparkSession, database: str, location: str,
     go to the other lake."""
     from ..schemas import MARTS, with_stamp
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    _require_location(spark, f"DATABASE {database}", location)
+    require_location(spark, f"DATABASE {database}", location)
     created = []
     for name, schema in (marts or MARTS).items():
         table = f"{database}.{name}"
@@ -203,7 +208,7 @@ def setup_mart_tables(spark: SparkSession, database: str, location: str,
                                       schema=with_stamp(schema))
             created.append(table)
         else:
-            _require_location(spark, f"TABLE EXTENDED {table}", f"{location}/{name}")
+            require_location(spark, f"TABLE EXTENDED {table}", f"{location}/{name}")
     return created
 
 
@@ -234,12 +239,16 @@ def register_tables(spark: SparkSession, marts: dict[str, DataFrame], database:
                     location: str, row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """K9: create the database and (re)register each mart as a table.
 
+    Raises if the database or a table is at another location, as ``setup_mart_tables`` does.
     If ``row_counts`` is given it receives the rows written per table,
     observed during the write.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    require_location(spark, f"DATABASE {database}", location)
     out = {}
     for name, df in marts.items():
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            require_location(spark, f"TABLE EXTENDED {database}.{name}", f"{location}/{name}")
         obs = Observation(f"t_{uuid.uuid4().hex[:8]}")
         (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
            .option("path", f"{location}/{name}").saveAsTable(f"{database}.{name}"))

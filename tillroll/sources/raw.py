@@ -46,6 +46,12 @@ def read_raw_all(spark: SparkSession, base: str, table: str, schema: StructType,
     return spark.read.options(**options).schema(schema).parquet(path)
 
 
+def read_batches(spark: SparkSession, path: str, schema: StructType, batches: list[tuple]) -> DataFrame:
+    """The files of some landed batches, (ingest_date, batch) each, and of no others."""
+    globs = [f"{path}/ingest_date={day}/batch-{batch}-*" for day, batch in batches]
+    return spark.read.schema(schema).parquet(*globs)
+
+
 def raw_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One row (table_name, rows) per raw table, one aggregate each."""
     out = None
