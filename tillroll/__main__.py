@@ -96,7 +96,7 @@ def main(argv=None) -> int:
                    for t in pipeline.PROCESSED}
         _print(pipeline.process(spark, raw, lake, deduped=args.incremental), args.show)
     elif args.command == "quality":
-        marts = {m: Q.read_mart(spark, f"{lake}/marts/{m}") for m in pipeline.MART_NAMES}
+        marts = pipeline.candidate_marts(spark, lake)
         results = pipeline.audit(spark, marts, lake, floors)
         _print(results.drop("details"), 100)
         warnings = Q.gate(results)
@@ -106,7 +106,7 @@ def main(argv=None) -> int:
         if results is None:
             raise SystemExit("publish: run quality first")
         Q.gate(results)
-        written = pipeline.publish_all(spark, lake, pipeline.read_marts(spark, lake), args.database)
+        written = pipeline.publish_all(spark, lake, pipeline.candidate_marts(spark, lake), args.database)
         print(json.dumps({f"{m['layer']}/{m['dataset']}": m["rows"] for m in written}))
     elif args.command == "full":
         _print(pipeline.run_full(spark, fixture_sources(spark, args.sf_dir), lake, floors,

@@ -3,37 +3,35 @@
 Stages talk through Parquet written to shared storage: each mart is built
 from the processed layer read back from disk, so a lost executor costs a
 re-read of one stage, never a recomputation from the sources.  Order is
-write -> audit -> publish: a run's marts are written to a folder of the run and
-reach the lake and the catalog only after the quality gate passed, so a failed
+write -> audit -> publish: a run's marts are written as a new version, which is
+switched on only after the quality gate passed (``publishing``), so a failed
 run leaves the marts of the last good one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..session import delete_path, stage_scope
-from ..sinks.writers import (ordered_for_write, publish, publish_marts, write_layer,
-                             write_orders_partitioned)
+from ..session import path_exists, stage_scope
+from ..sinks.writers import ordered_for_write, write_layer
 from ..sources.extract import TS_COLUMNS, run_extract
-from ..sources.raw import read_folder, read_raw_all
+from ..sources.raw import read_raw_all
 from ..streaming.incremental import changed_keys, committed_version, maintain_latest, read_version
+from . import processed as P
+from .processed import read_processed
+from .publishing import MARTS as MART_NAMES
+from .publishing import built_from, mart_path, next_version, publish_all, published_version, read_marts, unpublished  # noqa: F401
+from .publishing import read_version as read_mart_version
 
-PROCESSED = ("customers", "products", "orders", "order_items")
-MART_NAMES = ("daily_sales", "product_performance", "customer_ltv")
-PARTITIONS = {("processed", "orders"): ["order_year", "order_month"],
-              **{("raw", t): ["ingest_date"] for t in schemas.SOURCES}}
+PROCESSED = P.TABLES
 
 _MANIFEST = "stage string, dataset string, rows long, status string"
-_VERSIONS = "dataset string, version long"
 
 
 def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str, DataFrame]:
@@ -41,7 +39,7 @@ def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str
     tables (exactly-once, via the stream checkpoint) and return them.
 
     Equivalent to deduplicating the whole raw history, at the cost of the
-    latest table plus the new rows.
+    new rows and the buckets of the latest table that they touch.
     """
     out = {}
     for t in tables:
@@ -55,19 +53,6 @@ def latest_versions(spark: SparkSession, base: str) -> dict[str, int | None]:
     return {t: committed_version(spark, f"{base}/latest/{t}") for t in PROCESSED}
 
 
-def _write_processed(cleaned: dict[str, DataFrame], base: str) -> list[tuple]:
-    rows = []
-    for name in PROCESSED:
-        path = f"{base}/processed/{name}"
-        n = write_orders_partitioned(cleaned[name], path) if name == "orders" else write_layer(cleaned[name], path)
-        rows.append(("processed", name, n))
-    return rows
-
-
-def read_processed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{base}/processed/{name}").drop("_processed_at") for name in PROCESSED}
-
-
 def build_marts(p: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The three marts from the processed tables."""
     return {"daily_sales": M.daily_sales(p["order_items"], p["orders"], p["products"]),
@@ -81,10 +66,7 @@ def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame]) -
     None if there are no marts of the last run, or if they are not of the versions
     just before the newest ones: then only a full build is right.
     """
-    built_from = read_folder(spark, f"{base}/state/mart_versions")
-    if built_from is None:
-        return None
-    known = {r["dataset"]: r["version"] for r in built_from.collect()}  # one row per table
+    known = built_from(spark, base)
     newest = latest_versions(spark, base)
     before, changed = {}, {}
     for t, v in newest.items():
@@ -101,30 +83,37 @@ def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame]) -
             "customer_ltv": M.refresh_customer_ltv(previous["customer_ltv"], was, after, changed)}
 
 
-def _write_marts(built: dict[str, DataFrame], folder: str) -> list[tuple]:
+def _write_marts(built: dict[str, DataFrame], base: str, version: int | None) -> list[tuple]:
     built = built | {"daily_sales": ordered_for_write(built["daily_sales"], "sale_date", "category")}
-    return [("marts", name, write_layer(built[name], f"{folder}/{name}")) for name in MART_NAMES]
+    return [("marts", m, write_layer(built[m], f"{base}/marts/{m}" if version is None else mart_path(base, m, version)))
+            for m in MART_NAMES]
 
 
 def process(spark: SparkSession, raw: dict[str, DataFrame], base: str, deduped: bool = False,
-            mart_folder: str | None = None, incremental: bool = False) -> DataFrame:
+            mart_version: int | None = None, incremental: bool = False) -> DataFrame:
     """Four cleans, then three marts.  Manifest (layer, dataset, rows).
 
     ``deduped``: ``raw`` already holds one newest row per key (latest tables).
-    ``mart_folder``: where the marts go, by default ``<base>/marts``.
-    ``incremental``: ``raw`` are the newest versions of the latest tables, and marts
-    are refreshed from the last run's where that is possible.
+    ``mart_version``: the version that the marts are written as, by default they go to ``<base>/marts``.
+    ``incremental``: ``raw`` are the newest versions of the latest tables; only the
+    partitions that changed keys touch are rewritten (their rows are what the manifest
+    counts), and marts are refreshed from the last run's where that is possible.
     """
     with stage_scope(spark):
-        rows = _write_processed(C.clean_all(raw, deduped=deduped), base)
+        written = P.refresh(spark, base) if incremental else P.write_whole(spark, C.clean_all(raw, deduped=deduped), base)
+        rows = [("processed", t, w.rows) for t, w in written.items()]
         p = read_processed(spark, base)
         built = refresh_marts(spark, base, p) if incremental else None
-        rows += _write_marts(built or build_marts(p), mart_folder or f"{base}/marts")
+        rows += _write_marts(built or build_marts(p), base, mart_version)
     return spark.createDataFrame(rows, "layer string, dataset string, rows long")
 
 
-def read_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{base}/marts/{name}") for name in MART_NAMES}
+def candidate_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """What ``process`` has written to ``<base>/marts`` (a missing mart is a frame without
+    columns); in a lake without that folder the published marts."""
+    if not path_exists(spark, f"{base}/marts") and published_version(spark, base) is not None:
+        return read_marts(spark, base)
+    return {m: Q.read_mart(spark, f"{base}/marts/{m}") for m in MART_NAMES}
 
 
 def audit(spark: SparkSession, marts: dict[str, DataFrame], base: str, floors: dict[str, int] | None = None) -> DataFrame:
@@ -134,57 +123,23 @@ def audit(spark: SparkSession, marts: dict[str, DataFrame], base: str, floors: d
     return spark.read.parquet(f"{base}/quality/results")
 
 
-def _by_day(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows and the sum of their hashes of each ingest_date."""
-    return df.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("rows"),
-                                         F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("sum"))
-
-
-def unpublished(spark: SparkSession, raw: DataFrame, published: str) -> DataFrame:
-    """The rows of ``raw`` whose ingest_date is not in the folder ``published``, or has other rows there."""
-    done = read_folder(spark, published)
-    if done is None or set(done.columns) != set(raw.columns):
-        return raw
-    here, there = (_by_day(df, raw.columns) for df in (raw, done))
-    days = here.join(there, ["ingest_date", "rows", "sum"], "left_anti").select("ingest_date").collect()  # one row per day
-    return raw.filter(F.col("ingest_date").isin([r[0] for r in days]))
-
-
-def publish_all(spark: SparkSession, base: str, marts: dict[str, DataFrame], database: str,
-                only_new: bool = False) -> list[dict]:
-    """K7: raw, processed and marts to ``<base>/published`` with their partitioning, and
-    the marts as tables of ``database``.
-
-    ``only_new``: of the raw layer publish the days that are not published as they are
-    now, those of failed runs included; else all of them.
-    """
-    datasets = {("raw", t): unpublished(spark, df, f"{base}/published/raw/{t}") if only_new else df
-                for t in schemas.SOURCES if (df := read_folder(spark, f"{base}/raw/{t}")) is not None}
-    datasets |= {("processed", t): spark.read.parquet(f"{base}/processed/{t}") for t in PROCESSED}
-    datasets |= {("marts", m): df for m, df in marts.items()}
-    out = publish(datasets, f"{base}/published", PARTITIONS)
-    publish_marts(spark, marts, database, f"{base}/warehouse")
-    return out
-
-
 def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
              floors: dict[str, int] | None = None, database: str = "tillroll_marts",
              ingest_date: _dt.date | None = None, incremental: bool = False,
              ts_policy: str = "parent", fail_on_error: bool = True) -> DataFrame:
     """Extract -> land raw -> process -> quality gate -> publish.
 
-    ``incremental``: process from the latest tables (``refresh_latest``) and refresh
-    the marts from the keys that changed, instead of deduplicating the whole raw
-    history and rebuilding the marts.
+    ``incremental``: process from the latest tables (``refresh_latest``), rewrite the
+    processed partitions and refresh the marts that the changed keys touch, instead of
+    deduplicating the whole raw history and rebuilding everything.
     ``fail_on_error``: stop before processing if a table could not be extracted.
 
     Returns the stage manifest (stage, dataset, rows, status).  Raises
     ``QualityGateError`` (after writing the check results) when a critical
-    check fails; nothing is published in that case and ``<base>/marts`` stays.
+    check fails; nothing is published in that case and the published marts stay.
     """
     out = []
     ingest_date = ingest_date or _dt.date.today()
-    run = f"{base}/runs/{uuid.uuid4().hex[:12]}"
     extracted = run_extract(spark, sources, f"{base}/raw", f"{base}/state/watermarks",
                             ingest_date=ingest_date, ts_policy=ts_policy, fail_on_error=fail_on_error)
     for r in extracted.collect():  # one row per source table
@@ -194,22 +149,15 @@ def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     else:
         raw = {t: read_raw_all(spark, f"{base}/raw", t, schemas.SOURCES[t]).drop("ingest_date")
                for t in PROCESSED}
-    for r in process(spark, raw, base, deduped=incremental, mart_folder=f"{run}/marts",
+    version = next_version(spark, base)
+    for r in process(spark, raw, base, deduped=incremental, mart_version=version,
                      incremental=incremental).collect():  # one row per dataset
         out.append(("process", r["dataset"], r["rows"], "success"))
-    candidates = read_marts(spark, run)
-    results = audit(spark, candidates, base, floors)
+    results = audit(spark, read_mart_version(spark, base, version), base, floors)
     checks = results.count()
     Q.gate(results)
     out.append(("quality", "checks", checks, "success"))
-    for m in publish_all(spark, base, candidates, database, only_new=True):
+    built = {t: v for t, v in latest_versions(spark, base).items() if v is not None} if incremental else {}
+    for m in publish_all(spark, base, version, database, built):
         out.append(("publish", f"{m['layer']}/{m['dataset']}", m["rows"], "success"))
-    for name in MART_NAMES:
-        write_layer(candidates[name].drop("_processed_at"), f"{base}/marts/{name}")
-    if incremental:
-        versions = [(t, v) for t, v in latest_versions(spark, base).items() if v is not None]
-        spark.createDataFrame(versions, _VERSIONS).coalesce(1).write.mode("overwrite").parquet(f"{base}/state/mart_versions")
-    else:
-        delete_path(spark, f"{base}/state/mart_versions")  # these marts are of no version
-    delete_path(spark, run)
     return spark.createDataFrame(out, _MANIFEST)

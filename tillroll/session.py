@@ -11,7 +11,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -122,6 +122,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
+def delete_glob(spark: SparkSession, pattern: str, only: Callable[[str], bool] = lambda name: True) -> None:
+    """Delete the files and folders that match and whose name is wanted; nothing happens if there are none."""
+    store, target = _hadoop(spark, pattern)
+    for status in store.globStatus(target) or []:
+        if only(status.getPath().getName()):
+            store.delete(status.getPath(), True)
+
+
 def drop_stages(spark: SparkSession, since: int = 0) -> None:
     """Delete the stage tables written after the first ``since`` ones.
 

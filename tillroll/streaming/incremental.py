@@ -11,12 +11,13 @@ so the sink stays exactly-once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.dedupe import dedupe_latest, merge_latest
 from ..session import delete_path
+from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import write_observed
 from ..sources.raw import read_folder
 
@@ -52,29 +53,55 @@ def read_sink(spark: SparkSession, sink_dir: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(sink_dir).select(*[F.col(f.name) for f in schema.fields])
 
 
-def _versioned(schema: StructType) -> StructType:
-    """``schema`` plus the version column (a new object)."""
-    return StructType(list(schema.fields) + [StructField("v", LongType(), True)])
+#: A fold adds one row: the version, into how many buckets keys are dealt, and which of them it has rewritten.
+COMMITTED = "version long, buckets int, rewritten array<int>"
 
 
 def committed_version(spark: SparkSession, latest_dir: str) -> int | None:
     """The newest version whose write has ended; None before the first.
 
-    Versions count only once they are in this small table, to which a fold adds a
-    row after its files are complete.  Rows that a broken write left in a slot are
-    of a version that is not in it, so they are never read.
+    Versions count only once they are in this log, to which a fold adds a row after
+    its files are complete.  Files that a broken write left are of a version that is
+    not in it, so they are never read.
     """
-    path = f"{latest_dir}/committed"
-    spark.createDataFrame([], "v long").write.mode("append").parquet(path)
-    return spark.read.schema("v long").parquet(path).agg(F.max("v")).first()[0]
+    return newest_version(spark, f"{latest_dir}/committed")
 
 
-def read_version(spark: SparkSession, latest_dir: str, schema: StructType, v: int | None) -> DataFrame:
-    """A version of the table: the newest committed one or the one before it."""
-    if v is None:
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(_versioned(schema)).parquet(f"{latest_dir}/slot={v % 2}")
-            .filter(F.col("v") == v).drop("v"))
+def _placements(spark: SparkSession, latest_dir: str, v: int | None) -> dict[int, int]:
+    """Of each bucket the version that wrote it last, as of version ``v`` (at most ``buckets`` entries)."""
+    rows = read_log(spark, f"{latest_dir}/committed", COMMITTED).filter(F.col("version") <= F.lit(v))
+    newest = rows.select("version", F.explode("rewritten").alias("bucket")).groupBy("bucket").agg(F.max("version").alias("version"))
+    return {r.bucket: r.version for r in newest.collect()}
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _read_buckets(spark: SparkSession, latest_dir: str, schema: StructType, placed: dict[int, int]) -> DataFrame:
+    paths = [f"{latest_dir}/rows/v={v}/bucket={b}" for b, v in sorted(placed.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def read_version(spark: SparkSession, latest_dir: str, schema: StructType, v: int | None,
+                 buckets: list[int] | None = None) -> DataFrame:
+    """A version of the table, the newest committed one or the one before it; only some buckets if given."""
+    placed = {} if v is None else _placements(spark, latest_dir, v)
+    return _read_buckets(spark, latest_dir, schema, placed if buckets is None else {b: placed[b] for b in buckets if b in placed})
+
+
+def committed_buckets(spark: SparkSession, latest_dir: str) -> int:
+    """Into how many buckets the table's keys are dealt (1 before the first fold)."""
+    rows = newest_rows(spark, f"{latest_dir}/committed", COMMITTED)
+    return rows[0].buckets if rows else 1
+
+
+def read_rewritten(spark: SparkSession, latest_dir: str, schema: StructType, v: int) -> tuple[DataFrame, list[int]]:
+    """The rows of the buckets that version ``v`` has rewritten, with their ``bucket``, and those buckets."""
+    path = f"{latest_dir}/rows/v={v}"
+    hit = read_log(spark, f"{latest_dir}/committed", COMMITTED).filter(F.col("version") == v).first().rewritten
+    rows = spark.read.schema(StructType([*schema.fields, StructField("bucket", IntegerType())])).parquet(path)
+    return rows, sorted(hit)
 
 
 def read_latest(spark: SparkSession, latest_dir: str, schema: StructType) -> DataFrame:
@@ -93,20 +120,31 @@ def changed_keys(spark: SparkSession, latest_dir: str, schema: StructType, key:
 def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, order_col: str) -> None:
     """Merge the waiting batches into the next version, commit it, drop the batches.
 
-    Folding is idempotent: a crash at any point leaves the committed version and
-    the batches, and the next fold does the same again.
+    Only buckets that hold a key of the batches are read and written.  Folding is
+    idempotent: a crash at any point leaves the committed version and the batches, and
+    the next fold does the same again.
     """
     waiting = read_folder(spark, f"{latest_dir}/waiting")
     if waiting is None:
         return
     batches = spark.read.schema(schema).parquet(f"{latest_dir}/waiting").select(*schema.fieldNames())
-    newest = committed_version(spark, latest_dir)
+    log, newest = f"{latest_dir}/committed", committed_version(spark, latest_dir)
     v = 0 if newest is None else newest + 1
-    previous = None if newest is None else read_version(spark, latest_dir, schema, newest)
-    merged = merge_latest(previous, batches, key, order_col)
-    write_observed(batches.select(key).distinct(), f"{latest_dir}/changed/version={v}", "overwrite")
-    write_observed(merged.withColumn("v", F.lit(v).cast("long")), f"{latest_dir}/slot={v % 2}", "overwrite")
-    spark.createDataFrame([(v,)], "v long").coalesce(1).write.mode("append").parquet(f"{latest_dir}/committed")
+    placed = {} if newest is None else _placements(spark, latest_dir, newest)
+    first = newest_rows(spark, log, COMMITTED)
+    buckets = first[0].buckets if first else max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    changed = batches.select(key).distinct()
+    write_observed(changed, f"{latest_dir}/changed/version={v}", "overwrite")
+    hit = sorted(r[0] for r in changed_keys(spark, latest_dir, schema, key, v)
+                 .select(bucket_of(key, buckets).alias("b")).distinct().collect())  # at most ``buckets`` rows
+    previous = None if newest is None else _read_buckets(spark, latest_dir, schema, {b: placed[b] for b in hit if b in placed})
+    merged = merge_latest(previous, batches, key, order_col).withColumn("bucket", bucket_of(key, buckets))
+    write_observed(merged.repartition("bucket"), f"{latest_dir}/rows/v={v}", "overwrite", ["bucket"])
+    append_log(spark, log, [(v, buckets, hit)], COMMITTED)
+    # What neither this version nor the one before reads can go.
+    for b, old in (_placements(spark, latest_dir, newest - 1) if newest else {}).items():
+        if placed.get(b) != old:
+            delete_path(spark, f"{latest_dir}/rows/v={old}/bucket={b}")
     delete_path(spark, f"{latest_dir}/waiting")
 
 
@@ -117,13 +155,13 @@ def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key:
 
     Each micro-batch of new raw files is deduplicated and set aside; at the end of
     the run all of them are merged (``merge_latest``) into the newest version of
-    the table at once, so a large backlog costs one rewrite of the table, not one
-    per micro-batch.  Versions alternate between two slots (``slot = v % 2``, every
-    row carries its ``v``): a fold reads one slot and overwrites the other, so the
-    version before stays readable.  Merging is associative and idempotent, so a
-    replayed batch (or a lost stream checkpoint that re-reads old files) leaves the
-    same table.  Daily cost is |latest| + |new rows|, not the whole raw history.
-    Returns the newest committed version.
+    the table at once.  The table is dealt into buckets by the hash of its key (their
+    number is that of the shuffle partitions at the first fold), and a version rewrites
+    only buckets that hold a changed key; the others are read from the version that
+    wrote them, and the version before stays readable.  Merging is associative and
+    idempotent, so a replayed batch (or a lost stream checkpoint that re-reads old
+    files) leaves the same table.  Daily cost is the new rows and their buckets, not
+    the whole raw history.  Returns the newest committed version.
     """
     _fold(spark, latest_dir, schema, key, order_col)  # batches of a run that broke off
 
