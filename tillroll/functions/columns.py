@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .money import dow_sunday1, money_round, safe_divide
+from .money import dow_sunday1, rounded, safe_divide
 
 
 def _col(c: Column | str) -> Column:
@@ -29,7 +29,7 @@ def full_name(first: Column | str, last: Column | str) -> Column:
 def margin_pct(price: Column | str, cost: Column | str) -> Column:
     """round((price - cost) / price * 100, 2); NULL on zero price."""
     p, c = _col(price), _col(cost)
-    return money_round(safe_divide(p - c, p) * F.lit(100), 2)
+    return rounded(safe_divide(p - c, p) * F.lit(100), 2)
 
 
 def all_not_null(*cols: str) -> Column:

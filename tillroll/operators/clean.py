@@ -1,7 +1,8 @@
 """Cleaning pipelines C1-C7: raw source frame -> clean frame.
 
 Step order is part of the semantics: dedupe runs first, filters after, so a
-newest version that fails a filter removes the key entirely.  ``profile=
+newest version that fails a filter removes the key entirely.  Casts come between
+the two: a value that does not convert is NULL before anything uses it.  ``profile=
 "lite"`` gives the notebook variants (fewer filters, no casts).
 ``deduped=True`` skips step 1 for input that is already one newest row per
 key (the incrementally maintained latest tables).
@@ -25,57 +26,46 @@ def _latest(raw: DataFrame, key: str, ts: str, deduped: bool) -> DataFrame:
     return raw if deduped else dedupe_latest(raw, key, ts)
 
 
+def _cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Casts that give NULL where a value does not convert; they come before any use of the columns."""
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+
+
 def clean_customers(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
-    df = _latest(raw, "customer_id", "updated_at", deduped).filter(F.col("email").isNotNull())
+    df = _latest(raw, "customer_id", "updated_at", deduped)
     if profile != "lite":
+        df = _cast(df, {"customer_id": "long", "signup_date": "date", "created_at": "timestamp_ntz"})
         df = df.filter(F.col("first_name").isNotNull())
-    derived = {
+    return df.filter(F.col("email").isNotNull()).withColumns({
         "customer_tier": standardise_domain("customer_tier", TIERS, "standard"),
         "full_name": full_name("first_name", "last_name"),
-    }
-    if profile != "lite":
-        derived.update({
-            "customer_id": F.col("customer_id").try_cast("long"),
-            "signup_date": F.col("signup_date").try_cast("date"),
-            "created_at": F.col("created_at").try_cast("timestamp_ntz"),
-        })
-    return df.withColumns(derived)
+    })
 
 
 def clean_products(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
     df = _latest(raw, "product_id", "updated_at", deduped)
     if profile == "lite":
         df = df.filter(F.col("unit_price") > 0)
-        return df.withColumns({"margin_pct": margin_pct("unit_price", "cost_price")})
-    df = df.filter(F.col("product_name").isNotNull() & (F.col("unit_price") > 0) & (F.col("cost_price") > 0))
-    return df.withColumns({
-        "margin_pct": margin_pct("unit_price", "cost_price"),
-        "product_id": F.col("product_id").try_cast("long"),
-        "unit_price": F.col("unit_price").try_cast("double"),
-        "cost_price": F.col("cost_price").try_cast("double"),
-        "is_active": F.col("is_active").try_cast("boolean"),
-    })
+    else:
+        df = _cast(df, {"product_id": "long", "unit_price": "double", "cost_price": "double", "is_active": "boolean"})
+        df = df.filter(F.col("product_name").isNotNull() & (F.col("unit_price") > 0) & (F.col("cost_price") > 0))
+    return df.withColumns({"margin_pct": margin_pct("unit_price", "cost_price")})
 
 
 def clean_orders(raw: DataFrame, profile: str = "full", deduped: bool = False) -> DataFrame:
-    df = _latest(raw, "order_id", "updated_at", deduped)
-    order_date = F.col("order_date").try_cast("timestamp_ntz")
+    df = _cast(_latest(raw, "order_id", "updated_at", deduped), {"order_date": "timestamp_ntz"})
     if profile == "lite":
-        df = df.filter(F.col("total_amount") >= 0)
-        return df.withColumns({"order_date": order_date,
-                               **date_parts(order_date, "order", with_day=False)})
-    df = df.filter(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
-                   & (F.col("total_amount") >= 0))
-    return df.withColumns({"status": standardise_domain("status", ORDER_STATUSES, "unknown"),
-                           "order_date": order_date, **date_parts(order_date, "order")})
+        return df.filter(F.col("total_amount") >= 0).withColumns(date_parts("order_date", "order", with_day=False))
+    df = _cast(df, {"order_id": "long", "customer_id": "long", "discount_pct": "double", "total_amount": "double"})
+    df = df.filter(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("total_amount") >= 0))
+    return df.withColumns({"status": standardise_domain("status", ORDER_STATUSES, "unknown"), **date_parts("order_date", "order")})
 
 
 def clean_order_items(raw: DataFrame, deduped: bool = False) -> DataFrame:
-    df = (_latest(raw, "item_id", "created_at", deduped)
-          .filter((F.col("quantity") > 0) & (F.col("line_total") >= 0)))
-    casts = {"item_id": "long", "order_id": "long", "product_id": "long", "quantity": "int",
-             "unit_price": "double", "line_total": "double"}
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})
+    df = _cast(_latest(raw, "item_id", "created_at", deduped),
+               {"item_id": "long", "order_id": "long", "product_id": "long", "quantity": "int",
+                "unit_price": "double", "discount_pct": "double", "line_total": "double"})
+    return df.filter((F.col("quantity") > 0) & (F.col("line_total") >= 0))
 
 
 def clean_all(raw: dict[str, DataFrame], deduped: bool = False) -> dict[str, DataFrame]:

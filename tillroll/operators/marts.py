@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact, exact_avg, exact_sum, money_round, pct
+from ..functions import (exact, exact_avg, exact_parts, exact_sum, money_sum, odd, parts_rounded, parts_value,
+                         pct, rounded, sum_parts)
 from .rank import global_rank
 
 # Fixed LTV segment thresholds (first match wins, on the rounded value).
@@ -68,20 +69,21 @@ def daily_sales(items: DataFrame, orders: DataFrame, products: DataFrame) -> Dat
     lines = _items(items).join(products.select("product_id", "category", "cost_price"), "product_id")
     per_order = lines.groupBy("order_id", "category").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units"),
-        exact_sum("line_total").alias("revenue"),
-        exact_sum(F.col("quantity") * F.col("cost_price")).alias("cost"))
+        exact_parts("line_total").alias("revenue"),
+        exact_parts(F.col("quantity") * F.col("cost_price")).alias("cost"))
     dated = not_cancelled(_orders(orders)).select(
         "order_id", F.to_date("order_date").alias("sale_date"), "order_discount_pct")
     discounted = F.when(F.col("order_discount_pct").isNotNull(), F.col("lines"))
     agg = (per_order.join(dated, "order_id").groupBy("sale_date", "category")
            .agg(F.count(F.lit(1)).alias("num_orders"),
                 F.sum("units").cast("long").alias("units_sold"),
-                money_round(F.sum("revenue")).alias("gross_revenue"),
-                money_round(F.sum("cost")).alias("total_cost"),
-                money_round(F.try_divide(
-                    F.sum(exact("order_discount_pct") * F.col("lines").cast("decimal(18,0)")).cast("double"),
+                parts_rounded(sum_parts("revenue")).alias("gross_revenue"),
+                parts_rounded(sum_parts("cost")).alias("total_cost"),
+                rounded(F.try_divide(F.coalesce(
+                    F.sum(odd("order_discount_pct")),
+                    F.sum(exact("order_discount_pct") * F.col("lines").cast("decimal(18,0)")).cast("double")),
                     F.sum(discounted))).alias("avg_discount_pct")))
-    profit = money_round(F.col("gross_revenue") - F.col("total_cost"))
+    profit = rounded(F.col("gross_revenue") - F.col("total_cost"))
     return (agg.withColumn("gross_profit", profit)
                .withColumn("margin_pct", pct("gross_profit", "gross_revenue"))
                .select("sale_date", "category", "num_orders", "units_sold", "gross_revenue",
@@ -100,20 +102,20 @@ def product_totals(items: DataFrame, orders: DataFrame, products: DataFrame) ->
     """
     io = _items(items).join(not_cancelled(_orders(orders)), "order_id")
     per_order = (io.groupBy("product_id", "order_id", "customer_id")
-                   .agg(F.sum("quantity").alias("q"), exact_sum("line_total").alias("rev"),
-                        exact_sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
-                        exact_sum("item_discount_pct").alias("disc_sum"),
+                   .agg(F.sum("quantity").alias("q"), exact_parts("line_total").alias("rev"),
+                        exact_parts("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"),
+                        exact_parts("item_discount_pct").alias("disc_sum"),
                         F.count("item_discount_pct").alias("disc_n")))
 
     def mean(total: str, n: str):
-        return F.try_divide(F.sum(total).cast("double"), F.sum(n))
+        return F.try_divide(parts_value(sum_parts(total)), F.sum(n))
 
     per_product = (per_order.groupBy("product_id")
                    .agg(F.count(F.lit(1)).alias("num_orders"),
                         F.sum("q").cast("long").alias("total_units_sold"),
-                        money_round(F.sum("rev")).alias("total_revenue"),
-                        money_round(mean("price_sum", "price_n")).alias("avg_selling_price"),
-                        money_round(mean("disc_sum", "disc_n")).alias("avg_discount_pct"),
+                        parts_rounded(sum_parts("rev")).alias("total_revenue"),
+                        rounded(mean("price_sum", "price_n")).alias("avg_selling_price"),
+                        rounded(mean("disc_sum", "disc_n")).alias("avg_discount_pct"),
                         F.count_distinct("customer_id").alias("unique_customers")))
     return per_product.join(products.select(*PRODUCT_ATTRS), "product_id").select(
         *PRODUCT_ATTRS, "num_orders", "total_units_sold", "total_revenue", "avg_selling_price",
@@ -128,8 +130,8 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
 def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full") -> DataFrame:
     """M3 / M5: aggregate orders per customer first, then join customers."""
     aggs = [F.count("order_id").alias("total_orders"),
-            money_round(exact_sum("total_amount")).alias("lifetime_value"),
-            money_round(exact_avg("total_amount")).alias("avg_order_value"),
+            money_sum("total_amount").alias("lifetime_value"),
+            rounded(exact_avg("total_amount")).alias("avg_order_value"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date")]
     if profile != "lite":
@@ -147,15 +149,15 @@ def customer_ltv(orders: DataFrame, customers: DataFrame, profile: str = "full")
 def monthly_summary(daily: DataFrame) -> DataFrame:
     """M6: month of the daily mart -> revenue and orders."""
     return (daily.groupBy(F.trunc("sale_date", "month").alias("month"))
-                 .agg(money_round(exact_sum("gross_revenue")).alias("monthly_revenue"),
+                 .agg(money_sum("gross_revenue").alias("monthly_revenue"),
                       F.sum("num_orders").cast("long").alias("monthly_orders")))
 
 
 def reconcile_line_total(items: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """line_total vs round(qty * unit_price * (1 - disc/100), 2)."""
-    expected = money_round(F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct") / 100))
+    expected = rounded(F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct") / 100))
     return (items.select("item_id", "order_id", "line_total", expected.alias("expected_line_total"))
-                 .withColumn("diff", money_round(F.col("line_total") - F.col("expected_line_total")))
+                 .withColumn("diff", rounded(F.col("line_total") - F.col("expected_line_total")))
                  .withColumn("mismatch", F.abs("diff") > F.lit(tolerance)))
 
 
@@ -164,14 +166,14 @@ def reconcile_order_total(items: DataFrame, orders: DataFrame, tolerance: float
 
     An order without items is compared with 0.
     """
-    per_order = items.groupBy("order_id").agg(exact_sum("line_total").cast("double").alias("__sum"))
-    expected = money_round(F.col("__lines") * (1 - F.col("discount_pct") / 100))
+    per_order = items.groupBy("order_id").agg(exact_sum("line_total").alias("__sum"))
+    expected = rounded(F.col("__lines") * (1 - F.col("discount_pct") / 100))
     return (orders.select("order_id", "total_amount", "discount_pct").join(per_order, "order_id", "left")
                   .withColumn("__lines", F.coalesce("__sum", F.lit(0.0)))
                   .select("order_id", "total_amount",
-                          money_round("__lines").alias("items_total"),
+                          rounded("__lines").alias("items_total"),
                           expected.alias("expected_total"))
-                  .withColumn("diff", money_round(F.col("total_amount") - F.col("expected_total")))
+                  .withColumn("diff", rounded(F.col("total_amount") - F.col("expected_total")))
                   .withColumn("mismatch", F.abs("diff") > F.lit(tolerance)))
 
 

@@ -211,6 +211,12 @@ SOURCE_FOREIGN_KEYS = [("orders", "customer_id", "customers"),
                        ("order_items", "product_id", "products")]
 
 
+def constrained_columns(table: str) -> list[str]:
+    """The columns of a source table that some constraint looks at."""
+    keys = [key for child, key, _ in SOURCE_FOREIGN_KEYS if child == table]
+    return list(dict.fromkeys([SOURCE_PRIMARY_KEYS[table], *SOURCE_NOT_NULL[table], *SOURCE_UNIQUE.get(table, []), *keys]))
+
+
 def source_constraint_checks(table: str) -> list[Check]:
     checks = no_nulls(table, SOURCE_NOT_NULL[table]) + unique(table, SOURCE_PRIMARY_KEYS[table])
     for col in SOURCE_UNIQUE.get(table, []):

@@ -15,16 +15,16 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dow_sunday0, exact_avg, exact_sum, money_round, month_trunc, pct
+from ..functions import dow_sunday0, exact_avg, exact_sum, money_sum, month_trunc, pct, rounded
 from ..session import materialize
 
 
 def monthly_trend(daily: DataFrame) -> DataFrame:
     """Revenue, profit, unweighted mean margin, orders, units per month."""
     return (daily.groupBy(month_trunc("sale_date").alias("month"))
-                 .agg(money_round(exact_sum("gross_revenue")).alias("total_revenue"),
-                      money_round(exact_sum("gross_profit")).alias("total_profit"),
-                      money_round(exact_avg("margin_pct")).alias("avg_margin_pct"),
+                 .agg(money_sum("gross_revenue").alias("total_revenue"),
+                      money_sum("gross_profit").alias("total_profit"),
+                      rounded(exact_avg("margin_pct")).alias("avg_margin_pct"),
                       F.sum("num_orders").cast("long").alias("total_orders"),
                       F.sum("units_sold").cast("long").alias("units_sold"))
                  .orderBy(F.col("month").desc()))
@@ -48,9 +48,9 @@ def category_recent(daily: DataFrame, as_of: _dt.date | str | None = None,
         anchor = F.lit(as_of).cast("date")
     return (daily.filter(F.col("sale_date") >= F.date_sub(anchor, days))
                  .groupBy("category")
-                 .agg(money_round(exact_sum("gross_revenue")).alias("revenue"),
-                      money_round(exact_sum("gross_profit")).alias("profit"),
-                      money_round(exact_avg("margin_pct")).alias("avg_margin_pct"),
+                 .agg(money_sum("gross_revenue").alias("revenue"),
+                      money_sum("gross_profit").alias("profit"),
+                      rounded(exact_avg("margin_pct")).alias("avg_margin_pct"),
                       F.sum("num_orders").cast("long").alias("orders"))
                  .orderBy(F.col("revenue").desc_nulls_last(), "category"))
 
@@ -59,9 +59,9 @@ def top_products(perf: DataFrame, k: int = 20) -> DataFrame:
     """The k best products by revenue rank (tie-break product_id)."""
     return (perf.orderBy("revenue_rank", "product_id").limit(k)
                 .select("revenue_rank", "product_name", "category", "brand", "total_units_sold",
-                        money_round("total_revenue").alias("total_revenue"),
-                        money_round("avg_selling_price").alias("avg_price"),
-                        money_round("avg_discount_pct").alias("avg_discount_pct"),
+                        rounded("total_revenue").alias("total_revenue"),
+                        rounded("avg_selling_price").alias("avg_price"),
+                        rounded("avg_discount_pct").alias("avg_discount_pct"),
                         "unique_customers"))
 
 
@@ -69,10 +69,10 @@ def ltv_segments(ltv: DataFrame) -> DataFrame:
     """Customer count and value per LTV segment."""
     return (ltv.groupBy("ltv_segment")
                .agg(F.count(F.lit(1)).alias("customer_count"),
-                    money_round(exact_avg("lifetime_value")).alias("avg_ltv"),
-                    money_round(exact_sum("lifetime_value")).alias("total_ltv"),
-                    money_round(F.avg("total_orders")).alias("avg_orders"),
-                    money_round(exact_avg("avg_order_value")).alias("avg_order_value"))
+                    rounded(exact_avg("lifetime_value")).alias("avg_ltv"),
+                    money_sum("lifetime_value").alias("total_ltv"),
+                    rounded(F.avg("total_orders")).alias("avg_orders"),
+                    rounded(exact_avg("avg_order_value")).alias("avg_order_value"))
                .orderBy(F.col("avg_ltv").desc_nulls_last()))
 
 
@@ -80,8 +80,8 @@ def tier_performance(ltv: DataFrame) -> DataFrame:
     """Customers, mean LTV and mean orders (1 decimal) per tier."""
     return (ltv.groupBy("customer_tier")
                .agg(F.count(F.lit(1)).alias("customers"),
-                    money_round(exact_avg("lifetime_value")).alias("avg_ltv"),
-                    money_round(F.avg("total_orders"), 1).alias("avg_orders"))
+                    rounded(exact_avg("lifetime_value")).alias("avg_ltv"),
+                    rounded(F.avg("total_orders"), 1).alias("avg_orders"))
                .orderBy(F.col("avg_ltv").desc_nulls_last()))
 
 
@@ -89,8 +89,8 @@ def dow_pattern(daily: DataFrame) -> DataFrame:
     """Mean revenue per (day, category) row and mean orders by weekday."""
     return (daily.groupBy(F.dayname("sale_date").alias("day_name"),
                           dow_sunday0("sale_date").alias("dow_num"))
-                 .agg(money_round(exact_avg("gross_revenue")).alias("avg_daily_revenue"),
-                      money_round(F.avg("num_orders"), 1).alias("avg_orders"))
+                 .agg(rounded(exact_avg("gross_revenue")).alias("avg_daily_revenue"),
+                      rounded(F.avg("num_orders"), 1).alias("avg_orders"))
                  .orderBy("dow_num"))
 
 
@@ -99,8 +99,8 @@ def vip_customers(ltv: DataFrame, k: int = 50, segment: str = "VIP") -> DataFram
     return (ltv.filter(F.col("ltv_segment") == segment)
                .orderBy(F.col("lifetime_value").desc_nulls_last(), "customer_id").limit(k)
                .select("full_name", "email", "customer_tier", "country", "total_orders",
-                       money_round("lifetime_value").alias("lifetime_value"),
-                       money_round("avg_order_value").alias("avg_order_value"),
+                       rounded("lifetime_value").alias("lifetime_value"),
+                       rounded("avg_order_value").alias("avg_order_value"),
                        F.col("first_order_date").cast("date").alias("first_order"),
                        F.col("last_order_date").cast("date").alias("last_order")))
 
@@ -108,9 +108,9 @@ def vip_customers(ltv: DataFrame, k: int = 50, segment: str = "VIP") -> DataFram
 def category_margin(daily: DataFrame) -> DataFrame:
     """Overall margin per category = sum(profit) / sum(revenue)."""
     return (daily.groupBy("category")
-                 .agg(money_round(exact_sum("gross_revenue")).alias("total_revenue"),
-                      money_round(exact_sum("gross_profit")).alias("total_profit"),
-                      pct(exact_sum("gross_profit").cast("double"), exact_sum("gross_revenue").cast("double")).alias("overall_margin_pct"))
+                 .agg(money_sum("gross_revenue").alias("total_revenue"),
+                      money_sum("gross_profit").alias("total_profit"),
+                      pct(exact_sum("gross_profit"), exact_sum("gross_revenue")).alias("overall_margin_pct"))
                  .orderBy(F.col("overall_margin_pct").desc_nulls_last(), "category"))
 
 

@@ -562,6 +562,7 @@ LEFT JOIN ({_bm_rows}) b ON a.table_name = b.table_name""")
 # All that two runs must land: every item that has an order.
 register("extract_two_runs", """
 SELECT DISTINCT i.* FROM src_order_items i WHERE EXISTS (SELECT 1 FROM src_orders o WHERE o.order_id = i.order_id)""")
+register("extract_late_rows", "SELECT * FROM src_orders")
 register("raw_read_nested", "SELECT * FROM src_orders")
 register("extract_stream_available_now", "SELECT * FROM src_clickstream")
 register("raw_read_all", "SELECT * FROM src_orders")
@@ -627,6 +628,10 @@ _EXTRACTED = ORACLE["extract_manifest"]
 _PUBLISHED = f"""SELECT 'raw' AS layer, table_name AS dataset, rows FROM ({_EXTRACTED}) e
 UNION ALL SELECT layer, dataset, rows FROM ({_PROCESS_COUNTS}) q"""
 register("publish_layers", _PUBLISHED)
+register("publish_raw_orders", "SELECT * FROM src_orders")
+register("publish_processed_orders", "SELECT * FROM clean_orders")
+register("publish_marts_customer_ltv", "SELECT * FROM customer_ltv")
+register("pipeline_incremental_processed", "SELECT * FROM clean_orders")
 register("pipeline_full", f"""
 SELECT 'extract' AS stage, table_name AS dataset, rows, status FROM ({_EXTRACTED}) e
 UNION ALL SELECT 'process', dataset, rows, 'success' FROM ({_PROCESS_COUNTS}) p
