@@ -11,7 +11,7 @@ SCHEMA = "vec_id long, embedding array<float>, VEC_ID string, score string, rank
 
 def brute(rows, queries, k):
     def vector(v):
-        if v is None or any(x is None or not math.isfinite(x) or abs(np.float32(x)) >= 2 ** 20 for x in v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
             return None
         return [math.floor(64 * float(np.float32(x))) for x in v]
 
@@ -48,6 +48,14 @@ def test_odd_rows(spark):
     assert run(spark, rows, queries) == brute(rows, queries, 20)
 
 
+def test_every_finite_vector_whose_scores_fit_takes_part(spark):
+    rows = [(0, [3e6, -2.5e6]), (1, [2e6, 1.0]), (2, [-3e6, 0.5]), (3, [2.0 ** 27, 2.0 ** 27]), (20, [2.0 ** 23, 1.0])]
+    assert run(spark, rows, [rows[0], rows[4]]) == brute(rows, [rows[0], rows[4]], 20)
+    for too_large in ([1e30, 0.0], [2.0 ** 40, 2.0 ** 40]):
+        with pytest.raises(Exception, match="2\\*\\*57|too large|Overflow|overflow"):
+            run(spark, [(0, too_large), (1, too_large)], [(0, too_large)])
+
+
 def test_large_components_are_summed_exactly():
     rng = np.random.default_rng(2)
     big = rng.integers(-2 ** 26, 2 ** 26, (50, 64))

@@ -69,7 +69,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(pick(docs, "doc_id", "text"), model)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score",
-                         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"))
+                         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"), "toxicity.spans")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +162,7 @@ ORACLE = {
             SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE) OR abs(x::DOUBLE) >= 1048576]) = 0),
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
             FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.vec_id IS DISTINCT FROM c.vec_id

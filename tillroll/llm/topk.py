@@ -8,11 +8,11 @@ best k of each query per tile, and merges them; the lists of the tasks are then
 merged in a tree of fixed fan-in.  No task holds more than a few tiles or lists.
 
 Components become floor(64 * x) and all sums are exact: as doubles where they
-stay below 2**53, else as 64-bit integers.
+stay below 2**53, else as 64-bit integers, else as integers without bound.
 
 Defined cases: vectors that are null or hold a null or non-finite component take
-no part, nor do those with a component of 2**20 or more, whose scores need not fit
-a long; only vectors of equal length are compared (an empty one scores 0 with
+no part; a component of 2**57 or more, whose integer is no long, and a score that is no
+long are errors; only vectors of equal length are compared (an empty one scores 0 with
 other empty ones); a query's own rows are all rows with its id; repeated query rows
 (same id and vector) are one query; rows with a null id are candidates that come
 last among ties; an empty table gives an empty result; extra columns are ignored.
@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import pick
@@ -37,7 +37,7 @@ QUERY_TILE = 2048
 STRIP = 1024
 FAN_IN = 16
 HELD_LISTS = 64
-LIMIT = float(2 ** 26)
+LIMIT = float(2 ** 57)
 NO_ID = 2 ** 63 - 1
 NO_SCORE = -2 ** 63
 
@@ -47,14 +47,20 @@ LISTS = "query_tile long, part long, query_ids binary, ids binary, scores binary
 
 def quantised(vectors: DataFrame) -> DataFrame:
     """vec_id and vector (array of floor(64 * x)) of the rows that take part."""
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("int"))
-    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < LIMIT / 64, F.lit(False)))
-    return (pick(vectors, "vec_id", "embedding").filter(F.col("embedding").isNotNull() & usable)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("vector")))
+    def scaled(x: Column) -> Column:
+        x = x.cast("double")
+        return F.when(F.abs(x) < LIMIT, F.floor(x * 64)).otherwise(F.raise_error(F.lit("a component of 2**57 or more")).cast("long"))
+
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    return (pick(vectors, "vec_id", "embedding").filter(F.col("embedding").isNotNull() & finite)
+            .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", scaled).alias("vector")))
 
 
 def tiles(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed into matrices of at most ``size`` rows of equal length, by ascending id."""
+    """Rows packed into matrices of at most ``size`` rows of equal length, by ascending id.
+
+    A matrix has 32-bit integers if all of its fit, else 64-bit ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -65,6 +71,8 @@ def tiles(rows: DataFrame, size: int) -> DataFrame:
             ids, parts = (np.concatenate(x) for x in waiting.pop(dim))
             order = np.argsort(ids, kind="stable")
             number += 1
+            if np.abs(parts).max(initial=0) < 2 ** 31:
+                parts = parts.astype("<i4")
             return pa.RecordBatch.from_pylist([{"tile": number - 1, "dim": dim, "ids": ids[order].tobytes(),
                                                 "matrix": parts[order].tobytes()}], schema)
 
@@ -78,7 +86,7 @@ def tiles(rows: DataFrame, size: int) -> DataFrame:
                 starts = np.cumsum(dims) - dims
                 for dim in np.unique(dims).tolist():
                     own = np.flatnonzero(dims == dim)
-                    matrix = flat[starts[own][:, None] + np.arange(dim)].astype("<i4").reshape(len(own), dim)
+                    matrix = flat[starts[own][:, None] + np.arange(dim)].astype("<i8").reshape(len(own), dim)
                     kept = waiting.setdefault(dim, ([], []))
                     kept[0].append(ids[own].astype("<i8"))
                     kept[1].append(matrix)
@@ -103,7 +111,7 @@ def best_of_tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ma
     """Ids and scores of the best k rows of a tile (ids ascending) for each query."""
     dim = queries.shape[1]
     bound = dim * float(np.abs(queries).max(initial=0)) * float(np.abs(matrix).max(initial=0))
-    kind = np.float64 if (bound + 1) * STRIP < 2 ** 53 else np.int64
+    kind = np.float64 if (bound + 1) * STRIP < 2 ** 53 else np.int64 if bound < 2 ** 62 else object
     left, best = queries.astype(kind), None
     for at in range(0, len(ids), STRIP):
         some, some_ids = matrix[at:at + STRIP].astype(kind), ids[at:at + STRIP]
@@ -129,7 +137,8 @@ def best_of_tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ma
 
 def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["ids"], "<i8")
-    return ids, np.frombuffer(row["matrix"], "<i4").reshape(len(ids), row["dim"])
+    wide = len(row["matrix"]) > 4 * len(ids) * row["dim"]
+    return ids, np.frombuffer(row["matrix"], "<i8" if wide else "<i4").reshape(len(ids), row["dim"])
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int = 20, tile: int = TILE, query_tile: int = QUERY_TILE) -> DataFrame:
