@@ -95,6 +95,45 @@ def test_long_conversation_is_dealt_in_segments(spark):
     assert sum(w.new_turns for w in windows) == 3000
 
 
+@pytest.mark.parametrize("numbers", [lambda i: 2000 * i, lambda i: -10 ** 12 + 1_700_000_000 * i, lambda i: i * i * 10 ** 9])
+def test_windows_go_by_order_not_by_numbers(spark, numbers):
+    def formatted(n, number):
+        rows = [(4, number(i), "system" if i == 0 else ("user", "assistant")[i % 2], f"turn {i}") for i in range(n)]
+        return sorted((w.segment, w.window, w.text, w.new_turns) for w in read_back(spark, rows, budget=300).collect())
+
+    dense = formatted(2300, lambda i: i)
+    assert formatted(2300, numbers) == dense and any(w[3] < 30 for w in dense)
+
+
+def test_two_turns_far_apart(spark):
+    rows = [(1, 0, "system", "s"), (1, 1_700_000_000_000, "user", "u"), (2, -2 ** 63, "user", "first"), (2, 2 ** 63 - 1, "assistant", "last")]
+    assert read_back(spark, rows).count() == 2
+
+
+def test_long_conversation_without_numbers(spark):
+    """Null and equal numbers, and one turn repeated often, are dealt in segments as well."""
+    rows = [(5, None, "user", "again")] * 1500 + [(5, None, "user", f"{i:04d}") for i in range(700)] + [(None, 3, "assistant", "x")] * 1100
+    windows = read_back(spark, rows, budget=300).collect()
+    assert {(w.conv_id, w.segment) for w in windows} == {(5, 0), (5, 1), (5, 2), (None, 0), (None, 1)}
+    assert max(w.tokens for w in windows) <= 300
+
+
+@pytest.mark.parametrize("n", [2000, 6000])
+def test_blocks_leave_no_trace_in_windows(n):
+    """The windows of a stream are those of all its turns at once, whatever the block."""
+    rng = random.Random(n)
+    sizes = [rng.randint(8, 60) for _ in range(n)]
+    seen, at = [], chat._Segment(1, 0, 300, 100)
+    for i, size in enumerate(sizes):
+        at.add((f"<{i}>", 0, 0, False, size), False)
+        if at.full():
+            seen += at.windows(last=False)
+            assert sum(t[4] for t in at.turns[:at.fresh]) <= 100
+    seen += at.windows(last=True)
+    want = ["".join(f"<{i}>" for i in range(back, end)) for back, _, end in chat.spans(sizes, 0, 0, 300, 100)]
+    assert [w[3] for w in seen] == want
+
+
 def test_repeated_targets_are_masked(spark):
     rows = [(1, i, ("user", "assistant")[i % 2], f"text number {i}") for i in range(20)]
     seen = [w.text[s.start:s.end] for w in sorted(read_back(spark, rows, budget=80, history=40).collect(), key=lambda w: w.window) for s in w.loss]

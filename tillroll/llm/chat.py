@@ -8,9 +8,13 @@ covers the assistant texts of its own span only, so each is a target exactly onc
 A turn too long for the budget gets a window of its own and is never cut.
 
 One shuffle brings the turns of a conversation, in order, to one task, which reads
-them as a stream and holds at most ``BLOCK_TURNS`` turns.  A conversation of more
-turns is dealt as segments of ``BLOCK_TURNS`` turn numbers to different tasks; the
-system turn and the last turns before a segment are sent along as context.
+them as a stream; windows that are full leave it, the last one stays open, so what a
+task holds is at most ``BLOCK_TURNS`` turns or ``BLOCK_CHARS`` characters and one window.
+A conversation of more than ``BLOCK_TURNS`` turns is dealt in segments to different
+tasks.  Segments go by the turns' places, not by their numbers: equal turns are counted,
+the distinct ones sorted into ranges, and sums of the counts before a turn in its
+range and of the ranges before give its place.  The system turn and the last turns
+before a segment, as many as the history's tokens can hold, are sent along.
 
 Reading back streams the windows of a conversation in order; its memory is one
 window.  A digest over a conversation is a digest over one stream, so that stream
@@ -18,7 +22,8 @@ is read by one task.
 
 Defined cases: a null text or role is empty; turns are ordered by number (null
 first), then role and text, so repeated turns are kept; a null conversation id is a
-conversation; an empty table gives an empty result; extra columns are ignored.
+conversation; turn numbers may have gaps, be negative or as large as time stamps, only
+their order counts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import per_worker, pick
@@ -40,7 +45,8 @@ BUDGET = 2048
 HISTORY = 512
 BLOCK_TURNS = 1024
 BLOCK_CHARS = 8_000_000
-CONTEXT_TURNS = 16
+LEAST_TOKENS = 8  # a turn's markers alone are more, with any tokenizer that parts letters from punctuation
+PREFIX = 200  # characters of a text by which turns are dealt into ranges
 CONTROL = re.compile(r"<s>|</s>|\[INST\]|\[/INST\]")
 TURN = re.compile(r"<s>(.*?)\[INST\](.*?)\[/INST\]</s>", re.DOTALL)
 
@@ -53,11 +59,12 @@ WINDOW_ROW = pa.schema([("conv_id", pa.int64()), ("segment", pa.int64()), ("wind
 
 def escape(text: str) -> str:
     """No control string is left in the result; ``unescape`` gives the text back."""
-    return CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
+    doubled = text.replace("\\", "\\\\") if "\\" in text else text
+    return CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], doubled)
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL) if "\\" in text else text
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
@@ -90,26 +97,43 @@ class _Segment:
 
     def __init__(self, conv_id, segment, budget, history):
         self.conv_id, self.segment, self.budget, self.history = conv_id, segment, budget, history
-        self.system, self.turns, self.fresh, self.number, self.chars = None, [], 0, 0, 0
+        self.system, self.turns, self.fresh, self.number, self.chars, self.room = None, [], 0, 0, 0, BLOCK_TURNS
 
-    def windows(self) -> list[dict]:
-        """Windows over the turns not yet in one; the last turns stay as context."""
+    def add(self, turn: tuple, is_context: bool) -> None:
+        self.turns.append(turn)
+        self.fresh += is_context
+        self.chars += len(turn[0])
+
+    def full(self) -> bool:
+        return len(self.turns) - self.fresh >= self.room or self.chars >= BLOCK_CHARS and len(self.turns) - self.fresh > 1
+
+    def windows(self, last: bool) -> list[tuple]:
+        """Windows over the turns not yet in one; but for the last time, the last of them stays
+        open, with the turns before it that its history may hold."""
         out = []
         system = [self.system] if self.system else []
-        for back, at, end in spans([t[4] for t in self.turns], self.fresh, sum(t[4] for t in system), self.budget, self.history):
+        tokens = [t[4] for t in self.turns]
+        found = spans(tokens, self.fresh, sum(t[4] for t in system), self.budget, self.history)
+        stays = found.pop()[1] if found and not last else len(tokens)
+        for back, at, end in found:
             used = self.turns[back:end]
             lead = [t for t in system if not any(t is u for u in used)]  # the first window holds it itself
             text, loss, where = [], [], 0
             for n, (string, start, stop, target, _) in enumerate(lead + used):
                 if target and n >= len(lead) + at - back:
-                    loss.append({"start": where + start, "end": where + stop})
+                    loss.append((where + start, where + stop))
                 text.append(string)
                 where += len(string)
-            out.append({"conv_id": self.conv_id, "segment": self.segment, "window": self.number, "text": "".join(text),
-                        "turns": len(lead) + len(used), "new_turns": end - at, "tokens": sum(t[4] for t in lead + used), "loss": loss})
+            out.append((self.conv_id, self.segment, self.number, "".join(text), len(lead) + len(used), end - at,
+                        sum(t[4] for t in lead + used), loss))
             self.number += 1
-        self.turns = self.turns[-CONTEXT_TURNS:]
-        self.fresh, self.chars = len(self.turns), 0
+        kept, held = stays, 0
+        while kept and held + tokens[kept - 1] <= self.history:
+            kept -= 1
+            held += tokens[kept]
+        self.turns, self.fresh = self.turns[kept:], stays - kept
+        self.chars = sum(len(t[0]) for t in self.turns)
+        self.room = BLOCK_TURNS if out else 2 * self.room  # a window of very many turns: look again later
         return out
 
 
@@ -118,64 +142,95 @@ def _counter(path: str):
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # control strings of the tokenizer are ordinary text here
-    return lambda texts: [len(e.ids) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-def windows(turns: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """Formatted windows of all conversations (conv_id, turn, role, text); see ``WINDOWS``."""
+    return lambda texts: [len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _places(deep: DataFrame) -> DataFrame:
+    """The turns of long conversations (with ``n``, their number of turns) and each one's place ``at``, from 0."""
+    spark = deep.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    distinct = deep.groupBy("conv_id", "n", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    ranged = materialize(distinct.repartitionByRange(width, F.col("conv_id").asc_nulls_first(), *order[:2], F.substring("text", 1, PREFIX))
+                         .withColumn("range", F.spark_partition_id()), "turn_ranges")
+    totals = ranged.groupBy("range", "conv_id").agg(F.sum("copies").alias("total"))
+    offsets = totals.select("range", F.col("conv_id").alias("same"), F.coalesce(F.sum("total").over(
+        Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    before = F.coalesce(F.sum("copies").over(
+        Window.partitionBy("range", "conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = ranged.withColumn("before", before)
+    return (local.join(offsets, (local["range"] == offsets["range"]) & local["conv_id"].eqNullSafe(offsets["same"]))
+            .select("conv_id", "n", "turn", "role", "text", (F.col("offset") + F.col("before")).alias("first"), "copies")
+            .select("conv_id", "n", "turn", "role", "text",
+                    F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)).alias("at")))
+
+
+def windows(turns: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY, least: int = LEAST_TOKENS) -> DataFrame:
+    """Formatted windows of all conversations (conv_id, turn, role, text); see ``WINDOWS``.
+
+    ``least``: tokens that a turn has at least, which bounds how many turns a history holds.
+    """
     rows = pick(turns, "conv_id", "turn", "role", "text").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(0)).cast("long").alias("segment"))
-    # conversations of several segments: each later one gets the system turn and the turns just before it
-    ends = rows.groupBy("conv_id").agg(F.min("segment").alias("low"), F.max("segment").alias("high"))
-    long = materialize(ends.filter("low < high"), "long_conversations")
-    deep = rows.join(long, rows.conv_id.eqNullSafe(long.conv_id)).drop(long.conv_id)
-    heads = (deep.filter("segment = low").groupBy("conv_id", "low", "high")
-             .agg(F.min(F.struct(F.col("turn").isNotNull(), "turn", "role", "text")).alias("h")).filter("h.role = 'system'")
-             .select("conv_id", "h.turn", "h.role", "h.text", F.explode(F.sequence(F.col("low") + 1, F.col("high"))).alias("segment"),
-                     F.lit(0).alias("kind")))
-    tails = (deep.filter((F.col("segment") < F.col("high")) & (F.pmod("turn", F.lit(BLOCK_TURNS)) >= BLOCK_TURNS - CONTEXT_TURNS))
-             .select("conv_id", "turn", "role", "text", (F.col("segment") + 1).alias("segment"), F.lit(1).alias("kind")))
-    dealt = (rows.withColumn("kind", F.lit(2)).unionByName(heads).unionByName(tails).repartition("conv_id", "segment")
-             .select("conv_id", "segment", "kind", "turn", "role", "text")
-             .sortWithinPartitions("conv_id", "segment", "kind", "turn", "role", "text"))
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    long = materialize(rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK_TURNS)
+                       .withColumnRenamed("conv_id", "same"), "long_conversations")
+    here = F.col("conv_id").eqNullSafe(F.col("same"))
+    whole = rows.join(long, here, "left_anti").select("conv_id", F.lit(0).cast("long").alias("segment"), F.lit(2).alias("kind"),
+                                                     F.lit(0).cast("long").alias("at"), "turn", "role", "text")
+    dealt = whole
+    if not long.isEmpty():
+        placed = materialize(_places(rows.join(long, here).drop("same")).withColumn("segment", F.floor(F.col("at") / BLOCK_TURNS)), "turn_places")
+        later = F.floor((F.col("n") - 1) / BLOCK_TURNS)
+        heads = (placed.filter("at = 0 AND role = 'system'")
+                 .select("conv_id", F.explode(F.sequence(F.lit(1).cast("long"), later)).alias("segment"), F.lit(0).alias("kind"), "at", "turn", "role", "text"))
+        carried = -(-history // least)
+        tails = (placed.filter((F.col("segment") < later) & (F.col("at") % BLOCK_TURNS >= BLOCK_TURNS - carried))
+                 .select("conv_id", (F.col("segment") + 1).alias("segment"), F.lit(1).alias("kind"), "at", "turn", "role", "text"))
+        own = placed.select("conv_id", "segment", F.lit(2).alias("kind"), "at", "turn", "role", "text")
+        dealt = whole.unionByName(own).unionByName(heads).unionByName(tails)
+    dealt = (dealt.repartition("conv_id", "segment").select("conv_id", "segment", "kind", "role", "text", "at", "turn")
+             .sortWithinPartitions("conv_id", "segment", "kind", "at", "turn", "role", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, at = per_worker(("count", tokenizer), lambda: _counter(tokenizer)), None
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                columns = [c.to_pylist() for c in batch.slice(lo, 256).columns]
-                rendered = [render(r, t) for r, t in zip(columns[4], columns[5], strict=True)]
+                conv_ids, segments, kinds, roles, texts = (c.to_pylist() for c in batch.slice(lo, 256).columns[:5])
+                rendered = [render(r, t) for r, t in zip(roles, texts, strict=True)]
                 sizes = count([r[0] for r in rendered])
-                for conv_id, segment, kind, role, turn, size in zip(*columns[:3], columns[4], rendered, sizes, strict=True):
+                for conv_id, segment, kind, role, turn, size in zip(conv_ids, segments, kinds, roles, rendered, sizes, strict=True):
                     if at is None or (conv_id, segment) != (at.conv_id, at.segment):
                         if at:
-                            yield from _batches(at.windows())
+                            yield from _batches(at.windows(last=True))
                         at = _Segment(conv_id, segment, budget, history)
                     turn = (*turn, role == "assistant", size)
-                    if kind == 0 or (kind == 2 and role == "system" and not at.turns and at.system is None):
+                    if kind == 0 or (kind == 2 and segment == 0 and role == "system" and not at.turns and at.system is None):
                         at.system = turn
                     if kind:
-                        at.turns.append(turn)
-                        at.fresh += kind == 1
-                        at.chars += len(turn[0])
-                    if len(at.turns) - at.fresh >= BLOCK_TURNS or at.chars >= BLOCK_CHARS:
-                        yield from _batches(at.windows())
+                        at.add(turn, kind == 1)
+                    if at.full():
+                        yield from _batches(at.windows(last=False))
         if at:
-            yield from _batches(at.windows())
+            yield from _batches(at.windows(last=True))
 
     return dealt.mapInArrow(run, WINDOWS)
 
 
-def _batches(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     if rows:
-        yield pa.RecordBatch.from_pylist(rows, WINDOW_ROW)
+        *columns, loss = zip(*rows, strict=True)
+        spans_of = [pa.array([s[i] for found in loss for s in found], pa.int32()) for i in (0, 1)]
+        ends = pa.array([0, *accumulate(map(len, loss))], pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(spans_of, ["start", "end"]))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(columns, WINDOW_ROW, strict=False)), lists.cast(WINDOW_ROW.field("loss").type)],
+                                         schema=WINDOW_ROW)
 
 
-def parse(text: str) -> list[tuple[str, str]]:
-    """Role and text of the turns of a window."""
-    return [(unescape(r), unescape(t)) for r, t in TURN.findall(text)]
+def parse(text: str, last: int | None = None) -> list[tuple[str, str]]:
+    """Role and text of the turns of a window, or of the last few."""
+    found = TURN.findall(text)
+    return [(unescape(r), unescape(t)) for r, t in (found if last is None else found[len(found) - last:])]
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -193,17 +248,23 @@ def digests(formatted: DataFrame) -> DataFrame:
                         "loss_sha256": loss.hexdigest(), "formatted_chars": size})
 
         for batch in batches:
-            for conv_id, text, new, loss in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "text", "new_turns", "loss")), strict=True):
+            conv_ids, texts, news = (batch.column(c).to_pylist() for c in ("conv_id", "text", "new_turns"))
+            masks = batch.column("loss")
+            starts, ends = (masks.flatten().field(i).to_pylist() for i in (0, 1))
+            upto = accumulate(masks.value_lengths().to_pylist())
+            done = 0
+            for conv_id, text, new, end in zip(conv_ids, texts, news, upto, strict=True):
                 if at is None or at[0] != conv_id:
                     if at:
                         close()
                     at = [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, said in parse(text)[-new:]:
+                for role, said in parse(text, new):
                     at[2].update(f"{role}\n{said}\n".encode())
-                for span in loss:
-                    target = unescape(text[span["start"]:span["end"]])
+                for i in range(done, end):
+                    target = unescape(text[starts[i]:ends[i]])
                     at[3] += len(target)
                     at[4].update(target.encode())
+                done = end
                 at[1] += new
                 at[5] += len(text)
                 if len(out) >= 1000:
