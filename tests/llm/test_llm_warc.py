@@ -54,6 +54,27 @@ def test_writing_again_gives_the_same_bytes(spark):
     assert shas[0] == shas[1]
 
 
+def test_many_pages_give_the_same_files_whatever_the_partitions(spark):
+    """Far more rows than a range partitioning samples, in other orders and partitions."""
+    made = spark.range(60_000).selectExpr("id * 7919 % 60000 AS page_id", "concat('http://h/', id) AS url",
+                                          "repeat(cast(id % 5000 AS string), cast(id % 90 AS int)) AS html")
+    found = []
+    for parts in (3, 7):
+        folder = scratch_path(spark, "t_warc_many")
+        manifest = warc.write(made.repartition(parts, "html"), folder, shards=6)
+        found.append(sorted((r.file, r.shard, r.records, r.sha256) for r in manifest.collect()))
+    assert found[0] == found[1] and {r[1] for r in found[0]} == set(range(6)) and sum(r[2] for r in found[0]) == 60_000
+    sizes = [r[2] for r in found[0]]
+    assert max(sizes) < 2 * min(sizes)
+
+
+def test_addresses_that_spark_takes():
+    with pytest.raises(Exception) as e:
+        warc.open_store("nostore://x/y")
+    assert "nostore" in str(e.value)
+    assert warc.open_store("file:///tmp/x")[1] == "/tmp/x"
+
+
 def test_files_without_a_manifest_row_are_not_read(spark):
     folder = scratch_path(spark, "t_warc_left")
     warc.write(pages(spark, ROWS[:2]), folder, shards=1)
