@@ -30,6 +30,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from tillroll.llm.common import ChunkTable, per_worker, pick
 BATCH_ROWS = 256
 TABLE_ROWS = 300_000
 MERGED_WORDS = 1000
+SIZE_BITS = 20  # a match is its token's id and, in so many bits, its length
 NEVER = 2 ** 31 - 1  # the rank of a pair that no rule merges
 
 #: The normalizer and splitter that drop white space and never look across it.
@@ -134,7 +136,7 @@ class SpeculativeEncoder:
         for token, i in model["vocab"].items():
             if self.merges.reached[i]:
                 string = token.removesuffix(suffix) + "\n" if suffix and token.endswith(suffix) else token
-                self.greedy.add_word(string, (i, len(string)))
+                self.greedy.add_word(string, i << SIZE_BITS | len(string))
         self.greedy.make_automaton()
         self.known_pairs = np.zeros(0, np.int64)  # pairs checked lately, and what came out
         self.known_fine = np.zeros(0, bool)
@@ -167,16 +169,15 @@ class SpeculativeEncoder:
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         simple = [c for c in chunks if self.plain(c)]
-        parts: dict[str, list[str | int]] = {}
+        alone: dict[str, str] = {}
         if simple:
             line = codecs.charmap_decode("\n".join(simple).lower().encode(), "strict", self.byte_chars)[0]
-            parts = {c: [w] for c, w in zip(simple, line.split("\n"), strict=True)}
-        for c in chunks:
-            if c not in parts:
-                parts[c] = self._words_of(c)
-        words = list({w for p in parts.values() for w in p if isinstance(w, str)})
+            alone = dict(zip(simple, line.split("\n"), strict=True))
+        parts = {c: self._words_of(c) for c in chunks if c not in alone}
+        words = list({*alone.values(), *(w for p in parts.values() for w in p if isinstance(w, str))})
         ids = dict(zip(words, self.encode_words(words), strict=True))
-        return [b"".join(ids[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in parts[c]) for c in chunks]
+        return [ids[alone[c]] if c in alone
+                else b"".join(ids[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in parts[c]) for c in chunks]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words: proposed, verified, and merged where that fails."""
@@ -184,7 +185,8 @@ class SpeculativeEncoder:
             return []
         self.words_seen += len(words)
         ok, ids, starts = self._propose(words)
-        out = [ids[a:b].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        at = (starts * 4).tolist()
+        out = list(map(ids.tobytes().__getitem__, map(slice, at[:-1], at[1:])))
         failed = np.flatnonzero(~ok).tolist()
         self.words_merged += len(failed)
         for i, merged in zip(failed, self._merge([words[i] for i in failed]), strict=True):
@@ -197,17 +199,16 @@ class SpeculativeEncoder:
         lines = [" ".join(words[at:at + size]) for at in range(0, len(words), size)]
         for e in self.exact.encode_batch_fast(lines, add_special_tokens=False):
             ids = np.array(e.ids, "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist() if self.ended else [len(ids)]
-            for a, b in zip([0, *stops[:-1]], stops, strict=True):
-                yield ids[a:b].tobytes()
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist() if self.ended else [len(ids) * 4]
+            yield from map(ids.tobytes().__getitem__, map(slice, [0, *stops[:-1]], stops))
 
     def _propose(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each word's proposal holds, all proposed ids and where each word's begin."""
         line = "\n".join(words) + "\n"
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         ends = np.cumsum(lengths)
-        found = [(end, *token) for end, token in self.greedy.iter_long(line)]
-        last, ids, size = np.array(found, np.int64).reshape(-1, 3).T
+        last, match = np.fromiter(chain.from_iterable(self.greedy.iter_long(line)), np.int64).reshape(-1, 2).T
+        ids, size = match >> SIZE_BITS, match & ((1 << SIZE_BITS) - 1)
         word = np.searchsorted(ends, last, side="right")
         starts = np.searchsorted(word, np.arange(len(words) + 1))
         tiled = np.bincount(word, size, len(words)) == (lengths if self.ended else lengths - 1)
@@ -262,15 +263,18 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer)
-        strings = {i: t for t, i in tok.get_vocab(with_added_tokens=True).items()}
+        strings = np.full(tok.get_vocab_size(with_added_tokens=True), None, object)
+        for token, i in tok.get_vocab(with_added_tokens=True).items():
+            strings[i] = token
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                ids = [i or [] for i in part.column(1).to_pylist()]
                 if tok.decoder is None:
-                    texts = [" ".join(map(strings.__getitem__, i)) for i in ids]
+                    ends = np.cumsum(part.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                    flat = strings[part.column(1).flatten().to_numpy(zero_copy_only=False)]
+                    texts = [" ".join(x.tolist()) for x in np.split(flat, ends[:-1])]
                 else:
-                    texts = tok.decode_batch(ids, skip_special_tokens=False)
+                    texts = tok.decode_batch([i or [] for i in part.column(1).to_pylist()], skip_special_tokens=False)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
                                                  ["doc_id", "ids", "text"])
 
