@@ -224,17 +224,32 @@ def refresh_daily_sales(previous: DataFrame, before: dict[str, DataFrame],
     return kept.unionByName(recomputed)
 
 
+def affected_products(before: dict[str, DataFrame], after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
+    """Products whose totals can differ: those that changed, and those of changed items and of items of
+    changed orders, in the old or the new state."""
+    touched = changed["products"].select("product_id")
+    for state in (before, after):
+        for key, of in (("order_id", "orders"), ("item_id", "order_items")):
+            touched = touched.unionByName(state["order_items"].join(changed[of].select(key), key, "left_semi").select("product_id"))
+    return touched.filter("product_id IS NOT NULL").distinct()
+
+
+def affected_customers(before: dict[str, DataFrame], after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
+    """Customers that changed or whose orders did, in the old or the new state."""
+    touched = changed["customers"].select("customer_id")
+    for state in (before, after):
+        touched = touched.unionByName(
+            state["orders"].join(changed["orders"].select("order_id"), "order_id", "left_semi").select("customer_id"))
+    return touched.filter("customer_id IS NOT NULL").distinct()
+
+
 def refresh_product_performance(previous: DataFrame, before: dict[str, DataFrame],
                                 after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
     """M2 maintained incrementally: totals of the products touched by changed orders,
     items or products are recomputed, the others kept; ranks are assigned anew.
     Equal to rebuilding the whole mart from ``after``.
     """
-    touched = changed["products"].select("product_id")
-    for state in (before, after):
-        for key, of in (("order_id", "orders"), ("item_id", "order_items")):
-            touched = touched.unionByName(state["order_items"].join(changed[of].select(key), key, "left_semi").select("product_id"))
-    touched = touched.filter("product_id IS NOT NULL").distinct()
+    touched = affected_products(before, after, changed)
     recomputed = product_totals(after["order_items"].join(touched, "product_id", "left_semi"), after["orders"],
                                 after["products"].join(touched, "product_id", "left_semi"))
     kept = previous.drop("revenue_rank").join(touched, "product_id", "left_anti")
@@ -246,11 +261,7 @@ def refresh_customer_ltv(previous: DataFrame, before: dict[str, DataFrame],
     """M3 maintained incrementally: rows of the customers that changed or whose orders
     did, in the old or the new state, are recomputed.  Equal to a full rebuild.
     """
-    touched = changed["customers"].select("customer_id")
-    for state in (before, after):
-        touched = touched.unionByName(
-            state["orders"].join(changed["orders"].select("order_id"), "order_id", "left_semi").select("customer_id"))
-    touched = touched.filter("customer_id IS NOT NULL").distinct()
+    touched = affected_customers(before, after, changed)
     recomputed = customer_ltv(after["orders"].join(touched, "customer_id", "left_semi"),
                               after["customers"].join(touched, "customer_id", "left_semi"))
     return previous.join(touched, "customer_id", "left_anti").unionByName(recomputed)

@@ -153,16 +153,68 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     return metrics.select(F.explode(F.array(*structs)).alias("r")).select("r.*").to(CHECK_RESULT)
 
 
+#: How the state of a mart's checks is dealt: a partition holds all rows of a value that must be unique.
+BUCKETS = 64
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("string")
+
+
+def state_part(mart: str) -> Column:
+    """The partition of a mart's row: the month of a sale date, the bucket of a key."""
+    if mart == "daily_sales":
+        return F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit("none"))
+    return _bucket({"product_performance": "product_id", "customer_ltv": "customer_id"}[mart])
+
+
+STATE = "table_name string, part string, check string, metric long"
+
+
+def suite_state(df: DataFrame, mart: str, checks: list[Check]) -> DataFrame:
+    """The metric of every check in every partition of a mart: counts, which add up over partitions.
+
+    (Duplicates too: equal keys are in one partition.)  A check of a missing column has no rows.
+    """
+    present = [ck for ck in checks if ck.column is None or ck.column in df.columns]
+    counts = df.groupBy(state_part(mart).alias("part")).agg(*[_metric(df, ck).alias(f"m{i}") for i, ck in enumerate(present)])
+    rows = F.array(*[F.struct(F.lit(_name(ck, True)).alias("check"), F.col(f"m{i}").cast("long").alias("metric"))
+                     for i, ck in enumerate(present)])
+    return counts.select(F.lit(mart).alias("table_name"), "part", F.explode(rows).alias("r")).select("table_name", "part", "r.*")
+
+
+def refresh_state(previous: DataFrame, df: DataFrame, mart: str, checks: list[Check], changed: DataFrame) -> DataFrame:
+    """The state of ``df`` from that of its last version and the partitions (column ``part``) changed
+    since: only their rows are read."""
+    kept = previous.filter(F.col("table_name") == mart).join(changed, "part", "left_anti").select(*_state_columns())
+    rows = df.withColumn("__part", state_part(mart)).join(changed.select(F.col("part").alias("__part")).distinct(), "__part", "left_semi")
+    return kept.unionByName(suite_state(rows.drop("__part"), mart, checks))
+
+
+def _state_columns() -> list[str]:
+    return [c.split(" ")[0] for c in STATE.split(", ")]
+
+
+def state_results(state: DataFrame, checks: list[Check], columns: list[str]) -> DataFrame:
+    """The result rows of a suite from its merged state; ``columns``: those of the mart."""
+    merged = state.agg(*[F.coalesce(F.sum(F.when((F.col("table_name") == ck.table) & (F.col("check") == _name(ck, True)), F.col("metric"))),
+                                    F.lit(0)).alias(f"m{i}") for i, ck in enumerate(checks)])
+    structs = [_result(ck, F.col(f"m{i}") if ck.column is None or ck.column in columns else None) for i, ck in enumerate(checks)]
+    return merged.select(F.explode(F.array(*structs)).alias("r")).select("r.*").to(CHECK_RESULT)
+
+
+def mart_suites(floors: dict[str, int] | None = None) -> dict[str, list[Check]]:
+    """The three suites by mart, with their floors of rows."""
+    floors = floors or {}
+    return {"daily_sales": daily_sales_suite(floors.get("daily_sales", 100)),
+            "product_performance": product_performance_suite(floors.get("product_performance", 50)),
+            "customer_ltv": customer_ltv_suite(floors.get("customer_ltv", 500))}
+
+
 def run_all(marts: dict[str, DataFrame], floors: dict[str, int] | None = None) -> DataFrame:
     """Q9: the three suites (18 results)."""
-    floors = floors or {}
-    suites = {
-        "daily_sales": daily_sales_suite(floors.get("daily_sales", 100)),
-        "product_performance": product_performance_suite(floors.get("product_performance", 50)),
-        "customer_ltv": customer_ltv_suite(floors.get("customer_ltv", 500)),
-    }
     out = None
-    for name, checks in suites.items():
+    for name, checks in mart_suites(floors).items():
         r = run_suite(marts[name], checks)
         out = r if out is None else out.unionByName(r)
     return out

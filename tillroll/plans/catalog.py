@@ -29,7 +29,7 @@ from ..sources import extract as S
 from ..sources.fixtures import fixture_source, fixture_sources
 from ..sources.raw import raw_row_counts, read_raw_all, read_union_by_name
 from ..streaming.incremental import ingest_available_now, maintain_latest, read_latest, read_sink
-from .pipeline import PROCESSED, build_marts, process, publish_all, read_marts, read_processed, run_full
+from .pipeline import PROCESSED, build_marts, changed_parts, process, publish_all, read_marts, read_processed, run_full
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -678,7 +678,8 @@ query("register_mart_tables_ltv")(lambda spark, d: _registered(spark, d, "custom
 
 
 # ---- incremental marts: refreshed from the state before a date to the whole ----------------
-def _refreshed(spark, d, mart):
+def _states(spark, d):
+    """Clean tables as of a date and now, and the keys that changed between."""
     split = {t: S.ntz(EXTRACT_WATERMARKS[t]) for t in PROCESSED}
     src = {t: raw(spark, d, t) for t in PROCESSED}
     stamps = {t: F.col("created_at" if t == "order_items" else "updated_at") for t in PROCESSED}
@@ -686,6 +687,11 @@ def _refreshed(spark, d, mart):
     after = {t: stored_clean(spark, d, t) for t in PROCESSED}
     changed = {t: materialize(src[t].filter(stamps[t] > split[t]).select(schemas.SOURCE_KEYS[t]).distinct(), f"changed_{t}")
                for t in PROCESSED}
+    return before, after, changed
+
+
+def _refreshed(spark, d, mart):
+    before, after, changed = _states(spark, d)
     previous = materialize(build_marts(before)[mart], mart)
     refresh = {"daily_sales": M.refresh_daily_sales, "product_performance": M.refresh_product_performance,
                "customer_ltv": M.refresh_customer_ltv}[mart]
@@ -696,6 +702,24 @@ for _m in MART_BUILDERS:
     query(f"refresh_{_m}")(lambda spark, d, _m=_m: _refreshed(spark, d, _m))
 
 
+@query("dq_incremental")
+def q_dq_incremental(spark, d):
+    """The three suites from the counts of the marts' last version and those of the partitions changed since."""
+    before, after, changed = _states(spark, d)
+
+    def checked(c):
+        return {"daily_sales": M.daily_sales(c["order_items"], c["orders"], c["products"]),
+                "product_performance": M.product_totals(c["order_items"], c["orders"], c["products"]),
+                "customer_ltv": M.customer_ltv(c["orders"], c["customers"])}
+
+    was, now, parts, out = checked(before), checked(after), changed_parts(before, after, changed), None
+    for m, checks in Q.mart_suites().items():
+        stored = materialize(Q.suite_state(was[m], m, checks), "check_state")
+        results = Q.state_results(Q.refresh_state(stored, now[m], m, checks, parts[m]), checks, now[m].columns)
+        out = results if out is None else out.unionByName(results)
+    return _checks(out)
+
+
 # ---- pipelines (P1, P2) -----------------------------------------------------------------------
 @query("pipeline_process")
 def q_p1(spark, d):

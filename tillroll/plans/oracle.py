@@ -484,6 +484,7 @@ register("dq_value_set", _suite_sql(_pick("value_set")))
 register("dq_suite_daily_sales", _suite_sql(SUITES[DS]))
 register("dq_suite_product_performance", _suite_sql(SUITES[PP]))
 register("dq_suite_customer_ltv", _suite_sql(SUITES[CL]))
+register("dq_incremental", _suite_sql([s for suite in SUITES.values() for s in suite]))
 register("dq_gate_summary", f"""
 SELECT severity, passed, CAST(count(*) AS BIGINT) AS n_checks FROM (
 {_suite_sql([s for suite in SUITES.values() for s in suite])}

@@ -13,15 +13,16 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..session import path_exists, stage_scope
+from ..session import delete_path, path_exists, stage_scope
 from ..sinks.writers import ordered_for_write, write_layer
 from ..sources.extract import TS_COLUMNS, run_extract
-from ..sources.raw import read_raw_all
+from ..sources.raw import read_folder, read_raw_all
 from ..streaming.incremental import changed_keys, committed_version, maintain_latest, read_version
 from . import processed as P
 from .processed import read_processed
@@ -60,8 +61,10 @@ def build_marts(p: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "customer_ltv": M.customer_ltv(p["orders"], p["customers"])}
 
 
-def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame]) -> dict[str, DataFrame] | None:
-    """The three marts from those of the last run and the keys changed since.
+def refresh_marts(spark: SparkSession, base: str,
+                  after: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]] | None:
+    """The three marts from those of the last run and the keys changed since, and of each the
+    partitions of its check state that can differ.
 
     None if there are no marts of the last run, or if they are not of the versions
     just before the newest ones: then only a full build is right.
@@ -78,9 +81,18 @@ def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame]) -
         changed[t] = changed_keys(spark, folder, schema, schemas.SOURCE_KEYS[t], v if v > old else None)
     previous = {m: df.drop("_processed_at") for m, df in read_marts(spark, base).items()}
     was = C.clean_all(before, deduped=True)
-    return {"daily_sales": M.refresh_daily_sales(previous["daily_sales"], was, after, changed),
-            "product_performance": M.refresh_product_performance(previous["product_performance"], was, after, changed),
-            "customer_ltv": M.refresh_customer_ltv(previous["customer_ltv"], was, after, changed)}
+    built = {"daily_sales": M.refresh_daily_sales(previous["daily_sales"], was, after, changed),
+             "product_performance": M.refresh_product_performance(previous["product_performance"], was, after, changed),
+             "customer_ltv": M.refresh_customer_ltv(previous["customer_ltv"], was, after, changed)}
+    return built, changed_parts(was, after, changed)
+
+
+def changed_parts(before: dict[str, DataFrame], after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Of each mart the partitions (column ``part``) of its check state with rows that can differ."""
+    touched = {"daily_sales": M.affected_sale_dates(before, after, changed),
+               "product_performance": M.affected_products(before, after, changed),
+               "customer_ltv": M.affected_customers(before, after, changed)}
+    return {m: df.select(Q.state_part(m).alias("part")).distinct() for m, df in touched.items()}
 
 
 def _write_marts(built: dict[str, DataFrame], base: str, version: int | None) -> list[tuple]:
@@ -103,8 +115,14 @@ def process(spark: SparkSession, raw: dict[str, DataFrame], base: str, deduped:
         written = P.refresh(spark, base) if incremental else P.write_whole(spark, C.clean_all(raw, deduped=deduped), base)
         rows = [("processed", t, w.rows) for t, w in written.items()]
         p = read_processed(spark, base)
-        built = refresh_marts(spark, base, p) if incremental else None
-        rows += _write_marts(built or build_marts(p), base, mart_version)
+        refreshed = refresh_marts(spark, base, p) if incremental else None
+        rows += _write_marts(refreshed[0] if refreshed else build_marts(p), base, mart_version)
+        if mart_version is not None:
+            parts = check_path(base, "changed_parts", mart_version)
+            delete_path(spark, parts)
+            if refreshed:
+                for mart, df in refreshed[1].items():
+                    df.select(F.lit(mart).alias("table_name"), "part").write.mode("append").parquet(parts)
     return spark.createDataFrame(rows, "layer string, dataset string, rows long")
 
 
@@ -123,6 +141,33 @@ def audit(spark: SparkSession, marts: dict[str, DataFrame], base: str, floors: d
     return spark.read.parquet(f"{base}/quality/results")
 
 
+def check_path(base: str, what: str, version: int) -> str:
+    return f"{base}/warehouse/{what}/version={version}"
+
+
+def audit_version(spark: SparkSession, base: str, version: int, floors: dict[str, int] | None = None) -> DataFrame:
+    """The check results over a version of the marts, from per-partition counts stored beside it.
+
+    If the version was refreshed from the published one, only partitions with changed rows are
+    counted anew; the counts of the others are those of the published version.
+    """
+    marts, suites = read_mart_version(spark, base, version), Q.mart_suites(floors)
+    last, parts = published_version(spark, base), read_folder(spark, check_path(base, "changed_parts", version))
+    stored = None if last is None or parts is None else read_folder(spark, check_path(base, "checks", last))
+    where = check_path(base, "checks", version)
+    delete_path(spark, where)
+    for m, checks in suites.items():
+        df = marts[m].drop("_processed_at")
+        state = Q.suite_state(df, m, checks) if stored is None else Q.refresh_state(
+            stored, df, m, checks, parts.filter(F.col("table_name") == m).select("part"))
+        state.coalesce(1).write.mode("append").parquet(where)
+    state = spark.read.schema(Q.STATE).parquet(where)
+    results = [Q.state_results(state, checks, marts[m].columns) for m, checks in suites.items()]
+    for n, r in enumerate(results):
+        r.write.mode("append" if n else "overwrite").parquet(f"{base}/quality/results")
+    return spark.read.parquet(f"{base}/quality/results")
+
+
 def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
              floors: dict[str, int] | None = None, database: str = "tillroll_marts",
              ingest_date: _dt.date | None = None, incremental: bool = False,
@@ -153,7 +198,7 @@ def run_full(spark: SparkSession, sources: dict[str, DataFrame], base: str,
     for r in process(spark, raw, base, deduped=incremental, mart_version=version,
                      incremental=incremental).collect():  # one row per dataset
         out.append(("process", r["dataset"], r["rows"], "success"))
-    results = audit(spark, read_mart_version(spark, base, version), base, floors)
+    results = audit_version(spark, base, version, floors)
     checks = results.count()
     Q.gate(results)
     out.append(("quality", "checks", checks, "success"))
