@@ -118,6 +118,20 @@ def test_long_conversation_without_numbers(spark):
     assert max(w.tokens for w in windows) <= 300
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_counts_are_the_librarys(name):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path(name))
+    tok.encode_special_tokens = True
+    rng = random.Random(3)
+    marks = [*"  \t\n\xa0\x1c\u3000aAzé0'.,!~漢😀", " a", "  b", " 's", "'s", "<|endoftext|>", " the", "the ", " I'll", "\r\n "]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 30))) for _ in range(20_000)] + ["", "x" * 3000 + " y", " " * 5000 + "z", "ab " * 50_000]
+    count = chat.TokenCounter(public_tokenizers.path(name))
+    assert (count.fast is not None) == name.startswith("byte")
+    got = [n for at in range(0, len(texts), 256) for n in count(texts[at:at + 256])]
+    assert got == [len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("n", [2000, 6000])
 def test_blocks_leave_no_trace_in_windows(n):
     """The windows of a stream are those of all its turns at once, whatever the block."""
