@@ -47,3 +47,9 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     """
     both = batch if previous is None else previous.unionByName(batch.select(*previous.columns))
     return dedupe_latest(both, keys, order_by)
+
+
+def of_keys(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of the keys in ``keys`` (one column); those of no such key with ``left_anti``.  NULL is a key."""
+    name = keys.columns[0]
+    return df.join(keys.select(F.col(name).alias("__key")), df[name].eqNullSafe(F.col("__key")), how)

@@ -18,6 +18,7 @@ from .. import schemas
 from ..functions import (all_not_null, compare, date_parts, full_name, margin_pct, money_round,
                          month_trunc, safe_divide, standardise_domain, try_cast_to)
 from ..operators import clean as C
+from ..operators import deltas as D
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import reports as R
@@ -691,11 +692,20 @@ def _states(spark, d):
 
 
 def _refreshed(spark, d, mart):
-    before, after, changed = _states(spark, d)
-    previous = materialize(build_marts(before)[mart], mart)
-    refresh = {"daily_sales": M.refresh_daily_sales, "product_performance": M.refresh_product_performance,
-               "customer_ltv": M.refresh_customer_ltv}[mart]
-    return refresh(previous, before, after, changed)
+    """A mart of the later state from sums (customers: the mart) of the earlier one and the changed rows."""
+    before, after, keys = _states(spark, d)
+    ch = D.changes_between(before, after, keys)
+    if mart == "customer_ltv":
+        previous = materialize(M.customer_ltv(before["orders"], before["customers"]), mart)
+        return D.refreshed_ltv(previous, after, D.touched_customers(ch))
+    was, now = D.touched_states(after, ch)
+    if mart == "daily_sales":
+        stored = materialize(D.add_up(D.daily_rows(before), D.DAILY), "daily_sums")
+        return D.daily_sales(D.apply_delta(stored, D.difference(D.daily_rows(now), D.daily_rows(was), D.DAILY), D.DAILY))
+    rows = materialize(D.product_rows(before), "product_orders")
+    pairs = materialize(D.pairs_of(rows), "pairs")
+    totals, _ = D.product_deltas(D.product_rows(now), D.product_rows(was), pairs)
+    return D.product_performance(D.apply_delta(D.with_customers(rows, pairs), totals, D.PRODUCTS), after["products"])
 
 
 for _m in MART_BUILDERS:

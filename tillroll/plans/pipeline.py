@@ -23,8 +23,9 @@ from ..session import delete_path, path_exists, stage_scope
 from ..sinks.writers import ordered_for_write, write_layer
 from ..sources.extract import TS_COLUMNS, run_extract
 from ..sources.raw import read_folder, read_raw_all
-from ..streaming.incremental import changed_keys, committed_version, maintain_latest, read_version
+from ..streaming.incremental import committed_version, maintain_latest, read_version
 from . import processed as P
+from . import sums
 from .processed import read_processed
 from .publishing import MARTS as MART_NAMES
 from .publishing import built_from, mart_path, next_version, publish_all, published_version, read_marts, unpublished  # noqa: F401
@@ -61,30 +62,22 @@ def build_marts(p: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "customer_ltv": M.customer_ltv(p["orders"], p["customers"])}
 
 
-def refresh_marts(spark: SparkSession, base: str,
-                  after: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]] | None:
-    """The three marts from those of the last run and the keys changed since, and of each the
-    partitions of its check state that can differ.
+def refresh_marts(spark: SparkSession, base: str, after: dict[str, DataFrame],
+                  version: int) -> tuple[dict[str, DataFrame], dict[str, DataFrame]] | None:
+    """The three marts from the sums of the last run's and the rows changed since, and of each the
+    partitions of its check state that can differ.  The new sums are written as of ``version``.
 
-    None if there are no marts of the last run, or if they are not of the versions
+    None if there are no sums of the last run, or if they are not of the versions
     just before the newest ones: then only a full build is right.
     """
-    known = built_from(spark, base)
-    newest = latest_versions(spark, base)
-    before, changed = {}, {}
-    for t, v in newest.items():
-        old = known.get(t)
-        if old is None or v is None or not old <= v <= old + 1:
-            return None
-        folder, schema = f"{base}/latest/{t}", schemas.SOURCES[t]
-        before[t] = read_version(spark, folder, schema, old)
-        changed[t] = changed_keys(spark, folder, schema, schemas.SOURCE_KEYS[t], v if v > old else None)
-    previous = {m: df.drop("_processed_at") for m, df in read_marts(spark, base).items()}
-    was = C.clean_all(before, deduped=True)
-    built = {"daily_sales": M.refresh_daily_sales(previous["daily_sales"], was, after, changed),
-             "product_performance": M.refresh_product_performance(previous["product_performance"], was, after, changed),
-             "customer_ltv": M.refresh_customer_ltv(previous["customer_ltv"], was, after, changed)}
-    return built, changed_parts(was, after, changed)
+    last = published_version(spark, base)
+    if not sums.has_sums(spark, base, last):
+        return None
+    ch = sums.changes(spark, base, built_from(spark, base), latest_versions(spark, base))
+    if ch is None:
+        return None
+    ltv = read_marts(spark, base)["customer_ltv"].drop("_processed_at")
+    return sums.write_changed(spark, base, last, version, after, ch, ltv)
 
 
 def changed_parts(before: dict[str, DataFrame], after: dict[str, DataFrame], changed: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -109,14 +102,16 @@ def process(spark: SparkSession, raw: dict[str, DataFrame], base: str, deduped:
     ``mart_version``: the version that the marts are written as, by default they go to ``<base>/marts``.
     ``incremental``: ``raw`` are the newest versions of the latest tables; only the
     partitions that changed keys touch are rewritten (their rows are what the manifest
-    counts), and marts are refreshed from the last run's where that is possible.
+    counts), and a version of the marts is made from the last run's sums where that is possible.
     """
     with stage_scope(spark):
         written = P.refresh(spark, base) if incremental else P.write_whole(spark, C.clean_all(raw, deduped=deduped), base)
         rows = [("processed", t, w.rows) for t, w in written.items()]
         p = read_processed(spark, base)
-        refreshed = refresh_marts(spark, base, p) if incremental else None
-        rows += _write_marts(refreshed[0] if refreshed else build_marts(p), base, mart_version)
+        summed = incremental and mart_version is not None
+        refreshed = refresh_marts(spark, base, p, mart_version) if summed else None
+        built = refreshed[0] if refreshed else sums.write_whole(spark, base, mart_version, p) if summed else build_marts(p)
+        rows += _write_marts(built, base, mart_version)
         if mart_version is not None:
             parts = check_path(base, "changed_parts", mart_version)
             delete_path(spark, parts)

@@ -22,7 +22,7 @@ from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import conform, require_location, write_layer, write_observed
 from ..sources.extract import read_ledger
 from ..sources.raw import read_batches, read_folder
-from . import processed
+from . import processed, sums
 
 log = logging.getLogger("tillroll")
 
@@ -175,7 +175,8 @@ def register_views(spark: SparkSession, base: str, database: str) -> None:
 
 def drop_superseded(spark: SparkSession, base: str, version: int) -> None:
     """Versions before the last one go; that one stays for readers that have begun."""
-    for m in (*MARTS, "checks", "changed_parts"):
+    sums.drop_unused(spark, base, version)
+    for m in (*MARTS, "checks", "changed_parts", *sums.OWN):
         for place in (f"{base}/warehouse/{m}", f"{base}/published/marts/{m}"):
             delete_glob(spark, f"{place}/version=*", lambda name: int(name.split("=")[1]) < version - 1)
 

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from ..operators.dedupe import dedupe_latest, merge_latest
-from ..session import delete_path
+from ..operators.dedupe import dedupe_latest, merge_latest, of_keys
+from ..session import delete_glob, delete_path, path_exists
 from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import write_observed
 from ..sources.raw import read_folder
@@ -117,6 +117,20 @@ def changed_keys(spark: SparkSession, latest_dir: str, schema: StructType, key:
     return spark.read.schema(kind).parquet(f"{latest_dir}/changed/version={v}")
 
 
+def changed_rows(spark: SparkSession, latest_dir: str, schema: StructType, v: int | None) -> tuple[DataFrame, DataFrame] | None:
+    """The old and the new rows of the keys folded into version ``v`` (none for None).
+
+    None if the version has none stored; only the newest version's are kept.
+    """
+    if v is None:
+        return spark.createDataFrame([], schema), spark.createDataFrame([], schema)
+    where = f"{latest_dir}/changes/version={v}"
+    if not path_exists(spark, where):
+        return None
+    rows = spark.read.schema(StructType([*schema.fields, StructField("is_new", BooleanType())])).parquet(where)
+    return tuple(rows.filter(F.col("is_new") == F.lit(new)).drop("is_new") for new in (False, True))
+
+
 def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, order_col: str) -> None:
     """Merge the waiting batches into the next version, commit it, drop the batches.
 
@@ -140,11 +154,18 @@ def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, or
     previous = None if newest is None else _read_buckets(spark, latest_dir, schema, {b: placed[b] for b in hit if b in placed})
     merged = merge_latest(previous, batches, key, order_col).withColumn("bucket", bucket_of(key, buckets))
     write_observed(merged.repartition("bucket"), f"{latest_dir}/rows/v={v}", "overwrite", ["bucket"])
+    keys = changed_keys(spark, latest_dir, schema, key, v)
+    changes = _read_buckets(spark, latest_dir, schema, dict.fromkeys(hit, v))
+    changes = of_keys(changes, keys).withColumn("is_new", F.lit(True))
+    if previous is not None:
+        changes = changes.unionByName(of_keys(previous, keys).withColumn("is_new", F.lit(False)))
+    write_observed(changes, f"{latest_dir}/changes/version={v}", "overwrite")
     append_log(spark, log, [(v, buckets, hit)], COMMITTED)
     # What neither this version nor the one before reads can go.
     for b, old in (_placements(spark, latest_dir, newest - 1) if newest else {}).items():
         if placed.get(b) != old:
             delete_path(spark, f"{latest_dir}/rows/v={old}/bucket={b}")
+    delete_glob(spark, f"{latest_dir}/changes/version=*", lambda name: int(name.split("=")[1]) < v)
     delete_path(spark, f"{latest_dir}/waiting")
 
 
@@ -161,7 +182,8 @@ def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key:
     wrote them, and the version before stays readable.  Merging is associative and
     idempotent, so a replayed batch (or a lost stream checkpoint that re-reads old
     files) leaves the same table.  Daily cost is the new rows and their buckets, not
-    the whole raw history.  Returns the newest committed version.
+    the whole raw history.  The old and the new rows of the changed keys are stored beside
+    the version (``changed_rows``).  Returns the newest committed version.
     """
     _fold(spark, latest_dir, schema, key, order_col)  # batches of a run that broke off
 
