@@ -105,3 +105,15 @@ def test_empty_table_and_empty_texts(spark):
     assert pack(documents(spark, []), PATH).count() == 0
     got = pack(documents(spark, [(1, None), (2, "")]), PATH, with_ids=True).collect()
     assert sorted((r.doc_id, r.length, r.doc_tokens) for r in got) == [(1, 1, 1), (2, 1, 1)]
+
+
+def test_a_partition_of_empty_texts_packs_in_rounds(spark):
+    docs = spark.range(30_000).coalesce(1).selectExpr("id AS doc_id", "if(id % 2 = 0, '', NULL) AS text")
+    got = pack(docs, PATH, round_pieces=3000).collect()
+    assert sorted(r.doc_id for r in got) == list(range(30_000)) and {(r.start, r.length, r.doc_tokens) for r in got} == {(0, 1, 1)}
+    windows = {}
+    for r in got:
+        windows.setdefault(r.sequence_id, set()).add(r.offset)
+    assert all(w == set(range(len(w))) for w in windows.values())
+    assert sum(len(w) & (len(w) - 1) != 0 for w in windows.values()) <= 1
+    assert len({r.step_group for r in got}) >= 8  # a group at least per round

@@ -9,7 +9,7 @@ runs out of pieces.  Full windows are dealt to step groups, largest first, each
 to the group with the fewest tokens, so groups hold equal numbers of tokens.
 
 Every input partition packs its own rows in one pass with bounded memory (at
-most ``ROUND_TOKENS`` waiting ids and ``BATCH_ROWS`` documents); nothing is shuffled.  The
+most ``ROUND_TOKENS`` waiting ids in ``ROUND_PIECES`` pieces, and ``BATCH_ROWS`` documents); nothing is shuffled.  The
 pieces left open at the end of a partition, fewer than one longest window each,
 are written and packed again, ``MERGE`` partitions to a task, and only there the
 last window of a task is padded.
@@ -45,6 +45,7 @@ from tillroll.session import materialize
 
 SIZES = (2048, 1024, 512, 256)
 ROUND_TOKENS = 2_000_000
+ROUND_PIECES = 100_000
 GROUP_TOKENS = 64 * 2048
 MERGE = 64
 BATCH_ROWS = 256
@@ -217,9 +218,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, sizes: tuple[int, ...] = SIZES,
-         group_tokens: int = GROUP_TOKENS, round_tokens: int = ROUND_TOKENS, with_ids: bool = False) -> DataFrame:
+         group_tokens: int = GROUP_TOKENS, round_tokens: int = ROUND_TOKENS, with_ids: bool = False,
+         round_pieces: int = ROUND_PIECES) -> DataFrame:
     """One row per piece: where it lies in its document and in its window.
 
+    Windows are filled when ``round_tokens`` ids or ``round_pieces`` pieces wait; fewer pieces than
+    the longest window has ids are then left, so very short texts take no more memory than others.
+
     ``ids`` holds the piece's ids (little-endian unsigned 32-bit) if ``with_ids``.
     """
 
@@ -231,7 +236,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, sizes: tuple[int, ...
                 doc_ids, texts = (c.to_pylist() for c in batch.slice(at, BATCH_ROWS).columns)
                 for doc_id, ids in zip(doc_ids, tok.ids([t or "" for t in texts]), strict=True):
                     packer.add(doc_id, ids)
-                if packer.waiting >= round_tokens:
+                if packer.waiting >= round_tokens or len(packer.pool) >= round_pieces:
                     yield writer.batch(packer.fill())
         yield writer.batch(packer.fill())
         yield _batch([(d, start, n, 0, total, None, None, None, None, ids.tobytes())
