@@ -9,14 +9,14 @@ runs out of pieces.  Full windows are dealt to step groups, largest first, each
 to the group with the fewest tokens, so groups hold equal numbers of tokens.
 
 Every input partition packs its own rows in one pass with bounded memory (at
-most ``ROUND_TOKENS`` waiting ids in ``ROUND_PIECES`` pieces, and ``BATCH_ROWS`` documents); nothing is shuffled.  The
+most ``ROUND_TOKENS`` waiting ids in ``ROUND_PIECES`` pieces, and ``BATCH_BYTES`` of texts beside one document); nothing is shuffled.  The
 pieces left open at the end of a partition, fewer than one longest window each,
 are written and packed again, ``MERGE`` partitions to a task, and only there the
 last window of a task is padded.
 
 Tokenising: ids of a text are the ids of its parts between blanks, since the
 tokenizer drops white space and never merges across it.  Each worker keeps a
-bounded table of the parts it has met.
+bounded table of the parts it has met; parts over ``LONG_PART`` characters are not kept.
 
 Defined cases: a null or empty text is just the end id; repeated rows and null
 ids are documents of their own; an empty table gives an empty result; extra
@@ -33,14 +33,16 @@ import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import ChunkTable, per_worker, pick
+from tillroll.llm.common import per_worker, pick
 from tillroll.session import materialize
 
 SIZES = (2048, 1024, 512, 256)
@@ -48,8 +50,9 @@ ROUND_TOKENS = 2_000_000
 ROUND_PIECES = 100_000
 GROUP_TOKENS = 64 * 2048
 MERGE = 64
-BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 TABLE_ROWS = 400_000
+LONG_PART = 200
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "window int, step_group long, ids binary")
@@ -69,13 +72,18 @@ LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 
 
 class PartTokenizer:
-    """Ids of a text by a whitespace-dropping tokenizer, each distinct part encoded once.
+    """Ids of texts by a whitespace-dropping tokenizer.
+
+    Texts are cut at ASCII white space, and distinct parts found, in Arrow.  Each is looked up
+    once a batch, in a table that keeps those met lately in two generations: once ``TABLE_ROWS``
+    are held they become the old one, from which those still in use are taken over.  Ids
+    are put back to their places in numpy.
 
     Most parts are Latin letters, then perhaps ASCII punctuation other than
     apostrophes.  Between the two the tokenizer's splitter always cuts, and all its
-    normalizer does to such letters is to lower-case them; so these words are parts
-    of their own and go straight to the library's merges, past the costly steps
-    before them.  All other parts take the whole tokenizer.
+    normalizer does to such letters is to lower-case them; so these words go straight
+    to the library's merges, past the costly steps before them, and the punctuation
+    after them is looked up by itself.  All other parts take the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -86,10 +94,8 @@ class PartTokenizer:
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         norm, pre, suffix = conf["normalizer"] or {}, (conf["pre_tokenizer"] or {}).get("pretokenizers", [{}]), conf["model"].get("end_of_word_suffix")
-        split = r"[^ \t\r\n]+"
         self.word = None
         if norm.get("normalizers") == NORMALIZERS and pre[0] == SPLITTER and [p["type"] for p in pre[1:]] == ["ByteLevel"] and suffix:
-            split = rf"[{LETTERS}]++(?=[{MARKS}]*+(?:[ \t\r\n]|\Z))|" + split
             self.word = re.compile(f"[{LETTERS}]+").fullmatch
             self.merges = Tokenizer.from_str(json.dumps(
                 conf | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
@@ -100,15 +106,29 @@ class PartTokenizer:
             vocab = self.tok.get_vocab()
             self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.table = ChunkTable(re.compile(split).findall, self._encode, TABLE_ROWS)
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        words = [p for p in parts if self.word(p)] if self.word else []
-        out = dict(zip(words, self._words(words), strict=True))
-        rest = [p for p in parts if p not in out]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _lookup(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts."""
+        found = list(map(self.young.get, parts))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        for i in gaps:
+            found[i] = self.old.get(parts[i])
+        new = [parts[i] for i in gaps if found[i] is None]
+        words = [p for p in new if self.word(p)] if self.word else []
+        ids = dict(zip(words, self._words(words), strict=True))
+        rest = [p for p in new if p not in ids]
         for part, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            out[part] = np.array(e.ids, "<u4").tobytes()
-        return [out[p] for p in parts]
+            ids[part] = np.array(e.ids, "<u4").tobytes()
+        for i in gaps:
+            if found[i] is None:
+                found[i] = ids[parts[i]]
+            if len(parts[i]) <= LONG_PART:
+                self.young[parts[i]] = found[i]
+        if len(self.young) > TABLE_ROWS:
+            self.old, self.young = self.young, {}
+        return found
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of plain words, many to a call: each word's last id ends a word, and no other does."""
@@ -119,8 +139,35 @@ class PartTokenizer:
             stops, raw = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), ids.tobytes()
             yield from map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return self.table.ids(texts, np.array([self.end_id], "<u4").tobytes())
+    def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """Ids of each text as 32-bit integers, the end id after them."""
+        rows = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = rows.flatten().dictionary_encode()
+        parts, marks = coded.dictionary, pa.array([], pa.large_string())
+        if self.word:
+            cut = pc.extract_regex(parts, rf"^(?P<word>[{LETTERS}]+)(?P<marks>[{MARKS}]*)$")
+            marks = pc.fill_null(pc.struct_field(cut, "marks"), "")
+            parts = pc.coalesce(pc.struct_field(cut, "word"), parts)
+        both = pa.concat_arrays([parts, marks]).dictionary_encode()
+        found = self._lookup(both.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, end = np.frombuffer(b"".join(found), "<u4"), _ends(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        if self.word:  # a part is a word and its marks
+            ids, end = _take(ids, end, both.indices.to_numpy().reshape(2, -1).T.ravel())
+            end = end[::2]
+        ids, end = _take(ids, end, coded.indices.to_numpy())
+        cuts = end[rows.offsets.to_numpy() - rows.offsets[0].as_py()].tolist()
+        return [np.append(ids[a:b], np.uint32(self.end_id)) for a, b in pairwise(cuts)]
+
+
+def _ends(size: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(size)])
+
+
+def _take(ids: np.ndarray, end: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids, one behind the other and list i from ``end[i]`` on, taken by number; their ends."""
+    size = np.diff(end)[which]
+    out = _ends(size)
+    return ids[np.repeat(end[which] - out[:-1], size) + np.arange(out[-1])], out
 
 
 class Packer:
@@ -232,12 +279,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, sizes: tuple[int, ...
         tok = per_worker(("parts", tokenizer, end_id), lambda: PartTokenizer(tokenizer, end_id))
         packer, writer = Packer(sizes), Writer(0, group_tokens, with_ids)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                doc_ids, texts = (c.to_pylist() for c in batch.slice(at, BATCH_ROWS).columns)
-                for doc_id, ids in zip(doc_ids, tok.ids([t or "" for t in texts]), strict=True):
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
+            part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // BATCH_BYTES
+            for at, to in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]):
+                for doc_id, ids in zip(doc_ids[at:to], tok.ids(texts[at:to]), strict=True):
                     packer.add(doc_id, ids)
-                if packer.waiting >= round_tokens or len(packer.pool) >= round_pieces:
-                    yield writer.batch(packer.fill())
+                    if packer.waiting >= round_tokens or len(packer.pool) >= round_pieces:
+                        yield writer.batch(packer.fill())
         yield writer.batch(packer.fill())
         yield _batch([(d, start, n, 0, total, None, None, None, None, ids.tobytes())
                       for n, _, d, start, ids, total in packer.pool])
