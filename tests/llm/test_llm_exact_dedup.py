@@ -59,3 +59,12 @@ def test_stage_keeps_one_row_of_each_text_with_all_columns(spark):
     assert out[0].__fields__ == ["doc_id", "text", "source"]
     assert len(out) == len({t or "" for _, t in ODD})
     assert {r.doc_id for r in out if r.text == "a b c d"} == {2}
+
+
+def test_of_repeated_rows_the_smallest_stays(spark):
+    rows = [(1, "a", "fr", {"k": 2}), (1, "a", "en", {"k": 1}), (1, "a", "en", {"k": 0}), (2, "", None, None), (2, None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, more map<string,int>")
+    want = [(1, "a", "en", {"k": 0}), (2, None, "x", None)]
+    for parts in (1, 5):
+        for order in (docs, docs.orderBy("lang")):
+            assert sorted(map(tuple, keep_rows(order.repartition(parts), kept_keys(docs)).collect())) == want

@@ -137,3 +137,11 @@ def test_stage_rejects_toxic_documents_and_keeps_columns(spark):
     assert out.columns == docs.columns
     left = [r[0] for r in out.select("doc_id").collect()]
     assert sum(i % 6 == 0 for i in left) <= 3 and sum(i % 6 != 0 for i in left) >= 748
+
+
+def test_spans_are_offsets_of_the_text_where_lower_case_is_longer():
+    text = "İİ bad İx worse"
+    places = toxicity.words(text.lower())
+    hit = np.array([1.0 if w in ("bad", "x", "worse") else 0.0 for w in places])
+    assert [text[s["start"]:s["end"]] for s in toxicity._spans(text, hit)] == ["bad", "x", "worse"]
+    assert toxicity._spans(text, np.zeros(len(places))) == []

@@ -35,16 +35,21 @@ def row_key(doc_id: Column, text: Column) -> Column:
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose ``row_key`` is in ``keys`` (column ``key``).
 
-    Of repeated rows (same id and same text) one stays.  The join leaves rows
-    with equal keys side by side, so dropping repeats shuffles nothing more.
+    Of repeated rows (same id and same text) the one whose columns are smallest, nulls
+    first, stays; maps and variants compare as JSON.  The join leaves rows with equal keys
+    side by side, so dropping repeats shuffles nothing more.
     """
     names = docs.columns
     plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
     doc_id, text = (F.col(f"_{names.index(n)}") for n in ("doc_id", "text"))
+    order = [text.isNotNull()]  # within a key, texts differ only as null and empty
+    for field in plain.drop("_" + str(names.index("text"))).schema:
+        unordered = any(t in field.dataType.simpleString() for t in ("map<", "variant"))
+        order.append(F.to_json(F.struct(field.name)) if unordered else F.col(field.name))
     kept = (plain.withColumn("_key", row_key(doc_id, text))
             .join(keys.select(F.col("key").alias("_key")).distinct(), "_key")
-            .dropDuplicates(["_key"]).drop("_key"))
-    return kept.toDF(*names)
+            .groupBy("_key").agg(F.min_by(F.struct(*plain.columns), F.struct(*order)).alias("_row")))
+    return kept.select("_row.*").toDF(*names)
 
 
 class ChunkTable:

@@ -309,12 +309,14 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", into: str =
 
 
 def _spans(text: str, p: np.ndarray) -> list[dict]:
-    """Offsets of tagged words; lower-casing may lengthen a text, so words are matched by number."""
+    """Offsets of tagged words in the text itself; a letter whose lower case is longer counts for all of it."""
     if not (p >= 0.5).any():
         return []
-    at = [m.span() for m in re.finditer(r"\w+", text)]
-    if len(at) != len(p):
-        at = [m.span() for m in re.finditer(r"\w+", text.lower())]
+    low = text.lower()
+    at = [m.span() for m in re.finditer(r"\w+", low)]
+    if len(low) != len(text):
+        source = [i for i, c in enumerate(text) for _ in c.lower()]
+        at = [(source[a], source[b - 1] + 1) for a, b in at]
     return [{"start": a, "end": b} for (a, b), q in zip(at, p, strict=True) if q >= 0.5]
 
 
