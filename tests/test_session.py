@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tillroll.session import REQUIRED_CONF, apply_required_conf, materialize, scratch_path, shared_dir
+from tillroll.session import REQUIRED_CONF, SHUFFLE_PARTS, apply_required_conf, materialize, scratch_path, shared_dir
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -29,6 +29,25 @@ def test_required_settings_are_applied(spark):
         assert spark.conf.get(key) == value
 
 
+def test_tasks_are_bounded_and_smaller_settings_stay(spark):
+    read, joined = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    was = {k: spark.conf.get(k, None) for k in (read, joined, parts)}
+    try:
+        spark.conf.set(read, "128MB")
+        spark.conf.set(joined, "4m")
+        spark.conf.set(parts, "8")
+        apply_required_conf(spark)
+        assert spark.conf.get(read) == str(16 << 20) and spark.conf.get(joined) == "4m"
+        assert spark.conf.get(parts) == str(SHUFFLE_PARTS)
+        spark.conf.set(parts, "5000")
+        apply_required_conf(spark)
+        assert spark.conf.get(parts) == "5000"
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
     import pytest
     from tillroll import session

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,6 +33,20 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings that bound what one task holds, so that it does not grow with the tables: a dedupe
+# sorts, before and after its shuffle, all rows of a task.  Smaller values of a session stay.
+TASK_BYTES = {
+    # What a task reads of files.
+    "spark.sql.files.maxPartitionBytes": 16 << 20,
+    # Up to what size AQE gives neighbouring shuffle partitions to one task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    # From what size on a partition can count as skewed and be split.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 64 << 20,
+}
+#: Into how many partitions AQE cuts a shuffle at least, before it puts small ones together.  Up to so
+#: many (``spark.shuffle.sort.bypassMergeThreshold``) a task writes rows as they come and holds none.
+SHUFFLE_PARTS = 200
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tillroll") -> SparkSession:
@@ -58,6 +73,18 @@ def apply_required_conf(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    for k, most in TASK_BYTES.items():
+        if _bytes(spark.conf.get(k)) > most:
+            spark.conf.set(k, str(most))
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if int(spark.conf.get(parts, None) or spark.conf.get("spark.sql.shuffle.partitions")) < SHUFFLE_PARTS:
+        spark.conf.set(parts, str(SHUFFLE_PARTS))
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark's settings name it (``64m``, ``67108864b``, ``1GB``) in bytes."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
 _LOCAL_DIRS: dict[int, str] = {}
@@ -116,6 +143,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """What the files below a folder come to."""
+    store, target = _hadoop(spark, path)
+    return store.getContentSummary(target).getLength()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever store it is on; nothing happens if it is not there."""
     store, target = _hadoop(spark, path)
