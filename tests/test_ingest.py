@@ -322,3 +322,31 @@ def test_union_by_name_of_an_empty_folder_is_an_empty_frame(spark, tmp_path):
     for name in ("none", "missing"):
         df = read_union_by_name(spark, str(tmp_path / name))
         assert df.columns == [] and df.count() == 0
+
+
+def test_a_fold_shuffles_rows_once_and_keeps_the_newest(spark):
+    from tillroll.operators.dedupe import merge_latest
+    from tillroll.streaming.incremental import bucket_of
+    rows = [(k, s, f"v{s}") for k in (1, 2, 3, None) for s in (1, 3, 2)]
+    df = spark.createDataFrame(rows, "id long, stamp int, v string").withColumn("bucket", bucket_of("id", 4))
+    merged = merge_latest(df.filter("stamp = 1"), df.filter("stamp > 1"), ["bucket", "id"], "stamp", deal_by="bucket")
+    assert sorted((r.id or 0, r.v) for r in merged.collect()) == [(0, "v3"), (1, "v3"), (2, "v3"), (3, "v3")]
+    assert merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning(bucket") == 1
+    assert "hashpartitioning(id" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_first_fold_stores_its_rows_once_in_buckets_by_size(spark, tmp_path, monkeypatch):
+    from tillroll.streaming import incremental as I
+    monkeypatch.setattr(I, "BUCKET_BYTES", 100)
+    c, latest = fixture_sources(spark, SF_SMALL, ["customers"])["customers"], f"{tmp_path}/latest"
+    K.land_raw(c, f"{tmp_path}/raw", "customers", "2024-02-01")
+    args = (spark, f"{tmp_path}/raw/customers", schemas.CUSTOMERS, "customer_id", "updated_at", latest, f"{tmp_path}/ckpt")
+    assert I.maintain_latest(*args) == 0
+    assert I.committed_buckets(spark, latest) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert not (tmp_path / "latest/changes").exists()
+    old, new = I.changed_rows(spark, latest, schemas.CUSTOMERS, 0)
+    assert old.isEmpty() and sorted(new.collect(), key=str) == sorted(I.read_latest(spark, latest, schemas.CUSTOMERS).collect(), key=str)
+    K.land_raw(c.filter("customer_id < 5").withColumn("city", F.lit("x")), f"{tmp_path}/raw", "customers", "2024-02-02")
+    assert I.maintain_latest(*args) == 1
+    assert I.changed_rows(spark, latest, schemas.CUSTOMERS, 0) is None
+    assert all(not df.isEmpty() for df in I.changed_rows(spark, latest, schemas.CUSTOMERS, 1))

@@ -35,7 +35,7 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
 
 
 def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[str] | str,
-                 order_by: Sequence[str] | str = ()) -> DataFrame:
+                 order_by: Sequence[str] | str = (), deal_by: str | None = None) -> DataFrame:
     """Newest version per key of ``previous`` (already one row per key) plus
     ``batch``.
 
@@ -44,8 +44,12 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     whole history -- late rows with older timestamps included -- while each
     run reads only the latest table and the new rows.  ``previous`` must be
     kept before any filter (a filtered-out newest version must still win).
+    ``deal_by``: one of ``keys``; rows are shuffled by it alone and come out so, for
+    batches that hold few rows of a key (they are not combined before the shuffle).
     """
     both = batch if previous is None else previous.unionByName(batch.select(*previous.columns))
+    if deal_by is not None:
+        both = both.repartition(deal_by)
     return dedupe_latest(both, keys, order_by)
 
 

@@ -95,7 +95,8 @@ def _all(spark: SparkSession, base: str, t: str, v: int | None) -> Written:
     path = f"{base}/processed/{t}"
     if t == "orders":
         return Written(write_orders_partitioned(cleaned, path))
-    dealt = cleaned.withColumn(BUCKET, bucket_of(schemas.SOURCE_KEYS[t], committed_buckets(spark, latest))).repartition(BUCKET)
+    # A file of the latest table holds one bucket, so the rows are together as they are read.
+    dealt = cleaned.withColumn(BUCKET, bucket_of(schemas.SOURCE_KEYS[t], committed_buckets(spark, latest)))
     return Written(write_layer(dealt, path, [BUCKET]))
 
 
@@ -103,7 +104,7 @@ def _buckets(spark: SparkSession, base: str, t: str, v: int) -> Written:
     """The buckets that version ``v`` of the latest table has rewritten, cleaned anew."""
     rows, hit = read_rewritten(spark, f"{base}/latest/{t}", schemas.SOURCES[t], v)
     cleaned = CLEAN[t](rows, deduped=True).withColumnRenamed("bucket", BUCKET)
-    return _replace(spark, cleaned.repartition(BUCKET), f"{base}/processed/{t}", [BUCKET], [f"{BUCKET}={b}" for b in hit])
+    return _replace(spark, cleaned, f"{base}/processed/{t}", [BUCKET], [f"{BUCKET}={b}" for b in hit])
 
 
 def _spec(year: int | None, month: int | None) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from ..operators.dedupe import dedupe_latest, merge_latest, of_keys
-from ..session import delete_glob, delete_path, path_exists
+from ..session import delete_glob, delete_path, folder_bytes, path_exists
 from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import write_observed
 from ..sources.raw import read_folder
@@ -55,6 +55,8 @@ def read_sink(spark: SparkSession, sink_dir: str, schema: StructType) -> DataFra
 
 #: A fold adds one row: the version, into how many buckets keys are dealt, and which of them it has rewritten.
 COMMITTED = "version long, buckets int, rewritten array<int>"
+#: A bucket is one task's: at the first fold there are as many as hold about this much of the waiting files each.
+BUCKET_BYTES = 8 << 20
 
 
 def committed_version(spark: SparkSession, latest_dir: str) -> int | None:
@@ -125,6 +127,8 @@ def changed_rows(spark: SparkSession, latest_dir: str, schema: StructType, v: in
     if v is None:
         return spark.createDataFrame([], schema), spark.createDataFrame([], schema)
     where = f"{latest_dir}/changes/version={v}"
+    if v == 0 and committed_version(spark, latest_dir) == 0:  # all its rows are new
+        return spark.createDataFrame([], schema), read_version(spark, latest_dir, schema, v)
     if not path_exists(spark, where):
         return None
     rows = spark.read.schema(StructType([*schema.fields, StructField("is_new", BooleanType())])).parquet(where)
@@ -146,20 +150,22 @@ def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, or
     v = 0 if newest is None else newest + 1
     placed = {} if newest is None else _placements(spark, latest_dir, newest)
     first = newest_rows(spark, log, COMMITTED)
-    buckets = first[0].buckets if first else max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    buckets = first[0].buckets if first else max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 2, folder_bytes(spark, f"{latest_dir}/waiting") // BUCKET_BYTES)
     changed = batches.select(key).distinct()
     write_observed(changed, f"{latest_dir}/changed/version={v}", "overwrite")
     hit = sorted(r[0] for r in changed_keys(spark, latest_dir, schema, key, v)
                  .select(bucket_of(key, buckets).alias("b")).distinct().collect())  # at most ``buckets`` rows
     previous = None if newest is None else _read_buckets(spark, latest_dir, schema, {b: placed[b] for b in hit if b in placed})
-    merged = merge_latest(previous, batches, key, order_col).withColumn("bucket", bucket_of(key, buckets))
-    write_observed(merged.repartition("bucket"), f"{latest_dir}/rows/v={v}", "overwrite", ["bucket"])
-    keys = changed_keys(spark, latest_dir, schema, key, v)
-    changes = _read_buckets(spark, latest_dir, schema, dict.fromkeys(hit, v))
-    changes = of_keys(changes, keys).withColumn("is_new", F.lit(True))
+    # A key has one row in each batch by now, so rows cross the network once, by bucket, and are merged there.
+    by_bucket = [None if df is None else df.withColumn("bucket", bucket_of(key, buckets)) for df in (previous, batches)]
+    merged = merge_latest(*by_bucket, ["bucket", key], order_col, deal_by="bucket")
+    write_observed(merged, f"{latest_dir}/rows/v={v}", "overwrite", ["bucket"])
     if previous is not None:
+        keys = changed_keys(spark, latest_dir, schema, key, v)
+        changes = of_keys(_read_buckets(spark, latest_dir, schema, dict.fromkeys(hit, v)), keys).withColumn("is_new", F.lit(True))
         changes = changes.unionByName(of_keys(previous, keys).withColumn("is_new", F.lit(False)))
-    write_observed(changes, f"{latest_dir}/changes/version={v}", "overwrite")
+        write_observed(changes, f"{latest_dir}/changes/version={v}", "overwrite")
     append_log(spark, log, [(v, buckets, hit)], COMMITTED)
     # What neither this version nor the one before reads can go.
     for b, old in (_placements(spark, latest_dir, newest - 1) if newest else {}).items():
@@ -177,7 +183,7 @@ def maintain_latest(spark: SparkSession, raw_dir: str, schema: StructType, key:
     Each micro-batch of new raw files is deduplicated and set aside; at the end of
     the run all of them are merged (``merge_latest``) into the newest version of
     the table at once.  The table is dealt into buckets by the hash of its key (their
-    number is that of the shuffle partitions at the first fold), and a version rewrites
+    number is that of the shuffle partitions at the first fold, or more if its files are large), and a version rewrites
     only buckets that hold a changed key; the others are read from the version that
     wrote them, and the version before stays readable.  Merging is associative and
     idempotent, so a replayed batch (or a lost stream checkpoint that re-reads old
