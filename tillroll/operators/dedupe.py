@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -53,6 +53,27 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     return dedupe_latest(both, keys, order_by)
 
 
+def latest_in_two_states(df: DataFrame, key: str, stamp: str, split: Column) -> DataFrame:
+    """What ``dedupe_latest`` keeps of the rows stamped up to ``split`` and what it keeps of all rows, from
+    one shuffle of the rows.
+
+    One row per key and version kept, with ``in_before`` and ``in_after``: which of the two states it
+    belongs to (a key without later rows has one row, in both), and ``changed``: whether the key has a later row.
+    """
+    early, later = F.coalesce(F.col(stamp) <= split, F.lit(False)), F.coalesce(F.col(stamp) > split, F.lit(False))
+    rest = [c for c in df.columns if c not in (key, stamp)]
+    marked = df.withColumns({"__row": F.struct(stamp, *rest), "__early": early, "__later": later})
+    best = marked.groupBy(key).agg(F.max(F.when(F.col("__early"), F.col("__row"))).alias("__was"),
+                                   F.max(F.when(~F.col("__early"), F.col("__row"))).alias("__other"),
+                                   F.max("__later").alias("changed"))
+    stays = F.col("__other").isNull() | F.coalesce(F.col("__was") > F.col("__other"), F.lit(False))
+    versions = F.array(F.struct(F.col("__was").alias("row"), F.lit(True).alias("in_before"), stays.alias("in_after")),
+                       F.struct(F.col("__other").alias("row"), F.lit(False).alias("in_before"), (~stays).alias("in_after")))
+    rows = best.select(key, "changed", F.explode(versions).alias("__v")).filter(
+        F.col("__v.row").isNotNull() & (F.col("__v.in_before") | F.col("__v.in_after")))
+    return rows.select(*[key if c == key else F.col(f"__v.row.{c}") for c in df.columns], "__v.in_before", "__v.in_after", "changed")
+
+
 def of_keys(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows of the keys in ``keys`` (one column); those of no such key with ``left_anti``.  NULL is a key."""
     name = keys.columns[0]

@@ -53,18 +53,28 @@ PAIRS = Sums(["product_id", "customer_id"], ["num_orders"], [])
 
 @dataclass
 class Changes:
-    """The keys changed between two states and their clean rows in each (no row: not there, or cleaned away)."""
+    """The keys changed between two states and their clean rows in each (no row: not there, or cleaned away).
+
+    ``mark``: the column of the new state's frames that says whether a row's key has changed, if they have one.
+    """
 
     keys: dict[str, DataFrame]
     old: dict[str, DataFrame]
     new: dict[str, DataFrame]
+    mark: str | None = None
+
 
+def changes_between(before: dict[str, DataFrame], after: dict[str, DataFrame], keys: dict[str, DataFrame],
+                    mark: str | None = None) -> Changes:
+    """The changes of two whole states that are at hand.
 
-def changes_between(before: dict[str, DataFrame], after: dict[str, DataFrame], keys: dict[str, DataFrame]) -> Changes:
-    """The changes of two whole states that are at hand."""
+    ``mark``: a column of both states that is true in the rows of ``keys``; without one the rows are found by joins.
+    """
     def rows(state):
+        if mark:
+            return {t: state[t].filter(F.col(mark)).drop(mark) for t in keys}
         return {t: materialize(of_keys(state[t], k), f"changes_{t}") for t, k in keys.items()}
-    return Changes(keys, rows(before), rows(after))
+    return Changes(keys, rows(before), rows(after), mark)
 
 
 # ---- sums that can be taken back ----------------------------------------------------------------
@@ -134,14 +144,19 @@ def apply_delta(sums: DataFrame, delta: DataFrame, s: Sums) -> DataFrame:
 
 # ---- contributions of orders ---------------------------------------------------------------------
 def daily_rows(p: dict[str, DataFrame]) -> DataFrame:
-    """Of each order and category one row of the daily sums."""
+    """Of each order and category one row of the daily sums.
+
+    Orders are joined to the narrow lines and the sums, which are wide, made where the lines lie by order, so lines
+    are shuffled by order once; a hot order is split by the join (``skewJoin``) and added up before the next shuffle.
+    """
     lines = p["order_items"].select(ITEM_COLUMNS).join(p["products"].select(PRODUCT_COLUMNS), "product_id")
-    per_order = lines.groupBy("order_id", "category").agg(
-        F.count(F.lit(1)).alias("lines"), _value("quantity").alias("units"), _value("line_total").alias("revenue"),
-        _value(F.col("quantity") * F.col("cost_price")).alias("cost"))
+    lines = lines.select("order_id", "category", "quantity", "line_total", "cost_price")
     dated = not_cancelled(p["orders"].select(ORDER_COLUMNS)).select(
         "order_id", F.to_date("order_date").alias("sale_date"), F.col("discount_pct").alias("order_discount"))
-    return per_order.join(dated, "order_id").select(
+    per_order = lines.join(dated, "order_id").groupBy("order_id", "category", "sale_date", "order_discount").agg(
+        F.count(F.lit(1)).alias("lines"), _value("quantity").alias("units"), _value("line_total").alias("revenue"),
+        _value(F.col("quantity") * F.col("cost_price")).alias("cost"))
+    return per_order.select(
         "sale_date", "category", F.lit(1).cast("long").alias("num_orders"), "units", "revenue", "cost",
         _times(F.col("order_discount"), F.col("lines")).alias("discount"))
 
@@ -191,9 +206,10 @@ def product_deltas(now: DataFrame, was: DataFrame, stored: DataFrame) -> tuple[D
 
 
 # ---- the two states of the touched orders --------------------------------------------------------
-def _replaced(now: DataFrame, keys: DataFrame, old: DataFrame, columns: list[str]) -> DataFrame:
+def _replaced(now: DataFrame, keys: DataFrame, old: DataFrame, columns: list[str], mark: str | None) -> DataFrame:
     """The old state of ``now``: without the changed keys, with their old rows."""
-    return of_keys(now.select(columns), keys, "left_anti").unionByName(old.select(columns))
+    stay = now.filter(~F.col(mark)).select(columns) if mark else of_keys(now.select(columns), keys, "left_anti")
+    return stay.unionByName(old.select(columns))
 
 
 def touched_states(after: dict[str, DataFrame], ch: Changes) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
@@ -206,11 +222,12 @@ def touched_states(after: dict[str, DataFrame], ch: Changes) -> tuple[dict[str,
                  after["order_items"].join(ch.keys["products"], "product_id", "left_semi")):
         ids = ids.unionByName(rows.select("order_id"))
     touched = materialize(ids.filter("order_id IS NOT NULL").distinct(), "touched_orders")
-    items = materialize(after["order_items"].select(ITEM_COLUMNS).join(touched, "order_id", "left_semi"), "touched_items")
-    orders = materialize(after["orders"].select(ORDER_COLUMNS).join(touched, "order_id", "left_semi"), "touched_rows")
-    now = {"order_items": items, "orders": orders, "products": after["products"].select(PRODUCT_COLUMNS)}
     columns = {"order_items": ITEM_COLUMNS, "orders": ORDER_COLUMNS, "products": PRODUCT_COLUMNS}
-    was = {t: _replaced(now[t], ch.keys[t], ch.old[t], c) for t, c in columns.items()}
+    state = {t: after[t].select(*c, *[ch.mark] * bool(ch.mark)) for t, c in columns.items()}
+    items = materialize(state["order_items"].join(touched, "order_id", "left_semi"), "touched_items")
+    orders = materialize(state["orders"].join(touched, "order_id", "left_semi"), "touched_rows")
+    now = {"order_items": items, "orders": orders, "products": state["products"]}
+    was = {t: _replaced(now[t], ch.keys[t], ch.old[t], c, ch.mark) for t, c in columns.items()}
     return was, now
 
 
