@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
                   order_by: Sequence[str] | str = ()) -> DataFrame:
@@ -53,6 +55,18 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     return dedupe_latest(both, keys, order_by)
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df.distinct()`` for stored rows of which few come more than once.
+
+    Rows are hashed, and only those whose hash comes more than once are compared whole: what is shuffled
+    of the others is a hash.  Reads ``df`` three times.
+    """
+    hashed = df.withColumn("__hash", F.xxhash64(*df.columns))
+    more = materialize(hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash"), "repeated_hashes")
+    once, again = (hashed.join(more, "__hash", how).select(*df.columns) for how in ("left_anti", "left_semi"))
+    return once.unionByName(again.distinct())
+
+
 def latest_in_two_states(df: DataFrame, key: str, stamp: str, split: Column) -> DataFrame:
     """What ``dedupe_latest`` keeps of the rows stamped up to ``split`` and what it keeps of all rows, from
     one shuffle of the rows.

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import materialize, stage_scope
 from ..sinks.log import newest_version, read_log
 from ..sinks.writers import conform, land_raw
 from .raw import read_batches, read_folder
@@ -61,22 +62,44 @@ TS_COLUMNS = {
 TABLES = list(TS_COLUMNS)
 
 
-def _stamped(sources: dict[str, DataFrame], table: str, inside: Callable[[Column], Column]) -> DataFrame:
-    """The rows of ``table`` whose stamp is ``inside``; items go by their order's stamp."""
+#: So many keys come to some 10 MB in memory, Spark's own bound for broadcasts.  The size of their files does not
+#: tell, as keys in order compress to less than a byte each.
+BROADCAST_KEYS = 250_000
+
+
+def _of_window(sources: dict[str, DataFrame], inside: Callable[[Column], Column], store: bool) -> DataFrame:
+    """Keys of the orders whose stamp is ``inside``.
+
+    ``store``: written and counted first, so that the join to the items is planned by their number and not by the
+    size of all orders: up to ``BROADCAST_KEYS`` are broadcast and items are not shuffled for them.
+    """
+    orders = sources["orders"].filter(inside(F.col("updated_at"))).select("order_id")
+    if not store:
+        return orders
+    stored, n = materialize(orders, "window_orders", with_rows=True)
+    return F.broadcast(stored) if n <= BROADCAST_KEYS else stored.hint("merge")
+
+
+def _stamped(sources: dict[str, DataFrame], table: str, inside: Callable[[Column], Column], orders: DataFrame | None = None) -> DataFrame:
+    """The rows of ``table`` whose stamp is ``inside``; items go by their order's stamp (``orders``: the keys of those orders)."""
     if table == "order_items":
-        orders = sources["orders"].filter(inside(F.col("updated_at"))).select("order_id")
-        return sources["order_items"].join(orders, "order_id", "left_semi")
+        return sources["order_items"].join(_of_window(sources, inside, False) if orders is None else orders, "order_id", "left_semi")
     return sources[table].filter(inside(F.col(TS_COLUMNS[table])))
 
 
-def extract(sources: dict[str, DataFrame], table: str, watermark, upper=None) -> DataFrame:
+def extract(sources: dict[str, DataFrame], table: str, watermark, upper=None, store: bool = False) -> DataFrame:
     """Rows changed strictly after ``watermark`` and, if given, not after ``upper``.
 
     order_items has no update stamp: an item is extracted when its parent
     order changed (left-semi join; the order key is unique, so semi = inner).
+    ``store``: the changed orders' keys are written before items are read.
     """
     low = ntz(watermark)
-    return _stamped(sources, table, lambda ts: ts > low if upper is None else (ts > low) & (ts <= ntz(upper)))
+
+    def inside(ts: Column) -> Column:
+        return ts > low if upper is None else (ts > low) & (ts <= ntz(upper))
+
+    return _stamped(sources, table, inside, _of_window(sources, inside, True) if store and table == "order_items" else None)
 
 
 def late_rows(sources: dict[str, DataFrame], table: str, watermark, overlap: _dt.timedelta, landed: DataFrame) -> DataFrame:
@@ -84,15 +107,22 @@ def late_rows(sources: dict[str, DataFrame], table: str, watermark, overlap: _dt
 
     Rows that share the watermark's stamp belong to them, also with an overlap of zero.
     A row counts as landed if its key, its stamp and the hash of all its columns are.
+    Of landed items only those of the window's orders are looked at: an equal item has the same order.
     """
     low, high = ntz(watermark - overlap), ntz(watermark)
-    again = conform(_stamped(sources, table, lambda ts: (ts >= low) & (ts <= high)), schemas.SOURCES[table])
+
+    def inside(stamp: Column) -> Column:
+        return (stamp >= low) & (stamp <= high)
+
+    orders = _of_window(sources, inside, True) if table == "order_items" else None
+    again = conform(_stamped(sources, table, inside, orders), schemas.SOURCES[table])
     key, ts = schemas.SOURCE_KEYS[table], TS_COLUMNS[table]
 
     def marked(df: DataFrame) -> DataFrame:
         return df.withColumn("__hash", F.xxhash64(*schemas.SOURCES[table].fieldNames()))
 
-    known = marked(landed if table == "order_items" else landed.filter(F.col(ts) >= low)).select(
+    recent = landed.filter(F.col(ts) >= low) if orders is None else landed.join(orders, "order_id", "left_semi")
+    known = marked(recent).select(
         F.col(key).alias("__key"), F.col(ts).alias("__ts"), F.col("__hash").alias("__known")).distinct()
     new = marked(again)
     same = new[key].eqNullSafe(known["__key"]) & new[ts].eqNullSafe(known["__ts"]) & (new["__hash"] == known["__known"])
@@ -255,7 +285,7 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
             raise high
         # Land with the declared schema so raw types cannot drift between
         # batches (an unsafe cast fails here instead of at read time).
-        batch = conform(extract(sources, table, low, low if high is None else high), schema)
+        batch = conform(extract(sources, table, low, low if high is None else high, store=True), schema)
         if overlap is not None and low > EPOCH:
             landed = _landed(spark, raw_base, state_path, table, low - overlap)
             if landed is not None:
@@ -264,7 +294,8 @@ def run_extract(spark: SparkSession, sources: dict[str, DataFrame], raw_base: st
         by_item = table == "order_items" and ts_policy == "reference"
         return info | {"mark": max(low, info["max"]) if by_item and info["max"] else high or low}
 
-    results = side_by_side({t: lambda t=t: land(t) for t in tables})
+    with stage_scope(spark):
+        results = side_by_side({t: lambda t=t: land(t) for t in tables})
     manifest, state = [], []
     for table, mark in marks.items():
         result = results.get(table)
