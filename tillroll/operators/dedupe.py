@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+#: Columns of ``merge_latest`` that tell what a batch has changed.
+CHANGED, OLD = "__changed", "__old"
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
                   order_by: Sequence[str] | str = ()) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -37,7 +41,7 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] | str,
 
 
 def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[str] | str,
-                 order_by: Sequence[str] | str = (), deal_by: str | None = None) -> DataFrame:
+                 order_by: Sequence[str] | str = (), deal_by: str | None = None, marked: bool = False) -> DataFrame:
     """Newest version per key of ``previous`` (already one row per key) plus
     ``batch``.
 
@@ -48,11 +52,22 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     kept before any filter (a filtered-out newest version must still win).
     ``deal_by``: one of ``keys``; rows are shuffled by it alone and come out so, for
     batches that hold few rows of a key (they are not combined before the shuffle).
+    ``marked``: with the columns ``CHANGED``, whether the key is in ``batch``, and for those ``OLD``, the other columns of
+    its row in ``previous`` (NULL without one), so that neither has to be looked up by a join.
     """
+    if marked:
+        previous, batch = previous.withColumn(CHANGED, F.lit(False)), batch.withColumn(CHANGED, F.lit(True))
     both = batch if previous is None else previous.unionByName(batch.select(*previous.columns))
     if deal_by is not None:
         both = both.repartition(deal_by)
-    return dedupe_latest(both, keys, order_by)
+    if not marked:
+        return dedupe_latest(both, keys, order_by)
+    keys, order_by = ([x] if isinstance(x, str) else list(x) for x in (keys, order_by))
+    columns = [c for c in both.columns if c != CHANGED]
+    row = F.struct(*order_by, *[c for c in columns if c not in keys and c not in order_by])
+    best = both.groupBy(*keys).agg(F.max(row).alias("__best"), F.max(F.when(~F.col(CHANGED), row)).alias(OLD), F.max(CHANGED).alias(CHANGED))
+    return best.select(*[c if c in keys else F.col(f"__best.`{c}`").alias(c) for c in columns],
+                       CHANGED, F.when(F.col(CHANGED), F.col(OLD)).alias(OLD))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ give those of the new state, so neither the old state nor groups that did not ch
 read, and a product sold every day is not summed anew every day.  Distinct customers of a
 product come from orders per (product, customer), kept as deltas that are only added to.
 
-A sum can be taken back exactly: values are DECIMAL, and NaN and infinities are counted
-beside them, as are the values that are not NULL.
+A sum can be taken back exactly: values are fixed to six decimals, and NaN and infinities are
+counted beside them, as are the values that are not NULL.  A sum is three whole numbers (``_PARTS``),
+as adding LONGs costs a fraction of adding DECIMALs; only the marts make a DECIMAL of them.
 
 Orders stand as a whole: the touched ones are those that changed or that have, in either
 state, a changed item or an item of a changed product.  Their unchanged items and orders
@@ -19,17 +20,22 @@ the changes' old rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact, money_round, pct, rounded
+from ..functions import exact, millionths, money_round, pct, rounded
 from ..session import materialize
 from .dedupe import of_keys
 from .marts import PRODUCT_ATTRS, customer_ltv, not_cancelled
 from .rank import global_rank
 
-_FIELDS = ("sum", "n", "nan", "up", "down")
+#: A sum in millionths, thousands and 10^12, of the lower two 0 to 10^9 - 1 each.  Sums reach 9 * 10^30, and 9 * 10^9 rows
+#: of a key can be added at once; beyond either LONG overflows, which is an error.
+_PARTS = ("low", "mid", "high")
+_FIELDS = (*_PARTS, "n", "nan", "up", "down")
+_BASE = 10 ** 9
 _INF = float("inf")
 
 ITEM_COLUMNS = ["item_id", "order_id", "product_id", "quantity", "unit_price", "discount_pct", "line_total"]
@@ -56,12 +62,14 @@ class Changes:
     """The keys changed between two states and their clean rows in each (no row: not there, or cleaned away).
 
     ``mark``: the column of the new state's frames that says whether a row's key has changed, if they have one.
+    ``same``: the clean rows whose keys have not changed, if they are at hand; then the states are put together from these.
     """
 
     keys: dict[str, DataFrame]
     old: dict[str, DataFrame]
     new: dict[str, DataFrame]
     mark: str | None = None
+    same: dict[str, DataFrame] | None = None
 
 
 def changes_between(before: dict[str, DataFrame], after: dict[str, DataFrame], keys: dict[str, DataFrame],
@@ -78,11 +86,34 @@ def changes_between(before: dict[str, DataFrame], after: dict[str, DataFrame], k
 
 
 # ---- sums that can be taken back ----------------------------------------------------------------
+def _div(x: Column, n: int) -> Column:
+    return F.call_function("div", x, F.lit(n).cast("long"))
+
+
+def _parts(x: Column) -> list[Column]:
+    """The three parts of one value, all of its sign; NULL for NULL and odd values."""
+    whole, right = millionths(x)
+    e = exact(x)
+    rest = e % F.lit(Decimal(10 ** 12))
+    return [F.when(right, whole % F.lit(_BASE)).otherwise((rest % F.lit(Decimal(1000)) * F.lit(Decimal(10 ** 6))).cast("long")),
+            F.when(right, _div(whole, _BASE)).otherwise(F.call_function("div", rest, F.lit(Decimal(1000)))),
+            F.when(right, F.lit(0).cast("long")).otherwise(F.call_function("div", e, F.lit(Decimal(10 ** 12))))]
+
+
+def _carried(low: Column, mid: Column, high: Column) -> list[Column]:
+    """Added-up parts with the lower two brought to 0 to 10^9 - 1, so that equal sums have equal parts."""
+    base = F.lit(_BASE).cast("long")
+    mid = mid + _div(low - F.pmod(low, base), _BASE)
+    high = high + _div(mid - F.pmod(mid, base), _BASE)
+    return [x.alias(name) for x, name in zip((F.pmod(low, base), F.pmod(mid, base), high), _PARTS, strict=True)]
+
+
 def _value(c: Column | str) -> Column:
     """Sum of a column as a struct of numbers that all add up."""
     x = F.col(c) if isinstance(c, str) else c
     d = x.cast("double")
-    return F.struct(F.coalesce(F.sum(exact(x)), F.lit(0).cast("decimal(38,6)")).alias("sum"), F.count(x).alias("n"), F.count_if(F.isnan(d)).alias("nan"),
+    return F.struct(*_carried(*[F.coalesce(F.sum(p), F.lit(0).cast("long")) for p in _parts(x)]),
+                    F.count(x).alias("n"), F.count_if(F.isnan(d)).alias("nan"),
                     F.count_if(d == F.lit(_INF)).alias("up"), F.count_if(d == F.lit(-_INF)).alias("down"))
 
 
@@ -91,11 +122,18 @@ def _times(x: Column, n: Column) -> Column:
     def when(hit: Column) -> Column:
         return F.when(hit, n).otherwise(F.lit(0)).cast("long")
     d = x.cast("double")
-    return F.struct(F.coalesce((exact(x) * n.cast("decimal(18,0)")).cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)")).alias("sum"),
+    return F.struct(*_carried(*[F.coalesce(p * n, F.lit(0).cast("long")) for p in _parts(x)]),
                     when(x.isNotNull()).alias("n"), when(F.isnan(d)).alias("nan"),
                     when(d == F.lit(_INF)).alias("up"), when(d == F.lit(-_INF)).alias("down"))
 
 
+def _sum(v: str) -> Column:
+    """The sum without odd values as DECIMAL(38,6)."""
+    low = F.col(f"{v}.low").cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    mid = F.col(f"{v}.mid").cast("decimal(20,0)") * F.lit(Decimal(1000))
+    return (low + mid + F.col(f"{v}.high").cast("decimal(20,0)") * F.lit(Decimal(10 ** 12))).cast("decimal(38,6)")
+
+
 def _odd(v: str) -> Column:
     """What the odd values of a sum make of it, NULL if there are none."""
     up, down = F.col(f"{v}.up") > 0, F.col(f"{v}.down") > 0
@@ -105,11 +143,11 @@ def _odd(v: str) -> Column:
 
 def _total(v: str) -> Column:
     """The sum as DOUBLE; NULL if there was no value."""
-    return F.when(F.col(f"{v}.n") > 0, F.coalesce(_odd(v), F.col(f"{v}.sum").cast("double")))
+    return F.when(F.col(f"{v}.n") > 0, F.coalesce(_odd(v), _sum(v).cast("double")))
 
 
 def _rounded(v: str) -> Column:
-    return F.when(F.col(f"{v}.n") > 0, F.coalesce(_odd(v), money_round(f"{v}.sum")))
+    return F.when(F.col(f"{v}.n") > 0, F.coalesce(_odd(v), money_round(_sum(v))))
 
 
 def _mean(v: str) -> Column:
@@ -124,7 +162,8 @@ def add_up(rows: DataFrame, s: Sums) -> DataFrame:
     """One row per key: all numbers added."""
     return rows.groupBy(*s.keys).agg(
         *[F.sum(c).cast("long").alias(c) for c in s.counts],
-        *[F.struct(*[F.sum(f"{v}.{f}").alias(f) for f in _FIELDS]).alias(v) for v in s.values])
+        *[F.struct(*_carried(*[F.sum(f"{v}.{f}") for f in _PARTS]),
+                   *[F.sum(f"{v}.{f}").alias(f) for f in _FIELDS[len(_PARTS):]]).alias(v) for v in s.values])
 
 
 def _negative(rows: DataFrame, s: Sums) -> DataFrame:
@@ -178,7 +217,7 @@ def pairs_of(rows: DataFrame) -> DataFrame:
 
 def _customers(pairs: DataFrame, count: Column) -> DataFrame:
     """Rows of the product sums that hold distinct customers only."""
-    nothing = F.struct(F.lit(0).cast("decimal(38,6)").alias("sum"), *[F.lit(0).cast("long").alias(f) for f in _FIELDS[1:]])
+    nothing = F.struct(*[F.lit(0).cast("long").alias(f) for f in _FIELDS])
     return pairs.groupBy("product_id").agg(F.sum(count).cast("long").alias("unique_customers")).select(
         "product_id", F.lit(0).cast("long").alias("num_orders"), "unique_customers", *[nothing.alias(v) for v in PRODUCTS.values])
 
@@ -223,6 +262,10 @@ def touched_states(after: dict[str, DataFrame], ch: Changes) -> tuple[dict[str,
         ids = ids.unionByName(rows.select("order_id"))
     touched = materialize(ids.filter("order_id IS NOT NULL").distinct(), "touched_orders")
     columns = {"order_items": ITEM_COLUMNS, "orders": ORDER_COLUMNS, "products": PRODUCT_COLUMNS}
+    if ch.same:  # changed items and orders belong to touched orders, so only the others are looked for
+        stay = {t: ch.same[t].select(c) for t, c in columns.items()}
+        stay |= {t: materialize(stay[t].join(touched, "order_id", "left_semi"), f"touched_{t}") for t in ("order_items", "orders")}
+        return tuple({t: stay[t].unionByName(rows[t].select(c)) for t, c in columns.items()} for rows in (ch.old, ch.new))
     state = {t: after[t].select(*c, *[ch.mark] * bool(ch.mark)) for t, c in columns.items()}
     items = materialize(state["order_items"].join(touched, "order_id", "left_semi"), "touched_items")
     orders = materialize(state["orders"].join(touched, "order_id", "left_semi"), "touched_rows")
@@ -234,7 +277,7 @@ def touched_states(after: dict[str, DataFrame], ch: Changes) -> tuple[dict[str,
 # ---- marts from their sums -----------------------------------------------------------------------
 def daily_sales(sums: DataFrame) -> DataFrame:
     """M1 from its sums."""
-    out = sums.select("sale_date", "category", "num_orders", F.when(F.col("units.n") > 0, F.col("units.sum")).cast("long").alias("units_sold"),
+    out = sums.select("sale_date", "category", "num_orders", F.when(F.col("units.n") > 0, _sum("units")).cast("long").alias("units_sold"),
                       _rounded("revenue").alias("gross_revenue"), _rounded("cost").alias("total_cost"), _mean("discount").alias("avg_discount_pct"))
     return (out.withColumn("gross_profit", rounded(F.col("gross_revenue") - F.col("total_cost")))
                .withColumn("margin_pct", pct("gross_profit", "gross_revenue"))
@@ -244,7 +287,7 @@ def daily_sales(sums: DataFrame) -> DataFrame:
 
 def product_performance(sums: DataFrame, products: DataFrame) -> DataFrame:
     """M2 from its sums; attributes are those of the clean products, ranks are assigned anew."""
-    totals = sums.select("product_id", "num_orders", F.when(F.col("units.n") > 0, F.col("units.sum")).cast("long").alias("total_units_sold"),
+    totals = sums.select("product_id", "num_orders", F.when(F.col("units.n") > 0, _sum("units")).cast("long").alias("total_units_sold"),
                          _rounded("revenue").alias("total_revenue"), _mean("price").alias("avg_selling_price"),
                          _mean("discount").alias("avg_discount_pct"), "unique_customers")
     joined = totals.join(products.select(*PRODUCT_ATTRS), "product_id").select(

@@ -21,7 +21,7 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..session import delete_path, path_exists, stage_scope
 from ..sinks.writers import ordered_for_write, write_layer
-from ..sources.extract import TS_COLUMNS, run_extract
+from ..sources.extract import TS_COLUMNS, all_done, run_extract
 from ..sources.raw import read_folder, read_raw_all
 from ..streaming.incremental import committed_version, maintain_latest, read_version
 from . import processed as P
@@ -41,14 +41,14 @@ def refresh_latest(spark: SparkSession, base: str, tables=PROCESSED) -> dict[str
     tables (exactly-once, via the stream checkpoint) and return them.
 
     Equivalent to deduplicating the whole raw history, at the cost of the
-    new rows and the buckets of the latest table that they touch.
+    new rows and the buckets of the latest table that they touch.  The tables are folded side by side.
     """
-    out = {}
-    for t in tables:
+    def fold(t: str) -> DataFrame:
         v = maintain_latest(spark, f"{base}/raw/{t}", schemas.SOURCES[t], schemas.SOURCE_KEYS[t],
                             TS_COLUMNS[t], f"{base}/latest/{t}", f"{base}/state/latest_{t}")
-        out[t] = read_version(spark, f"{base}/latest/{t}", schemas.SOURCES[t], v)
-    return out
+        return read_version(spark, f"{base}/latest/{t}", schemas.SOURCES[t], v)
+
+    return all_done({t: lambda t=t: fold(t) for t in tables})
 
 
 def latest_versions(spark: SparkSession, base: str) -> dict[str, int | None]:

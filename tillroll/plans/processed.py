@@ -20,7 +20,8 @@ from ..operators import clean as C
 from ..session import delete_path, materialize, path_exists
 from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import write_layer, write_observed, write_orders_partitioned
-from ..streaming.incremental import bucket_of, changed_keys, committed_buckets, committed_version, read_rewritten, read_version
+from ..sources.extract import all_done
+from ..streaming.incremental import bucket_of, changed_keys, changed_rows, committed_buckets, committed_version, read_rewritten, read_version
 
 TABLES = ("customers", "products", "orders", "order_items")
 CLEAN = {"customers": C.clean_customers, "products": C.clean_products, "orders": C.clean_orders, "order_items": C.clean_order_items}
@@ -73,18 +74,21 @@ def write_whole(spark: SparkSession, cleaned: dict[str, DataFrame], base: str) -
 
 
 def refresh(spark: SparkSession, base: str) -> dict[str, Written]:
-    """Bring the layer to the newest version of the latest tables."""
+    """Bring the layer to the newest version of the latest tables, side by side."""
     shown = {r.dataset: r.latest for r in newest_rows(spark, _log(base), LOG)}
-    out = {}
-    for t in TABLES:
+
+    def bring(t: str) -> Written:
         v, old = committed_version(spark, f"{base}/latest/{t}"), shown.get(t)
         if old is None or v is None or not old <= v <= old + 1:
-            out[t] = _all(spark, base, t, v)
+            out = _all(spark, base, t, v)
         elif v == old:
-            out[t] = Written(0, False)
+            out = Written(0, False)
         else:
-            out[t] = _months(spark, base, v) if t == "orders" else _buckets(spark, base, t, v)
-        out[t].latest = v
+            out = _months(spark, base, v) if t == "orders" else _buckets(spark, base, t, v)
+        out.latest = v
+        return out
+
+    out = all_done({t: lambda t=t: bring(t) for t in TABLES})
     record(spark, base, out)
     return out
 
@@ -117,9 +121,12 @@ def _months(spark: SparkSession, base: str, v: int) -> Written:
     latest, schema, path = f"{base}/latest/orders", schemas.ORDERS, f"{base}/processed/orders"
     keys = changed_keys(spark, latest, schema, "order_id", v)
     hit = read_rewritten(spark, latest, schema, v)[1]
-    new = materialize(C.clean_orders(read_rewritten(spark, latest, schema, v)[0].drop("bucket"), deduped=True)
-                      .join(keys, "order_id", "left_semi"), "changed_orders")
-    was = C.clean_orders(read_version(spark, latest, schema, v - 1, hit), deduped=True).join(keys, "order_id", "left_semi")
+    rows = changed_rows(spark, latest, schema, v)
+    if rows is None:  # a version from before they were stored
+        rows = (read_version(spark, latest, schema, v - 1, hit).join(keys, "order_id", "left_semi"),
+                read_rewritten(spark, latest, schema, v)[0].drop("bucket").join(keys, "order_id", "left_semi"))
+    was, new = (C.clean_orders(df, deduped=True) for df in rows)
+    new = materialize(new, "changed_orders")
     months = [(r[0], r[1]) for r in new.select(*MONTH).unionByName(was.select(*MONTH)).distinct().collect()]  # a row per month
     there = [p for p in (f"{path}/{_spec(*m)}" for m in months) if path_exists(spark, p)]
     if there:

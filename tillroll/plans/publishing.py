@@ -20,7 +20,7 @@ from .. import schemas
 from ..session import delete_glob, delete_path, path_exists
 from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import conform, require_location, write_layer, write_observed
-from ..sources.extract import read_ledger
+from ..sources.extract import all_done, read_ledger
 from ..sources.raw import read_batches, read_folder
 from . import processed, sums
 
@@ -93,15 +93,15 @@ def unpublished(spark: SparkSession, raw: DataFrame, published: str) -> DataFram
 
 
 def publish_raw(spark: SparkSession, base: str) -> list[dict]:
-    """Copy the batches that are due, file names and all, and commit them to the log."""
-    out, done = [], []
+    """Copy the batches that are due, file names and all, the tables side by side, and commit them to the log."""
     without_ledger = read_ledger(spark, f"{base}/state/watermarks").isEmpty()
-    for t, batches in due_batches(spark, base).items():
-        source, target, rows = f"{base}/raw/{t}", f"{base}/published/raw/{t}", 0
+
+    def copied(t: str, batches: list[tuple]) -> tuple[dict | None, list[tuple]]:
+        source, target, rows, done = f"{base}/raw/{t}", f"{base}/published/raw/{t}", 0, []
         if without_ledger:
             landed = read_folder(spark, source)
             if landed is None:
-                continue
+                return None, done
             rows = write_observed(unpublished(spark, landed, target), target, "overwrite", ["ingest_date"], only_partitions=True)["rows"]
         for day, batch in batches:
             delete_glob(spark, f"{target}/ingest_date={day}/batch-{batch}-*")  # of a run that broke off
@@ -109,8 +109,10 @@ def publish_raw(spark: SparkSession, base: str) -> list[dict]:
             n = write_observed(copy, target, "append", ["ingest_date"], file_prefix=f"batch-{batch}")["rows"]
             done.append((t, day, batch, n))
             rows += n
-        if path_exists(spark, target):
-            out.append({"layer": "raw", "dataset": t, "rows": rows, "path": target})
+        return ({"layer": "raw", "dataset": t, "rows": rows, "path": target} if path_exists(spark, target) else None), done
+
+    copies = all_done({t: lambda t=t, b=b: copied(t, b) for t, b in due_batches(spark, base).items()}).values()
+    out, done = [row for row, _ in copies if row], [d for _, of in copies for d in of]
     if done:
         version = (newest_version(spark, f"{base}/state/published_raw") or 0) + 1
         append_log(spark, f"{base}/state/published_raw", [(version, *d) for d in done], BATCHES)
@@ -118,9 +120,8 @@ def publish_raw(spark: SparkSession, base: str) -> list[dict]:
 
 
 def publish_processed(spark: SparkSession, base: str, since: int | None) -> list[dict]:
-    """Copy the partitions of the processed layer rewritten after its version ``since``."""
-    out = []
-    for t, (whole, partitions) in processed.rewritten_since(spark, base, since).items():
+    """Copy the partitions of the processed layer rewritten after its version ``since``, the tables side by side."""
+    def copied(t: str, whole: bool, partitions: list[str]) -> dict:
         source, target = f"{base}/processed/{t}", f"{base}/published/processed/{t}"
         if whole or not path_exists(spark, target):
             df = spark.read.parquet(source)
@@ -136,8 +137,9 @@ def publish_processed(spark: SparkSession, base: str, since: int | None) -> list
                 rows = write_observed(df, target, "overwrite", by, only_partitions=True)["rows"]
             for p in set(partitions) - set(there):
                 delete_path(spark, f"{target}/{p}")
-        out.append({"layer": "processed", "dataset": t, "rows": rows, "path": target})
-    return out
+        return {"layer": "processed", "dataset": t, "rows": rows, "path": target}
+
+    return list(all_done({t: lambda t=t, r=r: copied(t, *r) for t, r in processed.rewritten_since(spark, base, since).items()}).values())
 
 
 def publish_mart_copies(spark: SparkSession, base: str, version: int) -> list[dict]:
@@ -176,7 +178,7 @@ def register_views(spark: SparkSession, base: str, database: str) -> None:
 def drop_superseded(spark: SparkSession, base: str, version: int) -> None:
     """Versions before the last one go; that one stays for readers that have begun."""
     sums.drop_unused(spark, base, version)
-    for m in (*MARTS, "checks", "changed_parts", *sums.OWN):
+    for m in (*MARTS, "checks", "changed_parts", *sums.OWN, *sums.FORMER):
         for place in (f"{base}/warehouse/{m}", f"{base}/published/marts/{m}"):
             delete_glob(spark, f"{place}/version=*", lambda name: int(name.split("=")[1]) < version - 1)
 

@@ -1,6 +1,6 @@
 """The sums behind the marts' versions (K4, P2): written with each version, changed by signed deltas.
 
-``<base>/warehouse/sums_daily`` and ``sums_products`` hold one table of sums per version of the
+``<base>/warehouse/sums_by_day`` and ``sums_by_product`` hold one table of sums per version of the
 marts.  Orders per (product, customer), as many rows as the items at worst, are never
 rewritten: a version adds a delta, and a list beside it names the versions whose deltas add up to
 its state.  After ``CHAIN`` deltas they are added up into one.
@@ -17,11 +17,13 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..session import delete_glob, materialize, path_exists
 from ..sinks.writers import write_observed
-from ..streaming.incremental import changed_keys, changed_rows
+from ..streaming.incremental import changed_keys, changed_rows, unchanged_rows
 
-DAILY, PRODUCTS, PAIRS, PAIR_VERSIONS = "sums_daily", "sums_products", "sums_pairs", "sums_pair_versions"
+DAILY, PRODUCTS, PAIRS, PAIR_VERSIONS = "sums_by_day", "sums_by_product", "sums_pairs", "sums_pair_versions"
 #: Tables of which a version needs no other (the pairs' deltas go by ``drop_unused``).
 OWN = (DAILY, PRODUCTS, PAIR_VERSIONS)
+#: Where sums lay while they were DECIMAL; they are not read, so the next run of such a lake is a full build.
+FORMER = ("sums_daily", "sums_products")
 CHAIN = 16
 
 
@@ -66,7 +68,7 @@ def drop_unused(spark: SparkSession, base: str, version: int) -> None:
 def changes(spark: SparkSession, base: str, shown: dict[str, int], newest: dict[str, int | None]) -> D.Changes | None:
     """What has changed since the versions ``shown`` of the latest tables; None if that cannot be told
     from the newest versions alone."""
-    ch = D.Changes({}, {}, {})
+    ch, same = D.Changes({}, {}, {}), {}
     for t, v in newest.items():
         known = shown.get(t)
         if known is None or v is None or not known <= v <= known + 1:
@@ -77,7 +79,10 @@ def changes(spark: SparkSession, base: str, shown: dict[str, int], newest: dict[
             return None
         ch.keys[t] = changed_keys(spark, folder, schema, schemas.SOURCE_KEYS[t], v if v > known else None)
         ch.old[t], ch.new[t] = rows
+        same[t] = unchanged_rows(spark, folder, schema, v, v > known)
     ch.old, ch.new = C.clean_all(ch.old, deduped=True), C.clean_all(ch.new, deduped=True)
+    if all(df is not None for df in same.values()):
+        ch.same = C.clean_all(same, deduped=True)
     return ch
 
 

@@ -167,6 +167,15 @@ def side_by_side(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
         return {name: f.result() for name, f in futures.items()}
 
 
+def all_done(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """As ``side_by_side`` for jobs that must all succeed: the first failure is raised once all have ended."""
+    results = side_by_side(jobs)
+    for result in results.values():
+        if isinstance(result, Exception):
+            raise result
+    return results
+
+
 def batch_high_water(sources: dict[str, DataFrame], table: str, watermark,
                      ts_policy: str = "parent") -> DataFrame:
     """max timestamp of one extracted batch, as a one-row frame.

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from ..operators.dedupe import dedupe_latest, merge_latest, of_keys
+from ..operators.dedupe import CHANGED, OLD, dedupe_latest, merge_latest
 from ..session import delete_glob, delete_path, folder_bytes, path_exists
 from ..sinks.log import append_log, newest_rows, newest_version, read_log
 from ..sinks.writers import write_observed
@@ -135,6 +135,27 @@ def changed_rows(spark: SparkSession, latest_dir: str, schema: StructType, v: in
     return tuple(rows.filter(F.col("is_new") == F.lit(new)).drop("is_new") for new in (False, True))
 
 
+def unchanged_rows(spark: SparkSession, latest_dir: str, schema: StructType, v: int | None, changed: bool) -> DataFrame | None:
+    """The rows of version ``v``, the newest one, without those of the keys folded into it (if it is ``changed``; else all).
+
+    A scan by the mark that the fold has left in its rows; None if they have no mark.
+    """
+    if v is None or not changed:
+        return read_version(spark, latest_dir, schema, v)
+    placed = _placements(spark, latest_dir, v)
+    others = _read_buckets(spark, latest_dir, schema, {b: old for b, old in placed.items() if old != v})
+    if v == 0:  # all its rows are new
+        return others
+    marked = _marked_rows(spark, latest_dir, schema, v)
+    return None if marked is None else others.unionByName(marked.filter(~F.col(CHANGED)).select(*schema.fieldNames()))
+
+
+def _marked_rows(spark: SparkSession, latest_dir: str, schema: StructType, v: int) -> DataFrame | None:
+    """The rows that version ``v`` has rewritten with the marks of the fold; None if it has left none."""
+    rows = spark.read.parquet(f"{latest_dir}/rows/v={v}")
+    return rows if CHANGED in rows.columns else None
+
+
 def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, order_col: str) -> None:
     """Merge the waiting batches into the next version, commit it, drop the batches.
 
@@ -152,20 +173,20 @@ def _fold(spark: SparkSession, latest_dir: str, schema: StructType, key: str, or
     first = newest_rows(spark, log, COMMITTED)
     buckets = first[0].buckets if first else max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), 2, folder_bytes(spark, f"{latest_dir}/waiting") // BUCKET_BYTES)
-    changed = batches.select(key).distinct()
-    write_observed(changed, f"{latest_dir}/changed/version={v}", "overwrite")
-    hit = sorted(r[0] for r in changed_keys(spark, latest_dir, schema, key, v)
-                 .select(bucket_of(key, buckets).alias("b")).distinct().collect())  # at most ``buckets`` rows
+    hit = sorted(r[0] for r in batches.select(bucket_of(key, buckets).alias("b")).distinct().collect())  # at most ``buckets`` rows
     previous = None if newest is None else _read_buckets(spark, latest_dir, schema, {b: placed[b] for b in hit if b in placed})
     # A key has one row in each batch by now, so rows cross the network once, by bucket, and are merged there.
     by_bucket = [None if df is None else df.withColumn("bucket", bucket_of(key, buckets)) for df in (previous, batches)]
-    merged = merge_latest(*by_bucket, ["bucket", key], order_col, deal_by="bucket")
+    merged = merge_latest(*by_bucket, ["bucket", key], order_col, deal_by="bucket", marked=previous is not None)
     write_observed(merged, f"{latest_dir}/rows/v={v}", "overwrite", ["bucket"])
-    if previous is not None:
-        keys = changed_keys(spark, latest_dir, schema, key, v)
-        changes = of_keys(_read_buckets(spark, latest_dir, schema, dict.fromkeys(hit, v)), keys).withColumn("is_new", F.lit(True))
-        changes = changes.unionByName(of_keys(previous, keys).withColumn("is_new", F.lit(False)))
+    if previous is None:
+        changed = spark.read.schema(schema).parquet(f"{latest_dir}/rows/v={v}")
+    else:
+        changed = _marked_rows(spark, latest_dir, schema, v).filter(CHANGED)
+        old = changed.filter(F.col(OLD).isNotNull()).select(*[c if c == key else F.col(f"{OLD}.`{c}`").alias(c) for c in schema.fieldNames()])
+        changes = changed.select(*schema.fieldNames()).withColumn("is_new", F.lit(True)).unionByName(old.withColumn("is_new", F.lit(False)))
         write_observed(changes, f"{latest_dir}/changes/version={v}", "overwrite")
+    write_observed(changed.select(key), f"{latest_dir}/changed/version={v}", "overwrite")
     append_log(spark, log, [(v, buckets, hit)], COMMITTED)
     # What neither this version nor the one before reads can go.
     for b, old in (_placements(spark, latest_dir, newest - 1) if newest else {}).items():
